@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Chebyshev fit of the complementary error function, lowest order first
 # (Press et al., Numerical Recipes; relative error below 1.2e-7).
@@ -89,7 +90,7 @@ def student_two_sided_array(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     return out
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def student_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided p-value of Student's t, NULL where t or df is NULL."""
     p = student_two_sided_array(t.to_numpy(float, na_value=np.nan), df.to_numpy(float, na_value=np.nan))

@@ -47,7 +47,8 @@ def duration_months(text: Column, unparsed: str = "zero") -> Column:
 
 def any_name(text: Column, names: Iterable[str]) -> Column:
     """1 if any of the names stands in the text as whole words, else 0 (also for NULL)."""
-    pattern = "|".join(rf"\b{re.escape(name.lower())}\b" for name in names)
+    listed = "|".join(re.escape(name.lower()) for name in names)
+    pattern = rf"(?<![\p{{L}}\p{{N}}_])(?:{listed})(?![\p{{L}}\p{{N}}_])"
     return F.when(F.lower(text).rlike(pattern), 1).otherwise(0)
 
 

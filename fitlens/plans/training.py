@@ -14,12 +14,13 @@ def training_rows(population: DataFrame, org_types: DataFrame, seed: int) -> Dat
 
     population(company_name, id, top_university, volunteering, average_months_of_experience,
     degree) has one row per person, so features are joined by ``id`` without repeats.
-    org_types(id, organization_type) gives the organisation types text.
+    org_types(id, company_name, organization_type) gives the organisation types text.
     """
     features = population.drop("company_name", "doctorate", "master")
-    text = org_types.filter("organization_type is not null").select("id", "organization_type").distinct()
-    # The types of one person are few distinct names, whatever the number of employers.
-    text = text.groupBy("id").agg(F.array_join(F.sort_array(F.collect_list("organization_type")), " ").alias("organization_types"))
+    # One blank-ended name per employer, in order of the types; counted per type before they meet.
+    times = org_types.dropna(subset=["organization_type"]).groupBy("id", "organization_type").agg(F.count("*").alias("n"))
+    names = F.expr("repeat(concat(organization_type, ' '), cast(n as int))")
+    text = times.groupBy("id").agg(F.array_join(F.sort_array(F.collect_list(names)), "").alias("organization_types"))
     features = features.join(text, "id", "left").fillna("", subset=["organization_types"])
     own = population.select("company_name", "id").withColumn("label", F.lit(1))
     drawn = negatives(own, "company_name", "id", seed).withColumn("label", F.lit(0))
