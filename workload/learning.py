@@ -1 +1,184 @@
-"""."""
+"""Queries for sampling, encoding and feature importance."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from fitlens.operators import encoding as en
+from fitlens.operators import forest as fr
+from fitlens.operators.sampling import negatives
+from fitlens.plans.training import training_rows
+from workload.product import population
+from workload.roles import Roles, query, sql
+
+SEED = 5
+
+NEGATIVES = f"""drawn AS (
+  SELECT company_name, id FROM (
+    SELECT g.company_name, c.id, n, row_number() OVER (PARTITION BY g.company_name
+      ORDER BY (place - ('0x' || substr(md5('{SEED}|' || g.company_name), 1, 15))::BIGINT % total + total) % total) AS rn
+    FROM (SELECT company_name, count(*) AS n FROM population GROUP BY 1) g,
+      (SELECT id, row_number() OVER (ORDER BY md5('{SEED}|' || id), id) - 1 AS place, count(*) OVER () AS total
+       FROM (SELECT DISTINCT id FROM population)) c
+    WHERE NOT EXISTS (SELECT 1 FROM population p WHERE p.company_name = g.company_name AND p.id = c.id))
+  WHERE rn <= n)"""
+
+TRAIN = f"""{NEGATIVES},
+org_texts AS (SELECT id, string_agg(organization_type || ' ', '' ORDER BY organization_type) AS organization_types
+  FROM org_types GROUP BY 1),
+train AS (
+  SELECT l.company_name, l.id, l.label, p.top_university, p.volunteering,
+    coalesce(p.average_months_of_experience, -1) AS average_months_of_experience,
+    CASE p.degree WHEN 'Bachelor' THEN 1 WHEN 'Master' THEN 2 WHEN 'Doctorate' THEN 3 WHEN 'Associate' THEN 4 ELSE 0 END
+      AS degree_feature,
+    coalesce(o.organization_types, '') AS organization_types
+  FROM (SELECT company_name, id, 1 AS label FROM population UNION ALL SELECT company_name, id, 0 FROM drawn) l
+  JOIN population p ON p.id = l.id LEFT JOIN org_texts o ON o.id = l.id)"""
+
+
+def with_train(ctes: str, body: str) -> str:
+    """SQL with the sampling expressions placed after those they build on."""
+    head, mark, tail = sql(ctes + "\n-- end of expressions").rpartition("\n" + ctes.splitlines()[0])
+    return f"{head},\n{mark.lstrip()}{tail}\n{body}"
+
+
+@query("m1_negatives", with_train(NEGATIVES, "SELECT company_name, id FROM drawn"))
+def m1(r: Roles) -> DataFrame:
+    return negatives(population(r), "company_name", "id", SEED)
+
+
+@query(
+    "m1_negatives_all_employers",
+    with_train(
+        NEGATIVES.replace("population", "bridge"),
+        "SELECT company_name, id FROM drawn",
+    ),
+)
+def m1_all(r: Roles) -> DataFrame:
+    return negatives(r.bridge, "company_name", "id", SEED)
+
+
+def train(r: Roles) -> DataFrame:
+    return training_rows(population(r), r.org_types, SEED)
+
+
+@query(
+    "m2_training_rows",
+    with_train(
+        TRAIN,
+        """SELECT company_name, id, label, top_university, volunteering, average_months_of_experience, degree_feature,
+        organization_types FROM train""",
+    ),
+)
+def m2(r: Roles) -> DataFrame:
+    return train(r).drop("degree", "organization_types_feature")
+
+
+@query(
+    "m3_string_index",
+    """SELECT p_partkey, p_name, place::DOUBLE AS name_index FROM part JOIN (
+      SELECT p_name, row_number() OVER (ORDER BY count(*) DESC, p_name) - 1 AS place FROM part GROUP BY 1) USING (p_name)""",
+)
+def m3(r: Roles) -> DataFrame:
+    return en.string_index(r.table("part").select("p_partkey", "p_name"), "p_name", "name_index")
+
+
+@query(
+    "m4_assemble",
+    with_train(
+        TRAIN,
+        """SELECT company_name, id, label, top_university::DOUBLE AS f0, volunteering::DOUBLE AS f1,
+        average_months_of_experience AS f2, degree_feature::DOUBLE AS f3, place::DOUBLE AS f4 FROM train JOIN (
+        SELECT organization_types, row_number() OVER (ORDER BY count(*) DESC, organization_types) - 1 AS place FROM train GROUP BY 1)
+        USING (organization_types)""",
+    ),
+)
+def m4(r: Roles) -> DataFrame:
+    listed = en.assemble(train(r)).withColumn("v", vector_to_array("features"))
+    return listed.select("company_name", "id", "label", *[F.col("v")[i].alias(f"f{i}") for i in range(5)])
+
+
+@query("m5_forest")
+def m5(r: Roles) -> DataFrame:
+    return fr.rf_importance(train(r), en.FEATURES, "label", trees=20, seed=SEED)
+
+
+@query("m6_forest_by_company")
+def m6(r: Roles) -> DataFrame:
+    ranked = fr.rf_importance_by_group(train(r), "company_name", en.FEATURES, "label", seed=SEED)
+    return fr.ranked_feature_names(ranked, "company_name").withColumn("features_importance", F.array_join("features_importance", ","))
+
+
+DOC_FEATURES = ["n_chars", "n_words", "toxic", "lang_code"]
+
+
+def documents(r: Roles) -> DataFrame:
+    docs = r.table("documents").select(
+        "doc_id", "source", "n_chars", F.size(F.split("text", " ")).alias("n_words"), F.ascii("lang").alias("lang_code")
+    )
+    return docs.join(r.table("labels"), "doc_id")
+
+
+@query("t7_rank_importances")
+def t7(r: Roles) -> DataFrame:
+    out = fr.rf_importance_by_group(documents(r), "source", DOC_FEATURES, "quality", seed=SEED)
+    return out.withColumn("importance", F.round("importance", 6))
+
+
+@query(
+    "a9_packed_cells",
+    """WITH d AS (SELECT source, toxic, quality, n_chars FROM documents JOIN labels USING (doc_id)),
+    e AS (SELECT source, min(n_chars) AS lo, max(n_chars) AS hi, min(toxic) AS tlo, max(toxic) AS thi FROM d GROUP BY 1),
+    c AS (SELECT source, CASE WHEN hi = lo THEN 0 ELSE floor((n_chars - lo)::DOUBLE / (hi - lo) * 31 + 0.5) END AS a,
+      CASE WHEN thi = tlo THEN 0 ELSE floor((toxic - tlo)::DOUBLE / (thi - tlo) * 31 + 0.5) END AS b, quality, count(*) AS n
+      FROM d JOIN e USING (source) GROUP BY 1, 2, 3, 4)
+    SELECT source, count(*)::INTEGER AS n_cells, sum(n)::BIGINT AS n_rows FROM c GROUP BY 1""",
+)
+def a9(r: Roles) -> DataFrame:
+    cells = fr.feature_cells(documents(r), "source", ["n_chars", "toxic"], "quality")
+    packed = cells.groupBy("source").agg(F.collect_list(F.struct("n_chars", "toxic", "quality", "n")).alias("cells"))
+    total = F.aggregate("cells", F.lit(0).cast("bigint"), lambda s, c: s + c["n"])
+    return packed.select("source", F.size("cells").alias("n_cells"), total.alias("n_rows"))
+
+
+GAIN = """
+    runs AS (SELECT *, sum(n) OVER w AS nl, sum(p) OVER w AS pl, sum(n) OVER g AS na, sum(p) OVER g AS pa FROM (
+      SELECT k, feature, x, count(*) AS n, sum(y) AS p FROM long GROUP BY 1, 2, 3)
+      WINDOW w AS (PARTITION BY k, feature ORDER BY x), g AS (PARTITION BY k, feature)),
+    gains AS (SELECT k, feature, 2 * pa / na * (1 - pa / na) - (nl * 2 * (pl / nl) * (1 - pl / nl)
+      + CASE WHEN na = nl THEN 0 ELSE (na - nl) * 2 * ((pa - pl) / (na - nl)) * (1 - (pa - pl) / (na - nl)) END) / na AS gain FROM (
+      SELECT k, feature, nl::DOUBLE AS nl, pl::DOUBLE AS pl, na::DOUBLE AS na, pa::DOUBLE AS pa FROM runs))
+    SELECT k AS {key}, feature, round(max(gain), 6) AS gain FROM gains GROUP BY 1, 2"""
+
+
+@query(
+    "m7_stump_gain",
+    """WITH docs AS (SELECT source AS k, quality AS y, n_chars, len(string_split(text, ' ')) AS n_words, toxic, ascii(lang) AS lang_code
+      FROM documents JOIN labels USING (doc_id)),
+    long AS (SELECT k, y, 'n_chars' AS feature, n_chars::DOUBLE AS x FROM docs UNION ALL SELECT k, y, 'n_words', n_words FROM docs
+      UNION ALL SELECT k, y, 'toxic', toxic FROM docs UNION ALL SELECT k, y, 'lang_code', lang_code FROM docs),"""
+    + GAIN.format(key="source"),
+)
+def m7(r: Roles) -> DataFrame:
+    gains = fr.stump_gain(documents(r), "source", DOC_FEATURES, "quality")
+    return gains.withColumn("gain", F.round(F.col("gain") + 0.0, 6))
+
+
+@query(
+    "m7_stump_gain_by_company",
+    with_train(
+        TRAIN
+        + """,
+    long AS (SELECT company_name AS k, label AS y, 'average_months_of_experience' AS feature, average_months_of_experience AS x FROM train
+      UNION ALL SELECT company_name, label, 'degree_feature', degree_feature FROM train
+      UNION ALL SELECT company_name, label, 'top_university', top_university FROM train)""",
+        "",
+    ).rstrip()
+    + ","
+    + GAIN.format(key="company_name"),
+)
+def m7_by_company(r: Roles) -> DataFrame:
+    features = ["average_months_of_experience", "degree_feature", "top_university"]
+    return fr.stump_gain(train(r), "company_name", features, "label").withColumn("gain", F.round("gain", 6))

@@ -1 +1,399 @@
-"""."""
+"""Queries for the composite dataflows: features, patterns, tests, summaries, matches, advice."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from fitlens.constants import BOOKS
+from fitlens.functions import text as ft
+from fitlens.operators import distributions as ds
+from fitlens.operators import keywords as kw
+from fitlens.operators import ranking as rk
+from fitlens.plans import alignment as al
+from fitlens.plans import companies as co
+from fitlens.plans import profiles as pf
+from workload.basics import stored_scores, tests, text_of
+from workload.roles import Roles, query, sql
+
+SEED = 11
+
+
+@query("c1_employment", sql("SELECT company_name, id FROM bridge"))
+def c1(r: Roles) -> DataFrame:
+    return r.bridge
+
+
+@query(
+    "c2_eligible_companies",
+    sql("""SELECT company_name, count(*) AS n_members FROM bridge JOIN companies ON company_name = name
+    GROUP BY 1 HAVING count(*) >= 110"""),
+)
+def c2(r: Roles) -> DataFrame:
+    return co.eligible_companies(r.bridge, r.companies, 110)
+
+
+@query("c3_org_types", sql("SELECT id, company_name, organization_type FROM org_types"))
+def c3(r: Roles) -> DataFrame:
+    return r.org_types
+
+
+@query(
+    "c4_degrees",
+    sql("""SELECT id, coalesce(string_agg(degree, ',' ORDER BY degree), '') AS degrees
+    FROM people LEFT JOIN levels USING (id) GROUP BY 1"""),
+)
+def c4(r: Roles) -> DataFrame:
+    return pf.degrees(r.people).select("id", text_of("degrees").alias("degrees"))
+
+
+@query(
+    "c4_degrees_by_name",
+    sql("""SELECT p.id, coalesce(d.degrees, '') AS degrees FROM people p LEFT JOIN (
+      SELECT name, string_agg(DISTINCT degree, ',' ORDER BY degree) AS degrees
+      FROM levels JOIN people USING (id) GROUP BY 1) d USING (name)
+    WHERE p.id IN (SELECT id FROM education)"""),
+)
+def c4_by_name(r: Roles) -> DataFrame:
+    shared = pf.degrees(r.people, by="name", drop_without_education=True)
+    return shared.select("id", text_of("degrees").alias("degrees"))
+
+
+@query(
+    "c5_volunteering",
+    sql("""SELECT id, volunteering, causes, n_values FROM engineered
+    LEFT JOIN (SELECT id, string_agg(DISTINCT cause, ',' ORDER BY cause) AS causes FROM causes GROUP BY 1) USING (id)
+    LEFT JOIN (SELECT id, count(DISTINCT value)::INTEGER AS n_values FROM volunteer_values GROUP BY 1) USING (id)"""),
+)
+def c5(r: Roles) -> DataFrame:
+    causes = r.people.causes
+    known = sorted(["Education", "Environment", "Arts and Culture", "Social Services", "Chess"])
+    flags = causes.groupBy("id").agg(
+        F.concat_ws(",", *[F.when(F.bool_or(F.col("cause") == c), F.lit(c)) for c in known]).alias("causes")
+    )
+    mapped = pf.values_map(pf.volunteer_values(causes)).select("id", F.size("values_from_volunteering").alias("n_values"))
+    return r.engineered.select("id", "volunteering").join(flags, "id", "left").join(mapped, "id", "left")
+
+
+@query(
+    "c6_tenure",
+    sql("SELECT id, name, months AS average_months_of_experience FROM people LEFT JOIN tenure USING (id)"),
+)
+def c6(r: Roles) -> DataFrame:
+    return r.people.people.select("id", "name").join(pf.tenure(r.people.durations), "id", "left")
+
+
+PATTERN_COLUMNS = [
+    "volunteering_percentage", "top_university_percentage", "mean_post_duration", "variance_post_duration",
+    "associate_percentage", "bachelor_percentage", "master_percentage", "doctorate_percentage",
+]
+
+
+@query(
+    "c7_patterns",
+    sql("""SELECT company_name, round(avg(volunteering) * 100, 6) AS volunteering_percentage,
+    round(avg(top_university) * 100, 6) AS top_university_percentage,
+    round(avg(average_months_of_experience), 6) AS mean_post_duration,
+    round(var_samp(average_months_of_experience), 6) AS variance_post_duration,
+    round(sum(has_associate) * 100.0::DOUBLE / sum(n), 6) AS associate_percentage,
+    round(sum(has_bachelor) * 100.0::DOUBLE / sum(n), 6) AS bachelor_percentage,
+    round(sum(has_master) * 100.0::DOUBLE / sum(n), 6) AS master_percentage,
+    round(sum(has_doctorate) * 100.0::DOUBLE / sum(n), 6) AS doctorate_percentage,
+    'Bachelor: ' || round(sum(has_bachelor) * 100.0::DOUBLE / sum(n), 2) || ' %, Associate: '
+      || round(sum(has_associate) * 100.0::DOUBLE / sum(n), 2) || ' %, Master: '
+      || round(sum(has_master) * 100.0::DOUBLE / sum(n), 2) || ' %, No Degree: '
+      || round(count(*) FILTER (n = 0) * 100.0::DOUBLE / sum(n), 2) || ' %' AS degree_percentage
+    FROM (SELECT b.company_name, e.*, has_associate + has_bachelor + has_master + has_doctorate AS n
+      FROM bridge b JOIN engineered e USING (id)) GROUP BY 1"""),
+)
+def c7(r: Roles) -> DataFrame:
+    chosen = co.eligible_companies(r.bridge, r.companies)
+    out = co.patterns(co.staff(r.bridge, chosen, r.engineered))
+    return out.withColumns({c: F.round(c, 6) for c in PATTERN_COLUMNS})
+
+
+def population(r: Roles, assign: str = "one") -> DataFrame:
+    return co.population(co.staff(r.bridge, co.eligible_companies(r.bridge, r.companies), r.engineered), assign)
+
+
+@query(
+    "c8_ztests",
+    sql("""SELECT company_name, feature, x1, n1, x2, n2, direction, round(z, 6) AS z, round(p_value, 6) AS p_value FROM ztests"""),
+)
+def c8(r: Roles) -> DataFrame:
+    out = co.ztests(population(r))
+    return out.withColumn("z", F.round("z", 6)).withColumn("p_value", F.round("p_value", 6))
+
+
+@query(
+    "c8_ztests_all_employers",
+    sql("""SELECT company_name, x1, n1, x2, n2, round((x1::DOUBLE / n1 - x2::DOUBLE / n2)
+      / sqrt(rate * (1 - rate) * (1.0::DOUBLE / n1 + 1.0::DOUBLE / n2)), 6) AS z
+    FROM (SELECT *, (x1 + x2)::DOUBLE / (n1 + n2) AS rate FROM
+      (SELECT company_name, sum(has_doctorate)::BIGINT AS x1, count(*) AS n1 FROM bridge JOIN engineered USING (id) GROUP BY 1),
+      (SELECT sum(has_doctorate)::BIGINT AS x2, count(*) AS n2 FROM bridge JOIN engineered USING (id)))"""),
+)
+def c8_all(r: Roles) -> DataFrame:
+    out = co.ztests(population(r, "all"), ["doctorate"])
+    return out.select("company_name", "x1", "n1", "x2", "n2", F.round("z", 6).alias("z"))
+
+
+@query(
+    "c9_welch",
+    sql("""SELECT company_name, n1, n2, round(mean1, 6) AS mean1, round(mean2, 6) AS mean2, round(t, 6) AS t,
+    round(df, 4) AS df, round(p_value, 6) AS p_value FROM ttests"""),
+)
+def c9(r: Roles) -> DataFrame:
+    out = co.welch_tests(population(r))
+    rounded = {c: F.round(c, 6) for c in ("mean1", "mean2", "t", "p_value")}
+    return out.withColumns({**rounded, "df": F.round("df", 4)}).drop("var1", "var2")
+
+
+def ranked(r: Roles) -> DataFrame:
+    return rk.rank_features(tests(r), 0.5)
+
+
+def company_values(r: Roles) -> DataFrame:
+    return co.company_values(r.company_texts, r.lexicon)
+
+
+def scores(r: Roles) -> DataFrame:
+    """Happy and neutral scores of events, by the current company of the user."""
+    people = r.people.people.select("id", F.col("current_company").alias("company_name"))
+    events = r.table("events").select(F.col("user_id").alias("id"), stored_scores().alias("text"))
+    return events.join(people, "id").select(
+        "company_name",
+        "id",
+        ft.stored_score(F.col("text"), "happy1").cast("double").alias("happy_score"),
+        ft.stored_score(F.col("text"), "neutral1").cast("double").alias("neutral_score"),
+    )
+
+
+EMOTION_SQL = """scored AS (
+  SELECT current_company AS company_name, id,
+    CASE WHEN event_type IN ('view', 'click') THEN printf('%.4f', value / 500)::FLOAT::DOUBLE END AS h,
+    CASE WHEN event_type NOT IN ('view', 'click') THEN printf('%.4f', value / 500)::FLOAT::DOUBLE END AS n
+  FROM events JOIN people ON user_id = id),
+company_emotions AS (
+  SELECT company_name, avg(h) AS avg_happy, avg(n) AS avg_neutral,
+    CASE WHEN avg(h) IS NULL OR avg(n) IS NULL THEN NULL WHEN avg(h) > avg(n) THEN 'happy' ELSE 'neutral' END AS company_emotion
+  FROM scored GROUP BY 1),
+profile_emotions AS (
+  SELECT id, CASE WHEN avg(h) IS NULL OR avg(n) IS NULL THEN NULL WHEN avg(h) > avg(n) THEN 'happy' ELSE 'neutral' END AS emotion
+  FROM scored GROUP BY 1)"""
+
+
+def with_emotions(body: str) -> str:
+    """SQL with the emotion expressions placed after the others."""
+    head, mark, tail = sql(body + "\n-- people").rpartition("\n" + body.splitlines()[0])
+    return f"{head},\n{EMOTION_SQL}{mark}{tail}"
+
+
+def profile_emotions(r: Roles) -> DataFrame:
+    means = co.company_emotion(scores(r), "id")
+    return means.select("id", F.col("company_emotion").alias("emotion"))
+
+
+@query(
+    "c10_company_summary",
+    sql("""SELECT company_name, 'feature' AS section, rank::INTEGER AS rank, feature AS item, round(p_value, 5) AS p_value FROM ranked
+    UNION ALL SELECT company_name, CASE WHEN source = 'slogan' THEN 'value_slogan' ELSE 'value_text' END, NULL, value, NULL
+    FROM company_values"""),
+)
+def c10(r: Roles) -> DataFrame:
+    out = co.company_summary(ranked(r), company_values(r))
+    return out.withColumn("p_value", F.round("p_value", 5))
+
+
+def profile_values(r: Roles) -> DataFrame:
+    features = pf.feature_values(r.engineered, pf.org_type_flags(r.org_types))
+    return al.profile_values(features, pf.volunteer_values(r.people.causes), r.engineered)
+
+
+@query(
+    "c11_profile_summary",
+    sql("""SELECT id, 'degree' AS section, degree AS item, NULL::VARCHAR AS source FROM levels JOIN people USING (id)
+    UNION ALL SELECT id, 'average_tenure', months::VARCHAR, NULL FROM tenure WHERE months <> 0 AND id IN (SELECT id FROM people)
+    UNION ALL SELECT id, 'top_university', educations_details, NULL FROM engineered WHERE top_university = 1
+    UNION ALL SELECT DISTINCT id, 'volunteer', cause, NULL::VARCHAR FROM causes
+    UNION ALL SELECT id, CASE WHEN source IS NULL THEN 'value_unsourced' ELSE 'value_sourced' END, value, source
+    FROM profile_values"""),
+)
+def c11(r: Roles) -> DataFrame:
+    return al.profile_summary(r.engineered, r.people.causes, profile_values(r))
+
+
+def value_matches(r: Roles) -> DataFrame:
+    return al.match_values_pair(r.bridge, profile_values(r), company_values(r))
+
+
+@query(
+    "c12_match_values",
+    sql("""SELECT id, company_name, value, profile_source, company_source FROM value_matches"""),
+)
+def c12(r: Roles) -> DataFrame:
+    return value_matches(r)
+
+
+@query(
+    "c12_match_values_from_text",
+    sql("""SELECT b.id, b.company_name, c.value, max(c.source) AS company_source FROM bridge b
+    JOIN (SELECT DISTINCT id, value FROM (
+      SELECT c_custkey AS id, unnest(string_split(p_name, ' ')) AS word FROM customer
+      JOIN part ON p_partkey = c_custkey % (SELECT count(*) FROM part)) JOIN first_values USING (word)) t ON t.id = b.id
+    JOIN company_values c ON c.company_name = b.company_name AND c.value = t.value GROUP BY 1, 2, 3"""),
+)
+def c12_text(r: Roles) -> DataFrame:
+    found = kw.match_values(kw.keywords(r.profile_words, "id", "text"), "id", r.lexicon, distinct=True)
+    plain = found.withColumn("source", F.lit(None).cast("string"))
+    return al.match_values_pair(r.bridge, plain, company_values(r)).drop("profile_source")
+
+
+def pattern_matches(r: Roles) -> DataFrame:
+    return al.match_patterns(r.bridge, al.profile_traits(r.engineered), ranked(r))
+
+
+@query(
+    "c13_match_patterns",
+    sql("""SELECT id, company_name, feature, detail, round(p_value, 5) AS p_value FROM pattern_matches"""),
+)
+def c13(r: Roles) -> DataFrame:
+    return pattern_matches(r).withColumn("p_value", F.round("p_value", 5))
+
+
+@query(
+    "c14_match_label",
+    with_emotions("""SELECT b.id, b.company_name, emotion, company_emotion, (emotion = company_emotion)::INTEGER AS agree FROM bridge b
+    JOIN profile_emotions p ON p.id = b.id JOIN company_emotions c ON c.company_name = b.company_name
+    WHERE emotion IS NOT NULL AND company_emotion IS NOT NULL"""),
+)
+def c14(r: Roles) -> DataFrame:
+    return al.match_label(r.bridge, profile_emotions(r), co.company_emotion(scores(r)))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+BOOKS_SQL = (
+    "books(book, template_id, template) AS (VALUES "
+    + ", ".join(f"('{b}', {i}, {_quoted(t)})" for b, ts in BOOKS.items() for i, t in enumerate(ts))
+    + ")"
+)
+
+
+def advice_sql(matches: str) -> str:
+    """Ranked and capped sentences for ``matches`` given as SQL."""
+    body = f"""SELECT id, company_name, section, rank::INTEGER AS rank, item, book,
+    replace(replace(replace(replace(replace(replace(replace(template, '{{company name}}', company_name), '{{core value}}', item),
+      '{{company source}}', coalesce(company_source, '')), '{{profile source}}', coalesce(profile_source, '')),
+      '{{university name}}', coalesce(detail, '')), '{{dominant profile emotion}}', coalesce(emotion, '')),
+      '{{dominant company emotion}}', coalesce(company_emotion, '')) AS sentence
+    FROM (SELECT *, row_number() OVER (PARTITION BY id, company_name, section ORDER BY seq, item) AS rank FROM ({matches}))
+    JOIN (SELECT *, count(*) OVER (PARTITION BY book) AS size FROM books) USING (book)
+    WHERE rank <= CASE section WHEN 'values' THEN 3 WHEN 'patterns' THEN 3 ELSE 1 END
+      AND template_id = ('0x' || substr(md5('{SEED}|' || id || '|' || company_name || '|' || item), 1, 15))::BIGINT % size"""
+    return body
+
+
+VALUE_ENTRIES = """SELECT id, company_name, 'values' AS section, CASE WHEN profile_source IS NOT NULL AND company_source IS NOT NULL
+      THEN 'value_both' WHEN company_source IS NOT NULL THEN 'value_company' WHEN profile_source IS NOT NULL THEN 'value_profile'
+      ELSE 'value_neither' END AS book, -known::DOUBLE AS seq, value AS item, company_source, profile_source,
+      NULL::VARCHAR AS detail, NULL::VARCHAR AS emotion, NULL::VARCHAR AS company_emotion FROM value_matches"""
+PATTERN_ENTRIES = """SELECT id, company_name, 'patterns', feature, p_value, feature, NULL, NULL, detail, NULL, NULL FROM pattern_matches"""
+PICTURE_ENTRIES = """SELECT b.id, b.company_name, 'picture', CASE WHEN emotion = company_emotion THEN 'picture_keep' ELSE 'picture_change' END,
+      0.0, emotion, NULL, NULL, NULL, emotion, company_emotion FROM bridge b
+      JOIN profile_emotions p ON p.id = b.id JOIN company_emotions c ON c.company_name = b.company_name
+      WHERE emotion IS NOT NULL AND company_emotion IS NOT NULL"""
+
+
+def with_books(query_sql: str) -> str:
+    return "WITH " + BOOKS_SQL + ",\n" + query_sql.removeprefix("WITH ")
+
+
+@query("c15_advice", with_books(sql(advice_sql(VALUE_ENTRIES + " UNION ALL " + PATTERN_ENTRIES))))
+def c15(r: Roles) -> DataFrame:
+    return al.advice(value_matches(r), pattern_matches(r), SEED)
+
+
+@query(
+    "c16_align",
+    with_books(with_emotions(advice_sql(" UNION ALL ".join([VALUE_ENTRIES, PATTERN_ENTRIES, PICTURE_ENTRIES])))),
+)
+def c16(r: Roles) -> DataFrame:
+    return al.align(
+        r.bridge,
+        profile_values(r),
+        company_values(r),
+        al.profile_traits(r.engineered),
+        ranked(r),
+        SEED,
+        profile_emotions(r),
+        co.company_emotion(scores(r)),
+    )
+
+
+@query(
+    "t6_known_sources_first",
+    sql("""SELECT id, company_name, value, known, row_number() OVER (PARTITION BY id, company_name ORDER BY known DESC, value)::INTEGER
+    AS rank FROM value_matches"""),
+)
+def t6(r: Roles) -> DataFrame:
+    known = F.col("profile_source").isNotNull().cast("int") + F.col("company_source").isNotNull().cast("int")
+    matches = value_matches(r).select("id", "company_name", "value", known.alias("known"))
+    return rk.top_per_group(matches, al.PAIR, [F.desc("known"), "value"], 26)
+
+
+@query(
+    "c17_company_emotion",
+    with_emotions("""SELECT company_name, round(avg_happy, 6) AS avg_happy, round(avg_neutral, 6) AS avg_neutral, company_emotion
+    FROM company_emotions"""),
+)
+def c17(r: Roles) -> DataFrame:
+    out = co.company_emotion(scores(r))
+    return out.withColumn("avg_happy", F.round("avg_happy", 6)).withColumn("avg_neutral", F.round("avg_neutral", 6))
+
+
+# --- distributions -------------------------------------------------------------------------
+
+
+@query(
+    "c18_category_counts",
+    sql("""SELECT degree, count(*) AS n, list_position(['Associate', 'Bachelor', 'Master', 'Doctorate'], degree)::INTEGER AS place
+    FROM population WHERE degree IS NOT NULL GROUP BY 1"""),
+)
+def c18(r: Roles) -> DataFrame:
+    return ds.category_counts(population(r), "degree", ["Associate", "Bachelor", "Master", "Doctorate"])
+
+
+@query(
+    "c18_histogram",
+    """WITH ends AS (SELECT min(value) AS a, max(value) AS b FROM events),
+    bins AS (SELECT least(floor((value - a) * 200 / (b - a)), 199)::BIGINT AS bin, count(*) AS n FROM events, ends GROUP BY 1)
+    SELECT i AS bin, round(a + (b - a) * i / 200, 6) AS left, round(a + (b - a) * (i + 1) / 200, 6) AS right, coalesce(n, 0) AS n
+    FROM ends, range(200) r(i) LEFT JOIN bins ON bin = i WHERE a + (b - a) * i / 200 <= 300 AND a + (b - a) * (i + 1) / 200 >= 0""",
+)
+def c18_histogram(r: Roles) -> DataFrame:
+    out = ds.histogram(r.table("events"), "value")
+    return out.withColumn("left", F.round("left", 6)).withColumn("right", F.round("right", 6))
+
+
+GRID = [float(g) for g in range(0, 301, 12)]
+
+
+@query(
+    "c19_density",
+    sql("""SELECT company_name, at, is_all, round(sum(exp(-0.5 * pow((at - x) / bw, 2))) / (any_value(n) * any_value(bw) * sqrt(2 * pi())), 8)
+      AS density FROM (
+      SELECT p.company_name, 0 AS is_all, average_months_of_experience AS x, n, bw FROM population p JOIN (
+        SELECT company_name, count(*) AS n, pow(count(*)::DOUBLE, -0.2) * stddev_samp(average_months_of_experience) AS bw
+        FROM population WHERE average_months_of_experience IS NOT NULL GROUP BY 1) s ON s.company_name = p.company_name
+      WHERE bw > 0
+      UNION ALL SELECT NULL, 1, average_months_of_experience, n, bw FROM population, (
+        SELECT count(*) AS n, pow(count(*)::DOUBLE, -0.2) * stddev_samp(average_months_of_experience) AS bw
+        FROM population WHERE average_months_of_experience IS NOT NULL)),
+      (SELECT (i * 12)::DOUBLE AS at FROM range(26) g(i)) WHERE x IS NOT NULL GROUP BY 1, 2, 3"""),
+)
+def c19(r: Roles) -> DataFrame:
+    out = ds.density(population(r), "company_name", "average_months_of_experience", GRID)
+    return out.withColumn("density", F.round("density", 8))

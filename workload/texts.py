@@ -273,16 +273,18 @@ def h3(r: Roles) -> DataFrame:
 @query(
     "h4_site_text",
     rf"""WITH {PAGE_TEXT},
-    about AS (SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS site, url, max(t.text) AS text
-      FROM pages JOIN page_texts t USING (page_id) WHERE regexp_matches(url, '(?i)the|and|est|une') GROUP BY 1, 2),
+    about AS (SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS site, url, max(coalesce(t.text, '')) AS text
+      FROM pages LEFT JOIN page_texts t USING (page_id) WHERE regexp_matches(url, '(?i)the|and|est|une') GROUP BY 1, 2),
     dealt AS (SELECT *, ('0x' || substr(md5(url), 1, 15))::BIGINT
       % greatest(ceil(sum(length(text)) OVER (PARTITION BY site) / 20000), 1)::BIGINT AS part FROM about)
     SELECT site, part, nullif(coalesce(string_agg(text, chr(10) ORDER BY url) FILTER (text <> ''), ''), '') AS text
     FROM dealt GROUP BY 1, 2""",
 )
 def h4(r: Roles) -> DataFrame:
-    pages = r.table("pages").select("page_id", "url", "html", F.col("url").alias("found_url"))
-    texts = pages.join(pg.page_text(r.table("pages")), "page_id")
-    listed = texts.select(F.col("url"), F.lit("").alias("label"), "text")
-    about = pg.about_links(listed, ABOUT).withColumn("site", F.regexp_extract("url", "^https?://([^/?#]+)", 1))
+    pages = r.table("pages").select("url", "html", F.lit("").alias("label"))
+    about = pg.about_links(pages, ABOUT).select(
+        F.regexp_extract("url", "^https?://([^/?#]+)", 1).alias("site"),
+        "url",
+        F.array_join(pg.readable_paragraphs(F.col("html")), "\n\n").alias("text"),
+    )
     return pg.site_text(about, "site", "url", "text", chars=20_000)
