@@ -55,11 +55,11 @@ def density(df: DataFrame, key: str, x: str, grid: Sequence[float]) -> DataFrame
     variance = F.try_divide(F.col("s2") - F.col("s1") * F.col("s1") / F.col("n"), F.col("n") - 1)
     stats = stats.withColumn("bw", F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.sqrt(variance)).filter("bw > 0")
     stats = stats.select(F.col("is_all").alias("_a"), F.col("k").alias("_k"), "n", "bw")
-    points = F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias("at")
+    points = F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias("point")
     spread = both.join(stats, (F.col("is_all") == F.col("_a")) & F.col("k").eqNullSafe(F.col("_k"))).select(
         "is_all", "k", "x", "c", "n", "bw", points
     )
-    u = (F.col("at") - F.col("x")) / F.col("bw")
+    u = (F.col("point") - F.col("x")) / F.col("bw")
     kernel = F.col("c") * F.exp(u * u * -0.5) / (F.col("n") * F.col("bw") * F.sqrt(F.lit(2.0) * F.pi()))
-    summed = spread.groupBy("is_all", "k", "at").agg(F.sum(kernel).alias("density"))
+    summed = spread.groupBy("is_all", "k", "point").agg(F.sum(kernel).alias("density"))
     return summed.withColumnRenamed("k", key)

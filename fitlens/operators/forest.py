@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fitlens.constants import FOREST_TREES
 from fitlens.operators.encoding import assemble
 from fitlens.operators.positions import running_sums
+from fitlens.session import stored
 
 MAX_BINS = 32
 MAX_CELLS = 2_000_000
@@ -22,8 +23,12 @@ MAX_DEPTH = 5
 
 
 def rf_importance(df: DataFrame, features: Sequence[str], label: str, trees: int = FOREST_TREES, seed: int = 0) -> DataFrame:
-    """``(feature, importance, rank)`` of one forest over the whole table."""
-    vectors = assemble(df.select(*features, F.col(label).cast("double").alias(label)), features)
+    """``(feature, importance, rank)`` of one forest over the whole table.
+
+    Training reads the rows several times, so they are stored first.
+    """
+    rows = stored(df.select(*features, F.col(label).cast("double").alias(label)))
+    vectors = assemble(rows, features)
     model = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed).fit(vectors)
     rows = sorted(zip(features, model.featureImportances.toArray().tolist()), key=lambda r: (-r[1], r[0]))
     ranked = [(name, value, i) for i, (name, value) in enumerate(rows, 1)]
@@ -115,7 +120,7 @@ def rf_importance_by_group(
     Rows are counted into cells before they meet, so a task never holds more than the bounded
     cells of a key. A key with one label only has zero importances.
     """
-    cells = feature_cells(df, key, features, label)
+    cells = feature_cells(stored(df.select(key, *features, label)), key, features, label)
     names = list(features)
     kind = dict(df.dtypes)[key]
 
@@ -157,7 +162,7 @@ def stump_gain(df: DataFrame, key: str, features: Sequence[str], label: str) ->
     )
     long = df.select(key, F.col(label).cast("int").alias("y"), pairs.alias("p")).select(key, "y", "p.feature", "p.x")
     values = long.groupBy(key, "feature", "x").agg(F.count("*").alias("n"), F.sum("y").cast("long").alias("pos"))
-    run = running_sums(values, [key, "feature"], "x", ["n", "pos"])
+    run = running_sums(stored(values), [key, "feature"], "x", ["n", "pos"])
 
     def gini(pos: F.Column, n: F.Column) -> F.Column:
         rate = F.try_divide(pos.cast("double"), n)

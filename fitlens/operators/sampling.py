@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fitlens.functions.text import md5_number
 from fitlens.operators.positions import BUCKETS, bucket_positions, hash_positions
+from fitlens.session import stored
 
 
 def sample_per_group(df: DataFrame, key: str, id_col: str, limit_col: str, seed: int) -> DataFrame:
@@ -24,7 +25,7 @@ def negatives(positives: DataFrame, key: str, id_col: str, seed: int) -> DataFra
     row of a key brings in two of these places, so the work is linear in the rows, a large key
     is spread over all tasks, and the pairs of all members with all keys are never formed.
     """
-    own = positives.select(key, id_col).distinct()
+    own = stored(positives.select(key, id_col).distinct())
     circle = hash_positions(own.select(id_col).distinct(), [], [id_col], seed, "_place")
     around = own.agg(F.count_distinct(id_col)).scalar()
     numbered = hash_positions(own, [key], [id_col], seed, "_r", "_n")

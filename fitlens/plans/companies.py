@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fitlens.constants import MIN_EMPLOYEES
 from fitlens.functions.stats import normal_two_sided, student_two_sided, two_proportion_z, welch_df, welch_t
-from fitlens.functions.text import percent_text
+from fitlens.functions.text import dominant_label, percent_text
 from fitlens.operators.groups import eligible
 from fitlens.operators.joins import drop_ambiguous
 from fitlens.operators.keywords import keywords, match_values
-from fitlens.functions.text import dominant_label
 
 
 def eligible_companies(bridge: DataFrame, companies: DataFrame, n: int = MIN_EMPLOYEES) -> DataFrame:
@@ -78,59 +79,89 @@ def population(staff_rows: DataFrame, assign: str = "one") -> DataFrame:
 
 
 FLAGS = ["volunteering", "top_university", "doctorate", "master"]
+TENURE = "average_months_of_experience"
+
+
+def company_sums(rows: DataFrame, flags: Sequence[str] = FLAGS, x: str = TENURE, key: str = "company_name") -> DataFrame:
+    """All sums the tests need, per company, with those of everybody in the struct ``everybody``.
+
+    The sums of everybody come from the sums of the companies as one scalar subquery of the
+    same columns, so the rows are read once.
+    """
+    per = rows.groupBy(key).agg(
+        F.count("*").alias("n1"),
+        *[F.sum(f).alias(f) for f in flags],
+        F.count(x).alias("nx1"),
+        F.avg(x).alias("mean1"),
+        F.var_samp(x).alias("var1"),
+    )
+    n2, nx2 = F.sum("n1"), F.sum("nx1")
+    mean2 = F.try_divide(F.sum(F.col("nx1") * F.col("mean1")), nx2)
+    within = F.sum((F.col("nx1") - 1) * F.coalesce("var1", F.lit(0.0)))
+    between = F.sum(F.col("nx1") * F.col("mean1") * F.col("mean1")) - nx2 * mean2 * mean2
+    var2 = F.try_divide(F.coalesce(within, F.lit(0.0)) + between, nx2 - 1)
+    totals = F.struct(
+        n2.alias("n2"), *[F.sum(f).alias(f) for f in flags], nx2.alias("nx2"), mean2.alias("mean2"), var2.alias("var2")
+    )
+    return per.withColumn("everybody", per.agg(totals.alias("t")).scalar())
+
+
+def _z_rows(flags: Sequence[str]) -> Column:
+    """One struct per flag with its counts, z, p-value and direction."""
+
+    def row(f: str) -> Column:
+        x1, n1, x2, n2 = F.col(f), F.col("n1"), F.col(f"everybody.{f}"), F.col("everybody.n2")
+        z = two_proportion_z(x1, n1, x2, n2)
+        return F.struct(
+            F.lit(f).alias("feature"), x1.alias("x1"), n1.alias("n1"), x2.alias("x2"), n2.alias("n2"), z.alias("z"),
+            normal_two_sided(z).alias("p_value"), F.signum(z).cast("int").alias("direction"),
+        )
+
+    return F.array(*[row(f) for f in flags])
+
+
+def _with_welch(sums: DataFrame) -> DataFrame:
+    one = (F.col("var1"), F.col("nx1"))
+    everybody = (F.col("everybody.var2"), F.col("everybody.nx2"))
+    t = welch_t(F.col("mean1"), *one, F.col("everybody.mean2"), *everybody)
+    tested = sums.withColumn("t", t).withColumn("df", welch_df(*one, *everybody))
+    return tested.withColumn("p_tenure", student_two_sided("t", "df"))
 
 
-def ztests(rows: DataFrame, flags: list[str] = FLAGS, key: str = "company_name") -> DataFrame:
+def ztests(rows: DataFrame, flags: Sequence[str] = FLAGS, key: str = "company_name") -> DataFrame:
     """Two-proportion z-tests of every company and flag against everybody, in one aggregate.
 
     ``direction`` is 1 where the company is above everybody, -1 below.
     """
-    per = rows.groupBy(key).agg(F.count("*").alias("n1"), *[F.sum(f).alias(f) for f in flags])
-    everybody = per.agg(F.sum("n1").alias("n2"), *[F.sum(f).alias(f) for f in flags])
-    long = per.select(
-        key,
-        "n1",
-        everybody.select("n2").scalar().alias("n2"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(f).alias("feature"), F.col(f).alias("x1"), everybody.select(f).scalar().alias("x2"))
-                    for f in flags
-                ]
-            )
-        ).alias("t"),
-    ).select(key, "t.feature", "t.x1", "n1", "t.x2", "n2")
-    z = two_proportion_z(F.col("x1"), F.col("n1"), F.col("x2"), F.col("n2"))
-    out = long.withColumn("z", z).withColumn("p_value", normal_two_sided(F.col("z")))
-    return out.withColumn("direction", F.signum("z").cast("int"))
+    sums = company_sums(rows.withColumn(TENURE, F.lit(None).cast("double")), flags, key=key)
+    return sums.select(key, F.explode(_z_rows(flags)).alias("r")).select(key, "r.*")
 
 
-def welch_tests(rows: DataFrame, x: str = "average_months_of_experience", key: str = "company_name") -> DataFrame:
+def welch_tests(rows: DataFrame, x: str = TENURE, key: str = "company_name") -> DataFrame:
     """Welch t-tests of a number, every company against everybody; one row per company."""
-    per = rows.groupBy(key).agg(
-        F.count(x).alias("n1"), F.avg(x).alias("mean1"), F.var_samp(x).alias("var1"), F.var_pop(x).alias("_vp")
-    ).filter("n1 > 0")
-    n2 = F.sum("n1")
-    mean2 = F.sum(F.col("n1") * F.col("mean1")) / n2
-    square2 = F.sum(F.col("n1") * (F.col("_vp") + F.col("mean1") * F.col("mean1")))
-    everybody = per.agg(
-        n2.alias("n2"), mean2.alias("mean2"), F.try_divide(square2 - n2 * mean2 * mean2, n2 - 1).alias("var2")
-    )
-    wide = per.select(
-        key, "n1", "mean1", "var1", *[everybody.select(c).scalar().alias(c) for c in ("n2", "mean2", "var2")]
+    tested = _with_welch(company_sums(rows, [], x, key)).filter("nx1 > 0")
+    return tested.select(
+        key,
+        F.col("nx1").alias("n1"),
+        "mean1",
+        "var1",
+        F.col("everybody.nx2").alias("n2"),
+        "everybody.mean2",
+        "everybody.var2",
+        "t",
+        "df",
+        F.col("p_tenure").alias("p_value"),
     )
-    t = welch_t(F.col("mean1"), F.col("var1"), F.col("n1"), F.col("mean2"), F.col("var2"), F.col("n2"))
-    df = welch_df(F.col("var1"), F.col("n1"), F.col("var2"), F.col("n2"))
-    return wide.withColumn("t", t).withColumn("df", df).withColumn("p_value", student_two_sided("t", "df"))
 
 
 def all_tests(rows: DataFrame) -> DataFrame:
-    """``(company_name, feature, p_value, direction)`` of the z-tests and the tenure test."""
-    z = ztests(rows).select("company_name", "feature", "p_value", "direction")
-    t = welch_tests(rows).select(
-        "company_name", F.lit("average_tenure").alias("feature"), "p_value", F.signum("t").cast("int").alias("direction")
+    """``(company_name, feature, p_value, direction)`` of the z-tests and the tenure test, in one pass."""
+    z = F.transform(_z_rows(FLAGS), lambda r: F.struct(r["feature"].alias("feature"), r["p_value"].alias("p_value"), r["direction"].alias("direction")))
+    t = F.struct(
+        F.lit("average_tenure").alias("feature"), F.col("p_tenure").alias("p_value"), F.signum("t").cast("int").alias("direction")
     )
-    return z.unionByName(t)
+    tested = _with_welch(company_sums(rows))
+    return tested.select("company_name", F.explode(F.concat(z, F.array(t))).alias("r")).select("company_name", "r.*")
 
 
 def company_values(texts: DataFrame, lexicon: DataFrame) -> DataFrame:

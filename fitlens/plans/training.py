@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fitlens.operators.encoding import encode
 from fitlens.operators.sampling import negatives
+from fitlens.session import stored
 
 
 def training_rows(population: DataFrame, org_types: DataFrame, seed: int) -> DataFrame:
@@ -16,6 +17,7 @@ def training_rows(population: DataFrame, org_types: DataFrame, seed: int) -> Dat
     degree) has one row per person, so features are joined by ``id`` without repeats.
     org_types(id, company_name, organization_type) gives the organisation types text.
     """
+    population = stored(population)
     features = population.drop("company_name", "doctorate", "master")
     # One blank-ended name per employer, in order of the types; counted per type before they meet.
     times = org_types.dropna(subset=["organization_type"]).groupBy("id", "organization_type").agg(F.count("*").alias("n"))

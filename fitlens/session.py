@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,19 +24,35 @@ def local_session(app: str = "fitlens", cores: str = "*", **conf: str) -> SparkS
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from the stored rows.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for checkpoints and stored tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. A local master
-    without one gets a temporary folder; any other master must name a shared folder.
+    A local master without one gets a temporary folder; any other master must name a folder
+    that all executors share.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         if folder is None:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="fitlens-ckpt-")
+            folder = tempfile.mkdtemp(prefix="fitlens-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` and go on from the stored rows."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    For a result that several branches read: they scan its columns instead of computing it
+    again, its size is known to the planner, and a lost executor costs no recomputation.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

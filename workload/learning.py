@@ -38,23 +38,14 @@ train AS (
   JOIN population p ON p.id = l.id LEFT JOIN org_texts o ON o.id = l.id)"""
 
 
-def with_train(ctes: str, body: str) -> str:
-    """SQL with the sampling expressions placed after those they build on."""
-    head, mark, tail = sql(ctes + "\n-- end of expressions").rpartition("\n" + ctes.splitlines()[0])
-    return f"{head},\n{mark.lstrip()}{tail}\n{body}"
-
-
-@query("m1_negatives", with_train(NEGATIVES, "SELECT company_name, id FROM drawn"))
+@query("m1_negatives", sql("SELECT company_name, id FROM drawn", NEGATIVES))
 def m1(r: Roles) -> DataFrame:
     return negatives(population(r), "company_name", "id", SEED)
 
 
 @query(
     "m1_negatives_all_employers",
-    with_train(
-        NEGATIVES.replace("population", "bridge"),
-        "SELECT company_name, id FROM drawn",
-    ),
+    sql("SELECT company_name, id FROM drawn", NEGATIVES.replace("population", "bridge")),
 )
 def m1_all(r: Roles) -> DataFrame:
     return negatives(r.bridge, "company_name", "id", SEED)
@@ -66,10 +57,10 @@ def train(r: Roles) -> DataFrame:
 
 @query(
     "m2_training_rows",
-    with_train(
-        TRAIN,
+    sql(
         """SELECT company_name, id, label, top_university, volunteering, average_months_of_experience, degree_feature,
         organization_types FROM train""",
+        TRAIN,
     ),
 )
 def m2(r: Roles) -> DataFrame:
@@ -87,12 +78,12 @@ def m3(r: Roles) -> DataFrame:
 
 @query(
     "m4_assemble",
-    with_train(
-        TRAIN,
+    sql(
         """SELECT company_name, id, label, top_university::DOUBLE AS f0, volunteering::DOUBLE AS f1,
         average_months_of_experience AS f2, degree_feature::DOUBLE AS f3, place::DOUBLE AS f4 FROM train JOIN (
         SELECT organization_types, row_number() OVER (ORDER BY count(*) DESC, organization_types) - 1 AS place FROM train GROUP BY 1)
         USING (organization_types)""",
+        TRAIN,
     ),
 )
 def m4(r: Roles) -> DataFrame:
@@ -149,8 +140,7 @@ GAIN = """
       WINDOW w AS (PARTITION BY k, feature ORDER BY x), g AS (PARTITION BY k, feature)),
     gains AS (SELECT k, feature, 2 * pa / na * (1 - pa / na) - (nl * 2 * (pl / nl) * (1 - pl / nl)
       + CASE WHEN na = nl THEN 0 ELSE (na - nl) * 2 * ((pa - pl) / (na - nl)) * (1 - (pa - pl) / (na - nl)) END) / na AS gain FROM (
-      SELECT k, feature, nl::DOUBLE AS nl, pl::DOUBLE AS pl, na::DOUBLE AS na, pa::DOUBLE AS pa FROM runs))
-    SELECT k AS {key}, feature, round(max(gain), 6) AS gain FROM gains GROUP BY 1, 2"""
+      SELECT k, feature, nl::DOUBLE AS nl, pl::DOUBLE AS pl, na::DOUBLE AS na, pa::DOUBLE AS pa FROM runs))"""
 
 
 @query(
@@ -159,7 +149,8 @@ GAIN = """
       FROM documents JOIN labels USING (doc_id)),
     long AS (SELECT k, y, 'n_chars' AS feature, n_chars::DOUBLE AS x FROM docs UNION ALL SELECT k, y, 'n_words', n_words FROM docs
       UNION ALL SELECT k, y, 'toxic', toxic FROM docs UNION ALL SELECT k, y, 'lang_code', lang_code FROM docs),"""
-    + GAIN.format(key="source"),
+    + GAIN
+    + "SELECT k AS source, feature, round(max(gain), 6) AS gain FROM gains GROUP BY 1, 2",
 )
 def m7(r: Roles) -> DataFrame:
     gains = fr.stump_gain(documents(r), "source", DOC_FEATURES, "quality")
@@ -168,16 +159,15 @@ def m7(r: Roles) -> DataFrame:
 
 @query(
     "m7_stump_gain_by_company",
-    with_train(
+    sql(
+        "SELECT k AS company_name, feature, round(max(gain), 6) AS gain FROM gains GROUP BY 1, 2",
         TRAIN
         + """,
     long AS (SELECT company_name AS k, label AS y, 'average_months_of_experience' AS feature, average_months_of_experience AS x FROM train
       UNION ALL SELECT company_name, label, 'degree_feature', degree_feature FROM train
-      UNION ALL SELECT company_name, label, 'top_university', top_university FROM train)""",
-        "",
-    ).rstrip()
-    + ","
-    + GAIN.format(key="company_name"),
+      UNION ALL SELECT company_name, label, 'top_university', top_university FROM train),"""
+        + GAIN,
+    ),
 )
 def m7_by_company(r: Roles) -> DataFrame:
     features = ["average_months_of_experience", "degree_feature", "top_university"]

@@ -183,12 +183,6 @@ profile_emotions AS (
   FROM scored GROUP BY 1)"""
 
 
-def with_emotions(body: str) -> str:
-    """SQL with the emotion expressions placed after the others."""
-    head, mark, tail = sql(body + "\n-- people").rpartition("\n" + body.splitlines()[0])
-    return f"{head},\n{EMOTION_SQL}{mark}{tail}"
-
-
 def profile_emotions(r: Roles) -> DataFrame:
     means = co.company_emotion(scores(r), "id")
     return means.select("id", F.col("company_emotion").alias("emotion"))
@@ -263,9 +257,9 @@ def c13(r: Roles) -> DataFrame:
 
 @query(
     "c14_match_label",
-    with_emotions("""SELECT b.id, b.company_name, emotion, company_emotion, (emotion = company_emotion)::INTEGER AS agree FROM bridge b
+    sql("""SELECT b.id, b.company_name, emotion, company_emotion, (emotion = company_emotion)::INTEGER AS agree FROM bridge b
     JOIN profile_emotions p ON p.id = b.id JOIN company_emotions c ON c.company_name = b.company_name
-    WHERE emotion IS NOT NULL AND company_emotion IS NOT NULL"""),
+    WHERE emotion IS NOT NULL AND company_emotion IS NOT NULL""", EMOTION_SQL),
 )
 def c14(r: Roles) -> DataFrame:
     return al.match_label(r.bridge, profile_emotions(r), co.company_emotion(scores(r)))
@@ -307,18 +301,14 @@ PICTURE_ENTRIES = """SELECT b.id, b.company_name, 'picture', CASE WHEN emotion =
       WHERE emotion IS NOT NULL AND company_emotion IS NOT NULL"""
 
 
-def with_books(query_sql: str) -> str:
-    return "WITH " + BOOKS_SQL + ",\n" + query_sql.removeprefix("WITH ")
-
-
-@query("c15_advice", with_books(sql(advice_sql(VALUE_ENTRIES + " UNION ALL " + PATTERN_ENTRIES))))
+@query("c15_advice", sql(advice_sql(VALUE_ENTRIES + " UNION ALL " + PATTERN_ENTRIES), BOOKS_SQL))
 def c15(r: Roles) -> DataFrame:
     return al.advice(value_matches(r), pattern_matches(r), SEED)
 
 
 @query(
     "c16_align",
-    with_books(with_emotions(advice_sql(" UNION ALL ".join([VALUE_ENTRIES, PATTERN_ENTRIES, PICTURE_ENTRIES])))),
+    sql(advice_sql(" UNION ALL ".join([VALUE_ENTRIES, PATTERN_ENTRIES, PICTURE_ENTRIES])), f"{BOOKS_SQL},\n{EMOTION_SQL}"),
 )
 def c16(r: Roles) -> DataFrame:
     return al.align(
@@ -346,8 +336,8 @@ def t6(r: Roles) -> DataFrame:
 
 @query(
     "c17_company_emotion",
-    with_emotions("""SELECT company_name, round(avg_happy, 6) AS avg_happy, round(avg_neutral, 6) AS avg_neutral, company_emotion
-    FROM company_emotions"""),
+    sql("""SELECT company_name, round(avg_happy, 6) AS avg_happy, round(avg_neutral, 6) AS avg_neutral, company_emotion
+    FROM company_emotions""", EMOTION_SQL),
 )
 def c17(r: Roles) -> DataFrame:
     out = co.company_emotion(scores(r))
@@ -383,7 +373,7 @@ GRID = [float(g) for g in range(0, 301, 12)]
 
 @query(
     "c19_density",
-    sql("""SELECT company_name, at, is_all, round(sum(exp(-0.5 * pow((at - x) / bw, 2))) / (any_value(n) * any_value(bw) * sqrt(2 * pi())), 8)
+    sql("""SELECT company_name, point, is_all, round(sum(exp(-0.5 * pow((point - x) / bw, 2))) / (any_value(n) * any_value(bw) * sqrt(2 * pi())), 8)
       AS density FROM (
       SELECT p.company_name, 0 AS is_all, average_months_of_experience AS x, n, bw FROM population p JOIN (
         SELECT company_name, count(*) AS n, pow(count(*)::DOUBLE, -0.2) * stddev_samp(average_months_of_experience) AS bw
@@ -392,7 +382,7 @@ GRID = [float(g) for g in range(0, 301, 12)]
       UNION ALL SELECT NULL, 1, average_months_of_experience, n, bw FROM population, (
         SELECT count(*) AS n, pow(count(*)::DOUBLE, -0.2) * stddev_samp(average_months_of_experience) AS bw
         FROM population WHERE average_months_of_experience IS NOT NULL)),
-      (SELECT (i * 12)::DOUBLE AS at FROM range(26) g(i)) WHERE x IS NOT NULL GROUP BY 1, 2, 3"""),
+      (SELECT (i * 12)::DOUBLE AS point FROM range(26) g(i)) WHERE x IS NOT NULL GROUP BY 1, 2, 3"""),
 )
 def c19(r: Roles) -> DataFrame:
     out = ds.density(population(r), "company_name", "average_months_of_experience", GRID)

@@ -297,16 +297,19 @@ pattern_matches AS (SELECT * FROM pattern_candidates WHERE NOT (feature = 'maste
 }
 
 
-def sql(body: str) -> str:
-    """SQL with the common table expressions it names, directly or through others, put in front."""
-    wanted, text = set(), body
+def sql(body: str, extra: str = "") -> str:
+    """SQL with the common table expressions it names, directly or through others, put in front.
+
+    ``extra`` holds further expressions of one query, which come after the shared ones.
+    """
+    wanted, text = set(), f"{extra}\n{body}"
     while True:
         new = {name for name in CTES if name not in wanted and re.search(rf"\b{ALIASES.get(name, name)}\b", text)}
         if not new:
             break
         wanted |= new
         text = "\n".join(CTES[name] for name in new)
-    parts = [CTES[name] for name in CTES if name in wanted]
+    parts = [CTES[name] for name in CTES if name in wanted] + ([extra] if extra else [])
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
