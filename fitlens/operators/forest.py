@@ -142,7 +142,9 @@ def rf_importance_by_group(
             }
         )
 
-    return cells.groupBy(key).applyInPandas(fit, f"`{key}` {kind}, feature string, importance double, rank int")
+    # Growing trees is long work on few rows, so groups go to all cores, however small they are.
+    spread = cells.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    return spread.groupBy(key).applyInPandas(fit, f"`{key}` {kind}, feature string, importance double, rank int")
 
 
 def ranked_feature_names(ranked: DataFrame, key: str) -> DataFrame:

@@ -13,6 +13,7 @@ from fitlens.functions.text import dominant_label, percent_text
 from fitlens.operators.groups import eligible
 from fitlens.operators.joins import drop_ambiguous
 from fitlens.operators.keywords import keywords, match_values
+from fitlens.session import stored
 
 
 def eligible_companies(bridge: DataFrame, companies: DataFrame, n: int = MIN_EMPLOYEES) -> DataFrame:
@@ -52,29 +53,27 @@ def patterns(staff_rows: DataFrame) -> DataFrame:
     )
 
 
-def population(staff_rows: DataFrame, assign: str = "one") -> DataFrame:
+def population(bridge: DataFrame, chosen: DataFrame, engineered: DataFrame, assign: str = "one") -> DataFrame:
     """Rows the tests run on, with a 0/1 column per tested trait.
 
-    ``one`` counts each person once, under the first of their companies and degrees by name;
-    ``all`` counts a person in every company with all degrees.
+    ``one`` counts each person once, under the first of their chosen companies and the first of
+    their degrees by name; ``all`` counts a person in every chosen company with all degrees.
     """
+    jobs = bridge.join(chosen.select("company_name"), "company_name", "left_semi").select("company_name", "id")
     traits = ["volunteering", "top_university", "average_months_of_experience"]
     if assign == "all":
-        return staff_rows.select(
+        return jobs.join(engineered, "id").select(
             "company_name", "id", *traits, F.col("has_doctorate").alias("doctorate"), F.col("has_master").alias("master")
         )
-    once = staff_rows.groupBy("id").agg(
-        F.min("company_name").alias("company_name"),
-        *[F.max(t).alias(t) for t in traits],
-        F.min(F.get("degrees", 0)).alias("degree"),
-    )
-    return once.select(
+    once = jobs.groupBy("id").agg(F.min("company_name").alias("company_name"))
+    degree = F.get("degrees", 0)
+    return once.join(engineered, "id").select(
         "company_name",
         "id",
         *traits,
-        "degree",
-        F.when(F.col("degree") == "Doctorate", 1).otherwise(0).alias("doctorate"),
-        F.when(F.col("degree") == "Master", 1).otherwise(0).alias("master"),
+        degree.alias("degree"),
+        F.when(degree == "Doctorate", 1).otherwise(0).alias("doctorate"),
+        F.when(degree == "Master", 1).otherwise(0).alias("master"),
     )
 
 
@@ -85,8 +84,8 @@ TENURE = "average_months_of_experience"
 def company_sums(rows: DataFrame, flags: Sequence[str] = FLAGS, x: str = TENURE, key: str = "company_name") -> DataFrame:
     """All sums the tests need, per company, with those of everybody in the struct ``everybody``.
 
-    The sums of everybody come from the sums of the companies as one scalar subquery of the
-    same columns, so the rows are read once.
+    The sums of the companies are stored, one row each, and those of everybody are summed up
+    from them as a scalar subquery, so the rows are read once.
     """
     per = rows.groupBy(key).agg(
         F.count("*").alias("n1"),
@@ -95,6 +94,7 @@ def company_sums(rows: DataFrame, flags: Sequence[str] = FLAGS, x: str = TENURE,
         F.avg(x).alias("mean1"),
         F.var_samp(x).alias("var1"),
     )
+    per = stored(per)
     n2, nx2 = F.sum("n1"), F.sum("nx1")
     mean2 = F.try_divide(F.sum(F.col("nx1") * F.col("mean1")), nx2)
     within = F.sum((F.col("nx1") - 1) * F.coalesce("var1", F.lit(0.0)))

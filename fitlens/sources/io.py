@@ -12,8 +12,10 @@ SCRAPED = "company_name string, scraped_data string"
 SCRAPE_OUT = "name string, website string, scraped_text string"
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Parquet table; with a known schema no footer is read up front."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

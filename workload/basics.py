@@ -336,7 +336,7 @@ def a6(r: Roles) -> DataFrame:
     count(*) FILTER (degree = 'Master') AS masters FROM population GROUP BY 1"""),
 )
 def a7(r: Roles) -> DataFrame:
-    rows = co.population(r.bridge.join(r.engineered, "id"))
+    rows = co.population(r.bridge, co.eligible_companies(r.bridge, r.companies), r.engineered)
     return rows.groupBy("company_name").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("volunteering") == 1).alias("volunteers"),
@@ -505,7 +505,7 @@ def t4(r: Roles) -> DataFrame:
 
 
 def tests(r: Roles) -> DataFrame:
-    return co.all_tests(co.population(co.staff(r.bridge, co.eligible_companies(r.bridge, r.companies), r.engineered)))
+    return co.all_tests(co.population(r.bridge, co.eligible_companies(r.bridge, r.companies), r.engineered))
 
 
 @query(

@@ -52,6 +52,7 @@ def m1_all(r: Roles) -> DataFrame:
 
 
 def train(r: Roles) -> DataFrame:
+    r = r.staged()
     return training_rows(population(r), r.org_types, SEED)
 
 

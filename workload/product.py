@@ -104,7 +104,7 @@ PATTERN_COLUMNS = [
       || round(sum(has_master) * 100.0::DOUBLE / sum(n), 2) || ' %, No Degree: '
       || round(count(*) FILTER (n = 0) * 100.0::DOUBLE / sum(n), 2) || ' %' AS degree_percentage
     FROM (SELECT b.company_name, e.*, has_associate + has_bachelor + has_master + has_doctorate AS n
-      FROM bridge b JOIN engineered e USING (id)) GROUP BY 1"""),
+      FROM bridge b JOIN eligible USING (company_name) JOIN engineered e USING (id)) GROUP BY 1"""),
 )
 def c7(r: Roles) -> DataFrame:
     chosen = co.eligible_companies(r.bridge, r.companies)
@@ -113,7 +113,7 @@ def c7(r: Roles) -> DataFrame:
 
 
 def population(r: Roles, assign: str = "one") -> DataFrame:
-    return co.population(co.staff(r.bridge, co.eligible_companies(r.bridge, r.companies), r.engineered), assign)
+    return co.population(r.bridge, co.eligible_companies(r.bridge, r.companies), r.engineered, assign)
 
 
 @query(
@@ -130,8 +130,8 @@ def c8(r: Roles) -> DataFrame:
     sql("""SELECT company_name, x1, n1, x2, n2, round((x1::DOUBLE / n1 - x2::DOUBLE / n2)
       / sqrt(rate * (1 - rate) * (1.0::DOUBLE / n1 + 1.0::DOUBLE / n2)), 6) AS z
     FROM (SELECT *, (x1 + x2)::DOUBLE / (n1 + n2) AS rate FROM
-      (SELECT company_name, sum(has_doctorate)::BIGINT AS x1, count(*) AS n1 FROM bridge JOIN engineered USING (id) GROUP BY 1),
-      (SELECT sum(has_doctorate)::BIGINT AS x2, count(*) AS n2 FROM bridge JOIN engineered USING (id)))"""),
+      (SELECT company_name, sum(has_doctorate)::BIGINT AS x1, count(*) AS n1 FROM bridge JOIN eligible USING (company_name) JOIN engineered USING (id) GROUP BY 1),
+      (SELECT sum(has_doctorate)::BIGINT AS x2, count(*) AS n2 FROM bridge JOIN eligible USING (company_name) JOIN engineered USING (id)))"""),
 )
 def c8_all(r: Roles) -> DataFrame:
     out = co.ztests(population(r, "all"), ["doctorate"])
@@ -195,6 +195,7 @@ def profile_emotions(r: Roles) -> DataFrame:
     FROM company_values"""),
 )
 def c10(r: Roles) -> DataFrame:
+    r = r.staged()
     out = co.company_summary(ranked(r), company_values(r))
     return out.withColumn("p_value", F.round("p_value", 5))
 
@@ -214,6 +215,7 @@ def profile_values(r: Roles) -> DataFrame:
     FROM profile_values"""),
 )
 def c11(r: Roles) -> DataFrame:
+    r = r.staged()
     return al.profile_summary(r.engineered, r.people.causes, profile_values(r))
 
 
@@ -226,6 +228,7 @@ def value_matches(r: Roles) -> DataFrame:
     sql("""SELECT id, company_name, value, profile_source, company_source FROM value_matches"""),
 )
 def c12(r: Roles) -> DataFrame:
+    r = r.staged()
     return value_matches(r)
 
 
@@ -252,6 +255,7 @@ def pattern_matches(r: Roles) -> DataFrame:
     sql("""SELECT id, company_name, feature, detail, round(p_value, 5) AS p_value FROM pattern_matches"""),
 )
 def c13(r: Roles) -> DataFrame:
+    r = r.staged()
     return pattern_matches(r).withColumn("p_value", F.round("p_value", 5))
 
 
@@ -303,6 +307,7 @@ PICTURE_ENTRIES = """SELECT b.id, b.company_name, 'picture', CASE WHEN emotion =
 
 @query("c15_advice", sql(advice_sql(VALUE_ENTRIES + " UNION ALL " + PATTERN_ENTRIES), BOOKS_SQL))
 def c15(r: Roles) -> DataFrame:
+    r = r.staged()
     return al.advice(value_matches(r), pattern_matches(r), SEED)
 
 
@@ -311,6 +316,7 @@ def c15(r: Roles) -> DataFrame:
     sql(advice_sql(" UNION ALL ".join([VALUE_ENTRIES, PATTERN_ENTRIES, PICTURE_ENTRIES])), f"{BOOKS_SQL},\n{EMOTION_SQL}"),
 )
 def c16(r: Roles) -> DataFrame:
+    r = r.staged()
     return al.align(
         r.bridge,
         profile_values(r),
@@ -329,6 +335,7 @@ def c16(r: Roles) -> DataFrame:
     AS rank FROM value_matches"""),
 )
 def t6(r: Roles) -> DataFrame:
+    r = r.staged()
     known = F.col("profile_source").isNotNull().cast("int") + F.col("company_source").isNotNull().cast("int")
     matches = value_matches(r).select("id", "company_name", "value", known.alias("known"))
     return rk.top_per_group(matches, al.PAIR, [F.desc("known"), "value"], 26)

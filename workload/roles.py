@@ -11,8 +11,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fitlens.plans import profiles as pf
+from fitlens.session import stored
 from fitlens.sources.io import lexicon_df, read_table
 
 UNIVERSITIES = ["furniture", "machinery"]
@@ -47,13 +49,30 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# Schemas of the given tables by path, so that a table is inferred once per process.
+SCHEMAS: dict[str, StructType] = {}
+
+
 class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in SCHEMAS:
+            SCHEMAS[path] = read_table(self.spark, path).schema
+        return read_table(self.spark, path, SCHEMAS[path])
+
+    def staged(self) -> Roles:
+        """The same roles with the bridge and the engineered profiles as stored tables.
+
+        For dataflows that read them in several branches.
+        """
+        out = Roles(self.spark, self.sf_dir)
+        out.bridge = stored(self.bridge)
+        out.engineered = stored(self.engineered)
+        return out
 
     @cached_property
     def people(self) -> pf.People:
@@ -195,6 +214,8 @@ CTES = {
     "companies": """companies AS (
   SELECT n_name AS name, CASE r_name WHEN 'AFRICA' THEN 'Nonprofit' WHEN 'AMERICA' THEN 'Self-Employed' ELSE 'Public' END
     AS organization_type FROM nation JOIN region ON n_regionkey = r_regionkey)""",
+    "eligible": """eligible AS (
+  SELECT company_name FROM bridge JOIN companies ON company_name = name GROUP BY 1 HAVING count(*) >= 20)""",
     "org_types": """org_types AS (
   SELECT id, company_name, organization_type FROM bridge JOIN companies ON company_name = name)""",
     "engineered": """engineered AS (
@@ -210,7 +231,7 @@ CTES = {
     "population": """population AS (
   SELECT b.company_name, e.id, volunteering, top_university, average_months_of_experience, degree,
     CASE WHEN degree = 'Doctorate' THEN 1 ELSE 0 END AS doctorate, CASE WHEN degree = 'Master' THEN 1 ELSE 0 END AS master
-  FROM (SELECT id, min(company_name) AS company_name FROM bridge GROUP BY id) b JOIN engineered e ON b.id = e.id
+  FROM (SELECT id, min(company_name) AS company_name FROM bridge JOIN eligible USING (company_name) GROUP BY id) b JOIN engineered e ON b.id = e.id
   LEFT JOIN (SELECT id, min(degree) AS degree FROM levels GROUP BY id) d ON d.id = e.id)""",
     "erfcc": """flags AS (
   SELECT company_name, feature, flag FROM (
