@@ -47,6 +47,10 @@ def _decoded(text: Column) -> Column:
     return text
 
 
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def _cleaned(url: Column) -> Column:
     """A link up to its first blank or ``>``."""
     return F.regexp_extract(F.trim(url), r"^[^\s>]*", 0)
@@ -125,7 +129,7 @@ def readable_paragraphs(html: Column, min_words: int = 5) -> Column:
     def text(part: Column) -> Column:
         inner = F.regexp_replace(part, r"(?is)</p\s*>.*$", "")
         bare = F.regexp_replace(inner, r"\s*<[^>]*>\s*", "")
-        return F.regexp_replace(_decoded(bare), r"^\s+|\s+$", "")
+        return _stripped(_decoded(bare))
 
     texts = F.transform(opened, text)
     return F.filter(texts, lambda t: (t != "") & (F.size(F.split(t, r"\s+")) > min_words))
@@ -197,6 +201,6 @@ def first_result(
     card = F.get(_pieces(F.col("_rest"), "a"), 0)
     title = F.regexp_extract(F.col("_rest"), rf"(?is)<div[^>]*\sclass\s*=\s*[\"']{title_class}[\"'][^>]*>(.*?)</div", 1)
     out = rest.select(
-        page_id, _attribute(card, "href").alias("url"), F.trim(_decoded(F.regexp_replace(title, "<[^>]*>", ""))).alias("title")
+        page_id, _attribute(card, "href").alias("url"), _stripped(_decoded(F.regexp_replace(title, "<[^>]*>", ""))).alias("title")
     )
     return out.filter(~F.col("title").isin(list(skip))) if skip else out
