@@ -10,7 +10,7 @@ from pyspark.sql import Window
 
 from fitlens.functions.arrays import flags_to_names
 from fitlens.functions.text import md5_number
-from fitlens.operators.positions import _null_safe
+from fitlens.operators.joins import null_safe_join
 
 CHUNK = 10_000
 PROBE_ROWS = 100_000
@@ -24,7 +24,7 @@ def ids_by(df: DataFrame, key: str, value: str, out: str, chunk: int = CHUNK) ->
     """
     pairs = df.select(key, value).dropna(subset=[value]).distinct()
     sizes = pairs.groupBy(key).agg(F.ceil(F.count("*") / F.lit(chunk)).alias("_parts"))
-    dealt = _null_safe(pairs, sizes, [key]).withColumn("part", md5_number(F.col(value)) % F.col("_parts"))
+    dealt = null_safe_join(pairs, sizes, [key]).withColumn("part", md5_number(F.col(value)) % F.col("_parts"))
     return dealt.groupBy(key, "part").agg(F.sort_array(F.collect_list(value)).alias(out))
 
 
@@ -70,7 +70,7 @@ def beside(df: DataFrame, part: str, aggregates: Sequence[Column], probe_rows: i
     """
     summed = df.groupBy(part).agg(*aggregates)
     few = summed.select(part).limit(probe_rows + 1).count() <= probe_rows
-    return _null_safe(df, F.broadcast(summed) if few else summed, [part])
+    return null_safe_join(df, F.broadcast(summed) if few else summed, [part])
 
 
 def collect_over(df: DataFrame, part: str, x: str, domain: Sequence[str], out: str) -> DataFrame:

@@ -13,6 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal names where NULL meets NULL; the names of the left side stay."""
+    renamed = right.withColumnsRenamed({n: f"__{n}" for n in names})
+    on = F.lit(True)
+    for n in names:
+        on = on & F.col(n).eqNullSafe(F.col(f"__{n}"))
+    return left.join(renamed, on, how).drop(*[f"__{n}" for n in names])
+
+
 def attach(df: DataFrame, extra: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Left join that adds the columns of a table with unique keys."""
     return df.join(extra, on, "left")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fitlens.constants import ABOUT_PATTERNS, UNREADABLE_TAGS
 from fitlens.functions.text import md5_number
-from fitlens.operators.positions import _null_safe
+from fitlens.operators.joins import null_safe_join
 
 # An absolute URL in running text or in an attribute.
 URL = r"https?://[^\s\\>\"')]+"
@@ -151,7 +151,7 @@ def site_text(about: DataFrame, site: str, url: str, text: str, chars: int = TEX
         F.greatest(F.ceil(F.sum(F.length(text)) / F.lit(chars)), F.lit(1)).alias("_parts")
     )
     sizes = sizes.withColumn("_parts", F.coalesce("_parts", F.lit(1)))
-    dealt = _null_safe(once, sizes, [site]).withColumn("part", md5_number(F.col(url)) % F.col("_parts"))
+    dealt = null_safe_join(once, sizes, [site]).withColumn("part", md5_number(F.col(url)) % F.col("_parts"))
     ordered = F.array_sort(F.collect_list(F.struct(F.col(url).alias("u"), F.col(text).alias("t"))))
     joined = F.array_join(F.transform(F.filter(ordered, lambda r: r["t"] != ""), lambda r: r["t"]), "\n")
     return dealt.groupBy(site, "part").agg(F.nullif(joined, F.lit("")).alias("text"))

@@ -12,15 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
-
+from fitlens.operators.joins import null_safe_join
 
-def _null_safe(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
-    renamed = right.withColumnsRenamed({n: f"__{n}" for n in names})
-    on = F.lit(True)
-    for n in names:
-        on = on & left[n].eqNullSafe(renamed[f"__{n}"])
-    return left.join(renamed, on, how).drop(*[f"__{n}" for n in names])
+BUCKETS = 4096
 
 
 def bucket_positions(
@@ -47,7 +41,7 @@ def bucket_positions(
     )
     within = Window.partitionBy(*group).orderBy(*order)
     ranked = marked.withColumn("_row", F.row_number().over(within))
-    placed = _null_safe(ranked, starts, group).withColumn(out, F.col("_start") + F.col("_row") - 1)
+    placed = null_safe_join(ranked, starts, group).withColumn(out, F.col("_start") + F.col("_row") - 1)
     if size:
         placed = placed.withColumn(size, F.col("_size"))
     return placed.drop("_bucket", "_row", "_start", "_size")
@@ -88,7 +82,7 @@ def running_sums(
     """
     ends = df.groupBy(*keys).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
     share = F.try_divide(F.col(order) - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    marked = _null_safe(df, ends, keys).withColumn("_bucket", F.floor(F.coalesce(share, F.lit(0.0)) * (buckets - 1)))
+    marked = null_safe_join(df, ends, keys).withColumn("_bucket", F.floor(F.coalesce(share, F.lit(0.0)) * (buckets - 1)))
     group = [*keys, "_bucket"]
     totals = marked.groupBy(*group).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     over_group = Window.partitionBy(*keys)
@@ -100,6 +94,6 @@ def running_sums(
     )
     within = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     run = marked.withColumns({f"_r_{c}": F.sum(c).over(within) for c in sums})
-    out = _null_safe(run, starts, group)
+    out = null_safe_join(run, starts, group)
     out = out.withColumns({f"run_{c}": F.col(f"_s_{c}") + F.col(f"_r_{c}") for c in sums})
     return out.drop("_lo", "_hi", "_bucket", *[f"_{p}_{c}" for p in "sr" for c in sums])

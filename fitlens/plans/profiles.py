@@ -14,7 +14,7 @@ from fitlens.constants import (
 )
 from fitlens.functions.arrays import flags_to_names
 from fitlens.functions.text import any_name, degree_level, duration_months
-from fitlens.operators.joins import attach
+from fitlens.operators.joins import attach, null_safe_join
 from fitlens.sources.io import rules_df
 
 
@@ -70,8 +70,7 @@ def degrees(p: People, by: str = "id", drop_without_education: bool = False) ->
     if by == "name":
         names = p.people.select("id", "name")
         flags = degree_flags(p.education.join(names, "id"), ["name"])
-        shared = names.join(flags, names["name"].eqNullSafe(flags["name"]), "left").drop(flags["name"])
-        out = shared.select("id", degree_names().alias("degrees"))
+        out = null_safe_join(names, flags, ["name"], "left").select("id", degree_names().alias("degrees"))
     else:
         out = attach(p.people.select("id"), degree_flags(p.education), "id").select("id", degree_names().alias("degrees"))
     if drop_without_education:
