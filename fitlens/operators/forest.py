@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from fitlens.constants import FOREST_TREES
 from fitlens.operators.encoding import assemble
 from fitlens.operators.positions import running_sums
 from fitlens.session import stored
+from fitlens.sources.io import literal_rows
 
 MAX_BINS = 32
 MAX_CELLS = 2_000_000
@@ -31,8 +33,11 @@ def rf_importance(df: DataFrame, features: Sequence[str], label: str, trees: int
     vectors = assemble(rows, features)
     model = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed).fit(vectors)
     rows = sorted(zip(features, model.featureImportances.toArray().tolist()), key=lambda r: (-r[1], r[0]))
-    ranked = [(name, value, i) for i, (name, value) in enumerate(rows, 1)]
-    return df.sparkSession.createDataFrame(ranked, "feature string, importance double, rank int")
+    return literal_rows(
+        df.sparkSession,
+        {"feature": [r[0] for r in rows], "importance": [r[1] for r in rows], "rank": range(1, len(rows) + 1)},
+        {"feature": pa.string(), "importance": pa.float64(), "rank": pa.int32()},
+    )
 
 
 def feature_cells(

@@ -17,16 +17,15 @@ from fitlens.functions.text import before_colon
 
 # A token, and the tokens that may be keywords (letters and hyphens only).
 TOKEN = r"[\p{L}\p{N}_'’-]+"
-WORD = r"^[\p{L}-]*\p{L}[\p{L}-]*$"
+WORD = r"^-*\p{L}[\p{L}-]*$"
 
 
 def keyword_array(text: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:
     """Distinct lower-case keywords of a text, in order of appearance; NULL text has none."""
     tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
-    words = F.filter(tokens, lambda w: w.rlike(WORD))
-    if stopwords:
-        words = F.array_except(words, F.array(*[F.lit(w) for w in stopwords]))
-    return or_empty(F.array_distinct(words))
+    # Stop words and repeats go before the test of each word: it is the dearer one.
+    listed = F.split(F.lit(" ".join(stopwords)), " ") if stopwords else F.array().cast("array<string>")
+    return or_empty(F.filter(F.array_except(tokens, listed), lambda w: w.rlike(WORD)))
 
 
 def keywords(

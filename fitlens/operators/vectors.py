@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fitlens.functions.arrays import cosine
-from fitlens.session import cut_lineage
+from fitlens.session import stored
 
 MAX_ANCHOR_NUMBERS = 4_000_000
 
@@ -112,67 +112,53 @@ def semantic_values(hits: DataFrame, meanings: DataFrame, id_col: str, anchor_id
     return hits.select(id_col, anchor_id).join(meanings, anchor_id).select(id_col, "value").distinct()
 
 
-def dominant_vectors(
-    df: DataFrame, key: str, vec: str, k: int = 2, rounds: int = 20, tolerance: float = 1e-6
-) -> DataFrame:
+def dominant_vectors(df: DataFrame, key: str, vec: str, k: int = 2, rounds: int = 100, tolerance: float = 1e-4) -> DataFrame:
     """``k`` cluster centres per key by k-means, for all keys at once.
 
     Each round joins the vectors with the centres of their key, sums up the nearest vectors of
     each centre on the map side and stores the new centres, which cuts the lineage. A key of
     any size is spread over all tasks. Centres start at the mean plus and minus the spread of
-    the widest dimension, so runs agree.
+    the widest dimension, so runs agree. It ends when in no key the squared moves of the
+    centres add up to more than ``tolerance`` times the mean variance of its dimensions.
     """
-    rows = df.filter(F.col(vec).isNotNull()).select(
-        key, array_to_vector(F.col(vec).cast("array<double>")).alias("_v")
-    )
+    rows = df.filter(F.col(vec).isNotNull()).select(key, array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
     stats = rows.groupBy(key).agg(Summarizer.metrics("mean", "variance").summary(F.col("_v")).alias("s"))
     stats = stats.select(key, vector_to_array("s.mean").alias("m"), vector_to_array("s.variance").alias("v"))
     wide = F.array_position("v", F.array_max("v")) - 1
-    starts = [0.0] if k == 1 else [2.0 * i / (k - 1) - 1.0 for i in range(k)]
-    offsets = F.array(*[F.lit(s) for s in starts])
-    centres = stats.select(key, "m", F.sqrt(F.array_max("v")).alias("spread"), wide.alias("wide"), F.posexplode(offsets).alias("cluster", "shift"))
-    centres = centres.select(
-        key,
-        "cluster",
-        F.transform("m", lambda x, i: F.when(i == F.col("wide"), x + F.col("shift") * F.col("spread")).otherwise(x)).alias("centre"),
-    )
-    centres = cut_lineage(_pack(centres, key))
+    spread = F.sqrt(F.array_max("v"))
+    shifts = [0.0] if k == 1 else [2.0 * i / (k - 1) - 1.0 for i in range(k)]
+
+    def start(shift: float) -> F.Column:
+        return F.transform("m", lambda x, i: F.when(i == wide, x + shift * spread).otherwise(x))
+
+    enough = F.aggregate("v", F.lit(0.0), lambda s, x: s + x) / F.size("v") * tolerance
+    centres = stored(stats.select(key, F.array(*[start(s) for s in shifts]).alias("centres"), enough.alias("enough")))
     for _ in range(rounds):
-        moved = cut_lineage(_move(rows, centres, key))
-        old = centres.select(key, "centres")
-        new = moved.select(F.col(key).alias("_k"), F.col("centres").alias("_n"))
-        step = F.aggregate(
-            F.arrays_zip(F.flatten("centres").alias("a"), F.flatten("_n").alias("b")),
-            F.lit(0.0),
-            lambda s, p: F.greatest(s, F.abs(p["a"] - p["b"])),
-        )
-        shift = old.join(new, F.col(key).eqNullSafe(F.col("_k"))).agg(F.max(step)).first()[0]
-        centres = moved
-        if shift is None or shift <= tolerance:
+        moved = stored(_move(rows, centres, key, k))
+        centres = moved.drop("step")
+        if moved.filter(F.col("step") > F.col("enough")).limit(1).count() == 0:
             break
     return centres.select(key, F.posexplode("centres").alias("cluster", "centre"))
 
 
-def _pack(centres: DataFrame, key: str) -> DataFrame:
-    """One row per key with its ``k`` centres in order."""
-    packed = F.array_sort(F.collect_list(F.struct("cluster", "centre")))
-    return centres.groupBy(key).agg(F.transform(packed, lambda c: c["centre"]).alias("centres"))
-
-
-def _move(rows: DataFrame, centres: DataFrame, key: str) -> DataFrame:
-    """Centres after one round; a centre without vectors stays."""
+def _squared_gap(a: F.Column, b: F.Column) -> F.Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 
-    def away(centre: F.Column) -> F.Column:
-        gaps = F.zip_with("_x", centre, lambda a, b: (a - b) * (a - b))
-        return F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x)
 
+def _move(rows: DataFrame, centres: DataFrame, key: str, k: int) -> DataFrame:
+    """Centres after one round and the sum of their squared moves; one without vectors stays."""
     here = centres.select(F.col(key).alias("_k"), "centres")
     near = rows.join(here, F.col(key).eqNullSafe(F.col("_k"))).withColumn("_x", vector_to_array("_v"))
-    gaps = F.transform("centres", away)
-    near = near.select(key, "_v", (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int").alias("cluster"))
-    means = near.groupBy(key, "cluster").agg(Summarizer.mean(F.col("_v")).alias("m"))
-    means = means.select(F.col(key).alias("_k"), F.col("cluster").alias("_c"), vector_to_array("m").alias("m"))
-    old = centres.select(key, F.posexplode("centres").alias("cluster", "centre"))
-    on = F.col(key).eqNullSafe(F.col("_k")) & (F.col("cluster") == F.col("_c"))
-    both = old.join(means, on, "left").select(key, "cluster", F.coalesce("m", "centre").alias("centre"))
-    return _pack(both, key)
+    gaps = F.transform("centres", lambda c: _squared_gap(F.col("_x"), c))
+    near = near.select(key, "_v", (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int").alias("_c"))
+    means = near.groupBy(key, "_c").agg(Summarizer.mean(F.col("_v")).alias("m"))
+    # At most k rows per key from here on.
+    found = means.groupBy(F.col(key).alias("_k")).agg(
+        *[F.max(F.when(F.col("_c") == i, vector_to_array("m"))).alias(f"_m{i}") for i in range(k)]
+    )
+    both = centres.join(found, F.col(key).eqNullSafe(F.col("_k")))
+    new = F.array(*[F.coalesce(F.col(f"_m{i}"), F.get("centres", i)) for i in range(k)])
+    step = F.aggregate(
+        F.zip_with("centres", "new", _squared_gap), F.lit(0.0), lambda s, x: s + x
+    )
+    return both.select(key, "centres", "enough", new.alias("new")).select(key, F.col("new").alias("centres"), "enough", step.alias("step"))

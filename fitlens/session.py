@@ -1,4 +1,4 @@
-"""Session settings and the shared checkpoint folder."""
+"""Session settings and tables in the shared checkpoint folder."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ def local_session(app: str = "fitlens", cores: str = "*", **conf: str) -> SparkS
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for checkpoints and stored tables: the one the cluster names in ``spark.checkpoint.dir``.
+    """Folder for stored tables: the one the cluster names in ``spark.checkpoint.dir``.
 
     A local master without one gets a temporary folder; any other master must name a folder
     that all executors share.
@@ -41,17 +41,12 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` and go on from the stored rows."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    For a result that several branches read: they scan its columns instead of computing it
-    again, its size is known to the planner, and a lost executor costs no recomputation.
+    For a result that several branches or rounds read: they scan its columns instead of
+    computing it again, its size is known to the planner, its lineage ends here, and a lost
+    executor costs no recomputation.
     """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -49,20 +50,44 @@ def clean_scraped(df: DataFrame, columns: Sequence[str] = ("name", "website", "s
     return df.dropna().select(*columns)
 
 
+def literal_rows(spark: SparkSession, columns: Mapping[str, Sequence], kinds: Mapping[str, pa.DataType]) -> DataFrame:
+    """Table from Python lists. It goes through Arrow into a local relation, whose size the planner knows."""
+    return spark.createDataFrame(pa.table({name: pa.array(list(values), kinds[name]) for name, values in columns.items()}))
+
+
 def lexicon_df(spark: SparkSession, lexicon: Mapping[str, Iterable[str]]) -> DataFrame:
     """``(priority, value, word)`` rows; priority is the place of the value in the mapping."""
     rows = [(i, value, word) for i, (value, words) in enumerate(lexicon.items(), 1) for word in words]
-    return spark.createDataFrame(rows, "priority int, value string, word string")
+    priority, value, word = zip(*rows)
+    return literal_rows(
+        spark,
+        {"priority": priority, "value": value, "word": word},
+        {"priority": pa.int32(), "value": pa.string(), "word": pa.string()},
+    )
 
 
 def rules_df(spark: SparkSession, rules: Mapping[str, str], key: str, value: str) -> DataFrame:
-    return spark.createDataFrame(list(rules.items()), f"{key} string, {value} string")
+    return literal_rows(spark, {key: rules.keys(), value: rules.values()}, {key: pa.string(), value: pa.string()})
 
 
 def books_df(spark: SparkSession, books: Mapping[str, Sequence[str]]) -> DataFrame:
     """``(book, template_id, template)`` rows."""
     rows = [(book, i, text) for book, texts in books.items() for i, text in enumerate(texts)]
-    return spark.createDataFrame(rows, "book string, template_id long, template string")
+    book, place, text = zip(*rows)
+    return literal_rows(
+        spark,
+        {"book": book, "template_id": place, "template": text},
+        {"book": pa.string(), "template_id": pa.int64(), "template": pa.string()},
+    )
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows over all cores by a unique key if the input has fewer splits than cores.
+
+    For heavy work on the rows of one small file. An input with a split per core stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def _border(df: DataFrame, key: Column, place: int) -> Column:

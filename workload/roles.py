@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from fitlens.plans import profiles as pf
 from fitlens.session import stored
-from fitlens.sources.io import lexicon_df, read_table
+from fitlens.sources.io import lexicon_df, read_table, spread
 
 UNIVERSITIES = ["furniture", "machinery"]
 
@@ -64,6 +64,10 @@ class Roles:
             SCHEMAS[path] = read_table(self.spark, path).schema
         return read_table(self.spark, path, SCHEMAS[path])
 
+    def texts(self, name: str, key: str) -> DataFrame:
+        """A table with heavy rows, dealt over all cores if it is one small file."""
+        return spread(self.table(name), key)
+
     def staged(self) -> Roles:
         """The same roles with the bridge and the engineered profiles as stored tables.
 

@@ -19,14 +19,14 @@ def kept(text: str) -> str:
     """DuckDB list of the distinct keywords of a text."""
     tokens = rf"regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}_''’-]+')"
     return (
-        rf"list_filter(list_distinct({tokens}), lambda w: regexp_matches(w, '^[\p{{L}}-]*\p{{L}}[\p{{L}}-]*$') "
+        rf"list_filter(list_distinct({tokens}), lambda w: regexp_matches(w, '^-*\p{{L}}[\p{{L}}-]*$') "
         rf"AND NOT list_contains({STOP_SQL}, w))"
     )
 
 
 @query("k1_keywords", f"SELECT doc_id, unnest({kept('text')}) AS word FROM documents")
 def k1(r: Roles) -> DataFrame:
-    return kw.keywords(r.table("documents"), "doc_id", "text")
+    return kw.keywords(r.texts("documents", "doc_id"), "doc_id", "text")
 
 
 @query(
@@ -36,12 +36,12 @@ def k1(r: Roles) -> DataFrame:
 )
 def k1_tagged(r: Roles) -> DataFrame:
     tags = kw.keywords(r.table("benchmark"), "item_id", "text").select("word", F.lit("NN").alias("tag"))
-    return kw.keywords(r.table("documents"), "doc_id", "text", pos_lexicon=tags)
+    return kw.keywords(r.texts("documents", "doc_id"), "doc_id", "text", pos_lexicon=tags)
 
 
 @query("k2_keywords_many", f"SELECT DISTINCT conv_id, unnest({kept('text')}) AS word FROM conversations")
 def k2(r: Roles) -> DataFrame:
-    return kw.keywords_many(r.table("conversations"), "conv_id", "text")
+    return kw.keywords_many(r.texts("conversations", "text"), "conv_id", "text")
 
 
 @query(
@@ -97,7 +97,7 @@ def benchmark_lexicon(r: Roles) -> DataFrame:
     JOIN bfirst USING (word) GROUP BY 1, 2""",
 )
 def k6(r: Roles) -> DataFrame:
-    words = kw.keywords(r.table("documents"), "doc_id", "text")
+    words = kw.keywords(r.texts("documents", "doc_id"), "doc_id", "text")
     found = kw.match_values(words, "doc_id", benchmark_lexicon(r), distinct=False)
     return found.groupBy("doc_id", "value").agg(F.count("*").alias("n"))
 
@@ -229,7 +229,7 @@ links AS (
 
 @query("h1_links", f"WITH {LINKS} SELECT page_id, url, kind FROM links WHERE url <> ''")
 def h1(r: Roles) -> DataFrame:
-    return pg.links(r.table("pages")).select("page_id", "url", "kind")
+    return pg.links(r.texts("pages", "page_id")).select("page_id", "url", "kind")
 
 
 @query(
@@ -239,7 +239,7 @@ def h1(r: Roles) -> DataFrame:
     WHERE url <> '' AND regexp_matches(url, '(?i)the|and|est|une')""",
 )
 def h2(r: Roles) -> DataFrame:
-    return pg.about_links(pg.links(r.table("pages")), ABOUT).select("page_id", "url", "pattern")
+    return pg.about_links(pg.links(r.texts("pages", "page_id")), ABOUT).select("page_id", "url", "pattern")
 
 
 def _strip(column: str) -> str:
@@ -267,7 +267,7 @@ page_texts AS (
     f"WITH {PAGE_TEXT} SELECT p.page_id, coalesce(t.text, '') AS text FROM pages p LEFT JOIN page_texts t USING (page_id)",
 )
 def h3(r: Roles) -> DataFrame:
-    return pg.page_text(r.table("pages"))
+    return pg.page_text(r.texts("pages", "page_id"))
 
 
 @query(
@@ -281,7 +281,7 @@ def h3(r: Roles) -> DataFrame:
     FROM dealt GROUP BY 1, 2""",
 )
 def h4(r: Roles) -> DataFrame:
-    pages = r.table("pages").select("url", "html", F.lit("").alias("label"))
+    pages = r.texts("pages", "page_id").select("url", "html", F.lit("").alias("label"))
     about = pg.about_links(pages, ABOUT).select(
         F.regexp_extract("url", "^https?://([^/?#]+)", 1).alias("site"),
         "url",
