@@ -23,8 +23,8 @@ def histogram(df: DataFrame, x: str, bins: int = HISTOGRAM_BINS, lo: float = 0.0
     The last bin holds its right edge. Empty bins are kept.
     """
     values = df.select(F.col(x).cast("double").alias("x")).filter("x is not null")
-    ends = values.agg(F.min("x").alias("a"), F.max("x").alias("b"))
-    a, b = ends.select("a").scalar(), ends.select("b").scalar()
+    ends = values.agg(F.struct(F.min("x").alias("a"), F.max("x").alias("b"))).scalar()
+    a, b = ends["a"], ends["b"]
     place = F.coalesce(F.floor(F.try_divide((F.col("x") - a) * bins, b - a)), F.lit(0))
     counted = values.groupBy(F.least(place, F.lit(bins - 1)).alias("bin")).agg(F.count("*").alias("n"))
     edges = df.sparkSession.range(bins).select(

@@ -16,6 +16,7 @@ from fitlens.functions.arrays import cosine
 from fitlens.session import stored
 
 MAX_ANCHOR_NUMBERS = 4_000_000
+MAX_BLOCK_SCORES = 4_000_000
 
 
 def mean_vector(df: DataFrame, key: str, vec: str, out: str = "mean") -> DataFrame:
@@ -37,8 +38,8 @@ def cosine_join(
     """``(id, anchor, cosine)`` of the pairs with a cosine above ``threshold``.
 
     Anchors are a small table (the words of a lexicon). A bounded probe reads them; if they
-    hold at most ``max_numbers`` numbers they go to the tasks as one matrix and each batch of
-    vectors is matched by a matrix product. Larger anchor tables go through ``_banded_join``.
+    hold at most ``max_numbers`` numbers they go to the tasks as one matrix and blocks of
+    vectors are matched by a matrix product. Larger anchor tables go through ``_banded_join``.
     """
     vectors = vecs.select(id_col, F.col(vec).cast("array<double>").alias("_v")).filter("_v is not null")
     targets = anchors.select(anchor_id, F.col(anchor_vec).cast("array<double>").alias("_a")).filter("_a is not null")
@@ -56,20 +57,21 @@ def cosine_join(
     keep = norms > 0
     unit, names = matrix[keep] / norms[keep][:, None], names[keep]
     shared = vecs.sparkSession.sparkContext.broadcast((unit, names))
+    size = max(1, MAX_BLOCK_SCORES // max(1, len(names)))
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         anchors_unit, anchor_names = shared.value
         for batch in batches:
-            if batch.empty:
-                continue
-            block = np.stack(batch["_v"].to_numpy())
-            length = np.linalg.norm(block, axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                scores = (block @ anchors_unit.T) / length[:, None]
-            i, j = np.nonzero(scores > threshold)
-            yield pd.DataFrame(
-                {id_col: batch[id_col].to_numpy()[i], anchor_id: anchor_names[j], "cosine": scores[i, j]}
-            )
+            for start in range(0, len(batch), size):
+                part = batch.iloc[start : start + size]
+                block = np.stack(part["_v"].to_numpy())
+                length = np.linalg.norm(block, axis=1)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    scores = (block @ anchors_unit.T) / length[:, None]
+                i, j = np.nonzero(scores > threshold)
+                yield pd.DataFrame(
+                    {id_col: part[id_col].to_numpy()[i], anchor_id: anchor_names[j], "cosine": scores[i, j]}
+                )
 
     kinds = dict(vectors.dtypes)
     schema = f"`{id_col}` {kinds[id_col]}, `{anchor_id}` {dict(targets.dtypes)[anchor_id]}, cosine double"

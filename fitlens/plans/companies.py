@@ -12,7 +12,7 @@ from fitlens.functions.stats import normal_two_sided, student_two_sided, two_pro
 from fitlens.functions.text import dominant_label, percent_text
 from fitlens.operators.groups import eligible
 from fitlens.operators.joins import drop_ambiguous
-from fitlens.operators.keywords import keywords, match_values
+from fitlens.operators.keywords import first_values, keyword_array
 from fitlens.session import stored
 
 
@@ -167,12 +167,16 @@ def all_tests(rows: DataFrame) -> DataFrame:
 def company_values(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Distinct ``(company_name, value, source)``; source is ``slogan``, or NULL for other text.
 
-    texts(company_name, scraped_data, about, slogan)
+    texts(company_name, scraped_data, about, slogan) is read once.
     """
-    slogan = match_values(keywords(texts, "company_name", "slogan"), "company_name", lexicon, distinct=True)
-    text = keywords(texts, "company_name", "scraped_data").union(keywords(texts, "company_name", "about"))
-    other = match_values(text, "company_name", lexicon, distinct=True)
-    return slogan.withColumn("source", F.lit("slogan")).union(other.withColumn("source", F.lit(None).cast("string")))
+
+    def found(text: str, source: Column) -> Column:
+        return F.transform(keyword_array(F.col(text)), lambda w: F.struct(w.alias("word"), source.alias("source")))
+
+    none = F.lit(None).cast("string")
+    listed = F.concat(found("slogan", F.lit("slogan")), found("scraped_data", none), found("about", none))
+    words = texts.select("company_name", F.explode(listed).alias("w")).select("company_name", "w.*")
+    return words.join(first_values(lexicon), "word").select("company_name", "value", "source").distinct()
 
 
 def company_summary(

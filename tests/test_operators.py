@@ -245,6 +245,13 @@ def test_cosine_join_against_brute_force(frame, threshold, limit):
     assert len(found) == len(set(found)) and set(found) == expected
 
 
+def test_cosine_join_in_blocks(frame, monkeypatch):
+    args = (frame(vectors(1, 40), "id int, v array<double>"), frame(vectors(2, 7), "a int, w array<double>"), "id", "v", "a", "w", 0.3)
+    whole = rows(vc.cosine_join(*args).drop("cosine"))
+    monkeypatch.setattr(vc, "MAX_BLOCK_SCORES", 15)
+    assert rows(vc.cosine_join(*args).drop("cosine")) == whole and whole
+
+
 def test_cosine_join_without_anchors(frame):
     empty = frame([], "a int, w array<double>")
     assert vc.cosine_join(frame(vectors(1, 5), "id int, v array<double>"), empty, "id", "v", "a", "w", 0.5).count() == 0

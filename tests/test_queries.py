@@ -22,12 +22,22 @@ def test_contract(spark):
     assert entry.entry(spark).count() > 0
 
 
+def check_plan(df):
+    """No pair of tables is crossed and no row goes through a plain Python function."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "Scan ExistingRDD"):
+        assert node not in plan
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
-    assert compare(QUERIES[name](spark, SF), con, ORACLES[name]) is None
+    df = QUERIES[name](spark, SF)
+    check_plan(df)
+    assert compare(df, con, ORACLES[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_runs(spark, name):
     df = QUERIES[name](spark, SF)
+    check_plan(df)
     assert df.count() > 0 and len(df.columns) > 1
