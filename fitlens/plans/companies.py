@@ -106,62 +106,56 @@ def company_sums(rows: DataFrame, flags: Sequence[str] = FLAGS, x: str = TENURE,
     return per.withColumn("everybody", per.agg(totals.alias("t")).scalar())
 
 
-def _z_rows(flags: Sequence[str]) -> Column:
-    """One struct per flag with its counts, z, p-value and direction."""
-
-    def row(f: str) -> Column:
-        x1, n1, x2, n2 = F.col(f), F.col("n1"), F.col(f"everybody.{f}"), F.col("everybody.n2")
-        z = two_proportion_z(x1, n1, x2, n2)
-        return F.struct(
-            F.lit(f).alias("feature"), x1.alias("x1"), n1.alias("n1"), x2.alias("x2"), n2.alias("n2"), z.alias("z"),
-            normal_two_sided(z).alias("p_value"), F.signum(z).cast("int").alias("direction"),
-        )
-
-    return F.array(*[row(f) for f in flags])
+def _z_rows(sums: DataFrame, flags: Sequence[str], key: str) -> DataFrame:
+    """One row per company and flag with its counts, z, p-value and direction."""
+    counts = [
+        F.struct(F.lit(f).alias("feature"), F.col(f).alias("x1"), "n1", F.col(f"everybody.{f}").alias("x2"), "everybody.n2")
+        for f in flags
+    ]
+    long = sums.select(key, F.explode(F.array(*counts)).alias("r")).select(key, "r.*")
+    z = two_proportion_z(F.col("x1"), F.col("n1"), F.col("x2"), F.col("n2"))
+    return long.withColumn("z", z).withColumns(
+        {"p_value": normal_two_sided(F.col("z")), "direction": F.signum("z").cast("int")}
+    )
 
 
-def _with_welch(sums: DataFrame) -> DataFrame:
-    one = (F.col("var1"), F.col("nx1"))
-    everybody = (F.col("everybody.var2"), F.col("everybody.nx2"))
-    t = welch_t(F.col("mean1"), *one, F.col("everybody.mean2"), *everybody)
-    tested = sums.withColumn("t", t).withColumn("df", welch_df(*one, *everybody))
-    return tested.withColumn("p_tenure", student_two_sided("t", "df"))
+def _t_rows(sums: DataFrame, key: str) -> DataFrame:
+    """One row per company with a known mean, its t, degrees of freedom and p-value."""
+    wide = sums.filter("nx1 > 0").select(
+        key,
+        F.col("nx1").alias("n1"),
+        "mean1",
+        "var1",
+        F.col("everybody.nx2").alias("n2"),
+        "everybody.mean2",
+        "everybody.var2",
+    )
+    t = welch_t(*[F.col(c) for c in ("mean1", "var1", "n1", "mean2", "var2", "n2")])
+    df = welch_df(*[F.col(c) for c in ("var1", "n1", "var2", "n2")])
+    return wide.withColumns({"t": t, "df": df}).withColumn("p_value", student_two_sided("t", "df"))
 
 
 def ztests(rows: DataFrame, flags: Sequence[str] = FLAGS, key: str = "company_name") -> DataFrame:
-    """Two-proportion z-tests of every company and flag against everybody, in one aggregate.
+    """Two-proportion z-tests of every company and flag against everybody.
 
     ``direction`` is 1 where the company is above everybody, -1 below.
     """
-    sums = company_sums(rows.withColumn(TENURE, F.lit(None).cast("double")), flags, key=key)
-    return sums.select(key, F.explode(_z_rows(flags)).alias("r")).select(key, "r.*")
+    return _z_rows(company_sums(rows.withColumn(TENURE, F.lit(None).cast("double")), flags, key=key), flags, key)
 
 
 def welch_tests(rows: DataFrame, x: str = TENURE, key: str = "company_name") -> DataFrame:
     """Welch t-tests of a number, every company against everybody; one row per company."""
-    tested = _with_welch(company_sums(rows, [], x, key)).filter("nx1 > 0")
-    return tested.select(
-        key,
-        F.col("nx1").alias("n1"),
-        "mean1",
-        "var1",
-        F.col("everybody.nx2").alias("n2"),
-        "everybody.mean2",
-        "everybody.var2",
-        "t",
-        "df",
-        F.col("p_tenure").alias("p_value"),
-    )
+    return _t_rows(company_sums(rows, [], x, key), key)
 
 
-def all_tests(rows: DataFrame) -> DataFrame:
-    """``(company_name, feature, p_value, direction)`` of the z-tests and the tenure test, in one pass."""
-    z = F.transform(_z_rows(FLAGS), lambda r: F.struct(r["feature"].alias("feature"), r["p_value"].alias("p_value"), r["direction"].alias("direction")))
-    t = F.struct(
-        F.lit("average_tenure").alias("feature"), F.col("p_tenure").alias("p_value"), F.signum("t").cast("int").alias("direction")
+def all_tests(rows: DataFrame, key: str = "company_name") -> DataFrame:
+    """``(company_name, feature, p_value, direction)`` of the z-tests and the tenure test, from one aggregate."""
+    sums = company_sums(rows, key=key)
+    z = _z_rows(sums, FLAGS, key).select(key, "feature", "p_value", "direction")
+    t = _t_rows(sums, key).select(
+        key, F.lit("average_tenure").alias("feature"), "p_value", F.signum("t").cast("int").alias("direction")
     )
-    tested = _with_welch(company_sums(rows))
-    return tested.select("company_name", F.explode(F.concat(z, F.array(t))).alias("r")).select("company_name", "r.*")
+    return z.unionByName(t)
 
 
 def company_values(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
