@@ -35,3 +35,13 @@ def rank_features(tests: DataFrame, alpha: float, only_higher: bool = False, key
         hits = hits.filter(F.col("direction") == 1)
     by_p = Window.partitionBy(key).orderBy("p_value", "feature")
     return hits.withColumn("rank", F.row_number().over(by_p))
+
+
+def known_sources_first(matches: DataFrame, keys: Sequence[str], sources: Sequence[str], item: str) -> DataFrame:
+    """Rank the matches of each pair by the number of known sources, then by item.
+
+    A pair has at most one match per core value, so its window is bounded.
+    """
+    known = sum((F.col(s).isNotNull().cast("int") for s in sources), F.lit(0))
+    by_known = Window.partitionBy(*keys).orderBy(F.desc("known"), item)
+    return matches.withColumn("known", known).withColumn("rank", F.row_number().over(by_known))

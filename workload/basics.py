@@ -483,12 +483,12 @@ def t2(r: Roles) -> DataFrame:
 
 @query(
     "t3_first_row",
-    """SELECT o_custkey, o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'
+    """SELECT o_custkey, o_orderkey FROM orders WHERE o_orderstatus = 'F'
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1""",
 )
 def t3(r: Roles) -> DataFrame:
     rows = r.table("orders").filter("o_orderstatus = 'F'").select("o_custkey", "o_orderkey", "o_orderdate")
-    return rk.top_per_group(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], 1).drop("rank")
+    return rk.top_per_group(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], 1).select("o_custkey", "o_orderkey")
 
 
 @query(

@@ -336,9 +336,8 @@ def c16(r: Roles) -> DataFrame:
 )
 def t6(r: Roles) -> DataFrame:
     r = r.staged()
-    known = F.col("profile_source").isNotNull().cast("int") + F.col("company_source").isNotNull().cast("int")
-    matches = value_matches(r).select("id", "company_name", "value", known.alias("known"))
-    return rk.top_per_group(matches, al.PAIR, [F.desc("known"), "value"], 26)
+    ranked_matches = rk.known_sources_first(value_matches(r), al.PAIR, ["profile_source", "company_source"], "value")
+    return ranked_matches.select("id", "company_name", "value", "known", "rank")
 
 
 @query(
