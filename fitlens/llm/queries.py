@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from fitlens.llm import bpe, licenses, url_rules  # noqa: F401
+from fitlens.llm import bpe, decontaminate, html_text, licenses, near_duplicates, nearest, pii, quality, url_rules  # noqa: F401
 from fitlens.llm.registry import ORACLES, QUERIES  # noqa: F401
