@@ -91,32 +91,51 @@ def benchmark_windows(benchmark: DataFrame, key: str, text: str, window: int) ->
     return out.groupBy("n", "print", "window").agg(F.collect_set("item").alias("items"))
 
 
-def contamination(
+def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """``(key, n_words, n_hit, n_items, items_sha256, contaminated)`` of every document.
+
+    n_hit: words inside any occurrence of a window of the benchmark; n_items: items with occurring windows; items_sha256: of
+    their ids, sorted as strings and joined by commas. Null and empty texts have no words and no hits, an item without words is
+    never hit, items with a null id count as hits but not as items. Repeated rows and ids are judged by their own text; extra
+    columns do not matter. Options: see ``_hits``.
+    """
+    hits = _hits(docs, benchmark, [key], key, **options)
+    return hits.select(
+        f"_doc.{key}",
+        F.col("n_words").cast("long").alias("n_words"),
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """The documents that share no window with the benchmark, with their own columns."""
+    return _hits(docs, benchmark, docs.columns, key, **options).filter("n_hit = 0").select("_doc.*")
+
+
+def _hits(
     docs: DataFrame,
     benchmark: DataFrame,
+    columns: list[str],
     key: str = "doc_id",
     text: str = "text",
     item_key: str = "item_id",
     item_text: str = "text",
     window: int = WINDOW,
-    keep: bool = False,
 ) -> DataFrame:
-    """``(key, n_words, n_hit, n_items, items_sha256, contaminated)`` of every document; with ``keep`` its columns instead of the key.
-
-    n_hit: words inside any occurrence of a window of the benchmark; n_items: items with occurring windows; items_sha256: of
-    their ids, sorted as strings and joined by commas. Null and empty texts have no words and no hits, an item without words is
-    never hit, items with a null id count as hits but not as items. Repeated rows and ids are judged by their own text; extra
-    columns do not matter, as all columns used are renamed first (with ``keep`` result columns must not clash).
-    """
+    """``(_doc, n_words, n_hit, items)``; _doc has the columns asked for."""
     windows = stored(benchmark_windows(benchmark, item_key, item_text, window))
     lengths = [r.n for r in windows.select("n").distinct().orderBy("n").collect()]  # at most ``window`` rows
-    rows = docs.select(F.struct(*(docs.columns if keep else [key])).alias("_doc"), F.col(key).alias("_key"), words_of(F.col(text)).alias("words"))
+    rows = docs.select(F.struct(*columns).alias("_doc"), F.col(key).alias("_key"), F.col(text).alias("_text"))
+    words = rows.select("_key", words_of(F.col("_text")).alias("words"))
     found_by = [_numbered(F.array_distinct(_window_prints("words", "grams", n)), n) for n in lengths]
     if not lengths:
         found_by = [F.array().cast("array<struct<n:int,print:bigint>>")]
     keys = windows.select("n", "print").distinct()
     keys = F.broadcast(keys) if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keys
-    prints = rows.select("_key", "words", _grams("words", GRAM).alias("grams")).select("_key", F.inline(F.concat(*found_by)))
+    prints = words.select("_key", "words", _grams("words", GRAM).alias("grams")).select("_key", F.inline(F.concat(*found_by)))
     # The documents' matches with the text of the windows, one row a document.
     matches = (
         prints.join(keys, ["n", "print"])
@@ -126,7 +145,9 @@ def contamination(
         .agg(F.collect_list(F.struct("n", "print", "window", "items")).alias("near"))
         .withColumnRenamed("_key", "_match")
     )
+    # Texts move to their matches, not the longer arrays of words.
     joined = rows.join(matches, F.col("_key").eqNullSafe(F.col("_match")), "left")
+    joined = joined.select("_doc", "near", words_of(F.col("_text")).alias("words"))
     joined = joined.select("_doc", "words", "near", F.when(F.col("near").isNotNull(), _grams("words", GRAM)).alias("grams"))
     joined = joined.select(
         "_doc", F.size("words").alias("n_words"), "words", "near",
@@ -154,21 +175,7 @@ def contamination(
     items = F.array_sort(
         F.array_distinct(F.flatten(F.transform(F.filter("near", lambda x: F.array_contains(F.col("texts"), x["window"])), lambda x: x["items"])))
     )
-    hits = hits.select("_doc", "n_words", "n_hit", F.coalesce(items, F.array().cast("array<string>")).alias("items"))
-    return hits.select(
-        "_doc.*",
-        F.col("n_words").cast("long").alias("n_words"),
-        "n_hit",
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"),
-    )
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that share no window with the benchmark, with their own columns."""
-    found = contamination(docs, benchmark, keep=True, **options)
-    return found.filter(~F.col("contaminated")).select(*docs.columns)
+    return hits.select("_doc", "n_words", "n_hit", F.coalesce(items, F.array().cast("array<string>")).alias("items"))
 
 
 _PATTERN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fitlens.llm.registry import query, table
@@ -239,6 +239,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     )
 
 
+def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """The kept documents with their own columns; of rows that repeat an id the one with the smallest text."""
+    found = stored(near_duplicates(docs, key, text, k, percent).select(F.col(key).alias("_id"), "kept"))
+    out = docs.join(found.filter(~F.col("kept")).select("_id").distinct(), F.col(key) == F.col("_id"), "left_anti")
+    repeated = found.filter("kept AND _id IS NOT NULL").groupBy("_id").count().filter("count > 1").select("_id")
+    if repeated.isEmpty():
+        return out
+    place = F.row_number().over(Window.partitionBy(key).orderBy(text))
+    again = out.join(repeated, F.col(key) == F.col("_id"), "left_semi").select("*", place.alias("_place")).filter("_place = 1").drop("_place")
+    return out.join(repeated, F.col(key) == F.col("_id"), "left_anti").union(again)
+
+
 @query("op9_lsh_forest")
 def op9_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share most of their word pairs."""

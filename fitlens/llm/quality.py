@@ -185,19 +185,29 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
     return grow(x[order], y[order])
 
 
-def score_documents(docs: DataFrame, trees: Trees, key: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
-    """``(key, held_out, score, predicted)`` of every document; with ``keep`` all its columns and ``score``.
+def _score(trees: Trees, text: str):
+    """Score of a text; null counts as empty, and all empty texts have one score."""
+    scores = F.pandas_udf(
+        lambda texts: pd.Series(trees.scores(np.array([statistics(t) for t in texts], float).reshape(len(texts), len(FEATURES)))), "double"
+    )
+    return scores(F.col(text))
+
+
+def score_documents(docs: DataFrame, trees: Trees, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, held_out, score, predicted)`` of every document.
 
     The score depends on the text alone; null counts as empty, and empty texts have one score. Repeated rows and null keys are
     scored one by one (a null key is not held out); other columns do not matter.
     """
-    score = F.pandas_udf(lambda texts: pd.Series(trees.scores(np.array([statistics(t) for t in texts], float).reshape(len(texts), len(FEATURES)))), "double")
-    if keep:
-        return docs.withColumn("score", score(F.col(text)))
-    scored = docs.select(F.col(key), F.coalesce(held_out(key), F.lit(False)).alias("held_out"), score(F.col(text)).alias("score"))
+    scored = docs.select(F.col(key), F.coalesce(held_out(key), F.lit(False)).alias("held_out"), _score(trees, text).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
+def accepted(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
+    """The documents with a score of ``THRESHOLD`` or more, with their own columns."""
+    return docs.filter(_score(trees, text) >= THRESHOLD)
+
+
 @query("op7_boosted_trees")
 def op7_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
