@@ -28,6 +28,8 @@ ORDERS = 16
 REACH = 8
 # Standard errors below the threshold that an estimated similarity may lie.
 MARGIN = 4.5
+# Rounds in which each component tries one pair.
+ROUNDS = 2
 # Words whose hashes a worker keeps, and shingles hashed at once.
 WORDS = 1 << 19
 CHUNK = 1 << 14
@@ -164,8 +166,8 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
 COLUMNS = ["a", "b", "same", "rep", "n", "order", "path"]
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough."""
+def full_sets(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """``(id, shingles)`` of the documents in the pairs."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(k)
@@ -174,43 +176,75 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int, pe
 
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(needed, "id", "left_semi")
-    full = texts.mapInPandas(sets, "id long, shingles array<long>")
+    return texts.mapInPandas(sets, "id long, shingles array<long>")
+
+
+def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose full sets are similar enough."""
     left = full.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = full.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     both = F.size(F.array_intersect("left", "right"))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return joined.select("a", "b", both.alias("both"), (F.size("left") + F.size("right")).alias("all")).filter(
-        F.col("both") * 100 >= (F.col("all") - F.col("both")) * percent
-    ).select("a", "b")
+    joined = joined.select("a", "b", both.alias("both"), (F.size("left") + F.size("right")).alias("all"))
+    return joined.filter(F.col("both") * 100 >= (F.col("all") - F.col("both")) * percent).select("a", "b").distinct()
+
+
+def connected(pairs: DataFrame, full: DataFrame, bridges: DataFrame, percent: int) -> DataFrame:
+    """``(id, label)``: the smallest id that confirmed pairs lead to from each id in them.
+
+    In a group of near copies a few of its many pairs connect it. So in every round each component tries one pair only, to the
+    neighbour with the smallest label; then all pairs that still lead from one component to another are tried at once.
+    """
+    links, labels, left = stored(bridges), None, pairs
+    high = int(HASHES * percent / 100)
+    for last in (False,) * ROUNDS + (True,):
+        if labels is None:
+            across = left.select("a", "b", "same", F.col("a").alias("la"), F.col("b").alias("lb"))
+        else:
+            across = left.select("a", "b", "same")
+            for end, label in (("a", "la"), ("b", "lb")):
+                across = across.join(labels.select(F.col("id").alias(end), F.col("label").alias(label)), end, "left")
+                across = across.withColumn(label, F.coalesce(label, end))
+            across = across.filter("la <> lb")
+        across = stored(across.select("a", "b", "same", "la", "lb"))
+        if last:
+            tried = across.select("a", "b")
+        else:
+            first = F.min(F.struct((F.col("same") < high).alias("low"), "other", (-F.col("same")).alias("unlike"), "a", "b")).alias("first")
+            ends = across.select(F.col("la").alias("own"), F.col("lb").alias("other"), "a", "b", "same").union(across.select("lb", "la", "a", "b", "same"))
+            tried = stored(ends.groupBy("own").agg(first).select("first.a", "first.b").distinct())
+            left = across.join(tried, ["a", "b"], "left_anti").select("a", "b", "same")
+        links = stored(links.union(confirmed(tried, full, percent)))
+        labels = components(links)
+    return labels
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``(id, label, links)``: the smallest id reachable from each linked id, and its number of links.
+    """``(id, label)``: the smallest id reachable from each linked id.
 
     Each round takes the smallest label among the neighbours, then that label's own label, so chains halve. All rounds work on
     stored tables; it ends when no label changes.
     """
     both = links.select(F.col("a").alias("id"), F.col("b").alias("other")).union(links.select("b", "a"))
     both = stored(both.distinct())
-    labels = stored(both.groupBy("id").agg(F.least("id", F.min("other")).alias("label"), F.count("*").alias("links")))
+    labels = stored(both.groupBy("id").agg(F.least("id", F.min("other")).alias("label")))
     while True:
         near = both.join(labels.select(F.col("id").alias("other"), F.col("label").alias("theirs")), "other").groupBy("id").agg(F.min("theirs").alias("theirs"))
-        hooked = labels.join(near, "id").select("id", "links", F.col("label").alias("old"), F.least("label", "theirs").alias("label"))
+        hooked = labels.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "theirs").alias("label"))
         far = labels.select(F.col("id").alias("label"), F.col("label").alias("beyond"))
-        jumped = stored(hooked.join(far, "label", "left").select("id", "links", "old", F.least("label", "beyond").alias("label")))
-        labels = jumped.select("id", "label", "links")
+        jumped = stored(hooked.join(far, "label", "left").select("id", "old", F.least("label", "beyond").alias("label")))
+        labels = jumped.select("id", "label")
         if jumped.filter("label <> old").isEmpty():
             return labels
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """``(key, n_shingles, component_id, kept, n_links)`` of every document.
+    """``(key, n_shingles, component_id, kept)`` of every document.
 
     A document's set has its distinct shingles of ``k`` words (A-Z lower-cased, parted at white space); with fewer words the
     whole sequence is the one shingle; null and empty texts have an empty set and are linked with nothing. Documents are linked
     if 100 * intersection >= percent * union of their full sets (of 64-bit shingle hashes). component_id is the smallest id
-    reachable, kept says that it is the own one. n_links counts the confirmed links of the document's class of equal sets; not
-    every pair of a group of near copies becomes a candidate, as paths through the group do the same.
+    reachable, kept says that it is the own one.
 
     Rows with one id are one node: links of any of them count. A null id is linked with nothing, has a null component and is
     kept. Extra columns do not matter.
@@ -224,10 +258,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     bridges = whole.select("id", "digest").join(several, "id", "left_semi").join(classes.select("digest", "rep"), "digest")
     bridges = bridges.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     pairs = stored(candidates(classes, percent))
-    links = confirmed(pairs, docs, key, text, k, percent).union(bridges).distinct()
-    labels = components(stored(links))
+    labels = connected(pairs, stored(full_sets(pairs, docs, key, text, k)), bridges, percent)
     named = classes.select("digest", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    named = named.select("digest", F.coalesce("label", "rep").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
+    named = named.select("digest", F.coalesce("label", "rep").alias("label"))
     out = signed.select("id", "n", "digest").join(named, "digest", "left")
     component = F.coalesce("label", "id")
     return out.select(
@@ -235,7 +268,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), component).alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
-        F.coalesce("links", F.lit(0)).alias("n_links"),
     )
 
 
