@@ -99,9 +99,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **
     never hit, items with a null id count as hits but not as items. Repeated rows and ids are judged by their own text; extra
     columns do not matter. Options: see ``_hits``.
     """
-    hits = _hits(docs, benchmark, [key], key, **options)
+    hits = _hits(docs, benchmark, key, **options)
     return hits.select(
-        f"_doc.{key}",
+        F.col("_key").alias(key),
         F.col("n_words").cast("long").alias("n_words"),
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
@@ -110,25 +110,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that share no window with the benchmark, with their own columns."""
-    return _hits(docs, benchmark, docs.columns, key, **options).filter("n_hit = 0").select("_doc.*")
+    # Stored, so that the filter does not go into the expressions that it filters by.
+    found = stored(_hits(docs, benchmark, key, text, **options).select("_key", "_hash", "n_hit"))
+    hit = found.filter("n_hit > 0").select("_key", "_hash").distinct()
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_hash"))
+    return docs.join(hit, same, "left_anti")
 
 
 def _hits(
     docs: DataFrame,
     benchmark: DataFrame,
-    columns: list[str],
     key: str = "doc_id",
     text: str = "text",
     item_key: str = "item_id",
     item_text: str = "text",
     window: int = WINDOW,
 ) -> DataFrame:
-    """``(_doc, n_words, n_hit, items)``; _doc has the columns asked for."""
+    """``(_key, _hash, n_words, n_hit, items)``; _hash tells apart texts under one id."""
     windows = stored(benchmark_windows(benchmark, item_key, item_text, window))
     lengths = [r.n for r in windows.select("n").distinct().orderBy("n").collect()]  # at most ``window`` rows
-    rows = docs.select(F.struct(*columns).alias("_doc"), F.col(key).alias("_key"), F.col(text).alias("_text"))
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     words = rows.select("_key", words_of(F.col("_text")).alias("words"))
     found_by = [_numbered(F.array_distinct(_window_prints("words", "grams", n)), n) for n in lengths]
     if not lengths:
@@ -147,10 +150,10 @@ def _hits(
     )
     # Texts move to their matches, not the longer arrays of words.
     joined = rows.join(matches, F.col("_key").eqNullSafe(F.col("_match")), "left")
-    joined = joined.select("_doc", "near", words_of(F.col("_text")).alias("words"))
-    joined = joined.select("_doc", "words", "near", F.when(F.col("near").isNotNull(), _grams("words", GRAM)).alias("grams"))
+    joined = joined.select("_key", F.xxhash64("_text").alias("_hash"), "near", words_of(F.col("_text")).alias("words"))
+    joined = joined.select("_key", "_hash", "words", "near", F.when(F.col("near").isNotNull(), _grams("words", GRAM)).alias("grams"))
     joined = joined.select(
-        "_doc", F.size("words").alias("n_words"), "words", "near",
+        "_key", "_hash", F.size("words").alias("n_words"), "words", "near",
         *[F.when(F.col("near").isNotNull(), _window_prints("words", "grams", n)).alias(f"prints{n}") for n in lengths],
         *[F.array_distinct(_near(n, "print")).alias(f"near_prints{n}") for n in lengths],
         *[_near(n, "window").alias(f"near_windows{n}") for n in lengths],
@@ -159,7 +162,7 @@ def _hits(
     spans = F.lit(None).cast(span)
     if lengths:
         spans = F.array_sort(F.concat(*[_spans(n) for n in lengths])).cast(span)
-    hits = joined.select("_doc", "n_words", "near", spans.alias("spans"))
+    hits = joined.select("_key", "_hash", "n_words", "near", spans.alias("spans"))
     start = F.struct(F.lit(0).alias("total"), F.lit(0).alias("upto"))
     covered = F.aggregate(
         "spans",
@@ -171,11 +174,11 @@ def _hits(
         lambda a: a["total"],
     )
     texts = F.array_distinct(F.transform("spans", lambda x: x["window"]))
-    hits = hits.select("_doc", "n_words", "near", F.coalesce(covered, F.lit(0)).cast("long").alias("n_hit"), texts.alias("texts"))
+    hits = hits.select("_key", "_hash", "n_words", "near", F.coalesce(covered, F.lit(0)).cast("long").alias("n_hit"), texts.alias("texts"))
     items = F.array_sort(
         F.array_distinct(F.flatten(F.transform(F.filter("near", lambda x: F.array_contains(F.col("texts"), x["window"])), lambda x: x["items"])))
     )
-    return hits.select("_doc", "n_words", "n_hit", F.coalesce(items, F.array().cast("array<string>")).alias("items"))
+    return hits.select("_key", "_hash", "n_words", "n_hit", F.coalesce(items, F.array().cast("array<string>")).alias("items"))
 
 
 _PATTERN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
