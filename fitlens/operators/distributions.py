@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fitlens.constants import HISTOGRAM_BINS
+from fitlens.session import stored
 
 
 def category_counts(df: DataFrame, column: str, order: Sequence[str]) -> DataFrame:
@@ -40,26 +41,29 @@ def density(df: DataFrame, key: str, x: str, grid: Sequence[float]) -> DataFrame
     """Gaussian density of ``x`` on a grid per key and over all rows (key NULL, ``is_all`` = 1).
 
     The bandwidth is Scott's, ``n^(-1/5) s``; groups without spread are left out. Equal values
-    are counted once and each grid point is a map-side sum, so no group meets in one task.
+    are counted once and each grid point is a map-side sum, so no group meets in one task. Squares
+    are taken about the mean of the group, so that large values do not cancel out.
     """
     values = df.select(F.col(key).alias("k"), F.col(x).cast("double").alias("x")).filter("x is not null and k is not null")
-    values = values.groupBy("k", "x").agg(F.count("*").alias("c"))
-    both = values.select("k", "x", "c", F.explode(F.array(F.lit(0), F.lit(1))).alias("is_all"))
-    both = both.withColumn("k", F.when(F.col("is_all") == 0, F.col("k")))
-    both = both.groupBy("is_all", "k", "x").agg(F.sum("c").alias("c"))
-    stats = both.groupBy("is_all", "k").agg(
-        F.sum("c").alias("n"),
-        F.sum(F.col("c") * F.col("x")).alias("s1"),
-        F.sum(F.col("c") * F.col("x") * F.col("x")).alias("s2"),
-    )
-    variance = F.try_divide(F.col("s2") - F.col("s1") * F.col("s1") / F.col("n"), F.col("n") - 1)
-    stats = stats.withColumn("bw", F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.sqrt(variance)).filter("bw > 0")
-    stats = stats.select(F.col("is_all").alias("_a"), F.col("k").alias("_k"), "n", "bw")
+    values = stored(values.groupBy("k", "x").agg(F.count("*").alias("c")))
+    n, mean = F.sum("c").alias("n"), (F.sum(F.col("c") * F.col("x")) / F.sum("c")).alias("mean")
+    squares = F.sum(F.col("c") * F.pow(F.col("x") - F.col("mean"), F.lit(2.0)))
+    width = F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.sqrt(squares / (F.col("n") - 1))
+    centres = values.groupBy("k").agg(n, mean, F.min("x").alias("lo"), F.max("x").alias("hi")).filter("lo < hi")
+    per_key = values.join(centres, "k").groupBy("k", "n").agg(width.alias("bw"))
+    whole = values.groupBy("x").agg(F.sum("c").alias("c"))
+    centre = values.agg(F.struct(n, mean, F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    centred = whole.select("x", "c", centre["n"].alias("n"), centre["mean"].alias("mean")).filter(centre["lo"] < centre["hi"])
+    bandwidth = centred.groupBy("n").agg(width.alias("bw")).select(F.struct("n", "bw")).scalar()
     points = F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias("point")
-    spread = both.join(stats, (F.col("is_all") == F.col("_a")) & F.col("k").eqNullSafe(F.col("_k"))).select(
-        "is_all", "k", "x", "c", "n", "bw", points
-    )
-    u = (F.col("point") - F.col("x")) / F.col("bw")
-    kernel = F.col("c") * F.exp(u * u * -0.5) / (F.col("n") * F.col("bw") * F.sqrt(F.lit(2.0) * F.pi()))
-    summed = spread.groupBy("is_all", "k", "point").agg(F.sum(kernel).alias("density"))
-    return summed.withColumnRenamed("k", key)
+
+    def curve(rows: DataFrame) -> DataFrame:
+        u = (F.col("point") - F.col("x")) / F.col("bw")
+        kernel = F.col("c") * F.exp(u * u * -0.5) / (F.col("n") * F.col("bw") * F.sqrt(F.lit(2.0) * F.pi()))
+        return rows.select("is_all", "k", "x", "c", "n", "bw", points).groupBy("is_all", "k", "point").agg(F.sum(kernel).alias("density"))
+
+    one = values.join(per_key, "k").withColumn("is_all", F.lit(0))
+    everybody = whole.withColumns(
+        {"is_all": F.lit(1), "k": F.lit(None).cast(df.schema[key].dataType), "n": bandwidth["n"], "bw": bandwidth["bw"]}
+    ).filter("bw is not null")
+    return curve(one).unionByName(curve(everybody)).withColumnRenamed("k", key)

@@ -9,41 +9,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitlens.functions.text import degree_code
+from fitlens.session import stored
 
 FEATURES = [
     "top_university", "volunteering", "average_months_of_experience", "degree_feature", "organization_types_feature",
 ]
 
 
-def string_index(df: DataFrame, column: str, out: str) -> DataFrame:
+def string_index(df: DataFrame, column: str, out: str, nulls: str = "keep") -> DataFrame:
     """Index of each string, the most frequent first and ties in alphabetical order.
 
-    The distinct strings are placed by count and first letters, so neither the driver nor one
-    task holds them all: only the totals per count and first letters are summed up in one place.
+    NULL has the index after all strings, or with ``nulls="skip"`` its rows are dropped. The distinct strings are
+    sorted by ranges, so neither the driver nor one task holds them all: only the sizes of the ranges are summed up in one place.
     """
-    seen = df.groupBy(column).agg(F.count("*").alias("_n"))
-    slots = (
-        seen.groupBy("_n", F.substring(column, 1, 2).alias("_head"))
-        .agg(F.count("*").alias("_strings"))
-        .withColumn(
-            "_slot_start",
-            F.coalesce(
-                F.sum("_strings").over(
-                    Window.partitionBy(F.lit(0))
-                    .orderBy(F.desc("_n"), "_head")
-                    .rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .drop("_strings")
-    )
-    within = Window.partitionBy("_n", F.substring(column, 1, 2)).orderBy(column)
-    placed = seen.withColumn("_row", F.row_number().over(within)).withColumn("_head", F.substring(column, 1, 2))
-    index = placed.join(slots, ["_n", "_head"]).select(
-        column, (F.col("_slot_start") + F.col("_row") - 1).cast("double").alias(out)
-    )
-    return df.join(index, column)
+    seen = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    order = [F.desc("_n"), F.col(column)]
+    # The number of a row holds its range above bit 33 and its place in the range below.
+    placed = stored(seen.repartitionByRange(*order).sortWithinPartitions(*order).select(column, F.monotonically_increasing_id().alias("_id")))
+    placed = placed.select(column, F.shiftright("_id", 33).alias("_range"), F.col("_id").bitwiseAND(2**33 - 1).alias("_place"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_range").agg(F.count("*").alias("_size")).select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    index = placed.join(starts, "_range").select(F.col(column).alias("_string"), (F.col("_start") + F.col("_place")).cast("double").alias(out))
+    if nulls == "skip":
+        return df.join(index, F.col(column) == F.col("_string")).drop("_string")
+    last = placed.agg(F.count("*").cast("double").alias("n")).scalar()
+    joined = df.join(index, F.col(column) == F.col("_string"), "left").drop("_string")
+    return joined.withColumn(out, F.coalesce(out, last))
 
 
 def encode(df: DataFrame) -> DataFrame:

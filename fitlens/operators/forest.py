@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from fitlens.constants import FOREST_TREES
 from fitlens.operators.encoding import assemble
 from fitlens.operators.positions import running_sums
+from fitlens.operators.sampling import sample_per_group
 from fitlens.session import stored
 from fitlens.sources.io import literal_rows
 
 MAX_BINS = 32
-MAX_CELLS = 2_000_000
+# Rows of a key that its forest is grown on, at most.
+MAX_ROWS = 20_000
 MAX_DEPTH = 5
 
 
@@ -40,17 +42,12 @@ def rf_importance(df: DataFrame, features: Sequence[str], label: str, trees: int
     )
 
 
-def feature_cells(
-    df: DataFrame, key: str, features: Sequence[str], label: str, bins: int = MAX_BINS, max_cells: int = MAX_CELLS
-) -> DataFrame:
+def feature_cells(df: DataFrame, key: str, features: Sequence[str], label: str, bins: int = MAX_BINS) -> DataFrame:
     """Rows of each key counted by binned features and label.
 
     A feature has up to ``bins`` equal-width bins between its extremes within the key; the bin
-    is kept as its number. A key of any size comes down to at most ``max_cells`` cells per
-    label: with many features there are fewer bins, so that their product stays below that.
+    is kept as its number.
     """
-    while bins > 2 and bins ** len(features) > max_cells:
-        bins -= 1
     ends = df.groupBy(key).agg(
         *[F.min(f).cast("double").alias(f"_lo_{f}") for f in features],
         *[F.max(f).cast("double").alias(f"_hi_{f}") for f in features],
@@ -99,6 +96,15 @@ def _grow(x: np.ndarray, w: np.ndarray, rng: np.random.Generator, gains: np.ndar
         _grow(x[side], w[side], rng, gains, total, depth - 1)
 
 
+def quantile_bins(x: np.ndarray, bins: int = MAX_BINS) -> np.ndarray:
+    """Number of the quantile bin of each value, per column."""
+    out = np.zeros(x.shape, int)
+    for j, column in enumerate(x.T):
+        cuts = np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1], method="lower"))
+        out[:, j] = np.searchsorted(cuts, column, "left")
+    return out
+
+
 def cell_importances(x: np.ndarray, w: np.ndarray, trees: int, seed: int) -> np.ndarray:
     """Mean normalised Gini importances of a bagged forest on weighted cells.
 
@@ -118,25 +124,33 @@ def cell_importances(x: np.ndarray, w: np.ndarray, trees: int, seed: int) -> np.
 
 
 def rf_importance_by_group(
-    df: DataFrame, key: str, features: Sequence[str], label: str, trees: int = FOREST_TREES, seed: int = 0
+    df: DataFrame,
+    key: str,
+    features: Sequence[str],
+    label: str,
+    trees: int = FOREST_TREES,
+    seed: int = 0,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """``(key, feature, importance, rank)`` of one forest per key, all keys in one job.
 
-    Rows are counted into cells before they meet, so a task never holds more than the bounded
-    cells of a key. A key with one label only has zero importances.
+    A forest is grown on at most ``max_rows`` rows of its key, drawn at random; so a task holds a bounded table however large a
+    key is. Features are binned by quantiles of these rows, at most ``MAX_BINS`` bins each. A key with one label only has zero
+    importances.
     """
-    cells = feature_cells(stored(df.select(key, *features, label)), key, features, label)
     names = list(features)
     kind = dict(df.dtypes)[key]
+    rows = df.select(key, *[F.col(f).cast("double").alias(f) for f in names], F.col(label).cast("int").alias(label))
+    marked = stored(rows.withColumn("_row", F.to_json(F.struct(*names, label))).withColumn("_most", F.lit(max_rows)))
+    drawn = sample_per_group(marked, key, "_row", "_most", seed).select(key, *names, label)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([*names, label])
         group = pdf[key].iloc[0]
-        table = pdf.pivot_table(index=names, columns=label, values="n", aggfunc="sum", fill_value=0)
-        x = np.array(table.index.to_list(), dtype=int).reshape(len(table), len(names))
-        w = np.stack([table[c].to_numpy(float) if c in table else np.zeros(len(table)) for c in (0, 1)], axis=1)
+        x = quantile_bins(pdf[names].to_numpy(float))
+        cells, place = np.unique(x, axis=0, return_inverse=True)
+        w = np.stack([np.bincount(place.ravel(), pdf[label].to_numpy() == c, len(cells)) for c in (0, 1)], axis=1)
         own_seed = int(hashlib.md5(f"{seed}|{group}".encode()).hexdigest()[:8], 16)
-        scores = cell_importances(x, w, trees, own_seed)
+        scores = cell_importances(cells, w, trees, own_seed)
         order = sorted(range(len(names)), key=lambda i: (-scores[i], names[i]))
         return pd.DataFrame(
             {
@@ -148,7 +162,7 @@ def rf_importance_by_group(
         )
 
     # Growing trees is long work on few rows, so groups go to all cores, however small they are.
-    spread = cells.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    spread = drawn.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
     return spread.groupBy(key).applyInPandas(fit, f"`{key}` {kind}, feature string, importance double, rank int")
 
 

@@ -13,7 +13,6 @@ from fitlens.functions.text import md5_number
 from fitlens.operators.joins import null_safe_join
 
 CHUNK = 10_000
-PROBE_ROWS = 100_000
 
 
 def ids_by(df: DataFrame, key: str, value: str, out: str, chunk: int = CHUNK) -> DataFrame:
@@ -61,16 +60,13 @@ def moments(df: DataFrame, key: str, x: str) -> DataFrame:
     )
 
 
-def beside(df: DataFrame, part: str, aggregates: Sequence[Column], probe_rows: int = PROBE_ROWS) -> DataFrame:
+def beside(df: DataFrame, part: str, aggregates: Sequence[Column]) -> DataFrame:
     """Put aggregates over each partition next to its rows, as an unordered window would.
 
     The rows are summed up per key first and the result is joined back, so no partition has to
-    fit one task. A bounded probe counts the keys: up to ``probe_rows`` of them are broadcast
-    and the rows stay where they are; beyond that both sides meet in a shuffled join.
+    fit one task. How the two sides meet is chosen at run time by the size of the sums.
     """
-    summed = df.groupBy(part).agg(*aggregates)
-    few = summed.select(part).limit(probe_rows + 1).count() <= probe_rows
-    return null_safe_join(df, F.broadcast(summed) if few else summed, [part])
+    return null_safe_join(df, df.groupBy(part).agg(*aggregates), [part])
 
 
 def collect_over(df: DataFrame, part: str, x: str, domain: Sequence[str], out: str) -> DataFrame:

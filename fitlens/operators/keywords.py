@@ -64,8 +64,8 @@ def expand_lexicon(lexicon: DataFrame, forms: DataFrame) -> DataFrame:
 
 
 def first_values(lexicon: DataFrame) -> DataFrame:
-    """``(word, value)`` with the value of the first lexicon entry that lists the word."""
-    return lexicon.groupBy("word").agg(F.min_by("value", "priority").alias("value"))
+    """``(word, value)`` with the value of the first lexicon entry that lists the word, in lower case as keywords are."""
+    return lexicon.groupBy(F.lower("word").alias("word")).agg(F.min_by("value", "priority").alias("value"))
 
 
 def match_values(words: DataFrame, id_col: str, lexicon: DataFrame, distinct: bool) -> DataFrame:

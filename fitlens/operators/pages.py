@@ -17,6 +17,7 @@ from fitlens.operators.joins import null_safe_join
 # An absolute URL in running text or in an attribute.
 URL = r"https?://[^\s\\>\"')]+"
 SITE = r"^(https?://[^/?#]+)"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 TEXT_CHARS = 1_000_000
 
 
@@ -34,10 +35,10 @@ def _pieces(html: Column, tag: str) -> Column:
 
 
 def _attribute(piece: Column, name: str) -> Column:
-    """Quoted attribute of a tag, or NULL."""
+    """Attribute of a tag, quoted or bare, or NULL."""
     tag = F.substring_index(piece, ">", 1)
-    value = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')", 0)
-    bare = F.regexp_replace(value, rf"(?is)^\s{name}\s*=\s*[\"']|[\"']$", "")
+    value = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 0)
+    bare = F.regexp_replace(value, rf"(?is)^\s{name}\s*=\s*[\"']?|[\"']$", "")
     return F.when(value != "", bare)
 
 
@@ -56,17 +57,30 @@ def _cleaned(url: Column) -> Column:
     return F.regexp_extract(F.trim(url), r"^[^\s>]*", 0)
 
 
+def _without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` steps taken; none leads above the root."""
+    steps = F.aggregate(
+        F.split(F.regexp_replace(path, r"(^|/)(\.\.?)$", "$1$2/"), "/"),
+        F.array().cast("array<string>"),
+        lambda done, step: F.when(step == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1))))
+        .when(step == ".", done)
+        .otherwise(F.concat(done, F.array(step))),
+    )
+    return F.array_join(steps, "/")
+
+
 def joined_url(base: Column, href: Column) -> Column:
     """``href`` seen from a page at ``base``."""
     site = F.regexp_extract(base, SITE, 1)
     path = F.regexp_extract(base, r"^[^?#]*", 0)
     folder = F.when(path == site, F.concat(site, F.lit("/"))).otherwise(F.regexp_extract(path, r"^.*/", 0))
     return (
-        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+        F.when(href.rlike(SCHEME), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^https?:", 0), href))
         .when(href.startswith("/"), F.concat(site, href))
         .when(href.startswith("?"), F.concat(path, href))
         .when(href.startswith("#"), F.concat(F.regexp_extract(base, r"^[^#]*", 0), href))
+        .when(href.rlike(r"(^|/)\.\.?(/|$)"), F.concat(site, _without_dots(F.concat(F.replace(folder, site), href))))
         .otherwise(F.concat(folder, href))
     )
 
@@ -74,8 +88,8 @@ def joined_url(base: Column, href: Column) -> Column:
 def links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``(page_id, url, kind, label)`` of all links of a page.
 
-    Kinds: ``absolute`` and ``relative`` (resolved) hrefs, absolute image sources, and bare URLs
-    in the text. ``label`` is the text in spans of an href link.
+    Kinds: ``absolute``, ``relative`` (resolved) and ``other`` (mailto and the like) hrefs, absolute
+    image sources, and bare URLs in the text. ``label`` is the text in spans of an href link.
     """
     body = _without(F.col(html), ["script", "style"])
     base = F.col(url)
@@ -88,7 +102,7 @@ def links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: st
         absolute = href.rlike(f"^{URL}")
         return F.struct(
             F.when(absolute, href).otherwise(joined_url(base, href)).alias("url"),
-            F.when(absolute, F.lit("absolute")).otherwise(F.lit("relative")).alias("kind"),
+            F.when(absolute, F.lit("absolute")).when(href.rlike(SCHEME), F.lit("other")).otherwise(F.lit("relative")).alias("kind"),
             label.alias("label"),
         )
 
@@ -140,9 +154,11 @@ def page_text(pages: DataFrame, page_id: str = "page_id", html: str = "html", mi
     return pages.select(page_id, F.array_join(readable_paragraphs(F.col(html), min_words), "\n\n").alias("text"))
 
 
-def site_text(about: DataFrame, site: str, url: str, text: str, chars: int = TEXT_CHARS) -> DataFrame:
+def site_text(about: DataFrame, site: str, url: str, text: str, chars: int = TEXT_CHARS, sites: DataFrame | None = None) -> DataFrame:
     """``(site, part, text)``: texts of the distinct about pages of a site, NULL if all are empty.
 
+    With ``sites`` (a column ``site``) every one of them is in the result, with NULL in part 0 if it has no about pages.
+
     A site with more than ``chars`` characters is dealt over several parts by the hash of the
     URL; within a part texts follow the order of their URLs.
     """
@@ -154,7 +170,11 @@ def site_text(about: DataFrame, site: str, url: str, text: str, chars: int = TEX
     dealt = null_safe_join(once, sizes, [site]).withColumn("part", md5_number(F.col(url)) % F.col("_parts"))
     ordered = F.array_sort(F.collect_list(F.struct(F.col(url).alias("u"), F.col(text).alias("t"))))
     joined = F.array_join(F.transform(F.filter(ordered, lambda r: r["t"] != ""), lambda r: r["t"]), "\n")
-    return dealt.groupBy(site, "part").agg(F.nullif(joined, F.lit("")).alias("text"))
+    out = dealt.groupBy(site, "part").agg(F.nullif(joined, F.lit("")).alias("text"))
+    if sites is None:
+        return out
+    every = sites.select(site).distinct()
+    return null_safe_join(every, out, [site], "left").withColumn("part", F.coalesce("part", F.lit(0).cast("bigint")))
 
 
 def container_text(pages: DataFrame, page_id: str, html: str, div_class: str, p_class: str) -> DataFrame:

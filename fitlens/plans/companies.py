@@ -96,12 +96,13 @@ def company_sums(rows: DataFrame, flags: Sequence[str] = FLAGS, x: str = TENURE,
     )
     per = stored(per)
     n2, nx2 = F.sum("n1"), F.sum("nx1")
-    mean2 = F.try_divide(F.sum(F.col("nx1") * F.col("mean1")), nx2)
+    # Squares are taken about the mean of everybody, so that large values do not cancel out.
+    mean2 = per.agg(F.try_divide(F.sum(F.col("nx1") * F.col("mean1")), nx2).alias("m")).scalar()
     within = F.sum((F.col("nx1") - 1) * F.coalesce("var1", F.lit(0.0)))
-    between = F.sum(F.col("nx1") * F.col("mean1") * F.col("mean1")) - nx2 * mean2 * mean2
-    var2 = F.try_divide(F.coalesce(within, F.lit(0.0)) + between, nx2 - 1)
+    between = F.sum(F.col("nx1") * F.pow(F.col("mean1") - mean2, F.lit(2.0)))
+    var2 = F.try_divide(F.coalesce(within, F.lit(0.0)) + F.coalesce(between, F.lit(0.0)), nx2 - 1)
     totals = F.struct(
-        n2.alias("n2"), *[F.sum(f).alias(f) for f in flags], nx2.alias("nx2"), mean2.alias("mean2"), var2.alias("var2")
+        n2.alias("n2"), *[F.sum(f).alias(f) for f in flags], nx2.alias("nx2"), F.max(mean2).alias("mean2"), var2.alias("var2")
     )
     return per.withColumn("everybody", per.agg(totals.alias("t")).scalar())
 
@@ -161,7 +162,7 @@ def all_tests(rows: DataFrame, key: str = "company_name") -> DataFrame:
 def company_values(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Distinct ``(company_name, value, source)``; source is ``slogan``, or NULL for other text.
 
-    texts(company_name, scraped_data, about, slogan) is read once.
+    texts(company_name, scraped_data, about, slogan) is read once; a company may have several rows.
     """
 
     def found(text: str, source: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,17 +27,12 @@ def local_session(app: str = "fitlens", cores: str = "*", **conf: str) -> SparkS
 def shared_folder(spark: SparkSession) -> str:
     """Folder for stored tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    A local master without one gets a temporary folder; any other master must name a folder
-    that all executors share.
+    Without one it is a folder of the warehouse, which all executors share as well.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="fitlens-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/stored")
     return sc.getCheckpointDir()
 
 
@@ -51,3 +46,12 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Delete the table behind a DataFrame that ``stored`` returned; it must not be read any more."""
+    spark = df.sparkSession
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        if os.path.basename(folder).startswith("table-") and shared_folder(spark).rstrip("/").endswith(os.path.basename(os.path.dirname(folder))):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

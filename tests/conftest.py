@@ -6,8 +6,9 @@ from fitlens.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", "4", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("tests", "4", **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": shared})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

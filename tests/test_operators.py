@@ -93,10 +93,9 @@ def test_eligible_counts_distinct(frame):
 
 def test_beside_matches_window(frame):
     df = frame([("a", 3.0, 1), ("b", 1.0, 0), ("b", 2.0, 1), (None, 5.0, 1), (None, 7.0, 0)], "k string, x double, f int")
-    for probe in (100, 0):
-        got = g.beside(df, "k", [F.avg("x").alias("m"), F.var_samp("x").alias("v")], probe)
-        assert {(r["k"], r["m"], r["v"]) for r in got.collect()} == {("a", 3.0, None), ("b", 1.5, 0.5), (None, 6.0, 2.0)}
-        assert got.count() == 5
+    got = g.beside(df, "k", [F.avg("x").alias("m"), F.var_samp("x").alias("v")])
+    assert {(r["k"], r["m"], r["v"]) for r in got.collect()} == {("a", 3.0, None), ("b", 1.5, 0.5), (None, 6.0, 2.0)}
+    assert got.count() == 5
     assert {r["p"] for r in g.pct_over(df, "k", {"p": "f"}).collect()} == {100.0, 50.0}
 
 
@@ -315,10 +314,10 @@ def test_forest_agrees_with_spark_ml(frame):
     assert ours["importance"] == pytest.approx(theirs["importance"], abs=0.15)
 
 
-def test_cells_are_bounded(frame):
+def test_cells_count_all_rows(frame):
     df = frame([("a", i % 2, float(i), float(-i)) for i in range(500)], "k string, y int, f double, g double")
-    cells = fr.feature_cells(df, "k", ["f", "g"], "y", bins=32, max_cells=100)
-    assert cells.count() <= 200 and cells.agg(F.sum("n")).first()[0] == 500
+    cells = fr.feature_cells(df, "k", ["f", "g"], "y", bins=32)
+    assert cells.count() <= 64 and cells.agg(F.sum("n")).first()[0] == 500
 
 
 def test_stump_gain_against_brute_force(frame):
@@ -371,3 +370,34 @@ def test_density_against_numpy(frame):
             expected = np.exp(-0.5 * ((p - x) / bw) ** 2).sum() / (len(x) * bw * np.sqrt(2 * np.pi))
             assert got[is_all, key, p] == pytest.approx(expected, rel=1e-9)
     assert not any(k == "flat" for _, k, _ in got)
+
+
+def test_density_of_large_values(frame):
+    data = [("A", 1e8 + i) for i in range(5)] + [("B", 1e8 + 2.0), ("B", 1e8 + 2.0)]
+    got = {(r["is_all"], r["k"]): r["density"] for r in ds.density(frame(data, "k string, x double"), "k", "x", [1e8 + 2]).collect()}
+    x = np.array([v for _, v in data])
+    for key, values in (((0, "A"), x[:5]), ((1, None), x)):
+        bw = len(values) ** -0.2 * values.std(ddof=1)
+        want = np.exp(-0.5 * ((1e8 + 2 - values) / bw) ** 2).sum() / (len(values) * bw * np.sqrt(2 * np.pi))
+        assert abs(got[key] - want) < 1e-9
+    assert (0, "B") not in got
+
+
+def test_string_index_keeps_or_drops_nulls(frame):
+    df = frame([(f"Public {i:03}",) for i in range(300)] + [("Public 007",), (None,), (None,)], "s string").repartition(5)
+    kept = en.string_index(df, "s", "x").collect()
+    index = {r["s"]: r["x"] for r in kept}
+    order = ["Public 007"] + [f"Public {i:03}" for i in range(300) if i != 7]
+    assert index == {s: float(i) for i, s in enumerate(order)} | {None: 300.0} and len(kept) == 303
+    assert en.string_index(df, "s", "x", nulls="skip").count() == 301
+
+
+def test_forest_with_an_outlier(frame):
+    rng = np.random.default_rng(8)
+    good, noise = rng.random(2000), rng.random(2000)
+    noise[0] = 1e7
+    data = [("k", float(a), float(b), int(a > 0.5)) for a, b in zip(good, noise)]
+    out = fr.rf_importance_by_group(frame(data, "k string, good double, noise double, y int"), "k", ["good", "noise"], "y", trees=20)
+    assert {r["feature"]: r["importance"] for r in out.collect()}["good"] > 0.85
+    few = fr.rf_importance_by_group(frame(data, "k string, good double, noise double, y int"), "k", ["good", "noise"], "y", trees=5, max_rows=300)
+    assert few.orderBy("rank").first()["feature"] == "good"

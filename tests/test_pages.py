@@ -92,3 +92,19 @@ def test_first_result(frame):
     assert rows(pg.first_result(page(frame, html), *args)) == [(1, "https://h/1", "First & Co")]
     assert pg.first_result(page(frame, html), *args, skip=["First & Co"]).count() == 0
     assert pg.first_result(page(frame, "<div>none</div>"), *args).count() == 0
+
+
+def test_bare_attributes_dots_and_other_schemes(frame):
+    got = rows(pg.links(page(frame, "<a href=/bare>x</a><a href='../up'>y</a><a href=mailto:a@b.org>z</a><a href='./c/./d/../e'>w</a>")))
+    assert got == [
+        (1, "https://site.org/a/c/e", "relative", ""),
+        (1, "https://site.org/bare", "relative", ""),
+        (1, "https://site.org/up", "relative", ""),
+        (1, "mailto:a@b.org", "other", ""),
+    ]
+
+
+def test_sites_without_about_pages_stay(frame):
+    df = frame([("s", "u", "text")], "site string, url string, text string")
+    sites = frame([("s",), ("t",), ("t",)], "site string")
+    assert rows(pg.site_text(df, "site", "url", "text", sites=sites)) == [("s", 0, "text"), ("t", 0, None)]

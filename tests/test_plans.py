@@ -252,3 +252,10 @@ def test_training_rows(people, companies):
     texts = {r["id"]: r["organization_types"] for r in got}
     assert texts["1"] == "Nonprofit Self-Employed " and texts["3"] == ""
     assert {r["average_months_of_experience"] for r in got if r["id"] == "3"} == {-1.0}
+
+
+def test_pooled_variance_of_large_values(frame):
+    data = [("A", 1e8 + x) for x in (0.0, 1.0, 2.0)] + [("B", 1e8 + x) for x in (0.5, 1.5, 2.5)]
+    sums = co.company_sums(frame(data, "company_name string, x double"), [], "x")
+    everybody = sums.select("everybody.*").first()
+    assert abs(everybody["var2"] - 0.875) < 1e-6 and everybody["mean2"] == 1e8 + 1.25

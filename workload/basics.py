@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from fitlens.operators import rows as rw
 from fitlens.operators.sampling import sample_per_group
 from fitlens.plans import companies as co
 from fitlens.plans import profiles as pf
+from fitlens.session import shared_folder
 from fitlens.sources import io
 from workload.roles import Roles, query, sql
 
@@ -725,3 +728,21 @@ def f15(r: Roles) -> DataFrame:
 def f16(r: Roles) -> DataFrame:
     listed = F.when(F.col("p_brand") != "Brand#3", F.split("p_type", "O"))
     return r.table("part").select("p_partkey", fa.size0(listed).alias("n"))
+
+
+@query("s2_csv_round_trip", "SELECT CAST(doc_id AS VARCHAR) AS company_name, nullif(text, '') AS scraped_data FROM documents")
+def s2(r: Roles) -> DataFrame:
+    """All documents through a CSV folder in the shared place."""
+    path = f"{shared_folder(r.spark)}/table-{uuid.uuid4().hex}"
+    docs = r.table("documents")
+    io.append_scraped(docs.select(F.col("doc_id").cast("string").alias("company_name"), F.col("text").alias("scraped_data")), path)
+    return io.read_scraped(r.spark, path)
+
+
+@query("s3_parquet_round_trip", "SELECT doc_id, md5(text) AS digest, lang, source FROM documents")
+def s3(r: Roles) -> DataFrame:
+    """All documents through a Parquet table with a folder for each language."""
+    path = f"{shared_folder(r.spark)}/table-{uuid.uuid4().hex}"
+    docs = r.table("documents")
+    io.write_table(docs, path, ["lang"])
+    return io.read_table(r.spark, path, docs.schema).select("doc_id", F.md5("text").alias("digest"), "lang", "source")

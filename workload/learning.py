@@ -94,7 +94,7 @@ def m4(r: Roles) -> DataFrame:
 
 @query("m5_forest")
 def m5(r: Roles) -> DataFrame:
-    return fr.rf_importance(train(r), en.FEATURES, "label", trees=20, seed=SEED)
+    return fr.rf_importance(documents(r), DOC_FEATURES, "quality", seed=SEED)
 
 
 @query("m6_forest_by_company")

@@ -90,7 +90,7 @@ class Roles:
         )
         orders = self.table("orders")
         priority = F.substring("o_orderpriority", 1, 1)
-        education = orders.filter("o_orderstatus = 'P'").select(
+        education = orders.select(
             F.col("o_custkey").alias("id"),
             F.when(priority == "1", "BSc Economics")
             .when(priority == "2", "Master of Arts")
@@ -108,12 +108,11 @@ class Roles:
                 F.lit(" months"),
             ).alias("duration_short"),
         )
-        first_lines = self.table("lineitem").filter("l_linenumber = 1").select("l_orderkey", "l_suppkey")
+        lines = self.table("lineitem").select("l_orderkey", "l_suppkey")
         supplier = self.table("supplier").select("s_suppkey", "s_nationkey")
         employers = (
-            orders.filter("o_orderpriority = '1-URGENT'")
-            .select("o_orderkey", "o_custkey")
-            .join(first_lines, F.col("o_orderkey") == F.col("l_orderkey"))
+            orders.select("o_orderkey", "o_custkey")
+            .join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
             .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
             .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
             .select(F.col("o_custkey").alias("id"), F.col("n_name").alias("company_name"))
@@ -149,15 +148,16 @@ class Roles:
 
     @cached_property
     def company_texts(self) -> DataFrame:
-        """Slogan, about and scraped text of a company from three parts each."""
+        """A row for each text of a company: every part is the slogan, the about text or a scraped text of one."""
         nation = self.table("nation")
         part = self.table("part").select("p_partkey", "p_name")
-        place = F.floor(F.col("p_partkey") / 25)
-        texts = part.filter("p_partkey < 75").join(nation, F.col("p_partkey") % 25 == F.col("n_nationkey"))
-        return texts.groupBy(F.col("n_name").alias("company_name")).agg(
-            F.max(F.when(place == 0, F.col("p_name"))).alias("slogan"),
-            F.max(F.when(place == 1, F.col("p_name"))).alias("about"),
-            F.max(F.when(place == 2, F.col("p_name"))).alias("scraped_data"),
+        place = F.floor(F.col("p_partkey") / 25) % 3
+        texts = part.join(nation, F.col("p_partkey") % 25 == F.col("n_nationkey"))
+        return texts.select(
+            F.col("n_name").alias("company_name"),
+            F.when(place == 0, F.col("p_name")).alias("slogan"),
+            F.when(place == 1, F.col("p_name")).alias("about"),
+            F.when(place == 2, F.col("p_name")).alias("scraped_data"),
         )
 
     @cached_property
@@ -196,7 +196,7 @@ CTES = {
     "education": """education AS (
   SELECT o_custkey AS id, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'BSc Economics' WHEN '2' THEN 'Master of Arts'
     WHEN '3' THEN 'PhD' WHEN '4' THEN 'Diploma' ELSE 'Associate degree' END AS degree
-  FROM orders WHERE o_orderstatus = 'P')""",
+  FROM orders)""",
     "levels": """levels AS (
   SELECT DISTINCT id, CASE degree WHEN 'BSc Economics' THEN 'Bachelor' WHEN 'Master of Arts' THEN 'Master'
     WHEN 'PhD' THEN 'Doctorate' ELSE 'Associate' END AS degree
@@ -210,9 +210,8 @@ CTES = {
   FROM events WHERE value > 150 AND user_id IN (SELECT c_custkey FROM customer))""",
     "past": """past AS (
   SELECT o_custkey AS id, n_name AS company_name
-  FROM orders JOIN lineitem ON o_orderkey = l_orderkey AND l_linenumber = 1
-  JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-  WHERE o_orderpriority = '1-URGENT')""",
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+  JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)""",
     "bridge": """bridge AS (
   SELECT current_company AS company_name, id FROM people UNION SELECT company_name, id FROM past)""",
     "companies": """companies AS (
@@ -278,8 +277,8 @@ ttests AS (SELECT w.*, 1 - 2 * half AS p_value FROM welch w JOIN simpson USING (
     + ")",
     "first_values": """first_values AS (SELECT word, arg_min(value, priority) AS value FROM lexicon GROUP BY word)""",
     "company_values": """texts AS (
-  SELECT n_name AS company_name, CASE WHEN p_partkey < 25 THEN 'slogan' END AS source, p_name
-  FROM part JOIN nation ON p_partkey % 25 = n_nationkey WHERE p_partkey < 75),
+  SELECT n_name AS company_name, CASE WHEN p_partkey // 25 % 3 = 0 THEN 'slogan' END AS source, p_name
+  FROM part JOIN nation ON p_partkey % 25 = n_nationkey),
 company_words AS (SELECT company_name, source, unnest(string_split(p_name, ' ')) AS word FROM texts),
 company_values AS (SELECT DISTINCT company_name, value, source FROM company_words JOIN first_values USING (word))""",
     "feature_values": """worked AS (

@@ -223,7 +223,8 @@ links AS (
       WHEN href LIKE '#%' THEN regexp_extract(base, '^[^#]*') || href
       WHEN href LIKE '?%' THEN regexp_extract(base, '^[^?#]*') || href
       ELSE regexp_extract(regexp_extract(base, '^[^?#]*'), '^.*/') || href END), '^[^\s>]*') AS url,
-    CASE WHEN regexp_matches(href, '^https?://[^\s\\>"'')]+') THEN 'absolute' ELSE 'relative' END AS kind FROM hrefs
+    CASE WHEN regexp_matches(href, '^https?://[^\s\\>"'')]+') THEN 'absolute'
+      WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN 'other' ELSE 'relative' END AS kind FROM hrefs
   UNION ALL SELECT page_id, regexp_extract(trim(url), '^[^\s>]*'), 'text' FROM bare)"""
 
 
@@ -288,3 +289,23 @@ def h4(r: Roles) -> DataFrame:
         F.array_join(pg.readable_paragraphs(F.col("html")), "\n\n").alias("text"),
     )
     return pg.site_text(about, "site", "url", "text", chars=20_000)
+
+
+BOX = "'<nav>x</nav><div class=\"scrollTarget divider\"><div><p class=\"big section-text\">' || p_name || '</p></div><p>no</p></div>'"
+CARD = (
+    "'<a href=\"/m\">m</a><div class=\"results\"><a href=\"https://h/' || p_partkey || '\"><div class=\"card-title\"> ' || p_name "
+    "|| '</div></a><a href=\"https://h/0\"><div class=\"card-title\">second</div></a></div>'"
+)
+
+
+@query("h5_container_text", "SELECT p_partkey, p_name AS text FROM part")
+def h5(r: Roles) -> DataFrame:
+    """Every part name in a built page, and out of it again."""
+    pages = r.table("part").select("p_partkey", F.expr(BOX).alias("html"))
+    return pg.container_text(pages, "p_partkey", "html", "scrollTarget divider", "section-text")
+
+
+@query("h6_first_result", "SELECT p_partkey, 'https://h/' || p_partkey AS url, p_name AS title FROM part WHERE p_name <> 'hot rod'")
+def h6(r: Roles) -> DataFrame:
+    pages = r.table("part").select("p_partkey", F.expr(CARD).alias("html"))
+    return pg.first_result(pages, "p_partkey", "html", "results", "card-title", skip=["hot rod"])
