@@ -24,8 +24,11 @@ from fitlens.session import stored
 
 HASHES = 128
 ORDERS = 16
-# Following rows of an order that a row is compared with.
-REACH = 8
+# Neighbours in an order that a row is compared with: so many everywhere, and up to so many where a quarter of them are alike.
+# The likeliest of them, from either side, become candidates.
+NEAR, REACH, BEST = 8, 64, 2
+# Rows that are copied to all tasks at most, of 8 or 16 bytes each. More of them meet the others in a shuffle.
+COPIED = 1_000_000
 # Standard errors below the threshold that an estimated similarity may lie.
 MARGIN = 4.5
 # Rounds in which each component tries one pair.
@@ -101,20 +104,37 @@ def sign_documents(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
     return signed.withColumn("id", F.col("id").cast("long"))
 
 
+def _best(key: np.ndarray, same: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which entries are among the ``BEST`` of their key by agreement."""
+    order = np.lexsort((other, -same, key))
+    keys, places = key[order], np.arange(len(key))
+    heads = np.concatenate([[True], keys[1:] != keys[:-1]])[: len(key)]
+    rank = places - np.maximum.accumulate(np.where(heads, places, 0))
+    out = np.zeros(len(key), bool)
+    out[order[rank < BEST]] = True
+    return out
+
+
 def _neighbours(order: np.ndarray, sigs: np.ndarray, sizes: np.ndarray, ids: np.ndarray, first: int, least: int, percent: int) -> pd.DataFrame:
     """Pairs of a row from ``first`` on and one of the rows before it that may be similar enough."""
-    found = []
+    hits = np.zeros(len(ids), np.int64)
+    found = [np.zeros((0, 3), np.int64)]
     for j in range(1, REACH + 1):
         b = np.arange(max(j, first), len(ids))
+        if j > NEAR:
+            b = b[hits[b] * 4 >= j]  # on only where many documents are alike
         a = b - j
         small, large = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
         may = (order[a] == order[b]) & (100 * small >= percent * large) & (ids[a] != ids[b])
         a, b = a[may], b[may]
         same = (sigs[a] == sigs[b]).sum(1)
         a, b, same = a[same >= least], b[same >= least], same[same >= least]
-        found.append(np.stack([np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), same], 1))
-    pairs = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
-    return pd.DataFrame(pairs, columns=["a", "b", "same"])
+        hits[b] += 1
+        found.append(np.stack([a, b, same], 1))
+    a, b, same = np.concatenate(found).T
+    chosen = _best(a, same, b) | _best(b, same, a)
+    a, b, same = a[chosen], b[chosen], same[chosen]
+    return pd.DataFrame({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b]), "same": same})
 
 
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
@@ -138,8 +158,8 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
             if not len(batch):
                 continue
             first = 0 if last is None else len(last)
-            if sum(map(len, head)) < REACH:
-                head.append(batch[: REACH])
+            if sum(map(len, head)) < NEAR:
+                head.append(batch[:NEAR])
             rows = batch if last is None else pd.concat([last, batch], ignore_index=True)
             sigs = np.frombuffer(b"".join(rows["path"]), np.uint8).reshape(len(rows), HASHES)
             pairs = _neighbours(rows["order"].to_numpy(), sigs, rows["n"].to_numpy(np.int64), rows["rep"].to_numpy(np.int64), first, least, percent)
@@ -147,7 +167,7 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
             yield pairs.drop_duplicates().reindex(columns=COLUMNS)
             last = rows[-REACH:]
         if last is not None:
-            edge = pd.concat([*head, last])
+            edge = pd.concat([*head, last[-NEAR:]])
             yield edge.drop_duplicates(["order", "rep"]).reindex(columns=COLUMNS)
 
     def compare_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -174,17 +194,23 @@ def full_sets(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int) ->
         for batch in batches:
             yield pd.DataFrame({"id": batch["id"], "shingles": [shingles.of(t).view(np.int64) for t in batch["text"]]})
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(needed, "id", "left_semi")
+    needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(_copied(needed), "id", "left_semi")
     return texts.mapInPandas(sets, "id long, shingles array<long>")
 
 
+def _copied(rows: DataFrame) -> DataFrame:
+    """Stored rows with the hint to copy them to all tasks, if they are few enough."""
+    return F.broadcast(rows) if rows.limit(COPIED + 1).count() <= COPIED else rows
+
+
 def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough."""
-    left = full.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
-    right = full.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
+    """The stored pairs ``(a, b)`` whose full sets are similar enough."""
+    few = _copied(pairs.select("a", "b"))
+    left = full.join(few, F.col("id") == F.col("a")).select("a", "b", F.col("shingles").alias("left"))
+    right = full.join(few, F.col("id") == F.col("b")).select("a", "b", F.col("shingles").alias("right"))
     both = F.size(F.array_intersect("left", "right"))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b")
+    joined = left.join(right, ["a", "b"])
     joined = joined.select("a", "b", both.alias("both"), (F.size("left") + F.size("right")).alias("all"))
     return joined.filter(F.col("both") * 100 >= (F.col("all") - F.col("both")) * percent).select("a", "b").distinct()
 
