@@ -36,15 +36,29 @@ def keywords(
     ``pos_lexicon(word, tag)`` keeps nouns (NN…) and adjectives (JJ…) only.
     """
     words = df.select(id_col, F.explode(keyword_array(F.col(text), stopwords)).alias("word"))
-    if pos_lexicon is not None:
-        wanted = pos_lexicon.filter(F.col("tag").rlike("^(NN|JJ)")).select("word").distinct()
-        words = words.join(wanted, "word", "left_semi").select(id_col, "word")
-    return words
+    return words if pos_lexicon is None else nouns_and_adjectives(words, pos_lexicon)
 
 
-def keywords_many(df: DataFrame, id_col: str, text: str, stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
-    """Distinct ``(id, word)`` over all texts of an id; blank texts add nothing."""
-    return keywords(df.filter(F.trim(text) != ""), id_col, text, stopwords).distinct()
+def nouns_and_adjectives(words: DataFrame, pos_lexicon: DataFrame) -> DataFrame:
+    """Words that ``pos_lexicon(word, tag)`` knows as nouns or adjectives."""
+    wanted = pos_lexicon.filter(F.col("tag").rlike("^(NN|JJ)")).select(F.lower("word").alias("word")).distinct()
+    return words.join(wanted, "word", "left_semi").select(*words.columns)
+
+
+def keywords_many(
+    df: DataFrame,
+    id_col: str,
+    text: str,
+    stopwords: Sequence[str] = STOPWORDS,
+    pos_lexicon: DataFrame | None = None,
+    forms: DataFrame | None = None,
+) -> DataFrame:
+    """Distinct ``(id, word)`` over all texts of an id; blank texts add nothing.
+
+    ``pos_lexicon`` filters as in ``keywords``; ``forms(token, form)`` then puts words in their base form.
+    """
+    words = keywords(df.filter(F.trim(text) != ""), id_col, text, stopwords, pos_lexicon)
+    return (words if forms is None else lemmatise(words, forms)).distinct()
 
 
 def merge_keywords(columns: Sequence[str]) -> Column:

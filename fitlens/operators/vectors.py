@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fitlens.functions.arrays import cosine
-from fitlens.session import stored
+from fitlens.session import drop_stored, stored
 
 MAX_ANCHOR_NUMBERS = 4_000_000
 MAX_BLOCK_SCORES = 4_000_000
@@ -121,9 +121,11 @@ def dominant_vectors(df: DataFrame, key: str, vec: str, k: int = 2, rounds: int
     each centre on the map side and stores the new centres, which cuts the lineage. A key of
     any size is spread over all tasks. Centres start at the mean plus and minus the spread of
     the widest dimension, so runs agree. It ends when in no key the squared moves of the
-    centres add up to more than ``tolerance`` times the mean variance of its dimensions.
+    centres add up to more than ``tolerance`` times the mean variance of its dimensions, or after ``rounds`` rounds;
+    ``converged`` says for each key which it was.
     """
     rows = df.filter(F.col(vec).isNotNull()).select(key, array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
+    rows = stored(rows)
     stats = rows.groupBy(key).agg(Summarizer.metrics("mean", "variance").summary(F.col("_v")).alias("s"))
     stats = stats.select(key, vector_to_array("s.mean").alias("m"), vector_to_array("s.variance").alias("v"))
     wide = F.array_position("v", F.array_max("v")) - 1
@@ -135,12 +137,20 @@ def dominant_vectors(df: DataFrame, key: str, vec: str, k: int = 2, rounds: int
 
     enough = F.aggregate("v", F.lit(0.0), lambda s, x: s + x) / F.size("v") * tolerance
     centres = stored(stats.select(key, F.array(*[start(s) for s in shifts]).alias("centres"), enough.alias("enough")))
+    centres = centres.withColumn("step", F.lit(float("inf")))
     for _ in range(rounds):
-        moved = stored(_move(rows, centres, key, k))
-        centres = moved.drop("step")
-        if moved.filter(F.col("step") > F.col("enough")).limit(1).count() == 0:
+        moved = stored(_move(rows, centres.drop("step"), key, k))
+        drop_stored(centres)
+        centres = moved
+        if moved.filter(F.col("step") > F.col("enough")).isEmpty():
             break
-    return centres.select(key, F.posexplode("centres").alias("cluster", "centre"))
+    done = (F.col("step") <= F.col("enough")).alias("converged")
+    return centres.select(key, done, F.posexplode("centres").alias("cluster", "centre"))
+
+
+def colour_text(centre: F.Column) -> F.Column:
+    """A centre in whole numbers as text, like ``[12, 240, 7]``."""
+    return F.concat(F.lit("["), F.array_join(F.transform(centre, lambda x: F.round(x).cast("int").cast("string")), ", "), F.lit("]"))
 
 
 def _squared_gap(a: F.Column, b: F.Column) -> F.Column:

@@ -12,7 +12,7 @@ from fitlens.functions.stats import normal_two_sided, student_two_sided, two_pro
 from fitlens.functions.text import dominant_label, percent_text
 from fitlens.operators.groups import eligible
 from fitlens.operators.joins import drop_ambiguous
-from fitlens.operators.keywords import first_values, keyword_array
+from fitlens.operators.keywords import first_values, keyword_array, lemmatise, nouns_and_adjectives
 from fitlens.session import stored
 
 
@@ -159,10 +159,11 @@ def all_tests(rows: DataFrame, key: str = "company_name") -> DataFrame:
     return z.unionByName(t)
 
 
-def company_values(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
+def company_values(texts: DataFrame, lexicon: DataFrame, pos_lexicon: DataFrame | None = None, forms: DataFrame | None = None) -> DataFrame:
     """Distinct ``(company_name, value, source)``; source is ``slogan``, or NULL for other text.
 
     texts(company_name, scraped_data, about, slogan) is read once; a company may have several rows.
+    ``pos_lexicon(word, tag)`` keeps nouns and adjectives only, ``forms(token, form)`` then puts words in their base form.
     """
 
     def found(text: str, source: Column) -> Column:
@@ -171,6 +172,8 @@ def company_values(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
     listed = F.concat(found("slogan", F.lit("slogan")), found("scraped_data", none), found("about", none))
     words = texts.select("company_name", F.explode(listed).alias("w")).select("company_name", "w.*")
+    words = words if pos_lexicon is None else nouns_and_adjectives(words, pos_lexicon)
+    words = words if forms is None else lemmatise(words, forms)
     return words.join(first_values(lexicon), "word").select("company_name", "value", "source").distinct()
 
 

@@ -271,8 +271,13 @@ def test_dominant_vectors(frame):
     got = defaultdict(list)
     for r in vc.dominant_vectors(frame(data, "k string, v array<double>"), "k", "v").collect():
         got[r["k"]].append(tuple(round(x) for x in r["centre"]))
+        assert r["converged"]
     assert sorted(got["p"]) == [(0, 0), (10, 10)] and sorted(got["q"]) == [(-5, 3), (5, 3)]
     assert set(got["single"]) == {(1, 1)}
+    stopped = vc.dominant_vectors(frame(data, "k string, v array<double>"), "k", "v", rounds=1).collect()
+    assert not all(r["converged"] for r in stopped)
+    text = frame([([1.4, 254.6],)], "c array<double>").select(vc.colour_text(F.col("c"))).first()[0]
+    assert text == "[1, 255]"
 
 
 # --- encoding and forests ------------------------------------------------------------------

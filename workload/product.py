@@ -107,12 +107,14 @@ PATTERN_COLUMNS = [
       FROM bridge b JOIN eligible USING (company_name) JOIN engineered e USING (id)) GROUP BY 1"""),
 )
 def c7(r: Roles) -> DataFrame:
+    r = r.staged()
     chosen = co.eligible_companies(r.bridge, r.companies)
     out = co.patterns(co.staff(r.bridge, chosen, r.engineered))
     return out.withColumns({c: F.round(c, 6) for c in PATTERN_COLUMNS})
 
 
 def population(r: Roles, assign: str = "one") -> DataFrame:
+    r = r.staged()
     return co.population(r.bridge, co.eligible_companies(r.bridge, r.companies), r.engineered, assign)
 
 
@@ -393,3 +395,36 @@ GRID = [float(g) for g in range(0, 301, 12)]
 def c19(r: Roles) -> DataFrame:
     out = ds.density(population(r), "company_name", "average_months_of_experience", GRID)
     return out.withColumn("density", F.round("density", 8))
+
+
+SHIFTED = "SELECT c_mktsegment AS company_name, c_acctbal + 1e8::DOUBLE AS x FROM customer"
+
+
+@query(
+    "c9_welch_shifted",
+    f"""WITH rows AS ({SHIFTED}),
+    one AS (SELECT company_name, count(x) AS n1, avg(x) AS mean1, var_samp(x) AS var1 FROM rows GROUP BY 1),
+    everyone AS (SELECT count(x) AS n2, avg(x) AS mean2, var_samp(x) AS var2 FROM rows)
+    SELECT company_name, n1, n2, round(var2, 2) AS var2, round((mean1 - mean2) / sqrt(var1 / n1 + var2 / n2), 4) AS t FROM one, everyone""",
+)
+def c9_shifted(r: Roles) -> DataFrame:
+    """Welch tests of large numbers: their squares must not cancel out."""
+    rows = r.table("customer").select(F.col("c_mktsegment").alias("company_name"), (F.col("c_acctbal") + 1e8).alias("x"))
+    out = co.welch_tests(rows, "x")
+    return out.select("company_name", "n1", "n2", F.round("var2", 2).alias("var2"), F.round("t", 4).alias("t"))
+
+
+@query(
+    "c19_density_shifted",
+    f"""WITH rows AS ({SHIFTED}),
+    stats AS (SELECT company_name, 0 AS is_all, count(*) AS n, stddev_samp(x) AS s FROM rows GROUP BY 1
+      UNION ALL SELECT NULL, 1, count(*), stddev_samp(x) FROM rows)
+    SELECT s.company_name, is_all, point,
+      round(sum(exp(-0.5 * pow((point - x) / (pow(n::DOUBLE, -0.2) * s), 2))) / (any_value(n) * any_value(pow(n::DOUBLE, -0.2) * s) * sqrt(2 * pi())), 9) AS density
+    FROM stats s JOIN rows r ON is_all = 1 OR r.company_name = s.company_name,
+      (SELECT 1e8::DOUBLE + i * 1000 AS point FROM range(11) g(i)) GROUP BY 1, 2, 3""",
+)
+def c19_shifted(r: Roles) -> DataFrame:
+    rows = r.table("customer").select(F.col("c_mktsegment").alias("company_name"), (F.col("c_acctbal") + 1e8).alias("x"))
+    out = ds.density(rows, "company_name", "x", [1e8 + 1000.0 * i for i in range(11)])
+    return out.withColumn("density", F.round("density", 9))

@@ -57,6 +57,7 @@ class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.is_staged = False
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
@@ -71,9 +72,12 @@ class Roles:
     def staged(self) -> Roles:
         """The same roles with the bridge and the engineered profiles as stored tables.
 
-        For dataflows that read them in several branches.
+        For dataflows that read them in several branches. Staged roles stay as they are.
         """
+        if self.is_staged:
+            return self
         out = Roles(self.spark, self.sf_dir)
+        out.is_staged = True
         out.bridge = stored(self.bridge)
         out.engineered = stored(self.engineered)
         return out

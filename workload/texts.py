@@ -10,6 +10,7 @@ from fitlens.operators import groups as g
 from fitlens.operators import keywords as kw
 from fitlens.operators import pages as pg
 from fitlens.operators import vectors as vc
+from fitlens.plans import companies as co
 from workload.roles import Roles, query, sql
 
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOPWORDS) + "]"
@@ -32,11 +33,43 @@ def k1(r: Roles) -> DataFrame:
 @query(
     "k1_nouns_and_adjectives",
     f"""SELECT doc_id, word FROM (SELECT doc_id, unnest({kept('text')}) AS word FROM documents)
-    WHERE word IN (SELECT unnest({kept('text')}) FROM benchmark)""",
+    WHERE word IN (SELECT unnest({kept('text')}) FROM benchmark) AND length(word) % 3 < 2""",
 )
 def k1_tagged(r: Roles) -> DataFrame:
-    tags = kw.keywords(r.table("benchmark"), "item_id", "text").select("word", F.lit("NN").alias("tag"))
-    return kw.keywords(r.texts("documents", "doc_id"), "doc_id", "text", pos_lexicon=tags)
+    return kw.keywords(r.texts("documents", "doc_id"), "doc_id", "text", pos_lexicon=tags(r))
+
+
+def tags(r: Roles) -> DataFrame:
+    """Words of the benchmark with a part of speech by their length: a third are verbs."""
+    words = kw.keywords(r.table("benchmark"), "item_id", "text").select("word").distinct()
+    place = F.length("word") % 3
+    return words.withColumn("tag", F.when(place == 0, "NNS").when(place == 1, "JJ").otherwise("VB"))
+
+
+@query(
+    "k2_tagged",
+    f"""SELECT DISTINCT conv_id, CASE WHEN word LIKE 't%' THEN substr(word, 1, 3) ELSE word END AS word
+    FROM (SELECT conv_id, unnest({kept('text')}) AS word FROM conversations)
+    WHERE word IN (SELECT unnest({kept('text')}) FROM benchmark) AND length(word) % 3 < 2""",
+)
+def k2_tagged(r: Roles) -> DataFrame:
+    """Nouns and adjectives in a base form: of words with a t the first three letters."""
+    forms = tags(r).filter("word LIKE 't%'").select(F.col("word").alias("token"), F.substring("word", 1, 3).alias("form"))
+    return kw.keywords_many(r.texts("conversations", "text"), "conv_id", "text", pos_lexicon=tags(r), forms=forms)
+
+
+@query(
+    "k6_lemmatised",
+    sql("""SELECT DISTINCT company_name, value, source FROM (
+      SELECT company_name, source, CASE WHEN word LIKE 'g%' THEN 'gear' ELSE word END AS word FROM company_words
+      WHERE word NOT LIKE 'b%') JOIN first_values USING (word)""".replace("first_values", "first_values /* company_values */")),
+)
+def k6_lemmatised(r: Roles) -> DataFrame:
+    """Company values from nouns only (words with a b are verbs) in base forms (words with a g are gears)."""
+    words = r.table("part").select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
+    pos = words.withColumn("tag", F.when(F.col("word").startswith("b"), "VB").otherwise("NN"))
+    forms = words.filter(F.col("word").startswith("g")).select(F.col("word").alias("token"), F.lit("gear").alias("form"))
+    return co.company_values(r.company_texts, r.lexicon, pos, forms)
 
 
 @query("k2_keywords_many", f"SELECT DISTINCT conv_id, unnest({kept('text')}) AS word FROM conversations")
