@@ -38,3 +38,28 @@ def test_stages(spark):
     out = docs.collect()
     assert {r.doc_id: r.decoded_sha256 for r in out} == {i: hashlib.sha256(r.text.encode()).hexdigest() for i, r in rows[4].items()}
     assert all(len(r.ids) == r.n_tokens for r in out)
+
+
+def test_pipeline_of_odd_rows_and_empty_tables(spark, frame, tmp_path):
+    text = "the quick brown fox jumps over the lazy dog and runs into the wood where it sleeps until the morning comes"
+    leak = "what is the name of the river that runs through the old town and under the bridge"
+    rows = [
+        (1, text, "en", "web", len(text), 0.5, "a"), (1, text, "en", "web", len(text), 0.5, "a"), (2, text + " again", None, None, None, None, None),
+        (3, None, None, None, None, None, None), (4, "", "en", "", 0, None, None), (None, text, None, "x", 1, None, "b"),
+        (5, f"Someone asked: {leak}?", "en", "web", 90, None, None), (6, f"and so he wrote password=e3b3ed3cc8548923d6 on it, {text[::-1]}", "en", "web", 100, None, None),
+        (7, "word " * 60_000, "en", "web", 300_000, None, None),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, label string"
+    tables = {
+        "labels": frame([(1, 1, 0), (2, 1, 0), (5, 1, 0), (None, 1, 0), (6, None, 0), (9, 0, 0)], "doc_id long, quality int, toxic int"),
+        "benchmark": frame([(1, leak), (2, None), (3, "")], "item_id long, text string"),
+    }
+    for name, docs in (("some", frame(rows, schema)), ("none", frame([], schema))):
+        for table_name, df in {**tables, "documents": docs}.items():
+            df.write.parquet(str(tmp_path / name / f"{table_name}.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path / "some")).collect()
+    # One of the two copies and the near copy stays; the leak goes; the secret is a mark.
+    assert sorted(r.doc_id or 0 for r in out) == [0, 1, 3, 4, 6, 7]
+    clean = rows[7][1].replace("e3b3ed3cc8548923d6", "[SECRET]")
+    assert {r.decoded_sha256 for r in out if r.doc_id == 6} == {hashlib.sha256(clean.encode()).hexdigest()}
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
