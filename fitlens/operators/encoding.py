@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fitlens.functions.text import degree_code
-from fitlens.session import stored
+from fitlens.operators.positions import global_positions
 
 FEATURES = [
     "top_university", "volunteering", "average_months_of_experience", "degree_feature", "organization_types_feature",
@@ -24,15 +24,11 @@ def string_index(df: DataFrame, column: str, out: str, nulls: str = "keep") -> D
     """
     seen = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
     order = [F.desc("_n"), F.col(column)]
-    # The number of a row holds its range above bit 33 and its place in the range below.
-    placed = stored(seen.repartitionByRange(*order).sortWithinPartitions(*order).select(column, F.monotonically_increasing_id().alias("_id")))
-    placed = placed.select(column, F.shiftright("_id", 33).alias("_range"), F.col("_id").bitwiseAND(2**33 - 1).alias("_place"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("_range").agg(F.count("*").alias("_size")).select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    index = placed.join(starts, "_range").select(F.col(column).alias("_string"), (F.col("_start") + F.col("_place")).cast("double").alias(out))
+    placed = global_positions(seen.select(column, "_n"), order, "_place")
+    index = placed.select(F.col(column).alias("_string"), F.col("_place").cast("double").alias(out))
     if nulls == "skip":
         return df.join(index, F.col(column) == F.col("_string")).drop("_string")
-    last = placed.agg(F.count("*").cast("double").alias("n")).scalar()
+    last = index.agg(F.count("*").cast("double").alias("n")).scalar()
     joined = df.join(index, F.col(column) == F.col("_string"), "left").drop("_string")
     return joined.withColumn(out, F.coalesce(out, last))
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitlens.operators.joins import null_safe_join
+from fitlens.session import stored
 
 BUCKETS = 4096
 
@@ -97,3 +98,19 @@ def running_sums(
     out = null_safe_join(run, starts, group)
     out = out.withColumns({f"run_{c}": F.col(f"_s_{c}") + F.col(f"_r_{c}") for c in sums})
     return out.drop("_lo", "_hi", "_bucket", *[f"_{p}_{c}" for p in "sr" for c in sums])
+
+
+def global_positions(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """The rows with their place, from 0, in a total order; the table is stored.
+
+    Rows are sorted by ranges, so no task holds them all; only the sizes of the ranges, one row for each, are summed up in one
+    place.
+    """
+    # The number of a row holds its range above bit 33 and its place in the range below.
+    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stored(sorted_rows.withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.withColumn("__range", F.shiftright("_id", 33)).withColumn("__row", F.col("_id").bitwiseAND(2**33 - 1)).drop("_id")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("__range").agg(F.count("*").alias("__size"))
+    starts = starts.select("__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
+    return placed.join(starts, "__range").withColumn(out, F.col("__start") + F.col("__row")).drop("__range", "__start", "__row")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fitlens.operators.positions import global_positions
+
 SCRAPED = "company_name string, scraped_data string"
 SCRAPE_OUT = "name string, website string, scraped_text string"
 
@@ -90,21 +92,22 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
-def _border(df: DataFrame, key: Column, place: int) -> Column:
-    """Sort key of the row at a 1-based place, as a scalar subquery."""
-    return df.select(key.alias("k")).orderBy("k").limit(place).agg(F.max("k")).scalar()
+def _border(placed: DataFrame, place: int) -> Column:
+    """Sort key of the row at a 1-based place, or the last one, as a scalar subquery."""
+    return placed.filter(F.col("_at") < place).agg(F.max("k")).scalar()
 
 
 def slice_rows(df: DataFrame, order_cols: Sequence[str], lo: int, hi: int | None = None) -> DataFrame:
     """Rows ``lo`` (from 0) up to but without ``hi`` in the order of a unique sort key.
 
-    Only the sort key of the border rows is looked up (each task keeps its first ``lo`` or
-    ``hi`` keys); the slice itself is a filter, so no row moves.
+    Only the sort keys are placed, by ranges; the slice itself is a filter, so no other column moves.
     """
     key = F.struct(*order_cols)
     out = df
+    if lo > 0 or hi:
+        placed = global_positions(df.select(key.alias("k")), [F.col("k")], "_at")
     if lo > 0:
-        out = out.filter(key > _border(df, key, lo))
+        out = out.filter(key > _border(placed, lo))
     if hi is not None:
-        out = out.filter(key <= _border(df, key, hi)) if hi > 0 else out.limit(0)
+        out = out.filter(key <= _border(placed, hi)) if hi > 0 else out.limit(0)
     return out
