@@ -22,12 +22,30 @@ TEXT_CHARS = 1_000_000
 
 
 def _without(html: Column, tags: Sequence[str]) -> Column:
+    """A page without comments and without elements of these names and all that is in them."""
     out = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
     for tag in tags:
-        out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", " ")
+        if tag in ("script", "style"):  # what looks like a tag in them is none
+            out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", " ")
+        else:
+            out = _without_nested(out, tag)
     return out
 
 
+def _without_nested(html: Column, tag: str) -> Column:
+    """A page without the outermost elements of a name; one that is never closed goes on to the end."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
+
+    def step(state: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(rf"(?i)^<{tag}[\s>]"), piece.rlike(rf"(?i)^</{tag}\s*>")
+        depth = F.greatest(state["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0), F.lit(0))
+        after = F.when(closes & (state["depth"] > 0), F.concat(F.lit(" "), F.regexp_replace(piece, "^[^>]*>", ""))).otherwise(piece)
+        return F.struct(depth.alias("depth"), F.concat(state["text"], F.when(depth > 0, "").otherwise(after)).alias("text"))
+
+    pieces = F.split(html, rf"(?i)(?=<{tag}[\s>]|</{tag}\s*>)")
+    return F.aggregate(pieces, start, step, lambda state: state["text"])
+
+
 def _pieces(html: Column, tag: str) -> Column:
     """What follows each opening of a tag, from its attributes on, up to the next opening."""
     parts = F.split(html, rf"(?i)<{tag}(?=[\s>])")
@@ -42,7 +60,25 @@ def _attribute(piece: Column, name: str) -> Column:
     return F.when(value != "", bare)
 
 
+def _numbered(text: Column) -> Column:
+    """A text with its numeric character references decoded; numbers of no character stay."""
+    pieces = F.split(text, "&#(?=[0-9]{1,7};|[xX][0-9a-fA-F]{1,6};)")
+
+    def char(piece: Column) -> Column:
+        decimal = F.regexp_extract(piece, "^([0-9]+);", 1)
+        number = F.coalesce(
+            F.when(decimal != "", decimal.cast("int")), F.conv(F.regexp_extract(piece, "^[xX]([0-9a-fA-F]+);", 1), 16, 10).cast("int")
+        )
+        valid = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        sign = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(32)), 8, "0")), "UTF-32")
+        return F.when(valid, F.concat(sign, F.regexp_replace(piece, "^[^;]*;", ""))).otherwise(F.concat(F.lit("&#"), piece))
+
+    rest = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), char)
+    return F.when(F.contains(text, F.lit("&#")), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(text)
+
+
 def _decoded(text: Column) -> Column:
+    text = _numbered(text)
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text

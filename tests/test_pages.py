@@ -108,3 +108,8 @@ def test_sites_without_about_pages_stay(frame):
     df = frame([("s", "u", "text")], "site string, url string, text string")
     sites = frame([("s",), ("t",), ("t",)], "site string")
     assert rows(pg.site_text(df, "site", "url", "text", sites=sites)) == [("s", 0, "text"), ("t", 0, None)]
+
+
+def test_nested_and_unclosed_elements_and_numbers(frame):
+    html = "<nav>a<nav><p>x x x x x x</p></nav><p>y y y y y y</p></nav><p>it&#8217;s &#x41; b c d e &#55296; f</p></aside><NAV id=z><p>z z z z z z z</p>"
+    assert pg.page_text(page(frame, html)).first()["text"] == "it\u2019s A b c d e &#55296; f"
