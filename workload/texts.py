@@ -234,6 +234,35 @@ def m8(r: Roles) -> DataFrame:
     return centres.select("label", "cluster", F.posexplode("centre").alias("pos", "x")).withColumn("x", F.round("x", 4))
 
 
+def _three_rounds() -> str:
+    """Three steps of k-means, written out."""
+    step = """d{i} AS (
+      SELECT long.label, vec_id, c, sum((x - centre) * (x - centre)) AS gap FROM long JOIN c{j} ON long.label = c{j}.label AND long.pos = c{j}.pos
+      GROUP BY ALL),
+    a{i} AS (SELECT label, vec_id, arg_min(c, gap + c * 1e-300) AS c FROM d{i} GROUP BY ALL),
+    n{i} AS (SELECT a{i}.label, c, pos, avg(x) AS centre FROM a{i} JOIN long USING (label, vec_id) GROUP BY ALL),
+    c{i} AS (
+      SELECT c{j}.label, c{j}.c, c{j}.pos, coalesce(n{i}.centre, c{j}.centre) AS centre
+      FROM c{j} LEFT JOIN n{i} ON n{i}.label = c{j}.label AND n{i}.c = c{j}.c AND n{i}.pos = c{j}.pos)"""
+    steps = ",\n".join(step.format(i=i, j=i - 1) for i in (1, 2, 3))
+    return f"""WITH long AS (
+      SELECT label, vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings),
+    stats AS (SELECT label, pos, avg(x) AS m, var_samp(x) AS v FROM long GROUP BY ALL),
+    wide AS (SELECT label, arg_min(pos, -v) AS wide, max(v) AS most FROM stats GROUP BY ALL),
+    c0 AS (
+      SELECT label, c, pos, CASE WHEN pos = wide THEN m + (2 * c - 1) * sqrt(most) ELSE m END AS centre
+      FROM stats JOIN wide USING (label), (SELECT unnest([0, 1]) AS c)),
+    {steps}
+    SELECT label, c::INT AS cluster, pos::INT AS pos, round(centre, 4) AS x FROM c3"""
+
+
+@query("m8_three_rounds", _three_rounds())
+def m8_three(r: Roles) -> DataFrame:
+    """The first three rounds of k-means, which SQL can follow."""
+    centres = vc.dominant_vectors(r.table("embeddings"), "label", "embedding", rounds=3)
+    return centres.select("label", "cluster", F.posexplode("centre").alias("pos", "x")).withColumn("x", F.round("x", 4))
+
+
 # --- pages ---------------------------------------------------------------------------------
 
 ABOUT = ["the", "and", "est|une"]
