@@ -63,17 +63,17 @@ def feature_cells(df: DataFrame, key: str, features: Sequence[str], label: str,
     return binned.groupBy(key, *features, label).agg(F.count("*").alias("n"))
 
 
-def _grow(x: np.ndarray, w: np.ndarray, rng: np.random.Generator, gains: np.ndarray, total: float, depth: int) -> None:
+def _grow(x: np.ndarray, w: np.ndarray, rng: np.random.Generator | None, gains: np.ndarray, total: float, depth: int) -> None:
     """Add the Gini gains of one tree node and its children to ``gains``.
 
-    ``x`` holds bin numbers (cells by features), ``w`` weights (cells by label).
+    ``x`` holds bin numbers (cells by features), ``w`` weights (cells by label). Without ``rng`` every feature is tried.
     """
     sums = w.sum(axis=0)
     size = sums.sum()
     if depth == 0 or size < 2 or sums.min() == 0:
         return
     impurity = 1.0 - ((sums / size) ** 2).sum()
-    tried = rng.choice(x.shape[1], size=math.ceil(math.sqrt(x.shape[1])), replace=False)
+    tried = range(x.shape[1]) if rng is None else rng.choice(x.shape[1], size=math.ceil(math.sqrt(x.shape[1])), replace=False)
     best, best_split = 0.0, None
     for f in tried:
         per_bin = np.stack([np.bincount(x[:, f], weights=w[:, c]) for c in range(2)], axis=1)
@@ -97,27 +97,30 @@ def _grow(x: np.ndarray, w: np.ndarray, rng: np.random.Generator, gains: np.ndar
 
 
 def quantile_bins(x: np.ndarray, bins: int = MAX_BINS) -> np.ndarray:
-    """Number of the quantile bin of each value, per column."""
+    """Number of the quantile bin of each value, per column; of few values each has its own bin."""
     out = np.zeros(x.shape, int)
     for j, column in enumerate(x.T):
-        cuts = np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1], method="lower"))
+        cuts = np.unique(column)
+        if len(cuts) > bins:
+            cuts = np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1], method="lower"))
         out[:, j] = np.searchsorted(cuts, column, "left")
     return out
 
 
-def cell_importances(x: np.ndarray, w: np.ndarray, trees: int, seed: int) -> np.ndarray:
+def cell_importances(x: np.ndarray, w: np.ndarray, trees: int, seed: int, depth: int = MAX_DEPTH, bagging: bool = True) -> np.ndarray:
     """Mean normalised Gini importances of a bagged forest on weighted cells.
 
-    Drawing each of ``n`` equal rows with Poisson weight 1 is drawing Poisson(n) for the cell.
+    Drawing each of ``n`` equal rows with Poisson weight 1 is drawing Poisson(n) for the cell. Without ``bagging`` all rows and
+    all features count in every tree.
     """
     rng = np.random.default_rng(seed)
     out = np.zeros(x.shape[1])
     for _ in range(trees):
-        drawn = rng.poisson(w).astype(float)
+        drawn = rng.poisson(w).astype(float) if bagging else w
         kept = drawn.sum(axis=1) > 0
         gains = np.zeros(x.shape[1])
         if kept.any():
-            _grow(x[kept], drawn[kept], rng, gains, drawn.sum(), MAX_DEPTH)
+            _grow(x[kept], drawn[kept], rng if bagging else None, gains, drawn.sum(), depth)
         if gains.sum() > 0:
             out += gains / gains.sum()
     return out / out.sum() if out.sum() > 0 else out
@@ -131,6 +134,8 @@ def rf_importance_by_group(
     trees: int = FOREST_TREES,
     seed: int = 0,
     max_rows: int = MAX_ROWS,
+    depth: int = MAX_DEPTH,
+    bagging: bool = True,
 ) -> DataFrame:
     """``(key, feature, importance, rank)`` of one forest per key, all keys in one job.
 
@@ -150,7 +155,7 @@ def rf_importance_by_group(
         cells, place = np.unique(x, axis=0, return_inverse=True)
         w = np.stack([np.bincount(place.ravel(), pdf[label].to_numpy() == c, len(cells)) for c in (0, 1)], axis=1)
         own_seed = int(hashlib.md5(f"{seed}|{group}".encode()).hexdigest()[:8], 16)
-        scores = cell_importances(cells, w, trees, own_seed)
+        scores = cell_importances(cells, w, trees, own_seed, depth, bagging)
         order = sorted(range(len(names)), key=lambda i: (-scores[i], names[i]))
         return pd.DataFrame(
             {

@@ -173,3 +173,24 @@ def m7(r: Roles) -> DataFrame:
 def m7_by_company(r: Roles) -> DataFrame:
     features = ["average_months_of_experience", "degree_feature", "top_university"]
     return fr.stump_gain(train(r), "company_name", features, "label").withColumn("gain", F.round("gain", 6))
+
+
+STUMP_FEATURES = ["toxic", "lang_code", "length_class"]
+
+
+@query(
+    "m6_stump_forest",
+    """WITH docs AS (SELECT source AS k, quality AS y, toxic, ascii(lang) AS lang_code, n_chars % 16 AS length_class
+      FROM documents JOIN labels USING (doc_id)),
+    long AS (SELECT k, y, 'toxic' AS feature, toxic::DOUBLE AS x FROM docs UNION ALL SELECT k, y, 'lang_code', lang_code FROM docs
+      UNION ALL SELECT k, y, 'length_class', length_class FROM docs),"""
+    + GAIN
+    + """, best AS (SELECT k, feature, max(gain) AS gain FROM gains GROUP BY 1, 2),
+    scored AS (SELECT k, feature, CASE WHEN gain > 1e-12 AND row_number() OVER (PARTITION BY k ORDER BY round(gain, 12) DESC,
+      list_position(['toxic', 'lang_code', 'length_class'], feature)) = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance FROM best)
+    SELECT k AS source, feature, importance, row_number() OVER (PARTITION BY k ORDER BY importance DESC, feature)::INT AS rank FROM scored""",
+)
+def m6_stump(r: Roles) -> DataFrame:
+    """A forest of one stump on all rows, whose importances follow from the gains."""
+    rows = documents(r).withColumn("length_class", F.col("n_chars") % 16)
+    return fr.rf_importance_by_group(rows, "source", STUMP_FEATURES, "quality", trees=1, seed=SEED, depth=1, bagging=False)
