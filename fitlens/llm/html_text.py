@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -43,7 +44,8 @@ NAMES = frozenset(
 HEADER_NAMES = frozenset("header masthead topbar".split())
 MAIN_NAMES = frozenset(("main", "articlebody"))
 
-TAG = re.compile(r"""<(?:!--(?s:.*?)(?:-->|\Z)|!\[CDATA\[|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*'|["'])*?)>)""")
+# Attributes are read without going back, so that broken markup takes no longer than its length.
+TAG = re.compile(r"""<(?:!--(?s:.*?)(?:-->|\Z)|!\[CDATA\[|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/<>]*+)((?:[^"'<>]++|"[^"]*"|'[^']*'|["'])*+)>)""")
 NAME_VALUES = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 END_OF = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
@@ -66,6 +68,7 @@ def blocks_of(page: str) -> list[Block]:
     pieces: list[str] = []
     linked = links = 0
     stack: list[tuple[str, bool, bool]] = []  # name, barred, main: of the element and all around it
+    open_names: Counter[str] = Counter()
     barred = main = False
 
     def flush() -> None:
@@ -80,6 +83,7 @@ def blocks_of(page: str) -> list[Block]:
         """Elements from place n of the stack on end here."""
         nonlocal barred, main
         flush()
+        open_names.subtract(name for name, _, _ in stack[n:])
         del stack[n:]
         barred, main = stack[-1][1:] if stack else (False, False)
 
@@ -103,10 +107,11 @@ def blocks_of(page: str) -> list[Block]:
             if name == "a":
                 links = 0
             elif name in BLOCKS or name in BOILERPLATE:
-                for n in range(len(stack) - 1, -1, -1):
-                    if stack[n][0] == name:
-                        close(n)
-                        break
+                n = len(stack) if open_names[name] > 0 else 0
+                while n and stack[n - 1][0] != name:
+                    n -= 1
+                if n:
+                    close(n - 1)
                 else:
                     flush()
             continue
@@ -143,6 +148,7 @@ def blocks_of(page: str) -> list[Block]:
                 close(0)  # what should have ended before the article
             barred, main = barred or bad, main or is_main
             stack.append((name, barred, main))
+            open_names[name] += 1
     flush()
     return out
 

@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -83,6 +84,13 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_broken_markup_takes_linear_time():
+    start = time.time()
+    for piece in ("<a ", '<a "', "<div><a '", "<", "<p", "</div>", "<div>", "<!-", '<a b="', "&", "<nav></p>"):
+        html_text.main_text(piece * 10_000)
+    assert time.time() - start < 60
+
+
 def test_open_blocks_follow_their_nearest_neighbours():
     block = lambda main=False: html_text.Block("x", 0, False, main)
     good, bad, undecided = html_text.GOOD, html_text.BAD, html_text.OPEN
