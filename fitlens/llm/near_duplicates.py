@@ -6,6 +6,9 @@ many documents share it, shallow elsewhere. Nothing is paired within a group, so
 
 Documents with equal sets are one class from the start. Class representatives that are neighbours in some order and whose
 signatures agree enough become candidates; their full sets decide. Links make components by label propagation on tables.
+
+The orders are gone through twice. At first only the likeliest neighbours of a row become candidates, which connects most of a
+group of near copies. The second time all neighbours that agree enough and are in another component by then become candidates.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from fitlens.session import stored
 HASHES = 128
 ORDERS = 16
 # Neighbours in an order that a row is compared with: so many everywhere, and up to so many where a quarter of them are alike.
-# The likeliest of them, from either side, become candidates.
+# Before there are components the likeliest of them, from either side, become candidates; then all that lead across components.
 NEAR, REACH, BEST = 8, 64, 2
 # Rows that are copied to all tasks at most, of 8 or 16 bytes each. More of them meet the others in a shuffle.
 COPIED = 1_000_000
@@ -33,6 +36,8 @@ COPIED = 1_000_000
 MARGIN = 4.5
 # Rounds in which each component tries one pair.
 ROUNDS = 2
+# Of the pairs that lead across components each row tries one in the first round, then so many times more in every round.
+MORE = 4
 # Words whose hashes a worker keeps, and shingles hashed at once.
 WORDS = 1 << 19
 CHUNK = 1 << 14
@@ -115,8 +120,11 @@ def _best(key: np.ndarray, same: np.ndarray, other: np.ndarray) -> np.ndarray:
     return out
 
 
-def _neighbours(order: np.ndarray, sigs: np.ndarray, sizes: np.ndarray, ids: np.ndarray, first: int, least: int, percent: int) -> pd.DataFrame:
-    """Pairs of a row from ``first`` on and one of the rows before it that may be similar enough."""
+def _neighbours(
+    order: np.ndarray, sigs: np.ndarray, sizes: np.ndarray, ids: np.ndarray, labels: np.ndarray | None, first: int, least: int, percent: int
+) -> pd.DataFrame:
+    """Pairs of a row from ``first`` on and one of the rows before it that may be similar enough: the likeliest, or with labels
+    all that have different ones."""
     hits = np.zeros(len(ids), np.int64)
     found = [np.zeros((0, 3), np.int64)]
     for j in range(1, REACH + 1):
@@ -130,16 +138,20 @@ def _neighbours(order: np.ndarray, sigs: np.ndarray, sizes: np.ndarray, ids: np.
         same = (sigs[a] == sigs[b]).sum(1)
         a, b, same = a[same >= least], b[same >= least], same[same >= least]
         hits[b] += 1
+        if labels is not None:
+            across = labels[a] != labels[b]
+            a, b, same = a[across], b[across], same[across]
         found.append(np.stack([a, b, same], 1))
     a, b, same = np.concatenate(found).T
-    chosen = _best(a, same, b) | _best(b, same, a)
-    a, b, same = a[chosen], b[chosen], same[chosen]
+    if labels is None:
+        chosen = _best(a, same, b) | _best(b, same, a)
+        a, b, same = a[chosen], b[chosen], same[chosen]
     return pd.DataFrame({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b]), "same": same})
 
 
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
     """``(a, b, same)``: pairs of neighbours in the sorted orders with signatures that agree in ``same`` bytes. classes:
-    ``(rep, n, signature)``."""
+    ``(rep, n, signature)``, and ``label`` if all pairs of different labels are wanted in place of the likeliest."""
     share = percent / 100
     least = int(HASHES * (share - MARGIN * (share * (1 - share) / HASHES) ** 0.5))
     turn = HASHES // ORDERS
@@ -150,7 +162,10 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
             F.concat(F.substring("signature", t * turn + 1, F.lit(HASHES)), F.substring("signature", F.lit(1), t * turn)).alias("path"),
         ),
     )
-    rows = classes.select("rep", F.col("n").cast("int").alias("n"), F.inline(turned))
+    labelled = "label" in classes.columns
+    own = ["rep", "n", "order", "path"] + ["label"] * labelled
+    columns = ["a", "b", "same", *own]
+    rows = classes.select("rep", F.col("n").cast("int").alias("n"), *["label"] * labelled, F.inline(turned))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         head, last = [], None
@@ -162,28 +177,30 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
                 head.append(batch[:NEAR])
             rows = batch if last is None else pd.concat([last, batch], ignore_index=True)
             sigs = np.frombuffer(b"".join(rows["path"]), np.uint8).reshape(len(rows), HASHES)
-            pairs = _neighbours(rows["order"].to_numpy(), sigs, rows["n"].to_numpy(np.int64), rows["rep"].to_numpy(np.int64), first, least, percent)
+            labels = rows["label"].to_numpy(np.int64) if labelled else None
+            pairs = _neighbours(rows["order"].to_numpy(), sigs, rows["n"].to_numpy(np.int64), rows["rep"].to_numpy(np.int64), labels, first, least, percent)
             # Copies of a pair from one stretch of an order go here, the others after the shuffle.
-            yield pairs.drop_duplicates().reindex(columns=COLUMNS)
+            yield pairs.drop_duplicates().reindex(columns=columns)
             last = rows[-REACH:]
         if last is not None:
             edge = pd.concat([*head, last[-NEAR:]])
-            yield edge.drop_duplicates(["order", "rep"]).reindex(columns=COLUMNS)
+            yield edge.drop_duplicates(["order", "rep"]).reindex(columns=columns)
 
     def compare_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for out in compare(batches):
             yield out[out["a"].notna()][["a", "b", "same"]]
 
-    out = "a long, b long, same long, rep long, n int, order byte, path binary"
+    out = "a long, b long, same long, rep long, n int, order byte, path binary" + ", label long" * labelled
     ranged = rows.repartitionByRange("order", "path", "rep").sortWithinPartitions("order", "path", "rep")
-    compared = stored(ranged.select("rep", "n", "order", "path").mapInPandas(compare, out))
+    compared = stored(ranged.select(*own).mapInPandas(compare, out))
     # First and last rows of every partition, a few for each: neighbours across its borders.
-    edges = compared.filter("a IS NULL").select("rep", "n", "order", "path").repartition(1).sortWithinPartitions("order", "path", "rep")
+    edges = compared.filter("a IS NULL").select(*own).repartition(1).sortWithinPartitions("order", "path", "rep")
     pairs = compared.filter("a IS NOT NULL").select("a", "b", "same").union(edges.mapInPandas(compare_edges, "a long, b long, same long"))
     return pairs.groupBy("a", "b").agg(F.max("same").alias("same"))
 
 
-COLUMNS = ["a", "b", "same", "rep", "n", "order", "path"]
+def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    return pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def full_sets(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
@@ -215,8 +232,8 @@ def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return joined.filter(F.col("both") * 100 >= (F.col("all") - F.col("both")) * percent).select("a", "b").distinct()
 
 
-def connected(pairs: DataFrame, full: DataFrame, bridges: DataFrame, percent: int) -> DataFrame:
-    """``(id, label)``: the smallest id that confirmed pairs lead to from each id in them.
+def connected(pairs: DataFrame, full: DataFrame, bridges: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The stored links ``(a, b)`` and ``(id, label)``: the smallest id that they lead to from each id in them.
 
     In a group of near copies a few of its many pairs connect it. So in every round each component tries one pair only, to the
     neighbour with the smallest label; then all pairs that still lead from one component to another are tried at once.
@@ -242,6 +259,29 @@ def connected(pairs: DataFrame, full: DataFrame, bridges: DataFrame, percent: in
             left = across.join(tried, ["a", "b"], "left_anti").select("a", "b", "same")
         links = stored(links.union(confirmed(tried, full, percent)))
         labels = components(links)
+    return links, labels
+
+
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs ``(a, b, same)`` whose ends have different labels."""
+    for end in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("id").alias(end), F.col("label").alias(f"l{end}")), end, "left")
+    return pairs.filter("coalesce(la, a) <> coalesce(lb, b)").select("a", "b", "same")
+
+
+def completed(pairs: DataFrame, full: DataFrame, links: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """The labels after all pairs that lead from one component to another are tried: in every round each row tries its likeliest
+    ones, until none is left."""
+    left, width = pairs, 1
+    while not left.isEmpty():
+        ends = left.select(F.col("a").alias("own"), "a", "b", "same").union(left.select("b", "a", "b", "same"))
+        place = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("same"), "a", "b"))
+        tried = stored(ends.select("a", "b", place.alias("place")).filter(F.col("place") <= width).select("a", "b").distinct())
+        found = confirmed(tried, full, percent)
+        links = stored(links.union(found))
+        labels = components(links)
+        left = stored(_across(_untried(left, tried), labels))
+        width *= MORE
     return labels
 
 
@@ -284,7 +324,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     bridges = whole.select("id", "digest").join(several, "id", "left_semi").join(classes.select("digest", "rep"), "digest")
     bridges = bridges.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     pairs = stored(candidates(classes, percent))
-    labels = connected(pairs, stored(full_sets(pairs, docs, key, text, k)), bridges, percent)
+    links, labels = connected(pairs, stored(full_sets(pairs, docs, key, text, k)), bridges, percent)
+    reached = classes.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select("rep", "n", "signature", F.coalesce("label", "rep").alias("label"))
+    more = stored(_untried(candidates(reached, percent), pairs))
+    if not more.isEmpty():
+        labels = completed(more, stored(full_sets(more, docs, key, text, k)), links, labels, percent)
     named = classes.select("digest", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("digest", F.coalesce("label", "rep").alias("label"))
     out = signed.select("id", "n", "digest").join(named, "digest", "left")

@@ -84,6 +84,31 @@ def test_near_duplicates_equal_all_pairs(frame, k):
     assert all(r.kept == (r.doc_id == r.component_id) for r in out)
 
 
+def test_few_links_to_a_group_of_closer_copies(frame):
+    """Texts around the threshold of a group whose members are closer to each other."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    docs = []
+    cuts = range(5, 270, 18)
+    for _ in range(6):
+        base = [word() for _ in range(300)]
+        for i in range(60):
+            words = list(base)
+            # Only the last member shares a place with the text below, which makes it the only link, at 80.7 %.
+            for at in (9 + 18 * rng.randrange(16), cuts[7] if i == 59 else 13 + 18 * rng.randrange(15)):
+                words[at] = word()
+            docs.append(" ".join(words))
+        words = list(base)
+        for at in cuts:
+            words[at] = word()
+        docs.append(" ".join(words))
+    docs = list(enumerate(docs))
+    want = brute_components(docs, 2)
+    assert all(want[i][1] == i - 60 for i in range(60, len(docs), 61))
+    out = near_duplicates.near_duplicates(frame(docs, "doc_id long, text string").repartition(3), k=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == want
+
+
 def test_near_duplicates_of_odd_rows(frame):
     text = "the quick brown fox jumps over the lazy dog again"
     other = "an entirely different text with words of its own"
