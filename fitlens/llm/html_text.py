@@ -2,7 +2,7 @@
 
 First pass: each block of text is good or bad by its stop-word density, length and link density, or by an element around it
 that is never article text; short and unclear blocks stay open. Second pass: open blocks take the label of the nearest decided
-neighbours.
+neighbours, and headings that of what they head. A main part that the page marks counts as one more sign.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe object svg math canvas audio video select textarea title noframes xmp".split())
 BOILERPLATE = frozenset("head nav footer aside form menu dialog button".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = BLOCKS - frozenset(("body", "html"))
 # Words in class, id and role that name parts which are no article text.
 NAMES = frozenset(
@@ -60,6 +61,7 @@ class Block:
     linked: int
     barred: bool
     main: bool
+    heading: str = ""
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -76,7 +78,8 @@ def blocks_of(page: str) -> list[Block]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                out.append(Block(text, linked, barred, main))
+                heading = stack[-1][0] if stack and stack[-1][0] in HEADINGS else ""
+                out.append(Block(text, linked, barred, main, heading))
             pieces, linked = [], 0
 
     def close(n: int) -> None:
@@ -171,8 +174,8 @@ def first_labels(blocks: list[Block]) -> list[int]:
         if b.barred or (marked and not b.main):
             labels.append(BAD)
         elif links > LINKS_HIGH:
-            # In the article a linked heading or list item is decided by what is around it.
-            labels.append(OPEN if marked else BAD)
+            # In the article a linked heading is decided by what it heads.
+            labels.append(OPEN if marked and b.heading else BAD)
         elif size < LENGTH_LOW:
             labels.append(OPEN)
         else:
@@ -181,7 +184,7 @@ def first_labels(blocks: list[Block]) -> list[int]:
             if stops >= STOPS_HIGH or (stops >= STOPS_LOW and size >= LENGTH_HIGH):
                 labels.append(GOOD)
             elif stops >= STOPS_LOW or marked:
-                labels.append(OPEN)
+                labels.append(OPEN)  # in the article also tables, code and other languages
             else:
                 labels.append(BAD)
     return labels
@@ -189,8 +192,16 @@ def first_labels(blocks: list[Block]) -> list[int]:
 
 def last_labels(blocks: list[Block], labels: list[int]) -> list[int]:
     """Open blocks take the label of the nearest decided neighbour in the same part of the page. At equal distance, or without
-    a decided neighbour, they are good in a marked main part and bad elsewhere."""
+    a decided neighbour, they are good in a marked main part and bad elsewhere. A heading in a main part is bad if all that stands
+    below it, up to the next heading, is bad, and good otherwise; the title of the part is good."""
     n = len(blocks)
+    heads_bad = [False] * n
+    below: set[int] = set()
+    for i in range(n - 1, -1, -1):
+        if blocks[i].heading or not blocks[i].main:
+            heads_bad[i], below = below == {BAD}, set()
+        else:
+            below.add(labels[i])
     # Distance to, and label of, the nearest decided block on either side.
     sides = []
     for places in (range(n), range(n - 1, -1, -1)):
@@ -204,7 +215,9 @@ def last_labels(blocks: list[Block], labels: list[int]) -> list[int]:
         sides.append(near)
     out = list(labels)
     for i in range(n):
-        if labels[i] == OPEN:
+        if labels[i] == OPEN and blocks[i].heading and blocks[i].main:
+            out[i] = BAD if heads_bad[i] and blocks[i].heading != "h1" else GOOD
+        elif labels[i] == OPEN:
             before, after = sides[0][i], sides[1][i]
             if before and after and before[1] != after[1] and before[0] != after[0]:
                 out[i] = min(before, after)[1]

@@ -84,6 +84,17 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_links_within_the_article_are_no_text():
+    links = "".join(f"<li><a href=/{i}>Another story of the town {i}</a></li>" for i in range(5))
+    also = "<p>Read also: <a href=/x>What the coast had to say about the family on the hill</a></p>"
+    page = f"<article><h1><a href=/>A title</a></h1><ul>{links}</ul><p>{PROSE}</p>{also}<p>{PROSE}</p><h2>Part two</h2><p>{PROSE}</p><h3>Related</h3><ul>{links}</ul></article>"
+    assert html_text.main_text(page) == f"A title\n{PROSE}\n{PROSE}\nPart two\n{PROSE}"
+    # What is short and not linked follows its neighbours, within the article too.
+    assert html_text.main_text(f"<main><p>{PROSE}</p><p>Yes.</p><ul>{links}<li>More</li>{links}</ul></main>") == f"{PROSE}\nYes."
+    # A table has no stop words.
+    assert html_text.main_text(f"<article><p>{PROSE}</p><p>Wheat 12 | Barley 14 | Oats 9 | Rye 31 | Maize 5 | Rice 8</p></article>").endswith("Rice 8")
+
+
 def test_broken_markup_takes_linear_time():
     start = time.time()
     for piece in ("<a ", '<a "', "<div><a '", "<", "<p", "</div>", "<div>", "<!-", '<a b="', "&", "<nav></p>"):
