@@ -30,6 +30,13 @@ TEMPLATES = (
     (1, "src", "Authorization: Bearer ", "eyJ<alnum:20>.<alnum:40>.<alnum:30>", "\n"),
     (1, "id_rsa", "", "-----BEGIN RSA PRIVATE KEY-----\n<b64:64>\n-----END RSA PRIVATE KEY-----", ""),
     (1, "web", "secret: ", "<b64:24>", " ok"),
+    (1, "config/prod.env", "DB_PASSWORD=", "<hex:18>", "\n"),
+    (1, "web", "for this DB_PASSWORD=", "<hex:24>", " was used"),
+    (1, "src/application.properties", "db.password=", "<alnum:16>", "\n"),
+    (1, "ci.yml", "GITHUB_TOKEN=", "ghp_<alnum:36>", "\n"),
+    (1, "web", "export client_secret=", "<b64:40>", " here"),
+    (1, "web", "https://api.site.org/v1?access_token=", "<hex:40>", "&page=2"),
+    (1, "web", "https://api.site.org/v1?page=2&api_key=", "<alnum:32>", " and"),
     (0, "CHANGELOG.md", "fixed in commit ", "<hex:40>", " by them"),
     (0, "web", "see revision ", "<hex:40>", " of the"),
     (0, "package-lock.json", '"integrity": "sha512-', "<b64:86>==", '",'),
@@ -63,6 +70,12 @@ TEMPLATES = (
     (0, "web", "mail ", "firstname_lastname_<digits:2>", "@example.com"),
     (0, "web", "token = ", "self.tokens[i]+offset1", "\n"),
     (0, "src/parse.py", "password = ", "getpass.getpass(prompt1)", "\n"),
+    (0, "docs/readme.md", "DB_PASSWORD=", "your_password_123", "\n"),
+    (0, "tests/conftest.py", 'MY_TOKEN = "', "test-token-0002", '"'),
+    (0, "web", "https://site.org/image?id=", "<hex:32>", "&w=2"),
+    (0, "web", "https://site.org/list?order=", "<digits:16>", "&n=2"),
+    (0, "log", "commit=", "<hex:40>", " took"),
+    (0, "build.env", "BUILD_NUMBER=", "20240510-<digits:10>", "\n"),
     (0, "src/form.js", "token = ", "document.getElementById(f1)", ";"),
 )
 EACH = 6

@@ -20,7 +20,9 @@ from fitlens.sources.io import literal_rows
 THRESHOLD = 0.5
 TREES, DEPTH, SEED = 60, 8, 11
 
-# Forms of findings. An assignment is a telling name, a sign and a value; its name belongs to the text before.
+# Forms of findings. An assignment is a telling name, which may be the end of a longer one, a sign and a value; its
+# name belongs to the text before. The value of a URL's parameter ends with the parameter.
+WHOLE = r"[A-Za-z0-9_.-]*"
 NAME = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credentials?)"
 SIGN = r"[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?"
 PROVIDERS = (
@@ -32,10 +34,11 @@ PROVIDERS = (
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}"),
     ("private key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?(?:-----END [A-Z ]*PRIVATE KEY-----|\z)"),
 )
-ASSIGNED = rf"(?i:{NAME}{SIGN})[^\s\"',;]{{6,}}"
-RUN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}"
-FINDING = "|".join([*(p for _, p in PROVIDERS), ASSIGNED, RUN])
-PREFIX = rf"^(?i:{NAME}{SIGN})"
+PARAMETER = rf"(?<=[?&])(?i:{WHOLE}{NAME}=)[^\s\"',;&#]{{6,}}"
+ASSIGNED = rf"(?<![A-Za-z0-9_.-])(?i:{WHOLE}{NAME}{SIGN})[^\s\"',;]{{6,}}"
+RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
+FINDING = "|".join([*(p for _, p in PROVIDERS), PARAMETER, ASSIGNED, RUN])
+PREFIX = rf"^(?i:{WHOLE}{NAME}{SIGN})(?=[^\s\"',;]{{6}})"
 
 # Words that fill names and placeholders, for dictionary coverage.
 DICTIONARY = (
