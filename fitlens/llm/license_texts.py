@@ -104,3 +104,23 @@ def _licenses() -> list[tuple[str, str, str, str]]:
 
 
 LICENSES = _licenses()
+
+# Digests of the canonical form of longer whole texts (``licenses.digest``), licence, category and form.
+DIGESTS = (
+    ("93651fc3b3c9c21033cf07999bdb593e0138192678d4743ddf7ee126fefab052", "Apache-2.0", "permissive", "full"),  # whole
+    ("f92c423b6d6da66caa78abd6f49f73f5bc8715dca82e1a73f62d1e6eec41986c", "Apache-2.0", "permissive", "full"),  # whole, owner filled in
+    ("09ad3868555dada25cbf24199409a8c1e39fe8ef08d164adc6e98c1d02767793", "Apache-2.0", "permissive", "full"),  # without appendix
+    ("0c625737207ff21211498d94941901de5bca68c965547007c169a1e718b97f16", "Apache-2.0", "permissive", "full"),  # without appendix and its last line
+    ("ae2be2aaa68f5e52ef402874fc8c7c691879b445cb12e49d84f88168cc2d7dd6", "GPL-2.0", "copyleft", "full"),  # whole
+    ("a76cc6ce70778ba70e43b9b1838f9e3f88b3fc7c5acbb3b8a9847918003b63e0", "GPL-2.0", "copyleft", "full"),  # without appendix
+    ("42b67f6c2a10d2b6cb4c48a2c1a454953ad6d664174e0493c9d92e45feb4b408", "GPL-3.0", "copyleft", "full"),  # whole
+    ("158302bba42ffffd9ebd468b95aca480c990d662430ac44bb2edba378ebeb545", "GPL-3.0", "copyleft", "full"),  # without appendix
+    ("aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be", "LGPL-3.0", "weak copyleft", "full"),  # whole
+    ("383594bdce0c728972216e9a2472728e1ce0ac4e0e983e80b237c67270d2ef1f", "MPL-2.0", "weak copyleft", "full"),  # whole
+    ("ddc30b039f06049de7ab47bfa10e7fd5d6018abf24dfe5616ddc0274b0710943", "MPL-2.0", "weak copyleft", "full"),  # without exhibits
+    ("96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f", "CC0-1.0", "public domain", "full"),  # whole
+    ("a142ae38742c8c4c35f5fa19e0a40ebfa60fc38535daf9c570ca3d7e012e1e32", "CC0-1.0", "public domain", "full"),  # without first line
+    ("e2380bdfe57ca73b01d0b1848a4ee630998d729b260e63082b9267100b4a7229", "Unlicense", "public domain", "full"),  # whole
+    ("1b8c5cd52eceb19ab0bc3cb40be110b1c0e7fa2671a3fe5866e59dd1502e69c7", "Zlib", "permissive", "full"),  # whole
+    ("99618428d879198d4ae824db7ad07a9d0f9214f15429de52839cbe667713f21a", "Zlib", "permissive", "full"),  # with its name
+)

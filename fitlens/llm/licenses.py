@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitlens.llm.license_texts import LICENSES
+from fitlens.llm.license_texts import DIGESTS, LICENSES
 from fitlens.llm.registry import query, table
 from fitlens.sources.io import literal_rows
 
@@ -46,8 +46,9 @@ def digest(part: Column) -> Column:
     return F.sha2(F.trim(F.regexp_replace(part, r"\s+", " ")), 256)
 
 
-def known_digests(spark: SparkSession, licenses: Iterable[tuple[str, str, str, str]]) -> DataFrame:
-    """``(digest, license, category, form)``, one row per digest; the first of equal texts counts."""
+def known_digests(spark: SparkSession, licenses: Iterable[tuple[str, str, str, str]], digests: Iterable[tuple[str, str, str, str]] = ()) -> DataFrame:
+    """``(digest, license, category, form)``, one row per digest; the first of equal texts counts. digests: such rows of texts
+    that are not among the licences."""
     license, category, form, text = zip(*licenses)
     rows = literal_rows(
         spark,
@@ -55,16 +56,27 @@ def known_digests(spark: SparkSession, licenses: Iterable[tuple[str, str, str, s
         {"place": pa.int32()} | dict.fromkeys(("license", "category", "form", "text"), pa.string()),
     )
     first = F.min_by(F.struct("license", "category", "form"), "place").alias("first")
-    return rows.groupBy(digest(canonical(F.col("text"))).alias("digest")).agg(first).select("digest", "first.*")
-
-
-def scan_licenses(docs: DataFrame, licenses: Iterable[tuple[str, str, str, str]] = LICENSES, key: str = "doc_id", text: str = "text") -> DataFrame:
+    known = rows.groupBy(digest(canonical(F.col("text"))).alias("digest")).agg(first).select("digest", "first.*")
+    if digests:
+        names = ("digest", "license", "category", "form")
+        known = known.union(literal_rows(spark, dict(zip(names, zip(*digests))), dict.fromkeys(names, pa.string())))
+    return known
+
+
+def scan_licenses(
+    docs: DataFrame,
+    licenses: Iterable[tuple[str, str, str, str]] = LICENSES,
+    key: str = "doc_id",
+    text: str = "text",
+    digests: Iterable[tuple[str, str, str, str]] = DIGESTS,
+) -> DataFrame:
     """``(key, unit, line, license, category, form)``, a row for each unit that is a known licence as a whole.
 
     unit: ``text`` (all of it), ``paragraph`` (between blank lines, if there are several) or ``line`` (if there are several);
     a paragraph of one line stands for itself and for its line. line: first line of the unit, from 1. Null and empty texts and
     units without letters or digits give no row; repeated rows and null keys are judged one by one; extra columns are left out.
-    The known licences are a parameter of a few hundred rows, a local relation whose size the planner knows.
+    The known licences are parameters of a few hundred rows, local relations whose size the planner knows: texts, and digests of
+    longer texts.
     """
     body = docs.select(F.col(key).alias("_key"), canonical(F.col(text)).alias("body"))
     body = body.select("_key", "body", F.split("body", "\n").alias("lines"), F.split(F.regexp_replace("body", r"^\n+|\n+$", ""), r"\n{2,}").alias("parts"))
@@ -82,7 +94,7 @@ def scan_licenses(docs: DataFrame, licenses: Iterable[tuple[str, str, str, str]]
         ).otherwise(none),
     )
     rows = body.select("_key", F.inline(units)).filter(F.col("digest") != EMPTY)
-    found = rows.join(known_digests(docs.sparkSession, licenses), "digest")
+    found = rows.join(known_digests(docs.sparkSession, licenses, digests), "digest")
     return found.select(F.col("_key").alias(key), "unit", "line", "license", "category", "form")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import pathlib
 import random
 
 import numpy as np
@@ -248,6 +249,32 @@ def test_licenses(frame):
     assert [r.line for r in out if r.doc_id == 2] == [2, 2] and [r.line for r in out if r.doc_id == 3] == [3]
 
 
+ZLIB = """Copyright (c) 2021 Someone
+
+This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any
+damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and
+redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use
+this software in a product, an acknowledgement in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution.
+"""
+
+
+def test_whole_texts_of_longer_licenses(frame):
+    rows, want = [("zlib", ZLIB)], {("zlib", "Zlib", "full")}
+    for name, file in (("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-3.0", "LGPL-3"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")):
+        path = pathlib.Path("/usr/share/common-licenses", file)
+        if path.exists():
+            rows += [(name, path.read_text()), (f"{name}, cut", path.read_text()[:5000])]
+            want.add((name, name, "full"))
+    out = licenses.scan_licenses(frame(rows, "doc_id string, text string")).filter("unit = 'text'").collect()
+    assert {(r.doc_id, r.license, r.form) for r in out} == want and len(out) == len(want)
+
+
 # --- URLs
 
 
