@@ -174,11 +174,13 @@ def held_out(key: str):
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS) -> Trees:
-    """Trees from at most ``max_rows`` labelled documents that are not held out."""
+    """Trees from at most ``max_rows`` labelled documents that are not held out. Equal labels of an id count once, and of the
+    texts of an id the one with the smallest digest counts."""
     rows = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key))
-    sample = rows.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("label")).orderBy(F.xxhash64("_id"), "_id", "label").limit(max_rows)
+    sample = rows.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("label")).distinct().orderBy(F.xxhash64("_id"), "_id", "label").limit(max_rows)
     texts = docs.select(F.col(key).alias("_id"), F.col(text).alias("text"))
-    drawn = texts.join(F.broadcast(sample), "_id").select("label", "text").mapInPandas(_statistics_frame, "label int, x array<double>").toPandas()
+    one = texts.join(F.broadcast(sample), "_id").groupBy("_id", "label").agg(F.min_by("text", F.sha2("text", 256)).alias("text"))
+    drawn = one.select("label", "text").mapInPandas(_statistics_frame, "label int, x array<double>").toPandas()
     x = np.array(drawn["x"].tolist(), float).reshape(len(drawn), len(FEATURES))
     y = drawn["label"].to_numpy(float)
     order = np.lexsort([*x.T, y])  # the order in which tasks end must not matter

@@ -7,6 +7,7 @@ import itertools
 import random
 import re
 import time
+import zlib
 
 import numpy as np
 import pytest
@@ -222,3 +223,15 @@ def test_quality_of_odd_rows(frame, spark):
     assert len({r.score for r in out if r.doc_id in (1, 2)}) == 1 and all(0 <= r.score <= 1 for r in out) and len(out) == 5
     assert [r.held_out for r in out if r.doc_id is None] == [False]
     assert quality.accepted(odd, trees).columns == odd.columns
+
+
+def test_quality_draws_one_text_of_an_id(frame, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "grow", lambda x, y: seen.append((x.tolist(), y.tolist())))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    docs = [(i, f"a text of number {i}") for i in ids] + [(ids[0], f"another {n}") for n in range(200)] + [(ids[1], None)]
+    labels = [(i, i % 2) for i in ids] + [(ids[2], ids[2] % 2)] * 50
+    for seed in (1, 2):
+        random.Random(seed).shuffle(docs)
+        quality.fit(frame(docs, "doc_id long, text string").repartition(3), frame(labels, "doc_id long, quality int"))
+    assert [len(y) for _, y in seen] == [len(ids)] * 2 and seen[0] == seen[1]
