@@ -67,10 +67,13 @@ class Index:
     def list_of(self, x: np.ndarray) -> np.ndarray:
         return self._nearest(self.lengthened(x), self.centres)
 
-    def probes(self, q: np.ndarray, n: int) -> np.ndarray:
-        """The n lists nearest to each query, as one that is as long as it is, without the added coordinate."""
+    def probes(self, q: np.ndarray, n: int, sizes: np.ndarray, needed: np.ndarray) -> list[np.ndarray]:
+        """The n lists nearest to each query, as one that is as long as it is, without the added coordinate; more of them until
+        their sizes add up to what the query needs."""
         points = np.concatenate([q, np.zeros((len(q), 1))], 1)
-        return np.argsort(-(points @ self.centres.T - 0.5 * (self.centres**2).sum(1)), 1, kind="stable")[:, :n]
+        order = np.argsort(-(points @ self.centres.T - 0.5 * (self.centres**2).sum(1)), 1, kind="stable")
+        enough = (sizes[order].cumsum(1) < needed[:, None]).sum(1) + 1
+        return [lists[: max(n, m)] for lists, m in zip(order, enough)]
 
     def scan(self, queries: np.ndarray, vectors: np.ndarray, keep: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each query its place and the places of the nearest vectors, ``keep`` at least if there are as many."""
@@ -151,13 +154,19 @@ def nearest_neighbours(
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                yield batch.assign(lists=list(index.probes(np.array(batch["vec"].tolist(), float), probes)))
+                needed = batch["own"].to_numpy() + k
+                yield batch.assign(lists=index.probes(np.array(batch["vec"].tolist(), float), probes, ids_of, needed)).drop(columns="own")
 
     listed = stored(classes.select("rep", "vec", "ids").mapInPandas(assign, "rep long, vec array<double>, ids array<long>, list long"))
     asked = rows.filter(F.col("id") % every == 0).select("id", "vec").distinct()
     # Every query with the class of its vector.
     mine = stored(asked.join(classes.select("vec", "rep"), "vec").select("id", "rep"))
-    asking = classes.select("rep", "vec").join(mine.select("rep").distinct(), "rep")
+    # A query needs k candidates besides its own vectors, if there are as many.
+    ids_of = np.zeros(len(index.centres))
+    for row in listed.groupBy("list").agg(F.sum(F.size("ids")).alias("n")).collect():  # at most MOST_LISTS rows
+        ids_of[row["list"]] = row["n"]
+    own = mine.join(asked.groupBy("id").agg(F.count("*").alias("own")), "id").groupBy("rep").agg(F.max("own").alias("own"))
+    asking = classes.select("rep", "vec").join(own, "rep")
     probing = asking.mapInPandas(probe, "rep long, vec array<double>, lists array<long>").select("rep", "vec", F.explode("lists").alias("list"))
     probing = stored(probing)
     # A list is cut into blocks of rows and of queries, and every block of the one meets every block of the other.

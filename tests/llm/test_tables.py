@@ -226,6 +226,13 @@ def test_nearest_neighbours_of_odd_rows(frame):
     assert nearest.nearest_neighbours(df.limit(0)).count() == 0
 
 
+def test_nearest_neighbours_of_few_vectors(frame):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(15)] + [(0, rng.normal(size=4).tolist())]
+    out = nearest.nearest_neighbours(frame(rows, "vec_id long, embedding array<double>"), every=5).collect()
+    assert {q: sorted({r.vec_id for r in out if r.query_id == q}) for q in (0, 5, 10)} == {q: [i for i in range(15) if i != q] for q in (0, 5, 10)}
+
+
 # --- licences
 
 
