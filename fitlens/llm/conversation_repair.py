@@ -208,9 +208,9 @@ def together(a: dict, b: dict) -> dict:
     return out
 
 
-def _repaired(pieces: list[dict]) -> tuple[dict, list[dict]]:
-    """The report of a conversation and the edits of its rows, from its pieces in order."""
-    pieces = [{**p, "cell": list(zip(p["costs"], p["audits"]))} for p in pieces]
+def _repaired(conv: object, pieces: list[dict]) -> tuple[dict, list[dict]]:
+    """The report of a conversation and the edits of its rows, from its pieces."""
+    pieces = [p | {"conv": conv, "cell": list(zip(p["costs"], p["audits"]))} for p in sorted(pieces, key=lambda p: p["first"])]
     rows = [(p["first"], p["n"]) for p in pieces]
     while len(pieces) > 1:
         pieces = [together(*pieces[i : i + 2]) if i + 1 < len(pieces) else pieces[i] for i in range(0, len(pieces), 2)]
@@ -230,7 +230,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in REPORT.split(", ")]
     edit = pa.list_(pa.struct([("row", pa.int64()), ("edits", pa.string()), ("roles", pa.string()), ("place", pa.int64())]))
     for batch in batches:
-        found = [_repaired(sorted(p, key=lambda r: r["first"])) for p in batch.column(1).to_pylist()]
+        found = list(map(_repaired, batch.column(0).to_pylist(), batch.column(1).to_pylist()))
         columns = [pa.array([report[c] for report, _ in found], pa.string() if c == "audit" else pa.int64()) for c in names]
         yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array([e for _, e in found], edit)], ["conv", *names, "rows"])
 

@@ -106,10 +106,14 @@ def test_a_conversation_in_many_pieces(frame, spark):
     """One conversation has most rows; it lies in all ranges and batches."""
     rng = random.Random(6)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         hot = [(i // 2, rng.choice(("user", "assistant")), rng.choice((f"Text {i}.", f"Text {i}", "again."))) for i in range(900)]
         check(frame, {1: conversation(rng, 4), 2: hot, 3: conversation(rng, 6)}, parts=7)
+        ordered = cr.in_order(frame([(2, *r) for r in hot], "_conv long, _turn long, _role string, _text string"))
+        assert ordered.select((ordered["_id"] / 2**33).cast("int")).distinct().count() > 1
     finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
