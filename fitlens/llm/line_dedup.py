@@ -27,8 +27,9 @@ def _keys(rows: DataFrame, chars: int) -> DataFrame:
     """Every line of at least ``chars`` code points as its place and its key, a 16-byte hash, beside all columns but the text."""
     own = [c for c in rows.columns if c != "_text"]
     lines = rows.select(*own, F.posexplode(_lines(F.col("_text"))).alias("_place", "_line"))
-    lines = lines.withColumn("_line", ascii_lower(F.btrim("_line", F.lit(WHITE)))).filter(F.char_length("_line") >= chars)
-    return lines.select(*own, "_place", F.unhex(F.md5("_line")).alias("_key"))
+    # Lower case leaves the length as it is, so only lines that are long enough are put into it.
+    lines = lines.withColumn("_line", F.btrim("_line", F.lit(WHITE))).filter(F.char_length("_line") >= chars)
+    return lines.select(*own, "_place", F.unhex(F.md5(ascii_lower(F.col("_line")))).alias("_key"))
 
 
 def shared_lines(rows: DataFrame, documents: int) -> DataFrame:
