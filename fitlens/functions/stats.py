@@ -10,21 +10,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-# Chebyshev fit of the complementary error function, lowest order first
-# (Press et al., Numerical Recipes; relative error below 1.2e-7).
-ERFC_FIT = [
-    -1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-    0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277,
-]
+# Where the series of the error function gives way to the continued fraction of its complement, and the terms of each.
+TURN, TERMS, STEPS = 2.0, 45, 120
+
+
+def log_erfc(x: Column) -> Column:
+    """Logarithm of the complementary error function of a non-negative column, at any size of ``x``.
+
+    Up to ``TURN`` it comes from the series of erf in powers of 2 x^2, beyond from the continued fraction of erfc, whose leading
+    factor exp(-x^2) becomes a summand; so nothing underflows. Both are to about 14 digits.
+    """
+    square = F.lit(2.0) * x * x
+    series = F.lit(1.0)
+    for n in range(TERMS, 0, -1):
+        series = F.lit(1.0) + square / F.lit(2.0 * n + 1.0) * series
+    erf = F.lit(2.0 / math.sqrt(math.pi)) * x * F.exp(-x * x) * series
+    # The fraction from its end; the value there is the fixed point that its steps draw near to.
+    steps = F.sequence(F.lit(STEPS), F.lit(1), F.lit(-1))
+    below = F.aggregate(steps, (x + F.sqrt(x * x + F.lit(2.0 * STEPS))) / 2, lambda value, n: x + n / (F.lit(2.0) * value))
+    return F.when(x <= TURN, F.log(F.lit(1.0) - erf)).otherwise(-x * x - F.log(F.lit(math.sqrt(math.pi)) * below))
 
 
 def erfc(x: Column) -> Column:
     """Complementary error function of a non-negative column."""
-    t = F.lit(1.0) / (F.lit(1.0) + x * 0.5)
-    fit = F.lit(ERFC_FIT[-1])
-    for coefficient in reversed(ERFC_FIT[:-1]):
-        fit = fit * t + F.lit(coefficient)
-    return t * F.exp(fit - x * x)
+    return F.exp(log_erfc(x))
 
 
 def two_proportion_z(x1: Column, n1: Column, x2: Column, n2: Column) -> Column:
@@ -35,8 +44,13 @@ def two_proportion_z(x1: Column, n1: Column, x2: Column, n2: Column) -> Column:
     return F.try_divide(gap, spread)
 
 
+def log_normal_two_sided(z: Column) -> Column:
+    """Logarithm of the two-sided p-value of a normal variable; it tells apart values whose p-values are all zero."""
+    return log_erfc(F.abs(z) / F.lit(math.sqrt(2.0)))
+
+
 def normal_two_sided(z: Column) -> Column:
-    return erfc(F.abs(z) / F.lit(math.sqrt(2.0)))
+    return F.exp(log_normal_two_sided(z))
 
 
 def welch_t(m1: Column, v1: Column, n1: Column, m2: Column, v2: Column, n2: Column) -> Column:
@@ -68,8 +82,8 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     return h
 
 
-def student_two_sided_array(t: np.ndarray, df: np.ndarray) -> np.ndarray:
-    """P(|T| > |t|) for Student's distribution; NaN where an argument is NaN."""
+def log_student_two_sided_array(t: np.ndarray, df: np.ndarray) -> np.ndarray:
+    """Logarithm of P(|T| > |t|) for Student's distribution; NaN where an argument is NaN."""
     t, df = np.asarray(t, float), np.asarray(df, float)
     out = np.full(t.shape, np.nan)
     ok = np.isfinite(t) & np.isfinite(df) & (df > 0)
@@ -79,19 +93,29 @@ def student_two_sided_array(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     x = df[ok] / (df[ok] + t[ok] ** 2)
     log_beta = np.array([math.lgamma(p + 0.5) - math.lgamma(p) - math.lgamma(0.5) for p in a])
     with np.errstate(divide="ignore", invalid="ignore"):
-        # log(1 - x) loses all digits when t is small against df, so it is taken from t itself.
+        # log(x) and log(1 - x) lose all digits when one of them is near 1, so they are taken from t itself.
+        log_x = -np.log1p(t[ok] ** 2 / df[ok])
         log_rest = np.log(t[ok] ** 2 / (df[ok] + t[ok] ** 2))
-        front = np.exp(log_beta + a * np.log(x) + b * log_rest)
+        log_front = log_beta + a * log_x + b * log_rest
         low = x < (a + 1.0) / (a + b + 2.0)
-        direct = front * _beta_fraction(a, b, x) / a
-        mirrored = 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
-    p = np.where(low, direct, mirrored)
-    out[ok] = np.where(t[ok] == 0.0, 1.0, p)
+        # Far out the fraction stands beside a factor that would underflow, so their logarithms are added.
+        direct = log_front + np.log(_beta_fraction(a, b, x) / a)
+        mirrored = np.log1p(-np.exp(log_front) * _beta_fraction(b, a, 1.0 - x) / b)
+    out[ok] = np.where(t[ok] == 0.0, 0.0, np.where(low, direct, mirrored))
     return out
 
 
+def student_two_sided_array(t: np.ndarray, df: np.ndarray) -> np.ndarray:
+    """P(|T| > |t|) for Student's distribution; NaN where an argument is NaN."""
+    return np.exp(log_student_two_sided_array(t, df))
+
+
 @F.pandas_udf(DoubleType())
-def student_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
-    """Two-sided p-value of Student's t, NULL where t or df is NULL."""
-    p = student_two_sided_array(t.to_numpy(float, na_value=np.nan), df.to_numpy(float, na_value=np.nan))
+def log_student_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
+    """Logarithm of the two-sided p-value of Student's t, NULL where t or df is NULL."""
+    p = log_student_two_sided_array(t.to_numpy(float, na_value=np.nan), df.to_numpy(float, na_value=np.nan))
     return pd.Series(p).astype(object).where(~np.isnan(p), None).astype("Float64")
+
+
+def student_two_sided(t: Column | str, df: Column | str) -> Column:
+    return F.exp(log_student_two_sided(t, df))

@@ -28,12 +28,13 @@ def top_per_section(
 def rank_features(tests: DataFrame, alpha: float, only_higher: bool = False, key: str = "company_name") -> DataFrame:
     """Significant features per company, the smallest p-value first.
 
+    Rows that bring ``log_p`` are ranked by it: p-values of strong traits are all zero, their logarithms are not.
     A company has as many rows as there are tests, so its window is bounded.
     """
     hits = tests.filter(F.col("p_value") < alpha)
     if only_higher:
         hits = hits.filter(F.col("direction") == 1)
-    by_p = Window.partitionBy(key).orderBy("p_value", "feature")
+    by_p = Window.partitionBy(key).orderBy("log_p" if "log_p" in tests.columns else "p_value", "feature")
     return hits.withColumn("rank", F.row_number().over(by_p))
 
 

@@ -113,14 +113,15 @@ def match_values_pair(pairs: DataFrame, of_profiles: DataFrame, of_companies: Da
 
 
 def match_patterns(pairs: DataFrame, traits: DataFrame, ranked: DataFrame) -> DataFrame:
-    """``(id, company_name, feature, detail, p_value)``: significant features the profile has.
+    """``(id, company_name, feature, detail, p_value)``: significant features the profile has, with ``log_p`` where ranked has it.
 
     A matched doctorate hides a matched master's degree.
     """
-    theirs = ranked.filter("feature <> 'average_tenure'").select("company_name", "feature", "p_value")
+    tests = [c for c in ("p_value", "log_p") if c in ranked.columns]
+    theirs = ranked.filter("feature <> 'average_tenure'").select("company_name", "feature", *tests)
     both = pairs.select(*PAIR).join(traits, "id").join(theirs, ["company_name", "feature"])
     doctors = both.filter("feature = 'doctorate'").select(*PAIR, F.lit("master").alias("feature"))
-    return both.join(doctors, [*PAIR, "feature"], "left_anti").select(*PAIR, "feature", "detail", "p_value")
+    return both.join(doctors, [*PAIR, "feature"], "left_anti").select(*PAIR, "feature", "detail", *tests)
 
 
 def match_label(pairs: DataFrame, of_profiles: DataFrame, of_companies: DataFrame) -> DataFrame:
@@ -179,7 +180,7 @@ def advice(
             traits,
             section=F.lit("patterns"),
             book=F.col("feature"),
-            seq=F.col("p_value"),
+            seq=F.col("log_p" if "log_p" in traits.columns else "p_value"),
             item=F.col("feature"),
             detail=F.col("detail"),
         ),

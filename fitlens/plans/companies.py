@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fitlens.constants import MIN_EMPLOYEES
-from fitlens.functions.stats import normal_two_sided, student_two_sided, two_proportion_z, welch_df, welch_t
+from fitlens.functions.stats import log_normal_two_sided, log_student_two_sided, two_proportion_z, welch_df, welch_t
 from fitlens.functions.text import dominant_label, percent_text
 from fitlens.operators.groups import eligible
 from fitlens.operators.joins import drop_ambiguous
@@ -108,20 +108,19 @@ def company_sums(rows: DataFrame, flags: Sequence[str] = FLAGS, x: str = TENURE,
 
 
 def _z_rows(sums: DataFrame, flags: Sequence[str], key: str) -> DataFrame:
-    """One row per company and flag with its counts, z, p-value and direction."""
+    """One row per company and flag with its counts, z, p-value, its logarithm and direction."""
     counts = [
         F.struct(F.lit(f).alias("feature"), F.col(f).alias("x1"), "n1", F.col(f"everybody.{f}").alias("x2"), "everybody.n2")
         for f in flags
     ]
     long = sums.select(key, F.explode(F.array(*counts)).alias("r")).select(key, "r.*")
     z = two_proportion_z(F.col("x1"), F.col("n1"), F.col("x2"), F.col("n2"))
-    return long.withColumn("z", z).withColumns(
-        {"p_value": normal_two_sided(F.col("z")), "direction": F.signum("z").cast("int")}
-    )
+    tested = long.withColumn("z", z).withColumn("log_p", log_normal_two_sided(F.col("z")))
+    return tested.withColumns({"p_value": F.exp("log_p"), "direction": F.signum("z").cast("int")})
 
 
 def _t_rows(sums: DataFrame, key: str) -> DataFrame:
-    """One row per company with a known mean, its t, degrees of freedom and p-value."""
+    """One row per company with a known mean, its t, degrees of freedom, p-value and its logarithm."""
     wide = sums.filter("nx1 > 0").select(
         key,
         F.col("nx1").alias("n1"),
@@ -133,7 +132,8 @@ def _t_rows(sums: DataFrame, key: str) -> DataFrame:
     )
     t = welch_t(*[F.col(c) for c in ("mean1", "var1", "n1", "mean2", "var2", "n2")])
     df = welch_df(*[F.col(c) for c in ("var1", "n1", "var2", "n2")])
-    return wide.withColumns({"t": t, "df": df}).withColumn("p_value", student_two_sided("t", "df"))
+    tested = wide.withColumns({"t": t, "df": df}).withColumn("log_p", log_student_two_sided("t", "df"))
+    return tested.withColumn("p_value", F.exp("log_p"))
 
 
 def ztests(rows: DataFrame, flags: Sequence[str] = FLAGS, key: str = "company_name") -> DataFrame:
@@ -150,11 +150,11 @@ def welch_tests(rows: DataFrame, x: str = TENURE, key: str = "company_name") ->
 
 
 def all_tests(rows: DataFrame, key: str = "company_name") -> DataFrame:
-    """``(company_name, feature, p_value, direction)`` of the z-tests and the tenure test, from one aggregate."""
+    """``(company_name, feature, p_value, log_p, direction)`` of the z-tests and the tenure test, from one aggregate."""
     sums = company_sums(rows, key=key)
-    z = _z_rows(sums, FLAGS, key).select(key, "feature", "p_value", "direction")
+    z = _z_rows(sums, FLAGS, key).select(key, "feature", "p_value", "log_p", "direction")
     t = _t_rows(sums, key).select(
-        key, F.lit("average_tenure").alias("feature"), "p_value", F.signum("t").cast("int").alias("direction")
+        key, F.lit("average_tenure").alias("feature"), "p_value", "log_p", F.signum("t").cast("int").alias("direction")
     )
     return z.unionByName(t)
 

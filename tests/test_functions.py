@@ -93,10 +93,31 @@ def test_two_proportions(frame):
     assert got[2].z is None and got[2].p is None and got[3].z is None
 
 
-def test_erfc_fit(frame):
-    points = [0.0, 0.1, 0.5, 1.0, 2.0, 4.0, 8.0]
-    got = values(frame, points, "double", st.erfc)
-    assert got == [pytest.approx(math.erfc(x), rel=1.3e-7) for x in points]
+def test_erfc(frame):
+    points = [0.0, 1e-9, 0.1, 0.5, 1.0, 1.9, 2.0, 2.1, 3.0, 4.0, 8.0, 20.0]
+    assert values(frame, points, "double", st.erfc) == [pytest.approx(math.erfc(x), rel=1e-11) for x in points]
+    assert values(frame, [None], "double", st.erfc) == [None]
+
+
+def test_logarithms_of_normal_tails(frame):
+    """Far out p is zero in doubles; the logarithm follows the asymptotic series."""
+    points = [60.0, 80.0, -80.0, 1000.0, 1e6]
+    series = lambda z: math.log(2 / math.sqrt(2 * math.pi) / z) - z * z / 2 + math.log(1 - z**-2 + 3 * z**-4 - 15 * z**-6)
+    assert values(frame, points, "double", st.log_normal_two_sided) == [pytest.approx(series(abs(z)), rel=1e-12) for z in points]
+    near = [0.0, 0.3, 2.0, 2.9, 6.0]
+    assert values(frame, near, "double", st.log_normal_two_sided) == [pytest.approx(math.log(math.erfc(z / math.sqrt(2))), rel=1e-10, abs=1e-15) for z in near]
+
+
+def test_logarithms_of_student_tails():
+    # For even degrees of freedom there is a closed form; for two of them p = 1 - t / sqrt(2 + t^2).
+    t = np.array([1.0, 50.0, 1e5])
+    exact = [math.log(2 / ((2 + x * x) * (1 + x / math.sqrt(2 + x * x)))) for x in t]
+    assert st.log_student_two_sided_array(t, np.full(3, 2.0)) == pytest.approx(exact, rel=1e-10)
+    # With very many it comes near to the normal distribution, and it falls with t where p itself is zero.
+    normal = lambda z: math.log(2 / math.sqrt(2 * math.pi) / z) - z * z / 2 + math.log(1 - z**-2 + 3 * z**-4)
+    assert st.log_student_two_sided_array([20.0], [1e9])[0] == pytest.approx(normal(20.0), rel=1e-4)
+    far = st.log_student_two_sided_array([60.0, 80.0, 100.0], [1e6] * 3)
+    assert far[0] > far[1] > far[2] > -1e5 and st.student_two_sided_array([80.0], [1e6])[0] == 0.0
 
 
 def test_student(frame):

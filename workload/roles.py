@@ -252,11 +252,11 @@ rates AS (SELECT *, (x1 + x2)::DOUBLE / (n1 + n2) AS rate FROM one JOIN everyone
 zs AS (
   SELECT *, CASE WHEN rate > 0 AND rate < 1 THEN
     (x1::DOUBLE / n1 - x2::DOUBLE / n2) / sqrt(rate * (1 - rate) * (1.0::DOUBLE / n1 + 1.0::DOUBLE / n2)) END AS z FROM rates),
-ts AS (SELECT *, abs(z) / sqrt(2.0::DOUBLE) AS e, 1.0::DOUBLE / (1.0 + 0.5 * abs(z) / sqrt(2.0::DOUBLE)) AS t FROM zs),
 ztests AS (
-  SELECT company_name, feature, x1, n1, x2, n2, z, sign(z)::INTEGER AS direction,
-    t * exp(-e * e - 1.26551223 + t * (1.00002368 + t * (0.37409196 + t * (0.09678418 + t * (-0.18628806 + t * (0.27886807
-      + t * (-1.13520398 + t * (1.48851587 + t * (-0.82215223 + t * 0.17087277))))))))) AS p_value FROM ts)""",
+  SELECT company_name, feature, x1, n1, x2, n2, z, sign(z)::INTEGER AS direction, exp(log_p) AS p_value, log_p FROM (
+    SELECT *, ln(2) - z * z / 2 - ln(2 * pi()) / 2 + ln(h / 3 * list_sum(list_transform(range(0, 4001),
+      lambda i: (CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(-abs(z) * i * h - i * h * i * h / 2)))) AS log_p
+    FROM (SELECT *, 40 / (1 + abs(z)) / 4000 AS h FROM zs)))""",
     "welch": """m1 AS (
   SELECT company_name, count(average_months_of_experience) AS n1, avg(average_months_of_experience) AS mean1,
     var_samp(average_months_of_experience) AS var1 FROM population GROUP BY 1),
@@ -272,10 +272,10 @@ simpson AS (
     CASE WHEN i = 0 OR i = 1000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
     * exp(lgamma((df + 1) / 2) - lgamma(df / 2) - (df + 1) / 2 * ln(1 + pow(abs(t) * i / 1000, 2) / df)) / sqrt(df * pi())) AS half
   FROM welch, range(1001) r(i) GROUP BY 1),
-ttests AS (SELECT w.*, 1 - 2 * half AS p_value FROM welch w JOIN simpson USING (company_name))""",
+ttests AS (SELECT w.*, 1 - 2 * half AS p_value, ln(1 - 2 * half) AS log_p FROM welch w JOIN simpson USING (company_name))""",
     "tests": """tests AS (
-  SELECT company_name, feature, p_value, direction FROM ztests
-  UNION ALL SELECT company_name, 'average_tenure', p_value, sign(t)::INTEGER FROM ttests)""",
+  SELECT company_name, feature, p_value, log_p, direction FROM ztests
+  UNION ALL SELECT company_name, 'average_tenure', p_value, log_p, sign(t)::INTEGER FROM ttests)""",
     "lexicon": "lexicon(priority, value, word) AS (VALUES "
     + ", ".join(f"({i}, '{v}', '{w}')" for i, (v, ws) in enumerate(LEXICON.items(), 1) for w in ws)
     + ")",
@@ -304,7 +304,7 @@ feature_values AS (
     SELECT id, value, 'v' AS src FROM volunteer_values
     UNION ALL SELECT id, value, 't' FROM feature_values WHERE feature = 'top_university') GROUP BY 1, 2)""",
     "ranked": """ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY company_name ORDER BY p_value, feature) AS rank FROM tests WHERE p_value < 0.5)""",
+  SELECT *, row_number() OVER (PARTITION BY company_name ORDER BY log_p, feature) AS rank FROM tests WHERE p_value < 0.5)""",
     "value_matches": """value_candidates AS (
   SELECT b.id, b.company_name, p.value, p.source AS profile_source, c.source AS company_source,
     (p.source IS NOT NULL)::INTEGER + (c.source IS NOT NULL)::INTEGER AS known
