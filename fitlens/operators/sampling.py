@@ -2,18 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitlens.functions.text import md5_number
+from fitlens.operators.joins import null_safe_join
 from fitlens.operators.positions import BUCKETS, bucket_positions, hash_positions
 from fitlens.session import stored
 
 
-def sample_per_group(df: DataFrame, key: str, id_col: str, limit_col: str, seed: int) -> DataFrame:
-    """As many rows per key as ``limit_col`` says, picked by seeded hash order."""
-    placed = hash_positions(df, [key], [id_col], seed, "_pos")
-    return placed.filter(F.col("_pos") < F.col(limit_col)).drop("_pos")
+def sample_per_group(df: DataFrame, key: str, id_col: str, limit_col: str, seed: int, buckets: int = BUCKETS) -> DataFrame:
+    """As many rows per key as ``limit_col`` says (one number for a key), picked by seeded hash order.
+
+    The order is ``md5(seed | id)``, then the id. Rows are counted by key and hash bucket; the counts tell in which bucket the limit
+    of a key falls. Rows below it are taken and rows beyond it left before anything is shuffled; only the rows of that one bucket,
+    one in ``buckets`` of a key, are put in order. Keys with a null limit give no rows. Rows that share an id are next to each other
+    in the order; which of them are taken, if not all, is arbitrary but their number is not.
+    """
+    # The first 52 bits of the digest are a number that keeps its order.
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_col).cast("string")))
+    bucket = F.floor(F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") * F.lit(buckets / 2**52))
+    marked = df.withColumn("_bucket", bucket)
+    counts = marked.groupBy(key, "_bucket").agg(F.count("*").alias("_n"), F.max(limit_col).alias("_limit"))
+    upto = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    sums = counts.select(key, "_bucket", "_n", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"), F.max("_limit").over(Window.partitionBy(key)).alias("_limit"))
+    # One row for each key: the first bucket that cannot be taken whole, and how many of its rows are wanted.
+    cut = F.min(F.when(F.col("_before") + F.col("_n") > F.col("_limit"), F.struct(F.col("_bucket").alias("at"), (F.col("_limit") - F.col("_before")).alias("rest"))))
+    cuts = sums.filter("_limit IS NOT NULL").groupBy(key).agg(cut.alias("_cut"))
+    met = null_safe_join(marked, cuts, [key])
+    own = df.columns
+    whole = met.filter("_cut IS NULL OR _bucket < _cut.at").select(*own)
+    edge = met.filter("_bucket = _cut.at AND _cut.rest > 0").withColumn("_digest", digest)
+    place = F.row_number().over(Window.partitionBy(key).orderBy("_digest", id_col))
+    return whole.union(edge.withColumn("_place", place).filter("_place <= _cut.rest").select(*own))
 
 
 def negatives(positives: DataFrame, key: str, id_col: str, seed: int) -> DataFrame:
