@@ -12,11 +12,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fitlens.functions.arrays import cosine
 from fitlens.session import drop_stored, stored
 
-MAX_ANCHOR_NUMBERS = 4_000_000
-MAX_BLOCK_SCORES = 4_000_000
+# Vectors that cut space into cells, rows of a block of a cell, and scores in memory at once.
+PIVOTS, BLOCK_ROWS, MAX_BLOCK_SCORES = 64, 8192, 4_000_000
 
 
 def mean_vector(df: DataFrame, key: str, vec: str, out: str = "mean") -> DataFrame:
@@ -25,6 +24,19 @@ def mean_vector(df: DataFrame, key: str, vec: str, out: str = "mean") -> DataFra
     return rows.groupBy(key).agg(Summarizer.mean(F.col("_v")).alias("_m")).select(key, vector_to_array("_m").alias(out))
 
 
+def _unit(arrays: pd.Series, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of length ``dim`` as rows of length one, and where they stand; zero, broken and other vectors are left out."""
+    at = np.array([i for i, x in enumerate(arrays) if x is not None and len(x) == dim], np.int64)
+    block = np.array([arrays.iloc[i] for i in at], float).reshape(len(at), dim)
+    length = np.linalg.norm(block, axis=1)
+    good = np.isfinite(length) & (length > 0)
+    return (block[good].T / length[good]).T, at[good]
+
+
+def _angles(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(unit @ pivots.T, -1.0, 1.0))
+
+
 def cosine_join(
     vecs: DataFrame,
     anchors: DataFrame,
@@ -33,80 +45,75 @@ def cosine_join(
     anchor_id: str,
     anchor_vec: str,
     threshold: float,
-    max_numbers: int = MAX_ANCHOR_NUMBERS,
+    pivots: int = PIVOTS,
+    block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``(id, anchor, cosine)`` of the pairs with a cosine above ``threshold``.
 
-    Anchors are a small table (the words of a lexicon). A bounded probe reads them; if they
-    hold at most ``max_numbers`` numbers they go to the tasks as one matrix and blocks of
-    vectors are matched by a matrix product. Larger anchor tables go through ``_banded_join``.
+    Angles between vectors obey the triangle inequality. Up to ``pivots`` of the vectors, drawn by hash, cut space into cells: each
+    vector belongs to its nearest pivot. An anchor is copied to the cells where it may have a match, those whose pivot is no
+    farther from it than the cell's radius and the threshold's angle together, nor than its own nearest pivot and twice that angle.
+    So no match is lost, and clustered vectors meet few anchors. Cells with many vectors or anchors are cut by hash into pairs of
+    blocks of about ``block`` rows, each of which is one matrix product; pairs near the threshold or above it are scored one by
+    one. Only the pivots and two numbers for each cell pass through the driver.
+
+    Null and zero vectors, vectors with null or non-finite components and those of another length than the pivots match nothing.
     """
-    vectors = vecs.select(id_col, F.col(vec).cast("array<double>").alias("_v")).filter("_v is not null")
-    targets = anchors.select(anchor_id, F.col(anchor_vec).cast("array<double>").alias("_a")).filter("_a is not null")
-    first = targets.select(F.size("_a").alias("dim")).limit(1).collect()
-    if not first:
-        return _banded_join(vectors, targets, id_col, anchor_id, threshold)
-    max_rows = max_numbers // max(1, first[0]["dim"])
-    rows = targets.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return _banded_join(vectors, targets, id_col, anchor_id, threshold)
-
-    matrix = np.array([r["_a"] for r in rows], dtype=float)
-    names = np.array([r[anchor_id] for r in rows], dtype=object)
-    norms = np.linalg.norm(matrix, axis=1)
-    keep = norms > 0
-    unit, names = matrix[keep] / norms[keep][:, None], names[keep]
-    shared = vecs.sparkSession.sparkContext.broadcast((unit, names))
-    size = max(1, MAX_BLOCK_SCORES // max(1, len(names)))
-
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        anchors_unit, anchor_names = shared.value
+    reach = math.acos(max(-1.0, min(1.0, threshold))) + 1e-7
+    vectors = vecs.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v")).filter("v is not null")
+    targets = anchors.select(F.col(anchor_id).alias("anchor"), F.col(anchor_vec).cast("array<double>").alias("w")).filter("w is not null")
+    kinds = dict(vectors.dtypes) | dict(targets.dtypes)
+    out = f"`{id_col}` {kinds['id']}, `{anchor_id}` {kinds['anchor']}, cosine double"
+    spark = vecs.sparkSession
+    drawn = vectors.filter(F.exists("v", lambda x: x != 0)).orderBy(F.xxhash64("id", "v")).limit(pivots).select("v").toPandas()["v"]
+    dim = len(drawn.iloc[0]) if len(drawn) else 0
+    centres, _ = _unit(drawn, dim)
+    if not len(centres):
+        return spark.createDataFrame([], out)
+
+    def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for start in range(0, len(batch), size):
-                part = batch.iloc[start : start + size]
-                block = np.stack(part["_v"].to_numpy())
-                length = np.linalg.norm(block, axis=1)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    scores = (block @ anchors_unit.T) / length[:, None]
-                i, j = np.nonzero(scores > threshold)
-                yield pd.DataFrame(
-                    {id_col: part[id_col].to_numpy()[i], anchor_id: anchor_names[j], "cosine": scores[i, j]}
-                )
-
-    kinds = dict(vectors.dtypes)
-    schema = f"`{id_col}` {kinds[id_col]}, `{anchor_id}` {dict(targets.dtypes)[anchor_id]}, cosine double"
-    return vectors.mapInPandas(match, schema)
-
-
-def _banded_join(vectors: DataFrame, targets: DataFrame, id_col: str, anchor_id: str, threshold: float) -> DataFrame:
-    """Exact cosine join of two large tables as an equi-join on bands of angles.
-
-    Angles obey the triangle inequality: two vectors within ``acos(threshold)`` of each other
-    differ by no more than that in their angle to any third vector. Angles to two axes cut
-    space into bands of that width; an anchor is copied to its own and the adjoining bands.
-    """
-    width = math.acos(max(-1.0, min(1.0, threshold))) + 1e-9
-
-    def band(vec: str, axis: int) -> F.Column:
-        length = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda s, x: s + x * x))
-        share = F.coalesce(F.try_divide(F.get(F.col(vec), axis), length), F.lit(0.0))
-        return F.floor(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), share))) / F.lit(width))
-
-    near = F.array(*[F.lit(d) for d in (-1, 0, 1)])
-    left = vectors.withColumns({"_b0": band("_v", 0), "_b1": band("_v", 1)})
-    right = (
-        targets.withColumns({"_b0": band("_a", 0), "_b1": band("_a", 1)})
-        .withColumn("_d", F.explode(near)).withColumn("_b0", F.col("_b0") + F.col("_d"))
-        .withColumn("_d", F.explode(near)).withColumn("_b1", F.col("_b1") + F.col("_d"))
-        .drop("_d")
-    )
-    score = cosine(F.col("_v"), F.col("_a"))
-    return (
-        left.join(right, ["_b0", "_b1"])
-        .withColumn("cosine", score)
-        .filter(F.col("cosine") > threshold)
-        .select(id_col, anchor_id, "cosine")
-    )
+            unit, at = _unit(batch["v"], dim)
+            angles = _angles(unit, centres)
+            cell = angles.argmin(1) if len(at) else np.zeros(0, int)
+            own = pd.Series(list(unit), index=batch.index[at], dtype=object)
+            yield batch.iloc[at].assign(v=own, cell=cell, angle=angles[np.arange(len(at)), cell])
+
+    located = stored(vectors.mapInPandas(locate, f"id {kinds['id']}, v array<double>, cell int, angle double"))
+    cells = located.groupBy("cell").agg(F.max("angle").alias("radius"), F.count("*").alias("n")).toPandas()
+    radius = np.full(len(centres), -np.inf)
+    radius[cells["cell"]] = cells["radius"]
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            unit, at = _unit(batch["w"], dim)
+            angles = _angles(unit, centres)
+            row, cell = np.nonzero((angles <= radius + reach) & (angles <= angles.min(1, initial=np.inf)[:, None] + 2 * reach))
+            yield pd.DataFrame({"anchor": batch["anchor"].to_numpy()[at[row]], "w": pd.Series(list(unit[row]), dtype=object), "cell": cell})
+
+    copied = stored(targets.mapInPandas(copy, f"anchor {kinds['anchor']}, w array<double>, cell int"))
+    counts = copied.groupBy("cell").agg(F.count("*").alias("n")).toPandas()
+    parts = lambda rows: F.array(*[F.lit(int(-(-n // block)) or 1) for n in rows.set_index("cell")["n"].reindex(range(len(centres)), fill_value=1)])
+    n_left, n_right = F.get(parts(cells), F.col("cell")), F.get(parts(counts), F.col("cell"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = located.select("id", "v", "cell", F.pmod(F.xxhash64("id", "v"), n_left).cast("int").alias("i"), every(n_right).alias("j"))
+    right = copied.select("anchor", "w", "cell", every(n_left).alias("i"), F.pmod(F.xxhash64("anchor", "w"), n_right).cast("int").alias("j"))
+
+    def match(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame({id_col: ours["id"][:0], anchor_id: theirs["anchor"][:0], "cosine": np.zeros(0)})]
+        if len(ours) and len(theirs):
+            anchors_unit = np.stack(theirs["w"].to_list())
+            step = max(1, MAX_BLOCK_SCORES // len(theirs))
+            for start in range(0, len(ours), step):
+                part = ours.iloc[start : start + step]
+                unit = np.stack(part["v"].to_list())
+                a, b = np.nonzero(unit @ anchors_unit.T > threshold - 1e-9)
+                cosine = (unit[a] * anchors_unit[b]).sum(1)
+                above = cosine > threshold
+                found.append(pd.DataFrame({id_col: part["id"].to_numpy()[a[above]], anchor_id: theirs["anchor"].to_numpy()[b[above]], "cosine": cosine[above]}))
+        return pd.concat(found)
+
+    return left.groupBy("cell", "i", "j").cogroup(right.groupBy("cell", "i", "j")).applyInPandas(match, out)
 
 
 def semantic_values(hits: DataFrame, meanings: DataFrame, id_col: str, anchor_id: str) -> DataFrame:
