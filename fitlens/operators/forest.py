@@ -4,126 +4,169 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fitlens.constants import FOREST_TREES
+from fitlens.functions.text import md5_number
 from fitlens.operators.encoding import assemble
+from fitlens.operators.joins import null_safe_join
 from fitlens.operators.positions import running_sums
-from fitlens.operators.sampling import sample_per_group
-from fitlens.session import stored
+from fitlens.session import drop_stored, stored
 from fitlens.sources.io import literal_rows
 
 MAX_BINS = 32
-# Rows of a key that its forest is grown on, at most.
-MAX_ROWS = 20_000
 MAX_DEPTH = 5
+# Draws are numbers below this prime.
+FIELD = 2**31 - 1
+# Equal rows that are numbered in one task.
+BLOCK = 10_000
+# Gains that differ by less are equal.
+DIGITS = 12
 
 
-def rf_importance(df: DataFrame, features: Sequence[str], label: str, trees: int = FOREST_TREES, seed: int = 0) -> DataFrame:
+def rf_importance(
+    df: DataFrame, features: Sequence[str], label: str, trees: int = FOREST_TREES, seed: int = 0, depth: int = MAX_DEPTH, bagging: bool = True
+) -> DataFrame:
     """``(feature, importance, rank)`` of one forest over the whole table.
 
-    Training reads the rows several times, so they are stored first.
+    Training reads the rows several times, so they are stored first. Without ``bagging`` every tree takes all rows and features.
     """
     rows = stored(df.select(*features, F.col(label).cast("double").alias(label)))
     vectors = assemble(rows, features)
-    model = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed).fit(vectors)
-    rows = sorted(zip(features, model.featureImportances.toArray().tolist()), key=lambda r: (-r[1], r[0]))
+    forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed)
+    if not bagging:
+        forest = forest.setBootstrap(False).setFeatureSubsetStrategy("all")
+    found = sorted(zip(features, forest.fit(vectors).featureImportances.toArray().tolist()), key=lambda r: (-r[1], r[0]))
+    drop_stored(rows)
     return literal_rows(
         df.sparkSession,
-        {"feature": [r[0] for r in rows], "importance": [r[1] for r in rows], "rank": range(1, len(rows) + 1)},
+        {"feature": [r[0] for r in found], "importance": [r[1] for r in found], "rank": range(1, len(found) + 1)},
         {"feature": pa.string(), "importance": pa.float64(), "rank": pa.int32()},
     )
 
 
-def feature_cells(df: DataFrame, key: str, features: Sequence[str], label: str, bins: int = MAX_BINS) -> DataFrame:
-    """Rows of each key counted by binned features and label.
+def bin_borders(df: DataFrame, key: str, features: Sequence[str], bins: int = MAX_BINS) -> DataFrame:
+    """``(key, _borders)``: for each feature the largest value of each of its bins within the key, in order.
 
-    A feature has up to ``bins`` equal-width bins between its extremes within the key; the bin
-    is kept as its number.
+    A feature with up to ``bins`` values has a bin for each; of more values, bins of about equal numbers of rows.
     """
-    ends = df.groupBy(key).agg(
-        *[F.min(f).cast("double").alias(f"_lo_{f}") for f in features],
-        *[F.max(f).cast("double").alias(f"_hi_{f}") for f in features],
-    )
-    on = F.col(key).eqNullSafe(F.col("_k"))
-    wide = df.select(key, *features, label).join(ends.withColumnRenamed(key, "_k"), on)
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).alias("x")) for i, c in enumerate(features)]))
+    values = df.select(key, pairs.alias("p")).groupBy(key, "p.f", "p.x").agg(F.count("*").alias("n"), F.lit(1).alias("one"))
+    run = running_sums(stored(values), [key, "f"], "x", ["n", "one"])
+    place = F.when(F.col("all_one") <= bins, F.col("run_one")).otherwise(F.floor((F.col("run_n") - F.col("n")) * bins / F.col("all_n")))
+    highest = run.groupBy(key, "f", place.alias("bin")).agg(F.max("x").alias("x"))
+    each = [F.sort_array(F.collect_list(F.when(F.col("f") == i, F.col("x")))) for i in range(len(features))]
+    return highest.groupBy(key).agg(F.array(*each).alias("_borders"))
 
-    def cell(f: str) -> F.Column:
-        share = F.try_divide(F.col(f).cast("double") - F.col(f"_lo_{f}"), F.col(f"_hi_{f}") - F.col(f"_lo_{f}"))
-        return F.floor(F.coalesce(share, F.lit(0.0)) * (bins - 1) + F.lit(0.5)).cast("int").alias(f)
 
-    binned = wide.select(key, *[cell(f) for f in features], F.col(label).cast("int").alias(label))
-    return binned.groupBy(key, *features, label).agg(F.count("*").alias("n"))
+def _seeded(*parts: object) -> random.Random:
+    return random.Random(int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:15], 16))
 
 
-def _grow(x: np.ndarray, w: np.ndarray, rng: np.random.Generator | None, gains: np.ndarray, total: float, depth: int) -> None:
-    """Add the Gini gains of one tree node and its children to ``gains``.
+def tree_factors(trees: int, seed: int) -> list[tuple[int, int]]:
+    """Factor and summand that turn the number of a row into its draw in each tree."""
+    draw = _seeded(seed, "rows")
+    return [(draw.randrange(1, FIELD), draw.randrange(FIELD)) for _ in range(trees)]
 
-    ``x`` holds bin numbers (cells by features), ``w`` weights (cells by label). Without ``rng`` every feature is tried.
-    """
-    sums = w.sum(axis=0)
-    size = sums.sum()
-    if depth == 0 or size < 2 or sums.min() == 0:
-        return
-    impurity = 1.0 - ((sums / size) ** 2).sum()
-    tried = range(x.shape[1]) if rng is None else rng.choice(x.shape[1], size=math.ceil(math.sqrt(x.shape[1])), replace=False)
-    best, best_split = 0.0, None
-    for f in tried:
-        per_bin = np.stack([np.bincount(x[:, f], weights=w[:, c]) for c in range(2)], axis=1)
-        left = per_bin.cumsum(axis=0)[:-1]
-        right = sums - left
-        nl, nr = left.sum(axis=1), right.sum(axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gini_l = 1.0 - ((left / nl[:, None]) ** 2).sum(axis=1)
-            gini_r = 1.0 - ((right / nr[:, None]) ** 2).sum(axis=1)
-            gain = impurity - (nl * gini_l + nr * gini_r) / size
-        gain[(nl < 1) | (nr < 1)] = 0.0
-        if gain.size and gain.max() > best + 1e-12:
-            best, best_split = gain.max(), (f, int(gain.argmax()))
-    if best_split is None:
-        return
-    f, cut = best_split
-    gains[f] += best * size / total
-    goes_left = x[:, f] <= cut
-    for side in (goes_left, ~goes_left):
-        _grow(x[side], w[side], rng, gains, total, depth - 1)
-
-
-def quantile_bins(x: np.ndarray, bins: int = MAX_BINS) -> np.ndarray:
-    """Number of the quantile bin of each value, per column; of few values each has its own bin."""
-    out = np.zeros(x.shape, int)
-    for j, column in enumerate(x.T):
-        cuts = np.unique(column)
-        if len(cuts) > bins:
-            cuts = np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1], method="lower"))
-        out[:, j] = np.searchsorted(cuts, column, "left")
+
+def poisson_steps() -> list[int]:
+    """Draws from which on a row counts once, twice, ... in a tree, so that its count has the Poisson distribution of mean 1."""
+    total, term, out = 0.0, math.exp(-1.0), []
+    for n in range(1, 11):
+        total += term
+        term /= n
+        out.append(int(total * FIELD))
     return out
 
 
-def cell_importances(x: np.ndarray, w: np.ndarray, trees: int, seed: int, depth: int = MAX_DEPTH, bagging: bool = True) -> np.ndarray:
-    """Mean normalised Gini importances of a bagged forest on weighted cells.
+def tried_features(features: int, trees: int, level: int, seed: int) -> list[list[int]]:
+    """The features that each node of a level tries: the square root of their number, drawn anew for each tree and node."""
+    draw = _seeded(seed, "features", level)
+    return [sorted(draw.sample(range(features), math.ceil(math.sqrt(features)))) for _ in range(trees << level)]
+
+
+def _gini(pos: Column, n: Column) -> Column:
+    rate = F.try_divide(pos.cast("double"), n)
+    return F.coalesce(F.lit(2.0) * rate * (F.lit(1.0) - rate), F.lit(0.0))
+
+
+def _numbered(df: DataFrame, key: str, names: Sequence[str], label: str, id_col: str | None, seed: int) -> DataFrame:
+    """Rows with a number ``_r`` below ``FIELD`` each, from their id or else from what they hold and which of their equals they are."""
+    if id_col is not None:
+        return df.withColumn("_r", md5_number(F.lit(seed), F.col("_id")) % FIELD).drop("_id")
+    same = df.groupBy(key, *names, label).agg(F.count("*").alias("_n"))
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / BLOCK))).alias("_block")
+    blocks = same.select("*", block).repartition(key, *names, label, "_block")
+    first = F.col("_block") * BLOCK
+    rows = blocks.select("*", F.explode(F.sequence(first, F.least(first + BLOCK, F.col("_n")) - 1)).alias("_i"))
+    number = (md5_number(F.lit(seed), F.to_json(F.struct(*names, label))) % FIELD + F.col("_i") * 1_000_003) % FIELD
+    return rows.select(key, *names, label, number.alias("_r"))
 
-    Drawing each of ``n`` equal rows with Poisson weight 1 is drawing Poisson(n) for the cell. Without ``bagging`` all rows and
-    all features count in every tree.
+
+def _numbers(some: Sequence[int], kind: str) -> Column:
+    """Constant array; as one string it takes one node of the plan, not one for each number."""
+    return F.split(F.lit(",".join(map(str, some))), ",").cast(f"array<{kind}>")
+
+
+def _grown(rows: DataFrame, forest: DataFrame, key: str, level: int, features: int, factors: Sequence[tuple[int, int]], seed: int, bagging: bool) -> DataFrame:
+    """``(key, code, f, bin, n, pos)``: weighted counts of the rows in the open nodes of a level, by the bins of features that they try.
+
+    code numbers the nodes of all trees: tree * 2 ** level + place in the level. forest: for each key and level before, by code the
+    split ``feature * 64 + bin`` or -1.
     """
-    rng = np.random.default_rng(seed)
-    out = np.zeros(x.shape[1])
-    for _ in range(trees):
-        drawn = rng.poisson(w).astype(float) if bagging else w
-        kept = drawn.sum(axis=1) > 0
-        gains = np.zeros(x.shape[1])
-        if kept.any():
-            _grow(x[kept], drawn[kept], rng if bagging else None, gains, drawn.sum(), depth)
-        if gains.sum() > 0:
-            out += gains / gains.sum()
-    return out / out.sum() if out.sum() > 0 else out
+    a, b = (_numbers(some, "bigint") for some in zip(*factors))
+    each = null_safe_join(rows, forest, [key]).select("*", F.posexplode(F.arrays_zip(a.alias("a"), b.alias("b"))).alias("_code", "_tree"))
+    if bagging:
+        each = each.withColumn("_draw", (F.col("_r") * F.col("_tree.a") + F.col("_tree.b")) % FIELD)
+        each = each.withColumn("_w", sum(F.when(F.col("_draw") >= s, 1).otherwise(0) for s in poisson_steps())).filter("_w > 0")
+    else:
+        each = each.withColumn("_w", F.lit(1))
+    for above in range(level):
+        each = each.withColumn("_split", F.get(f"_s{above}", F.col("_code"))).filter("_split >= 0")
+        right = F.get(F.col("_bins"), F.floor(F.col("_split") / 64).cast("int")) > F.col("_split") % 64
+        each = each.withColumn("_code", F.col("_code") * 2 + right.cast("int"))
+    tried = tried_features(features, len(factors), level, seed) if bagging else [list(range(features))] * (len(factors) << level)
+    choice = F.get(_numbers([sum(1 << f for f in some) for some in tried], "int"), F.col("_code"))
+    each = each.withColumn("_tried", choice).select(key, "_code", "_w", "_label", "_tried", F.posexplode("_bins").alias("f", "bin"))
+    each = each.filter(F.expr("shiftright(_tried, f) & 1 = 1"))
+    return each.groupBy(key, F.col("_code").alias("code"), "f", "bin").agg(F.sum("_w").alias("n"), F.sum(F.col("_w") * F.col("_label")).alias("pos"))
+
+
+def best_splits(counts: DataFrame, key: str) -> DataFrame:
+    """``(key, code, f, bin, gain, total)``: the split of highest Gini gain of each node, if any; ties by feature and bin."""
+    node = Window.partitionBy(key, "code", "f")
+    left = node.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    sums = counts.select(
+        key, "code", "f", "bin",
+        F.sum("n").over(left).alias("nl"), F.sum("pos").over(left).alias("pl"), F.sum("n").over(node).alias("n"), F.sum("pos").over(node).alias("pos"),
+    )
+    n, pos, nl, pl = (F.col(c) for c in ("n", "pos", "nl", "pl"))
+    gain = _gini(pos, n) - (nl * _gini(pl, nl) + (n - nl) * _gini(pos - pl, n - nl)) / n
+    ways = sums.filter("nl < n").withColumn("gain", F.round(gain, DIGITS)).filter(f"gain > 1e-{DIGITS}")
+    first = F.min(F.struct((-F.col("gain")).alias("less"), "f", "bin", "n")).alias("b")
+    return ways.groupBy(key, "code").agg(first).select(key, "code", "b.f", "b.bin", (-F.col("b.less")).alias("gain"), F.col("b.n").alias("total"))
+
+
+def _by_code(splits: DataFrame, key: str, width: int, out: str) -> DataFrame:
+    """Splits of a level as one array for each key, -1 where a node has none."""
+    coded = F.struct(F.col("code").alias("code"), (F.col("f") * 64 + F.col("bin")).cast("int").alias("split"))
+    listed = splits.groupBy(key).agg(F.sort_array(F.collect_list(coded)).alias("l"))
+    none = lambda n: F.array_repeat(F.lit(-1), n.cast("int"))
+    # The list is the one element of an array, so that it is put in order once.
+    filled = F.transform(
+        F.array("l"),
+        lambda x: F.concat(
+            F.flatten(F.transform(x, lambda s, i: F.concat(none(s["code"] - 1 - F.coalesce(F.get(x, i - 1)["code"], F.lit(-1))), F.array(s["split"])))),
+            none(F.lit(width - 1) - F.element_at(x, -1)["code"]),
+        ),
+    )[0]
+    return listed.select(key, filled.alias(out))
 
 
 def rf_importance_by_group(
@@ -133,42 +176,58 @@ def rf_importance_by_group(
     label: str,
     trees: int = FOREST_TREES,
     seed: int = 0,
-    max_rows: int = MAX_ROWS,
     depth: int = MAX_DEPTH,
     bagging: bool = True,
+    id_col: str | None = None,
 ) -> DataFrame:
-    """``(key, feature, importance, rank)`` of one forest per key, all keys in one job.
+    """``(key, feature, importance, rank)`` of one forest per key on all its rows, all keys and trees level by level.
 
-    A forest is grown on at most ``max_rows`` rows of its key, drawn at random; so a task holds a bounded table however large a
-    key is. Features are binned by quantiles of these rows, at most ``MAX_BINS`` bins each. A key with one label only has zero
-    importances.
+    Each level counts the rows of all open nodes by bins of the features that they try, and takes the best split of each node.
+    Counts combine on the map side, so a key of any size is spread over all tasks; only splits, a bounded number for each key, are
+    kept between levels. A row counts in a tree as often as a Poisson variable of mean 1 says, drawn from its id (unique within
+    the key) or else from its values and its number among equal rows; so results do not depend on how rows are dealt out. Without
+    ``bagging`` every tree takes all rows and features.
+
+    Importances are gains weighted by rows, as shares within each tree, and means over the trees that split. A key with one label
+    only has zero importances. NULL features are below all values; rows with a NULL label are left out.
     """
-    names = list(features)
-    kind = dict(df.dtypes)[key]
-    rows = df.select(key, *[F.col(f).cast("double").alias(f) for f in names], F.col(label).cast("int").alias(label))
-    marked = stored(rows.withColumn("_row", F.to_json(F.struct(*names, label))).withColumn("_most", F.lit(max_rows)))
-    drawn = sample_per_group(marked, key, "_row", "_most", seed).select(key, *names, label)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        group = pdf[key].iloc[0]
-        x = quantile_bins(pdf[names].to_numpy(float))
-        cells, place = np.unique(x, axis=0, return_inverse=True)
-        w = np.stack([np.bincount(place.ravel(), pdf[label].to_numpy() == c, len(cells)) for c in (0, 1)], axis=1)
-        own_seed = int(hashlib.md5(f"{seed}|{group}".encode()).hexdigest()[:8], 16)
-        scores = cell_importances(cells, w, trees, own_seed, depth, bagging)
-        order = sorted(range(len(names)), key=lambda i: (-scores[i], names[i]))
-        return pd.DataFrame(
-            {
-                key: [group] * len(names),
-                "feature": [names[i] for i in order],
-                "importance": [float(scores[i]) for i in order],
-                "rank": range(1, len(names) + 1),
-            }
-        )
-
-    # Growing trees is long work on few rows, so groups go to all cores, however small they are.
-    spread = drawn.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-    return spread.groupBy(key).applyInPandas(fit, f"`{key}` {kind}, feature string, importance double, rank int")
+    names = [f"_f{i}" for i in range(len(features))]
+    values = [F.coalesce(F.col(f).cast("double"), F.lit(float("-inf"))).alias(n) for f, n in zip(features, names)]
+    ids = [F.col(id_col).alias("_id")] if id_col is not None else []
+    rows = stored(df.filter(F.col(label).isNotNull()).select(F.col(key).alias("_key"), *values, F.col(label).cast("int").alias("_label"), *ids))
+    borders = bin_borders(rows, "_key", names)
+
+    def bin_of(i: int, name: str) -> Column:
+        return F.size(F.filter(F.get("_borders", i), lambda border: border < F.col(name))).cast("byte").alias(name)
+
+    place = [bin_of(i, n) for i, n in enumerate(names)]
+    binned = null_safe_join(rows, borders, ["_key"]).select("_key", *place, "_label", *(["_id"] if ids else []))
+    binned = stored(_numbered(binned, "_key", names, "_label", id_col, seed).select("_key", "_label", "_r", F.array(*names).alias("_bins")))
+    factors = tree_factors(trees, seed)
+    keys = forest = stored(binned.select("_key").distinct())
+    gains = []
+    for level in range(depth):
+        splits = stored(best_splits(_grown(binned, forest, "_key", level, len(names), factors, seed, bagging), "_key"))
+        gains.append(splits.select("_key", F.floor(F.col("code") / 2**level).alias("tree"), "f", (F.col("gain") * F.col("total")).alias("gain")))
+        if level == depth - 1:
+            break
+        width = trees << level
+        arrays = null_safe_join(forest, _by_code(splits, "_key", width, f"_s{level}"), ["_key"], "left")
+        forest = arrays.withColumn(f"_s{level}", F.coalesce(f"_s{level}", F.array_repeat(F.lit(-1), width)))
+    every = gains[0]
+    for more in gains[1:]:
+        every = every.union(more)
+    by_tree = every.groupBy("_key", "tree", "f").agg(F.sum("gain").alias("gain"))
+    share = F.col("gain") / F.sum("gain").over(Window.partitionBy("_key", "tree"))
+    found = by_tree.select("_key", "tree", "f", share.alias("share")).groupBy("_key", "f").agg(F.sum("share").alias("share"))
+    part = F.col("share") / F.sum("share").over(Window.partitionBy("_key"))
+    found = found.select("_key", "f", part.alias("importance"))
+    all_features = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.lit(c).alias("feature")) for i, c in enumerate(features)])).alias("p")
+    out = null_safe_join(keys.select("_key", all_features).select("_key", "p.*"), found, ["_key", "f"], "left")
+    out = out.withColumn("importance", F.coalesce("importance", F.lit(0.0)))
+    # Rounded, so that sums that were added up in another order rank alike.
+    rank = F.row_number().over(Window.partitionBy("_key").orderBy(F.desc(F.round("importance", 9)), "feature"))
+    return out.select(F.col("_key").alias(key), "feature", "importance", rank.alias("rank"))
 
 
 def ranked_feature_names(ranked: DataFrame, key: str) -> DataFrame:
@@ -189,12 +248,7 @@ def stump_gain(df: DataFrame, key: str, features: Sequence[str], label: str) ->
     long = df.select(key, F.col(label).cast("int").alias("y"), pairs.alias("p")).select(key, "y", "p.feature", "p.x")
     values = long.groupBy(key, "feature", "x").agg(F.count("*").alias("n"), F.sum("y").cast("long").alias("pos"))
     run = running_sums(stored(values), [key, "feature"], "x", ["n", "pos"])
-
-    def gini(pos: F.Column, n: F.Column) -> F.Column:
-        rate = F.try_divide(pos.cast("double"), n)
-        return F.coalesce(F.lit(2.0) * rate * (F.lit(1.0) - rate), F.lit(0.0))
-
     n, pos, nl, pl = (F.col(c) for c in ("all_n", "all_pos", "run_n", "run_pos"))
     nr, pr = n - nl, pos - pl
-    gain = gini(pos, n) - (nl * gini(pl, nl) + nr * gini(pr, nr)) / n
+    gain = _gini(pos, n) - (nl * _gini(pl, nl) + nr * _gini(pr, nr)) / n
     return run.groupBy(key, "feature").agg(F.max(gain).alias("gain"))

@@ -27,6 +27,21 @@ def ids_by(df: DataFrame, key: str, value: str, out: str, chunk: int = CHUNK) ->
     return dealt.groupBy(key, "part").agg(F.sort_array(F.collect_list(value)).alias(out))
 
 
+def pack_rows(df: DataFrame, key: str, out: str, chunk: int = CHUNK) -> DataFrame:
+    """All rows of each key as structs with all their columns, ``(key, part, out)``.
+
+    A key with more than ``chunk`` rows gets several parts of about that size; rows are dealt to them by hash, equal rows in turn, so
+    a part stays small however large a key is and however often a row repeats. Rows of a part are in order.
+    """
+    same = df.select(F.struct("*").alias("_row")).groupBy("_row").agg(F.count("*").alias("_n"))
+    sizes = df.groupBy(key).agg(F.ceil(F.count("*") / F.lit(chunk)).alias("_parts"))
+    dealt = null_safe_join(same.select(F.col(f"_row.{key}").alias(key), "_row", "_n"), sizes, [key])
+    first = F.xxhash64("_row")
+    copies = dealt.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_copy"))
+    placed = copies.withColumn("part", F.pmod(first + F.col("_copy"), F.col("_parts")))
+    return placed.groupBy(key, "part").agg(F.sort_array(F.collect_list("_row")).alias(out))
+
+
 def counts(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n"))
 

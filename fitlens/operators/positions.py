@@ -16,6 +16,8 @@ from fitlens.operators.joins import null_safe_join
 from fitlens.session import stored
 
 BUCKETS = 4096
+# Rows of a bucket of running sums, such buckets of a group at most, and accuracy of the sketches that cut them.
+SHARE, BUCKETS_OF_SUMS, SKETCH = 10_000, 256, 10_000
 
 
 def bucket_positions(
@@ -75,15 +77,20 @@ def hash_positions(
 
 
 def running_sums(
-    df: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str], buckets: int = BUCKETS
+    df: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str], share: int = SHARE, most: int = BUCKETS_OF_SUMS
 ) -> DataFrame:
     """Add ``run_<c>`` (sum up to and with the row) and ``all_<c>`` for each summed column.
 
-    ``order`` must be numeric and unique within the group. Buckets cut the range of ``order``.
+    ``order`` must be numeric and unique within the group, NULL comes first. A group is cut at quantiles of ``order``, from sketches
+    that merge on the map side, into a bucket for each ``share`` rows and at most ``most``. So buckets are even however the values
+    lie, and a group of usual size has one.
     """
-    ends = df.groupBy(*keys).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-    share = F.try_divide(F.col(order) - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    marked = null_safe_join(df, ends, keys).withColumn("_bucket", F.floor(F.coalesce(share, F.lit(0.0)) * (buckets - 1)))
+    cuts = F.percentile_approx(order, [i / most for i in range(1, most)], SKETCH).alias("_cuts")
+    ends = df.groupBy(*keys).agg(cuts, F.least(F.lit(most), F.ceil(F.count("*") / F.lit(share))).alias("_buckets"))
+    # Of the cuts that all groups have, as many are kept as part the group into its buckets.
+    kept = F.filter("_cuts", lambda _, i: F.floor((i + 1) * F.col("_buckets") / most) > F.floor(i * F.col("_buckets") / most))
+    ends = ends.select(*keys, F.array_distinct(F.coalesce(kept, F.array().cast("array<double>"))).alias("_cuts"))
+    marked = null_safe_join(df, ends, keys).withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(order)))).drop("_cuts")
     group = [*keys, "_bucket"]
     totals = marked.groupBy(*group).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     over_group = Window.partitionBy(*keys)
@@ -97,7 +104,7 @@ def running_sums(
     run = marked.withColumns({f"_r_{c}": F.sum(c).over(within) for c in sums})
     out = null_safe_join(run, starts, group)
     out = out.withColumns({f"run_{c}": F.col(f"_s_{c}") + F.col(f"_r_{c}") for c in sums})
-    return out.drop("_lo", "_hi", "_bucket", *[f"_{p}_{c}" for p in "sr" for c in sums])
+    return out.drop("_bucket", *[f"_{p}_{c}" for p in "sr" for c in sums])
 
 
 def global_positions(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:

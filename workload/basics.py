@@ -317,19 +317,19 @@ def a4(r: Roles) -> DataFrame:
 
 @query(
     "a5_org_types",
-    sql("""SELECT id, string_agg(company_name || ':' || organization_type, ',' ORDER BY company_name || ':' || organization_type) AS org_types
+    sql("""SELECT id, 0::BIGINT AS part, string_agg(company_name || ':' || organization_type, ',' ORDER BY company_name || ':' || organization_type) AS org_types
     FROM org_types GROUP BY 1"""),
 )
 def a5(r: Roles) -> DataFrame:
     pairs = r.org_types.select("id", F.struct("company_name", "organization_type").alias("pair"))
     named = pairs.select("id", F.concat_ws(":", "pair.company_name", "pair.organization_type").alias("org"))
     lists = g.ids_by(named, "id", "org", "org_types")
-    return lists.select("id", text_of("org_types").alias("org_types"))
+    return lists.select("id", "part", text_of("org_types").alias("org_types"))
 
 
-@query("a6_causes", sql("SELECT id, string_agg(DISTINCT cause, ',' ORDER BY cause) AS causes FROM causes GROUP BY 1"))
+@query("a6_causes", sql("SELECT id, 0::BIGINT AS part, string_agg(DISTINCT cause, ',' ORDER BY cause) AS causes FROM causes GROUP BY 1"))
 def a6(r: Roles) -> DataFrame:
-    return g.ids_by(r.people.causes, "id", "cause", "causes").select("id", text_of("causes").alias("causes"))
+    return g.ids_by(r.people.causes, "id", "cause", "causes").select("id", "part", text_of("causes").alias("causes"))
 
 
 @query(

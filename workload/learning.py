@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fitlens.operators import encoding as en
 from fitlens.operators import forest as fr
+from fitlens.operators import groups as g
 from fitlens.operators.sampling import negatives
 from fitlens.plans.training import training_rows
 from workload.product import population
@@ -92,14 +93,57 @@ def m4(r: Roles) -> DataFrame:
     return listed.select("company_name", "id", "label", *[F.col("v")[i].alias(f"f{i}") for i in range(5)])
 
 
+def forest_sql(rows: str, features: int, depth: int = fr.MAX_DEPTH, trees: int = fr.FOREST_TREES, seed: int = SEED) -> str:
+    """SQL for ``found(k, f, importance)``: forests over ``rows(k, id, y, f0, f1, ...)``, level by level with the same draws."""
+    steps = " + ".join(f"(d >= {s})::INT" for s in fr.poisson_steps())
+    factors = ", ".join(f"({t}, {a}::BIGINT, {b}::BIGINT)" for t, (a, b) in enumerate(fr.tree_factors(trees, seed)))
+    values = " UNION ALL ".join(f"SELECT k, id, y, {i} AS f, f{i}::DOUBLE AS x FROM {rows}" for i in range(features))
+    out = f"""long AS ({values}),
+    places AS (SELECT k, f, x, CASE WHEN count(*) OVER g <= {fr.MAX_BINS} THEN row_number() OVER w
+      ELSE (sum(n) OVER w - n) * {fr.MAX_BINS} // sum(n) OVER g END AS place
+      FROM (SELECT k, f, x, count(*) AS n FROM long GROUP BY ALL) WINDOW g AS (PARTITION BY k, f), w AS (PARTITION BY k, f ORDER BY x)),
+    bins AS (SELECT k, f, x, dense_rank() OVER (PARTITION BY k, f ORDER BY place) - 1 AS bin FROM places),
+    binned AS (SELECT l.k, id, y, list(bin ORDER BY l.f) AS b FROM long l JOIN bins v ON v.k = l.k AND v.f = l.f AND v.x = l.x GROUP BY ALL),
+    level0 AS (SELECT k, y, b, t AS code, {steps} AS w FROM (SELECT k, y, b, t, (('0x' || substr(md5('{seed}|' || id), 1, 15))::BIGINT % {fr.FIELD} * m + c) % {fr.FIELD} AS d
+      FROM binned, (VALUES {factors}) factors(t, m, c)) WHERE w > 0),"""
+    for level in range(depth):
+        masks = [sum(1 << f for f in some) for some in fr.tried_features(features, trees, level, seed)]
+        out += f"""
+    hist{level} AS (SELECT k, code, f, bin, sum(w) AS n, sum(w * y) AS pos
+      FROM (SELECT k, code, w, y, unnest(b) AS bin, generate_subscripts(b, 1) - 1 AS f FROM level{level}) WHERE ({masks}[code + 1] >> f) & 1 = 1 GROUP BY ALL),
+    runs{level} AS (SELECT k, code, f, bin, sum(n) OVER w AS nl, sum(pos) OVER w AS pl, sum(n) OVER g AS n, sum(pos) OVER g AS pos FROM hist{level}
+      WINDOW g AS (PARTITION BY k, code, f), w AS (PARTITION BY k, code, f ORDER BY bin)),
+    gain{level} AS (SELECT k, code, f, bin, n, round(2 * (pos::DOUBLE / n) * (1 - pos::DOUBLE / n) - (nl * (2 * (pl::DOUBLE / nl) * (1 - pl::DOUBLE / nl))
+      + (n - nl) * (2 * ((pos - pl)::DOUBLE / (n - nl)) * (1 - (pos - pl)::DOUBLE / (n - nl)))) / n, {fr.DIGITS}) AS gain FROM runs{level} WHERE nl < n),
+    split{level} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, code ORDER BY gain DESC, f, bin) AS r FROM gain{level} WHERE gain > 1e-12) WHERE r = 1),
+    level{level + 1} AS (SELECT l.k, y, b, code * 2 + (b[f + 1] > bin)::INT AS code, w FROM level{level} l JOIN split{level} s USING (k, code)),"""
+    union = " UNION ALL ".join(f"SELECT k, code >> {level} AS tree, f, gain * n AS gain FROM split{level}" for level in range(depth))
+    return out + f"""
+    shares AS (SELECT k, tree, f, sum(gain) / sum(sum(gain)) OVER (PARTITION BY k, tree) AS share FROM ({union}) GROUP BY 1, 2, 3),
+    parts AS (SELECT k, f, sum(share) / sum(sum(share)) OVER (PARTITION BY k) AS importance FROM shares GROUP BY 1, 2),
+    found AS (SELECT k, f, coalesce(importance, 0) AS importance FROM (SELECT k, f FROM (SELECT DISTINCT k FROM {rows}), range({features}) r(f)) LEFT JOIN parts USING (k, f))"""
+
+
 @query("m5_forest")
 def m5(r: Roles) -> DataFrame:
     return fr.rf_importance(documents(r), DOC_FEATURES, "quality", seed=SEED)
 
 
-@query("m6_forest_by_company")
+@query(
+    "m6_forest_by_company",
+    sql(
+        f"""SELECT k AS company_name, string_agg(feature, ',' ORDER BY round(importance, 9) DESC, feature) AS features_importance
+        FROM found JOIN (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(en.FEATURES))}) names(f, feature) USING (f) GROUP BY 1""",
+        TRAIN
+        + """, coded AS (SELECT company_name AS k, id, label AS y, top_university AS f0, volunteering AS f1, average_months_of_experience AS f2,
+        degree_feature AS f3, place AS f4 FROM train JOIN (SELECT organization_types, row_number() OVER (ORDER BY count(*) DESC, organization_types) - 1
+          AS place FROM train GROUP BY 1) USING (organization_types)),
+        """
+        + forest_sql("coded", len(en.FEATURES)),
+    ),
+)
 def m6(r: Roles) -> DataFrame:
-    ranked = fr.rf_importance_by_group(train(r), "company_name", en.FEATURES, "label", seed=SEED)
+    ranked = fr.rf_importance_by_group(train(r), "company_name", en.FEATURES, "label", seed=SEED, id_col="id")
     return fr.ranked_feature_names(ranked, "company_name").withColumn("features_importance", F.array_join("features_importance", ","))
 
 
@@ -113,26 +157,30 @@ def documents(r: Roles) -> DataFrame:
     return docs.join(r.table("labels"), "doc_id")
 
 
-@query("t7_rank_importances")
+DOCS_SQL = """docs AS (SELECT source AS k, doc_id AS id, quality AS y, n_chars AS f0, len(string_split(text, ' ')) AS f1, toxic AS f2, ascii(lang) AS f3
+      FROM documents JOIN labels USING (doc_id))"""
+
+
+@query(
+    "t7_rank_importances",
+    f"""WITH {DOCS_SQL}, {forest_sql("docs", len(DOC_FEATURES))}
+    SELECT k AS source, feature, round(importance, 6) AS importance, row_number() OVER (PARTITION BY k ORDER BY round(importance, 9) DESC, feature)::INT AS rank
+    FROM found JOIN (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(DOC_FEATURES))}) names(f, feature) USING (f)""",
+)
 def t7(r: Roles) -> DataFrame:
-    out = fr.rf_importance_by_group(documents(r), "source", DOC_FEATURES, "quality", seed=SEED)
+    out = fr.rf_importance_by_group(documents(r), "source", DOC_FEATURES, "quality", seed=SEED, id_col="doc_id")
     return out.withColumn("importance", F.round("importance", 6))
 
 
 @query(
-    "a9_packed_cells",
-    """WITH d AS (SELECT source, toxic, quality, n_chars FROM documents JOIN labels USING (doc_id)),
-    e AS (SELECT source, min(n_chars) AS lo, max(n_chars) AS hi, min(toxic) AS tlo, max(toxic) AS thi FROM d GROUP BY 1),
-    c AS (SELECT source, CASE WHEN hi = lo THEN 0 ELSE floor((n_chars - lo)::DOUBLE / (hi - lo) * 31 + 0.5) END AS a,
-      CASE WHEN thi = tlo THEN 0 ELSE floor((toxic - tlo)::DOUBLE / (thi - tlo) * 31 + 0.5) END AS b, quality, count(*) AS n
-      FROM d JOIN e USING (source) GROUP BY 1, 2, 3, 4)
-    SELECT source, count(*)::INTEGER AS n_cells, sum(n)::BIGINT AS n_rows FROM c GROUP BY 1""",
+    "a9_packed_rows",
+    """SELECT source, 0::BIGINT AS part, count(*)::INT AS n_rows, string_agg(doc_id || ':' || quality, ',' ORDER BY doc_id) AS listed
+    FROM documents JOIN labels USING (doc_id) GROUP BY 1""",
 )
 def a9(r: Roles) -> DataFrame:
-    cells = fr.feature_cells(documents(r), "source", ["n_chars", "toxic"], "quality")
-    packed = cells.groupBy("source").agg(F.collect_list(F.struct("n_chars", "toxic", "quality", "n")).alias("cells"))
-    total = F.aggregate("cells", F.lit(0).cast("bigint"), lambda s, c: s + c["n"])
-    return packed.select("source", F.size("cells").alias("n_cells"), total.alias("n_rows"))
+    packed = g.pack_rows(documents(r), "source", "rows")
+    listed = F.transform("rows", lambda x: F.concat_ws(":", x["doc_id"].cast("string"), x["quality"].cast("string")))
+    return packed.select("source", "part", F.size("rows").alias("n_rows"), F.array_join(listed, ",").alias("listed"))
 
 
 GAIN = """
@@ -194,3 +242,22 @@ def m6_stump(r: Roles) -> DataFrame:
     """A forest of one stump on all rows, whose importances follow from the gains."""
     rows = documents(r).withColumn("length_class", F.col("n_chars") % 16)
     return fr.rf_importance_by_group(rows, "source", STUMP_FEATURES, "quality", trees=1, seed=SEED, depth=1, bagging=False)
+
+
+@query(
+    "m5_stump",
+    """WITH docs AS (SELECT 1 AS k, (n_chars % 16 + 2 * toxic >= 8)::INT AS y, toxic, ascii(lang) AS lang_code, n_chars % 16 AS length_class
+      FROM documents JOIN labels USING (doc_id)),
+    long AS (SELECT k, y, 'toxic' AS feature, toxic::DOUBLE AS x FROM docs UNION ALL SELECT k, y, 'lang_code', lang_code FROM docs
+      UNION ALL SELECT k, y, 'length_class', length_class FROM docs),"""
+    + GAIN
+    + """, best AS (SELECT feature, (row_number() OVER (ORDER BY round(max(gain), 12) DESC, list_position(['toxic', 'lang_code', 'length_class'], feature)) = 1)::INT::DOUBLE
+      AS importance FROM gains GROUP BY 1)
+    SELECT feature, importance, row_number() OVER (ORDER BY importance DESC, feature)::INT AS rank FROM best""",
+)
+def m5_stump(r: Roles) -> DataFrame:
+    """Spark's own forest, as one tree of one split on all rows and features. The label is one that a split tells apart: Spark takes
+    back splits whose sides have the same majority."""
+    rows = documents(r).withColumn("length_class", F.col("n_chars") % 16)
+    rows = rows.withColumn("long_class", (F.col("length_class") + 2 * F.col("toxic") >= 8).cast("int"))
+    return fr.rf_importance(rows, STUMP_FEATURES, "long_class", trees=1, seed=SEED, depth=1, bagging=False)
