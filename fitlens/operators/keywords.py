@@ -18,6 +18,8 @@ from fitlens.functions.text import before_colon
 # A token, and the tokens that may be keywords (letters and hyphens only).
 TOKEN = r"[\p{L}\p{N}_'’-]+"
 WORD = r"^-*\p{L}[\p{L}-]*$"
+# Words of a lexicon entry at most.
+LONGEST = 8
 
 
 def keyword_array(text: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:
@@ -88,6 +90,38 @@ def match_values(words: DataFrame, id_col: str, lexicon: DataFrame, distinct: bo
     return out.distinct() if distinct else out
 
 
+def phrase_words(text: Column) -> Column:
+    """Lower-case tokens of a text, in order, repeats and stop words included."""
+    return or_empty(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)))
+
+
+def match_phrases(df: DataFrame, id_col: str, text: str, lexicon: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """``(id, phrase, value, place, words)``: every place where a text says an entry of the lexicon word by word.
+
+    Entries have one word or several, at most ``longest``, parted like texts: ``self driven`` is found in ``Self driven!``. A token
+    meets the entries that begin with it together with the tokens behind it, so work grows with the tokens and not with the
+    lengths of entries. An occurrence inside a longer one does not count; others may overlap. The value is that of the first
+    lexicon entry with these words. place counts tokens from 0; of several texts of one id each has its own.
+    """
+    entries = lexicon.select("priority", "value", phrase_words(F.col("word")).alias("entry")).filter(F.size("entry").between(1, longest))
+    entries = entries.groupBy("entry").agg(F.min_by("value", "priority").alias("value")).withColumn("_first", F.get("entry", 0))
+    rows = df.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_text"), phrase_words(F.col(text)).alias("_words"))
+    # The words are the one element of an array, so that they are cut out once and not for each token.
+    ahead = F.transform(F.array("_words"), lambda words: F.transform(words, lambda _, i: F.slice(words, i + 1, F.lit(longest))))[0]
+    tokens = rows.select("_id", "_text", F.posexplode(ahead).alias("place", "_ahead"))
+    tokens = tokens.withColumn("_first", F.get("_ahead", 0))
+    said = tokens.join(entries, "_first").filter(F.slice("_ahead", F.lit(1), F.size("entry")) == F.col("entry"))
+    said = said.select("_id", "_text", "place", F.size("entry").alias("words"), F.array_join("entry", " ").alias("phrase"), "value")
+    # The stretches inside each longer occurrence: few, as an entry has few words.
+    start = F.explode(F.sequence(F.col("place"), F.col("place") + F.col("words") - 1)).alias("place")
+    inside = said.filter("words > 1").select("_id", "_text", start, (F.col("place") + F.col("words")).alias("_end"), F.col("words").alias("_whole"))
+    inside = inside.select("_id", "_text", "place", "_whole", F.explode(F.sequence(F.lit(1), F.col("_end") - F.col("place"))).alias("words"))
+    inside = inside.filter("words < _whole").select("_id", "_text", "place", "words").distinct()
+    same = [said[c].eqNullSafe(inside[c]) for c in ("_id", "_text", "place", "words")]
+    kept = said.join(inside, same[0] & same[1] & same[2] & same[3], "left_anti")
+    return kept.select(F.col("_id").alias(id_col), "phrase", "value", "place", "words")
+
+
 def lemmatise(words: DataFrame, forms: DataFrame) -> DataFrame:
     """Words in their base form where ``forms(token, form)`` knows one."""
     base = forms.groupBy(F.col("token").alias("word")).agg(F.min("form").alias("form"))

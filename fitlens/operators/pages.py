@@ -213,6 +213,51 @@ def site_text(about: DataFrame, site: str, url: str, text: str, chars: int = TEX
     return null_safe_join(every, out, [site], "left").withColumn("part", F.coalesce("part", F.lit(0).cast("bigint")))
 
 
+def url_key(url: Column) -> Column:
+    """One spelling of an absolute URL for all that name the same page; NULL for what is none.
+
+    Scheme and host are in lower case, the scheme's usual port, the fragment and an empty query go, ``.`` and ``..`` steps are taken,
+    an empty path is ``/``, and percent escapes have capital digits.
+    """
+    parts = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?"
+    url = F.trim(url)
+    scheme, host = F.lower(F.regexp_extract(url, parts, 1)), F.lower(F.regexp_extract(url, parts, 2))
+    host = F.when(scheme == "http", F.regexp_replace(host, ":(80)?$", "")).when(scheme == "https", F.regexp_replace(host, ":(443)?$", "")).otherwise(host)
+    path = F.regexp_extract(url, parts, 3)
+    # Only paths with dots are taken apart.
+    path = F.when(path.rlike(r"(^|/)\.\.?(/|$)"), _without_dots(path)).otherwise(path)
+    path = F.when(path == "", "/").otherwise(path)
+    rest = F.concat(path, F.regexp_replace(F.regexp_extract(url, parts, 4), r"^\?$", ""))
+    pieces = F.split(rest, "(?=%[0-9A-Fa-f]{2})")
+    capital = F.array_join(F.transform(pieces, lambda p: F.when(p.rlike("^%[0-9A-Fa-f]{2}"), F.concat(F.upper(F.substring(p, 1, 3)), F.substr(p, F.lit(4)))).otherwise(p)), "")
+    rest = F.when(rest.contains("%"), capital).otherwise(rest)
+    return F.when(url.rlike(parts) & (host != ""), F.concat(scheme, F.lit("://"), host, rest))
+
+
+def about_texts(
+    sites: DataFrame, pages: DataFrame, site: str = "name", website: str = "website", patterns: Sequence[str] = ABOUT_PATTERNS, chars: int = TEXT_CHARS
+) -> DataFrame:
+    """``(site, website, part, text)``: what the stored about pages say that the home page of each site links to.
+
+    sites: ``(site, website)``, a site may have several websites. pages: ``(url, html)``, all that were stored. A link finds a
+    page, and a website its home page, by ``url_key``, however they are spelled; links to pages that were not stored find
+    nothing. Only home pages are read for links and only linked pages for text. Sites without a home page, without about pages or
+    without readable text have NULL. Of several stored copies of a page the last by its html counts.
+    """
+    wanted = sites.select(F.col(site).alias("_site"), F.col(website).alias("_website")).distinct()
+    wanted = wanted.withColumn("_key", url_key(F.col("_website")))
+    kept = pages.select(url_key(F.col("url")).alias("_key"), "html").filter("_key IS NOT NULL")
+    homes = kept.join(wanted.select("_key").distinct(), "_key", "left_semi").groupBy("_key").agg(F.max("html").alias("html"))
+    found = about_links(links(homes, "_key", "_key", "html"), patterns)
+    targets = found.select("_key", url_key(F.col("url")).alias("_target")).filter("_target IS NOT NULL").distinct()
+    read = kept.join(targets.select(F.col("_target").alias("_key")).distinct(), "_key", "left_semi").groupBy("_key").agg(F.max("html").alias("html"))
+    texts = read.select(F.col("_key").alias("_target"), F.array_join(readable_paragraphs(F.col("html")), "\n\n").alias("_text"))
+    about = wanted.join(targets, "_key").join(texts, "_target").select(F.struct("_site", "_website").alias("_pair"), "_target", "_text")
+    every = wanted.select(F.struct("_site", "_website").alias("_pair"))
+    out = site_text(about, "_pair", "_target", "_text", chars, every)
+    return out.select(F.col("_pair._site").alias(site), F.col("_pair._website").alias(website), "part", F.col("text"))
+
+
 def container_text(pages: DataFrame, page_id: str, html: str, div_class: str, p_class: str) -> DataFrame:
     """``(page_id, text)``: paragraphs of one class in the first container of a class.
 

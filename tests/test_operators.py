@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import random
 from collections import Counter, defaultdict
 
@@ -105,6 +107,16 @@ def test_collect_over(frame):
     assert got == {("n", ("Bachelor", "Master")), ("m", ())}
 
 
+def test_strong_traits_are_ranked_by_logarithms(frame):
+    """All p-values are zero; by name the weakest would come first."""
+    from fitlens.functions.stats import log_normal_two_sided
+
+    df = frame([("X", "a", 60.0), ("X", "b", 80.0), ("X", "c", 100.0), ("X", "d", 0.1)], "company_name string, feature string, z double")
+    tests = df.withColumn("log_p", log_normal_two_sided(F.col("z"))).withColumn("p_value", F.exp("log_p"))
+    got = {r["feature"]: (r["rank"], r["p_value"]) for r in rk.rank_features(tests, 0.05).collect()}
+    assert got == {"c": (1, 0.0), "b": (2, 0.0), "a": (3, 0.0)}
+
+
 def test_rank_features(frame):
     data = [("A", "x", 0.04, 1), ("A", "y", 0.01, -1), ("A", "z", 0.2, 1), ("B", "x", 0.05, 1)]
     df = frame(data, "company_name string, feature string, p_value double, direction int")
@@ -137,11 +149,11 @@ def test_hash_positions_do_not_depend_on_partitions(frame):
     assert one != rows(po.hash_positions(df, ["k"], ["i"], 2))
 
 
-@pytest.mark.parametrize("buckets", [1, 4, 4096])
-def test_running_sums(frame, buckets):
+@pytest.mark.parametrize(("share", "most"), [(10_000, 256), (10, 256), (1, 4)])
+def test_running_sums(frame, share, most):
     rng = random.Random(3)
-    data = [(k, float(x), rng.randint(1, 5)) for k in "ab" for x in rng.sample(range(1000), 80)] + [(None, 1.0, 2)]
-    got = po.running_sums(frame(data, "k string, x double, n long"), ["k"], "x", ["n"], buckets)
+    data = [(k, float(x), rng.randint(1, 5)) for k in "ab" for x in rng.sample(range(1000), 80)] + [(None, 1.0, 2), ("a", 1e30, 1), ("a", -1e30, 3)]
+    got = po.running_sums(frame(data, "k string, x double, n long"), ["k"], "x", ["n"], share, most)
     for r in got.collect():
         mine = [(x, n) for k, x, n in data if k == r["k"]]
         assert r["run_n"] == sum(n for x, n in mine if x <= r["x"]) and r["all_n"] == sum(n for _, n in mine)
@@ -155,6 +167,26 @@ def test_sample_per_group(frame):
     assert picked == rows(sa.sample_per_group(df.repartition(5), "k", "i", "lim", 4))
 
 
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_samples_are_the_first_by_hash(frame, buckets):
+    limits = {"hot": 37, "a": 0, "b": 3, None: 2, "none": None, "all": 1000}
+    data = [(k, i) for k, n in (("hot", 600), ("a", 5), ("b", 40), (None, 9), ("none", 4), ("all", 30)) for i in range(n)]
+    df = frame([(k, i, limits[k], 1) for k, i in data], "k string, i int, lim long, _n int").repartition(3)
+    out = sa.sample_per_group(df, "k", "i", "lim", 4, buckets)
+    assert out.columns == df.columns
+    got = defaultdict(set)
+    for r in out.collect():
+        got[r["k"]].add(r["i"])
+    for k, n in limits.items():
+        order = sorted((hashlib.md5(f"4|{i}".encode()).hexdigest(), i) for key, i in data if key == k)
+        assert got[k] == {i for _, i in order[: n or 0]}
+
+
+def test_a_sample_of_equal_rows(frame):
+    df = frame([("k", 1, 30)] * 100 + [("k", 2, 30)] * 7, "k string, i int, lim long")
+    assert sa.sample_per_group(df, "k", "i", "lim", 1).count() == 30
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_negatives(frame, seed):
     rng = random.Random(seed)
@@ -213,6 +245,25 @@ def test_expand_lexicon_and_lemmas(frame):
     assert rows(kw.lemmatise(found, forms.filter("token = 'driven'"))) == [(1, "drive"), (1, "other")]
 
 
+def test_phrases(frame, spark):
+    lexicon = io.lexicon_df(spark, {"Environment": ["green", "long-term viability"], "Autonomy": ["self driven", "Driven", "self"], "Late": ["self driven"], "Long": ["a b c", "b", "b c"]})
+    texts = [(1, "Self  DRIVEN, and driven! long-term\nviability; long-term"), (1, "self-driven driven"), (2, None), (3, ""), (None, "a b c b"), (4, "self " * 3 + "driven")]
+    out = kw.match_phrases(frame([(i, t, "x", 0) for i, t in texts], "id int, text string, value string, place int"), "id", "text", lexicon)
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([
+        (1, "self driven", "Autonomy", 0, 2), (1, "driven", "Autonomy", 3, 1), (1, "long-term viability", "Environment", 4, 2), (1, "driven", "Autonomy", 1, 1),
+        (None, "a b c", "Long", 0, 3), (None, "b", "Long", 3, 1), (4, "self", "Autonomy", 0, 1), (4, "self", "Autonomy", 1, 1), (4, "self driven", "Autonomy", 2, 2),
+    ], key=repr)
+    core = kw.match_phrases(frame([(1, "long-term viability by self driven people")], "id int, text string"), "id", "text", io.lexicon_df(spark, CORE_VALUES))
+    assert rows(core.select("value")) == [("Autonomy",), ("Environment",)]
+
+
+def test_ids_by_of_a_large_key(frame):
+    df = frame([("k", i) for i in range(20_001)] + [("few", 1)], "k string, v int")
+    lists = g.ids_by(df, "k", "v", "ids").collect()
+    assert sorted(v for r in lists if r["k"] == "k" for v in r["ids"]) == list(range(20_001))
+    assert sorted((r["k"], r["part"]) for r in lists) == [("few", 0), ("k", 0), ("k", 1), ("k", 2)]
+
+
 def test_labels_above(frame):
     df = frame([(1, "Power: resources", 0.6), (1, "Face", 0.59)], "id int, label string, score double")
     assert rows(kw.labels_above(df, 0.6)) == [(1, "Power", 0.6)]
@@ -228,11 +279,11 @@ def vectors(seed, n, dim=6):
 
 
 @pytest.mark.parametrize("threshold", [-0.5, 0.0, 0.5, 0.85, 0.99])
-@pytest.mark.parametrize("limit", [4_000_000, 6])
-def test_cosine_join_against_brute_force(frame, threshold, limit):
+@pytest.mark.parametrize(("pivots", "block"), [(64, 8192), (4, 10)])
+def test_cosine_join_against_brute_force(frame, threshold, pivots, block):
     left, right = vectors(1, 60) + [(60, [0.0] * 6)], vectors(2, 12)
     got = vc.cosine_join(
-        frame(left, "id int, v array<double>"), frame(right, "a int, w array<double>"), "id", "v", "a", "w", threshold, limit
+        frame(left, "id int, v array<double>"), frame(right, "a int, w array<double>"), "id", "v", "a", "w", threshold, pivots, block
     )
     expected = set()
     for i, v in left:
@@ -249,6 +300,34 @@ def test_cosine_join_in_blocks(frame, monkeypatch):
     whole = rows(vc.cosine_join(*args).drop("cosine"))
     monkeypatch.setattr(vc, "MAX_BLOCK_SCORES", 15)
     assert rows(vc.cosine_join(*args).drop("cosine")) == whole and whole
+    assert rows(vc.cosine_join(*args, pivots=3, block=4).drop("cosine")) == whole
+
+
+def test_cosine_join_of_odd_vectors(frame):
+    left = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0]), (5, [float("nan"), 1.0]), (None, [2.0, 0.1]), (6, [1.0, None]), (1, [1.0, 0.0])]
+    right = [("a", [3.0, 0.0]), ("b", None), ("c", [0.0, 1.0]), (None, [1.0, 0.0]), ("d", [1.0])]
+    got = vc.cosine_join(frame(left, "id int, v array<double>"), frame(right, "a string, w array<double>"), "id", "v", "a", "w", 0.5, pivots=100)
+    assert sorted(((r["id"], r["a"]) for r in got.collect()), key=repr) == sorted([(1, "a"), (1, "a"), (1, None), (1, None), (None, "a"), (None, None)], key=repr)
+
+
+def test_clustered_vectors_meet_few_anchors(frame, monkeypatch):
+    """60 tight clusters in 20 dimensions: nearly all anchors of other clusters stay away, and one cluster has most rows."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(60, 20))
+    near = lambda c: (centres[c] + rng.normal(scale=0.02, size=20)).tolist()
+    left = [(i, near(0 if i % 3 else i % 60)) for i in range(900)]
+    right = [(i, near(i % 60)) for i in range(300)]
+    met = []
+    real = vc.stored
+    monkeypatch.setattr(vc, "stored", lambda df: (met.append(real(df)), met[-1])[1])
+    got = vc.cosine_join(frame(left, "id int, v array<double>"), frame(right, "a int, w array<double>"), "id", "v", "a", "w", 0.95, block=100)
+    x, y = (np.array([v for _, v in some]) for some in (left, right))
+    cosines = (x / np.linalg.norm(x, axis=1)[:, None]) @ (y / np.linalg.norm(y, axis=1)[:, None]).T
+    assert {(r["id"], r["a"]) for r in got.collect()} == set(zip(*[i.tolist() for i in np.nonzero(cosines > 0.95)]))
+    located, copied = met
+    sizes = dict(located.groupBy("cell").count().collect())
+    compared = sum(n * sizes[c] for c, n in copied.groupBy("cell").count().collect())
+    assert compared < 0.1 * 900 * 300
 
 
 def test_cosine_join_without_anchors(frame):
@@ -319,10 +398,98 @@ def test_forest_agrees_with_spark_ml(frame):
     assert ours["importance"] == pytest.approx(theirs["importance"], abs=0.15)
 
 
-def test_cells_count_all_rows(frame):
-    df = frame([("a", i % 2, float(i), float(-i)) for i in range(500)], "k string, y int, f double, g double")
-    cells = fr.feature_cells(df, "k", ["f", "g"], "y", bins=32)
-    assert cells.count() <= 64 and cells.agg(F.sum("n")).first()[0] == 500
+def grown_by_hand(rows, features, trees, seed, depth, bagging):
+    """Importances of one key's rows (id, label, values), by the same draws and a plain recursive search."""
+    columns = list(zip(*[r[2] for r in rows]))
+    bins = []
+    for column in columns:
+        values = sorted(set(column))
+        before = {v: sum(x < v for x in column) for v in values}
+        place = {v: i if len(values) <= fr.MAX_BINS else before[v] * fr.MAX_BINS // len(column) for i, v in enumerate(values)}
+        order = sorted(set(place.values()))
+        bins.append([order.index(place[x]) for x in column])
+    bins = list(zip(*bins))
+    total = [0.0] * features
+    gini = lambda p, n: 2 * (p / n) * (1 - p / n) if n else 0.0
+    for t, (a, b) in enumerate(fr.tree_factors(trees, seed)):
+        draws = [(a * (int(hashlib.md5(f"{seed}|{i}".encode()).hexdigest()[:15], 16) % fr.FIELD) + b) % fr.FIELD for i, _, _ in rows]
+        weights = [sum(d >= s for s in fr.poisson_steps()) if bagging else 1 for d in draws]
+        gains = [0.0] * features
+        nodes = [(t, [i for i in range(len(rows)) if weights[i]])]
+        for level in range(depth):
+            tried = fr.tried_features(features, trees, level, seed)
+            below = []
+            for code, members in nodes:
+                n, pos = sum(weights[i] for i in members), sum(weights[i] * rows[i][1] for i in members)
+                ways = []
+                for f in tried[code] if bagging else range(features):
+                    for cut in sorted({bins[i][f] for i in members})[:-1]:
+                        nl = sum(weights[i] for i in members if bins[i][f] <= cut)
+                        pl = sum(weights[i] * rows[i][1] for i in members if bins[i][f] <= cut)
+                        gain = round(gini(pos, n) - (nl * gini(pl, nl) + (n - nl) * gini(pos - pl, n - nl)) / n, fr.DIGITS)
+                        if gain > 1e-12:
+                            ways.append((-gain, f, cut))
+                if ways:
+                    gain, f, cut = min(ways)
+                    gains[f] -= gain * n
+                    below.append((code * 2, [i for i in members if bins[i][f] <= cut]))
+                    below.append((code * 2 + 1, [i for i in members if bins[i][f] > cut]))
+            nodes = below
+        if sum(gains):
+            total = [x + g / sum(gains) for x, g in zip(total, gains)]
+    return [x / sum(total) if sum(total) else 0.0 for x in total]
+
+
+@pytest.mark.parametrize("bagging", [True, False])
+def test_forest_equals_a_recursive_search(frame, bagging):
+    rng = random.Random(12)
+    data = []
+    for i in range(240):
+        k = (None, "a", "a", "b")[i % 4]
+        y = rng.random() < 0.5
+        data.append((k, i, int(y), rng.gauss(y, 1), float(rng.randrange(3)), rng.choice((0.0, 0.0, 5.0)), rng.gauss(0, 1)))
+    data += [("one", 900 + i, 1, 1.0, float(i), 0.0, 0.0) for i in range(4)] + [("tiny", 990, 0, 1.0, 1.0, 1.0, 1.0)]
+    names = ["f", "g", "h", "e"]
+    df = frame(data, "k string, i long, y int, f double, g double, h double, e double").repartition(5)
+    got = fr.rf_importance_by_group(df, "k", names, "y", trees=4, seed=3, depth=3, bagging=bagging, id_col="i").collect()
+    for key in (None, "a", "b", "one", "tiny"):
+        mine = {r["feature"]: r["importance"] for r in got if r["k"] == key}
+        want = grown_by_hand([(i, y, x) for k, i, y, *x in data if k == key], 4, 4, 3, 3, bagging)
+        assert [mine[n] for n in names] == pytest.approx(want, abs=1e-9), key
+        ranks = sorted((r["rank"], r["feature"]) for r in got if r["k"] == key)
+        assert [n for _, n in ranks] == sorted(names, key=lambda n: (-round(mine[n], 9), n))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_forest_over_many_equal_rows(frame, seed):
+    """Only three features with few values, so whole combinations repeat very often; the label is one of them."""
+    rng = random.Random(1)
+    data = [("k", g := rng.randrange(2), float(g), float(rng.randrange(2)), float(rng.randrange(2))) for _ in range(40_000)]
+    df = frame(data, "k string, y int, good double, noise1 double, noise2 double")
+    got = {r["feature"]: r["importance"] for r in fr.rf_importance_by_group(df, "k", ["good", "noise1", "noise2"], "y", trees=10, seed=seed).collect()}
+    assert got["good"] > 0.95
+
+
+def test_draws_are_poisson():
+    steps, draws = fr.poisson_steps(), [(a * r + b) % fr.FIELD for a, b in fr.tree_factors(40, 5) for r in range(1, 2_000_000_000, 4_000_037)]
+    counts = Counter(sum(d >= s for s in steps) for d in draws)
+    for n, share in enumerate((0.3679, 0.3679, 0.1839, 0.0613, 0.0153)):
+        assert counts[n] / len(draws) == pytest.approx(share, abs=0.01)
+
+
+def test_borders_of_bins(frame):
+    data = [("a", float(i % 5), float(i)) for i in range(1000)] + [("a", 4.0, 1e9), ("b", 1.0, 2.0), (None, 3.0, 4.0)]
+    got = {r["k"]: r["_borders"] for r in fr.bin_borders(frame(data, "k string, f double, g double"), "k", ["f", "g"], 8).collect()}
+    assert got["a"][0] == [0.0, 1.0, 2.0, 3.0, 4.0] and got["b"] == [[1.0], [2.0]] and got[None] == [[3.0], [4.0]]
+    assert len(got["a"][1]) == 8 and got["a"][1][-1] == 1e9 and all(120 <= y - x <= 130 for x, y in itertools.pairwise(got["a"][1][:-1]))
+
+
+@pytest.mark.parametrize("chunk", [3, 10_000])
+def test_whole_rows_packed_in_parts(frame, chunk):
+    data = [(k, i, str(i)) for k, i in skewed()] + [("same", 1, "x")] * 50 + [(None, 2, None)]
+    out = g.pack_rows(frame(data, "k string, i int, s string"), "k", "rows", chunk).collect()
+    assert sorted(((r["k"], x["i"], x["s"]) for r in out for x in r["rows"]), key=repr) == sorted(data, key=repr)
+    assert all(x["k"] == r["k"] for r in out for x in r["rows"]) and max(len(r["rows"]) for r in out) <= max(4 * chunk, 12) or chunk == 10_000
 
 
 def test_stump_gain_against_brute_force(frame):
@@ -404,5 +571,3 @@ def test_forest_with_an_outlier(frame):
     data = [("k", float(a), float(b), int(a > 0.5)) for a, b in zip(good, noise)]
     out = fr.rf_importance_by_group(frame(data, "k string, good double, noise double, y int"), "k", ["good", "noise"], "y", trees=20)
     assert {r["feature"]: r["importance"] for r in out.collect()}["good"] > 0.85
-    few = fr.rf_importance_by_group(frame(data, "k string, good double, noise double, y int"), "k", ["good", "noise"], "y", trees=5, max_rows=300)
-    assert few.orderBy("rank").first()["feature"] == "good"

@@ -113,3 +113,27 @@ def test_sites_without_about_pages_stay(frame):
 def test_nested_and_unclosed_elements_and_numbers(frame):
     html = "<nav>a<nav><p>x x x x x x</p></nav><p>y y y y y y</p></nav><p>it&#8217;s &#x41; b c d e &#55296; f</p></aside><NAV id=z><p>z z z z z z z</p>"
     assert pg.page_text(page(frame, html)).first()["text"] == "it\u2019s A b c d e &#55296; f"
+
+
+def test_url_keys(frame):
+    same = ["http://Example.com/a/b%2f?q=%c3#x", "HTTP://example.COM:80/a/./b%2F?q=%C3", " http://example.com/a/c/../b%2F?q=%C3 ", "http://example.com:/../a/b%2F?q=%C3"]
+    other = ["https://example.com/a/b%2F?q=%C3", "http://example.com:8080/a", "http://example.com", "http://example.com/?", "http://example.com/A", "mailto:a@b", "/a", "", None, "http:///x"]
+    df = frame([(u,) for u in same + other], "u string")
+    got = [r[0] for r in df.select(pg.url_key(df["u"])).collect()]
+    assert set(got[:4]) == {"http://example.com/a/b%2F?q=%C3"}
+    assert got[4:] == ["https://example.com/a/b%2F?q=%C3", "http://example.com:8080/a", "http://example.com/", "http://example.com/", "http://example.com/A", None, None, None, None, None]
+
+
+def test_about_texts(frame):
+    words = "<p>We are a team of six people here</p>"
+    pages = [
+        ("http://a.com", '<a href="/about">x</a><a href="HTTP://A.com:80/who-we-are#top">x</a><a href="/news">x</a><a href="/about-us">gone</a>'),
+        ("http://a.com/about", words), ("http://a.com/about", ""), ("http://a.com/who-we-are", "<p>And this is what we all do</p>"), ("http://a.com/news", "<p>News that nobody should ever read</p>"),
+        ("http://b.com/", '<a href="/about">x</a>'), ("http://b.com/about", "<p>short</p>"), ("http://c.com", "none"), (None, words), ("mailto:x", words),
+    ]
+    sites = [("A", "http://A.com/"), ("A", "http://A.com/"), ("B", "http://b.com"), ("C", "http://c.com"), ("D", "http://d.com"), ("E", None), (None, "http://a.com")]
+    out = pg.about_texts(frame(sites, "name string, website string"), frame(pages, "url string, html string"))
+    text = "We are a team of six people here\nAnd this is what we all do"
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+        [("A", "http://A.com/", 0, text), ("B", "http://b.com", 0, None), ("C", "http://c.com", 0, None), ("D", "http://d.com", 0, None), ("E", None, 0, None), (None, "http://a.com", 0, text)], key=repr
+    )

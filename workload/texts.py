@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fitlens.constants import STOPWORDS
+from fitlens.constants import CORE_VALUES, STOPWORDS
 from fitlens.operators import groups as g
 from fitlens.operators import keywords as kw
 from fitlens.operators import pages as pg
 from fitlens.operators import vectors as vc
 from fitlens.plans import companies as co
+from fitlens.sources.io import clean_scraped, lexicon_df
 from workload.roles import Roles, query, sql
 
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOPWORDS) + "]"
@@ -147,6 +148,43 @@ def k6_distinct(r: Roles) -> DataFrame:
     return kw.match_values(words, "company_name", r.lexicon, distinct=True)
 
 
+ENTRIES = [word for words in CORE_VALUES.values() for word in words]
+ENTRIES_SQL = "[" + ", ".join(f"'{w}'" for w in ENTRIES) + "]"
+PHRASES = rf"""WITH entries(priority, value, word) AS (VALUES {", ".join(f"({i}, '{v}', '{w}')" for i, (v, ws) in enumerate(CORE_VALUES.items(), 1) for w in ws)}),
+    phrases AS (SELECT regexp_extract_all(lower(word), '[\p{{L}}\p{{N}}_''’-]+') AS ph, arg_min(value, priority) AS value FROM entries GROUP BY 1),
+    said AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '') || ' ' || {ENTRIES_SQL}[doc_id % {len(ENTRIES)} + 1] || '. '
+      || {ENTRIES_SQL}[doc_id * 7 % {len(ENTRIES)} + 1]), '[\p{{L}}\p{{N}}_''’-]+') AS t FROM documents),
+    found AS (SELECT doc_id, i, len(ph) AS n, ph, value FROM (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS i FROM said)
+      JOIN phrases ON t[i] = ph[1] AND t[i:i + len(ph) - 1] = ph)"""
+
+
+def said(r: Roles) -> DataFrame:
+    """Documents that say two entries of the lexicon at their end, by their id."""
+    entry = lambda i: F.get(F.array(*map(F.lit, ENTRIES)), (i % len(ENTRIES)).cast("int"))
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit(" "), entry(F.col("doc_id")), F.lit(". "), entry(F.col("doc_id") * 7))
+    return r.table("documents").select("doc_id", text.alias("text"))
+
+
+@query(
+    "k4_core_values",
+    f"""{PHRASES} SELECT DISTINCT doc_id, value FROM found f WHERE NOT EXISTS (SELECT 1 FROM found g
+      WHERE g.doc_id = f.doc_id AND g.n > f.n AND g.i <= f.i AND g.i + g.n >= f.i + f.n)""",
+)
+def k4(r: Roles) -> DataFrame:
+    """Core values that the documents name, by words and phrases of the whole lexicon."""
+    return kw.match_phrases(said(r), "doc_id", "text", lexicon_df(r.spark, CORE_VALUES)).select("doc_id", "value").distinct()
+
+
+@query(
+    "k6_phrases",
+    f"""{PHRASES} SELECT doc_id, array_to_string(ph, ' ') AS phrase, value, count(*) AS n FROM found f WHERE NOT EXISTS (SELECT 1 FROM found g
+      WHERE g.doc_id = f.doc_id AND g.n > f.n AND g.i <= f.i AND g.i + g.n >= f.i + f.n) GROUP BY ALL""",
+)
+def k6_phrases(r: Roles) -> DataFrame:
+    found = kw.match_phrases(said(r), "doc_id", "text", lexicon_df(r.spark, CORE_VALUES))
+    return found.groupBy("doc_id", "phrase", "value").agg(F.count("*").alias("n"))
+
+
 @query(
     "k7_invert_lexicon",
     "SELECT DISTINCT lower(p_name) AS word, p_type AS value FROM part",
@@ -170,7 +208,7 @@ def k8(r: Roles) -> DataFrame:
 
 @query(
     "k8_labels_listed",
-    """SELECT user_id AS id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS labels FROM events
+    """SELECT user_id AS id, 0::BIGINT AS part, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS labels FROM events
     WHERE value / 50 >= 0.3 GROUP BY 1""",
 )
 def k8_listed(r: Roles) -> DataFrame:
@@ -178,7 +216,7 @@ def k8_listed(r: Roles) -> DataFrame:
         F.col("user_id").alias("id"), F.concat("event_type", F.lit(":x")).alias("label"), (F.col("value") / 50).alias("score")
     )
     lists = g.ids_by(kw.labels_above(scores, 0.3), "id", "label", "labels")
-    return lists.select("id", F.array_join("labels", ",").alias("labels"))
+    return lists.select("id", "part", F.array_join("labels", ",").alias("labels"))
 
 
 # --- vectors -------------------------------------------------------------------------------
@@ -196,10 +234,10 @@ def k9(r: Roles) -> DataFrame:
     return means.select("label", F.posexplode("mean").alias("pos", "x")).withColumn("x", F.round("x", 6))
 
 
-def hits(r: Roles, threshold: float, **options: int) -> DataFrame:
+def hits(r: Roles, threshold: float) -> DataFrame:
     vecs = r.table("embeddings")
     anchors = vc.mean_vector(vecs, "label", "embedding").withColumnRenamed("label", "anchor")
-    return vc.cosine_join(vecs, anchors, "vec_id", "embedding", "anchor", "mean", threshold, **options)
+    return vc.cosine_join(vecs, anchors, "vec_id", "embedding", "anchor", "mean", threshold)
 
 
 J11_SQL = f"""WITH {MEANS}
@@ -212,9 +250,17 @@ def j11(r: Roles) -> DataFrame:
     return hits(r, 0.3).withColumn("cosine", F.round("cosine", 6))
 
 
-@query("j11_cosine_join_large_anchors", J11_SQL)
+@query(
+    "j11_cosine_join_large_anchors",
+    f"""WITH {VECTORS}
+    SELECT a.vec_id, b.vec_id AS anchor, round(list_cosine_similarity(a.v, b.v), 6) AS cosine FROM vecs a, vecs b
+    WHERE list_cosine_similarity(a.v, b.v) > 0.5""",
+)
 def j11_large(r: Roles) -> DataFrame:
-    return hits(r, 0.3, max_numbers=64).withColumn("cosine", F.round("cosine", 6))
+    """All vectors with all vectors."""
+    vecs = r.table("embeddings")
+    anchors = vecs.select(F.col("vec_id").alias("anchor"), F.col("embedding").alias("w"))
+    return vc.cosine_join(vecs, anchors, "vec_id", "embedding", "anchor", "w", 0.5).withColumn("cosine", F.round("cosine", 6))
 
 
 @query(
@@ -353,6 +399,44 @@ def h4(r: Roles) -> DataFrame:
     return pg.site_text(about, "site", "url", "text", chars=20_000)
 
 
+SITES = f"""{PAGE_TEXT},
+    sites AS (SELECT 'S' || page_id % 40 AS name, url AS website, page_id FROM pages),
+    said AS (SELECT name, website, nullif(coalesce(t.text, ''), '') AS text FROM sites s LEFT JOIN pages p ON p.page_id = s.page_id + 1 AND s.page_id % 3 <> 0
+      LEFT JOIN page_texts t ON t.page_id = p.page_id)"""
+
+
+def linked_sites(r: Roles) -> tuple[DataFrame, DataFrame]:
+    """Each page as the home of a site; two in three have a link, spelled in another way, to the page with the next number."""
+    pages = r.table("pages").select("page_id", "url", "html")
+    after = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next"))
+    rest = F.regexp_replace(F.regexp_replace("next", "^https?://[^/?#]*", ""), "#.*$", "")
+    host = F.upper(F.regexp_extract("next", "^https?://([^/?#]*)", 1))
+    port = F.when(F.col("next").startswith("https"), ":443").otherwise(":80")
+    href = F.concat(F.upper(F.regexp_extract("next", "^https?", 0)), F.lit("://"), host, port, F.lit("/x/.."), rest, F.lit("#team"))
+    link = F.concat(F.lit('<a href="'), href, F.lit('"><span>Who we are</span></a>'))
+    linked = pages.join(after, "page_id", "left")
+    html = F.when((F.col("page_id") % 3 != 0) & F.col("next").isNotNull(), F.concat(link, "html")).otherwise(F.col("html"))
+    sites = pages.select(F.concat(F.lit("S"), (F.col("page_id") % 40).cast("string")).alias("name"), F.col("url").alias("website"))
+    return sites, linked.select("url", html.alias("html"))
+
+
+@query("h4_about_texts", f"WITH {SITES} SELECT name, website, 0::BIGINT AS part, text FROM said")
+def h4_about(r: Roles) -> DataFrame:
+    """Text of the pages that the links of each home page lead to, for sites without any as well."""
+    return pg.about_texts(*linked_sites(r))
+
+
+@query(
+    "h_site_values",
+    f"""WITH {SITES}, {BENCH_LEXICON}
+    SELECT DISTINCT name, value FROM (SELECT name, unnest({kept('text')}) AS word FROM said WHERE text IS NOT NULL) JOIN bfirst USING (word)""",
+)
+def h_site_values(r: Roles) -> DataFrame:
+    """From stored pages to values: links, about pages, text per site, rows with a text, keywords, values."""
+    texts = clean_scraped(pg.about_texts(*linked_sites(r)), ["name", "text"])
+    return kw.match_values(kw.keywords(texts, "name", "text"), "name", benchmark_lexicon(r), distinct=True)
+
+
 BOX = "'<nav>x</nav><div class=\"scrollTarget divider\"><div><p class=\"big section-text\">' || p_name || '</p></div><p>no</p></div>'"
 CARD = (
     "'<a href=\"/m\">m</a><div class=\"results\"><a href=\"https://h/' || p_partkey || '\"><div class=\"card-title\"> ' || p_name "
