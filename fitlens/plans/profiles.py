@@ -136,6 +136,56 @@ def engineer(p: People, universities: Sequence[str] = TOP_UNIVERSITIES) -> DataF
     return out.withColumn("degrees", degree_names())
 
 
+def _filled(items: Column) -> Column:
+    """An array without its NULL elements; a NULL array has none."""
+    return F.filter(items, lambda x: x.isNotNull())
+
+
+def engineer_rows(profiles: DataFrame, universities: Sequence[str] = TOP_UNIVERSITIES) -> DataFrame:
+    """Nested profile rows with the features of ``engineer`` beside their own columns, and with ``causes`` and
+    ``values_from_volunteering`` as ``values_map`` gives them.
+
+    Everything about a person stands in the person's row, so each feature is a function of the row's own arrays: one scan, no
+    shuffle and no join, however many rows there are. NULL arrays and elements count as absent.
+    """
+    volunteered = _filled(F.col("volunteer_experience"))
+    months = _filled(F.transform("experience", lambda job: duration_months(job["duration_short"])))
+    total = F.aggregate(months, F.lit(0.0), lambda a, m: a + m)
+    causes = F.coalesce(F.array_sort(F.array_distinct(_filled(F.transform(volunteered, lambda v: v["cause"])))), F.array().cast("array<string>"))
+    has = {
+        f"has_{d.lower()}": F.coalesce(F.exists("education", lambda e: degree_level(e["degree"]) == d), F.lit(False)).cast("int")  # noqa: B023
+        for d in DEGREES
+    }
+
+    def value_of(cause: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for name, value in CAUSE_VALUES.items():
+            out = F.when(cause == name, F.lit(value)).otherwise(out)
+        return out
+
+    why = lambda value, detail: F.struct(value.alias("value"), F.array(F.lit("volunteering"), detail).alias("why"))
+    general = F.array(*[why(F.lit(v), F.lit(None).cast("string")) for v in VOLUNTEER_VALUES])
+    special = F.filter(F.transform("causes", lambda c: why(value_of(c), c)), lambda e: e["value"].isNotNull())
+    entries = F.concat(F.when(F.col("volunteering") == 1, general).otherwise(F.slice(general, 1, 0)), special)
+
+    def by_value(found: Column) -> Column:
+        own = lambda v: F.sort_array(F.transform(F.filter(found, lambda e: e["value"] == v), lambda e: e["why"]))
+        values = F.array_sort(F.array_distinct(F.transform(found, lambda e: e["value"])))
+        return F.map_from_entries(F.transform(values, lambda v: F.struct(v.alias("value"), own(v).alias("why"))))
+
+    out = profiles.withColumns(
+        {
+            "top_university": any_name(F.col("educations_details"), universities),
+            "volunteering": F.coalesce((F.size(volunteered) > 0).cast("int"), F.lit(0)),
+            "average_months_of_experience": F.round(F.try_divide(total, F.size(months).cast("double")), 1),
+            "causes": causes,
+            **has,
+        }
+    )
+    out = out.withColumn("degrees", degree_names())
+    return out.withColumn("values_from_volunteering", F.transform(F.array(entries), by_value)[0])
+
+
 def feature_values(engineered: DataFrame, org_flags: DataFrame) -> DataFrame:
     """``(id, feature, value)`` that a top university, a doctorate or the employers imply.
 

@@ -259,3 +259,31 @@ def test_pooled_variance_of_large_values(frame):
     sums = co.company_sums(frame(data, "company_name string, x double"), [], "x")
     everybody = sums.select("everybody.*").first()
     assert abs(everybody["var2"] - 0.875) < 1e-6 and everybody["mean2"] == 1e8 + 1.25
+
+
+def test_nested_rows_against_long_tables(frame):
+    """Features of nested rows are those of the long tables, without a shuffle."""
+    schema = """id string, name string, educations_details string, `current_company:name` string, education array<struct<degree:string>>,
+    experience array<struct<duration_short:string,subtitle:string>>, volunteer_experience array<struct<cause:string>>"""
+    data = [
+        ("a", "A", "Brown University", "X", [("BSc",), ("PhD in x",), None], [("2 years", "X"), ("6 months", None), (None, "Y")], [("Education",), ("Education",), ("Chess",)]),
+        ("b", "B", None, None, None, None, None),
+        ("c", "C", "", "Y", [], [], []),
+        ("d", "D", "", "Y", [(None,)], [("no time", "Z"), None], [(None,)]),
+    ]
+    nested = frame(data, schema)
+    got = pf.engineer_rows(nested)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and plan.count("Scan") == 1
+    p = pf.flatten_profiles(nested.filter("id <> 'd'"))
+    want = {r["id"]: r.asDict() for r in pf.engineer(p).collect()}
+    maps = dict(pf.values_map(pf.volunteer_values(p.causes)).collect())
+    for r in got.collect():
+        if r["id"] == "d":
+            assert (r["volunteering"], r["average_months_of_experience"], r["causes"], r["degrees"]) == (1, 0.0, [], [])
+            continue
+        w = want[r["id"]]
+        same = ["top_university", "volunteering", "average_months_of_experience", "degrees", "has_bachelor", "has_doctorate", "has_master", "has_associate"]
+        assert {c: r[c] for c in same} == {c: w[c] for c in same}, r["id"]
+        assert r["values_from_volunteering"] == maps.get(r["id"], {})
+    assert rows(pf.employment(p)) == [("X", "a"), ("Y", "a"), ("Y", "c")]

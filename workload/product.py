@@ -13,8 +13,9 @@ from fitlens.operators import ranking as rk
 from fitlens.plans import alignment as al
 from fitlens.plans import companies as co
 from fitlens.plans import profiles as pf
+from fitlens.session import stored
 from workload.basics import stored_scores, tests, text_of
-from workload.roles import Roles, query, sql
+from workload.roles import UNIVERSITIES, Roles, query, sql
 
 SEED = 11
 
@@ -33,6 +34,49 @@ def c2(r: Roles) -> DataFrame:
     return co.eligible_companies(r.bridge, r.companies, 110)
 
 
+def nested_profiles(r: Roles) -> DataFrame:
+    """The people as nested profile rows, as a source would bring them."""
+    p = r.people
+    none = lambda name: F.lit(None).cast("string").alias(name)
+    jobs = p.durations.select("id", F.struct("duration_short", none("subtitle")).alias("job")).union(
+        p.employers.select("id", F.struct(none("duration_short"), F.col("company_name").alias("subtitle")))
+    )
+    parts = [
+        p.education.groupBy("id").agg(F.collect_list(F.struct("degree")).alias("education")),
+        jobs.groupBy("id").agg(F.collect_list("job").alias("experience")),
+        p.causes.groupBy("id").agg(F.collect_list(F.struct("cause")).alias("volunteer_experience")),
+    ]
+    out = p.people.withColumnRenamed("current_company", "current_company:name")
+    for part in parts:
+        out = out.join(part, "id", "left")
+    return stored(out)
+
+
+@query("c1_nested_employment", sql("SELECT company_name, id FROM bridge"))
+def c1_nested(r: Roles) -> DataFrame:
+    """The bridge from nested profile rows by way of long tables."""
+    return pf.employment(pf.flatten_profiles(nested_profiles(r)))
+
+
+@query(
+    "c6_nested_features",
+    sql("""SELECT id, top_university, volunteering, average_months_of_experience, has_associate, has_bachelor, has_doctorate, has_master,
+      coalesce((SELECT string_agg(DISTINCT cause, ',' ORDER BY cause) FROM causes c WHERE c.id = e.id), '') AS causes,
+      coalesce((SELECT string_agg(DISTINCT value || '/' || coalesce(detail, ''), ',' ORDER BY value || '/' || coalesce(detail, ''))
+        FROM volunteer_values v WHERE v.id = e.id), '') AS volunteer_values
+    FROM engineered e"""),
+)
+def c6_nested(r: Roles) -> DataFrame:
+    """Features of nested profile rows, each from its own row."""
+    out = pf.engineer_rows(nested_profiles(r), UNIVERSITIES)
+    values = F.flatten(F.transform(F.map_entries("values_from_volunteering"), lambda e: F.transform(e["value"], lambda w: F.concat_ws("/", e["key"], F.coalesce(w[1], F.lit(""))))))
+    flags = ["has_associate", "has_bachelor", "has_doctorate", "has_master"]
+    return out.select(
+        "id", "top_university", "volunteering", "average_months_of_experience", *flags,
+        F.array_join("causes", ",").alias("causes"), F.array_join(F.array_sort(values), ",").alias("volunteer_values"),
+    )
+
+
 @query("c3_org_types", sql("SELECT id, company_name, organization_type FROM org_types"))
 def c3(r: Roles) -> DataFrame:
     return r.org_types
@@ -120,11 +164,11 @@ def population(r: Roles, assign: str = "one") -> DataFrame:
 
 @query(
     "c8_ztests",
-    sql("""SELECT company_name, feature, x1, n1, x2, n2, direction, round(z, 6) AS z, round(p_value, 6) AS p_value FROM ztests"""),
+    sql("""SELECT company_name, feature, x1, n1, x2, n2, direction, round(z, 6) AS z, round(p_value, 6) AS p_value, round(log_p, 6) AS log_p FROM ztests"""),
 )
 def c8(r: Roles) -> DataFrame:
     out = co.ztests(population(r))
-    return out.withColumn("z", F.round("z", 6)).withColumn("p_value", F.round("p_value", 6))
+    return out.withColumns({c: F.round(c, 6) for c in ("z", "p_value", "log_p")})
 
 
 @query(
@@ -143,12 +187,12 @@ def c8_all(r: Roles) -> DataFrame:
 @query(
     "c9_welch",
     sql("""SELECT company_name, n1, n2, round(mean1, 6) AS mean1, round(mean2, 6) AS mean2, round(t, 6) AS t,
-    round(df, 4) AS df, round(p_value, 6) AS p_value FROM ttests"""),
+    round(df, 4) AS df, round(p_value, 6) AS p_value, round(log_p, 5) AS log_p FROM ttests"""),
 )
 def c9(r: Roles) -> DataFrame:
     out = co.welch_tests(population(r))
     rounded = {c: F.round(c, 6) for c in ("mean1", "mean2", "t", "p_value")}
-    return out.withColumns({**rounded, "df": F.round("df", 4)}).drop("var1", "var2")
+    return out.withColumns({**rounded, "df": F.round("df", 4), "log_p": F.round("log_p", 5)}).drop("var1", "var2")
 
 
 def ranked(r: Roles) -> DataFrame:
@@ -258,7 +302,7 @@ def pattern_matches(r: Roles) -> DataFrame:
 )
 def c13(r: Roles) -> DataFrame:
     r = r.staged()
-    return pattern_matches(r).withColumn("p_value", F.round("p_value", 5))
+    return pattern_matches(r).withColumn("p_value", F.round("p_value", 5)).drop("log_p")
 
 
 @query(
