@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fitlens.constants import ALPHA
+
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], k: int, rank: str = "rank") -> DataFrame:
     """First ``k`` rows per key. The literal limit lets each task drop the rest before the shuffle."""
@@ -25,7 +27,7 @@ def top_per_section(
     return ranked.filter(F.col("rank") <= allowed)
 
 
-def rank_features(tests: DataFrame, alpha: float, only_higher: bool = False, key: str = "company_name") -> DataFrame:
+def rank_features(tests: DataFrame, alpha: float = ALPHA, only_higher: bool = False, key: str = "company_name") -> DataFrame:
     """Significant features per company, the smallest p-value first.
 
     Rows that bring ``log_p`` are ranked by it: p-values of strong traits are all zero, their logarithms are not.

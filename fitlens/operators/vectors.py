@@ -12,6 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fitlens.constants import COSINE_THRESHOLD, DOMINANT_VECTORS
 from fitlens.session import drop_stored, stored
 
 # Vectors that cut space into cells, rows of a block of a cell, and scores in memory at once.
@@ -44,7 +45,7 @@ def cosine_join(
     vec: str,
     anchor_id: str,
     anchor_vec: str,
-    threshold: float,
+    threshold: float = COSINE_THRESHOLD,
     pivots: int = PIVOTS,
     block: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -121,7 +122,7 @@ def semantic_values(hits: DataFrame, meanings: DataFrame, id_col: str, anchor_id
     return hits.select(id_col, anchor_id).join(meanings, anchor_id).select(id_col, "value").distinct()
 
 
-def dominant_vectors(df: DataFrame, key: str, vec: str, k: int = 2, rounds: int = 100, tolerance: float = 1e-4) -> DataFrame:
+def dominant_vectors(df: DataFrame, key: str, vec: str, k: int = DOMINANT_VECTORS, rounds: int = 100, tolerance: float = 1e-4) -> DataFrame:
     """``k`` cluster centres per key by k-means, for all keys at once.
 
     Each round joins the vectors with the centres of their key, sums up the nearest vectors of

@@ -229,6 +229,13 @@ def advice(
     return picked.select(*PAIR, "section", "rank", "item", "book", sentence.alias("sentence"))
 
 
+def pair_colours(pairs: DataFrame, themes: DataFrame) -> DataFrame:
+    """``(id, company_name, colors)``: the dominant colours of each pair's company; a company has a few ``(cluster, colour)``."""
+    names = F.array_sort(F.collect_list(F.struct("cluster", "colour")))
+    per = themes.groupBy("company_name").agg(F.array_join(F.transform(names, lambda c: c["colour"]), " and ").alias("colors"))
+    return pairs.select(*PAIR).join(per, "company_name").select(*PAIR, "colors")
+
+
 def align(
     pairs: DataFrame,
     of_profiles: DataFrame,
@@ -244,13 +251,7 @@ def align(
     labels = None
     if profile_emotions is not None and company_emotions is not None:
         labels = match_label(pairs, profile_emotions, company_emotions)
-    colours = None
-    if themes is not None:
-        names = F.array_sort(F.collect_list(F.struct("cluster", "colour")))
-        per = themes.groupBy("company_name").agg(
-            F.array_join(F.transform(names, lambda c: c["colour"]), " and ").alias("colors")
-        )
-        colours = pairs.select(*PAIR).join(per, "company_name").select(*PAIR, "colors")
+    colours = None if themes is None else pair_colours(pairs, themes)
     return advice(
         match_values_pair(pairs, of_profiles, of_companies),
         match_patterns(pairs, traits, ranked),

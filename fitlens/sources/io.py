@@ -21,9 +21,18 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a Parquet table, sorted within files by ``partition_by`` when given."""
-    writer = df.write.mode("overwrite")
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), only_partitions: bool = False) -> None:
+    """Overwrite a Parquet table, with a folder for each value of ``partition_by``.
+
+    With ``cluster_by`` rows are dealt to tasks by ranges of the partition and cluster columns and sorted within files, so the files
+    of a folder hold ranges of their own, a large folder has several of them, and a reader's filter on a cluster column skips
+    files and row groups by their statistics. With ``only_partitions`` the folders that ``df`` has rows for are replaced, the
+    others stay.
+    """
+    keys = [*partition_by, *cluster_by]
+    if cluster_by:
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only_partitions else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

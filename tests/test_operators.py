@@ -30,6 +30,31 @@ from fitlens.sources import io
 # --- sources -------------------------------------------------------------------------------
 
 
+def test_clustered_table(spark, tmp_path):
+    """Files of a folder hold ranges of their own, a large folder has several, and one folder can be replaced."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "t")
+    df = spark.range(40_000).selectExpr("cast(hash(id) as long) as x", "if(id % 10 < 8, 'hot', 'b') as k", "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        io.write_table(df, path, ["k"], ["x"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranges = {}
+    for folder in ("k=hot", "k=b"):
+        files = [pq.read_table(f, partitioning=None)["x"].to_pylist() for f in glob.glob(f"{path}/{folder}/*.parquet")]
+        assert all(x == sorted(x) for x in files)
+        ranges[folder] = sorted((x[0], x[-1]) for x in files)
+        assert all(a[1] <= b[0] for a, b in itertools.pairwise(ranges[folder]))
+    assert len(ranges["k=hot"]) > 2
+    io.write_table(spark.createDataFrame([(1, "b", 7)], "x long, k string, id long"), path, ["k"], ["x"], only_partitions=True)
+    back = io.read_table(spark, path)
+    assert {r["k"]: r["count"] for r in back.groupBy("k").count().collect()} == {"hot": 32_000, "b": 1}
+
+
 def test_tables_and_csv(spark, tmp_path, frame):
     df = frame([("A", "line one\nline \"two\", end"), ("B", None), ("B", "x, y")], "company_name string, scraped_data string")
     io.write_table(df, str(tmp_path / "t"), ["company_name"])

@@ -746,3 +746,18 @@ def s3(r: Roles) -> DataFrame:
     docs = r.table("documents")
     io.write_table(docs, path, ["lang"])
     return io.read_table(r.spark, path, docs.schema).select("doc_id", F.md5("text").alias("digest"), "lang", "source")
+
+
+@query(
+    "s3_clustered_table",
+    """SELECT lang, doc_id, CASE WHEN lang = (SELECT min(lang) FROM documents) THEN upper(source) ELSE source END AS source, n_chars FROM documents
+    WHERE n_chars BETWEEN 500 AND 1500""",
+)
+def s3_clustered(r: Roles) -> DataFrame:
+    """Documents in folders by language, in order of their length; one folder is replaced, and a range of lengths read back."""
+    path = f"{shared_folder(r.spark)}/table-{uuid.uuid4().hex}"
+    docs = r.table("documents").select("doc_id", "lang", "source", "n_chars")
+    io.write_table(docs, path, ["lang"], ["n_chars"])
+    first = docs.join(docs.agg(F.min("lang").alias("lang")), "lang").withColumn("source", F.upper("source")).select(docs.columns)
+    io.write_table(first, path, ["lang"], ["n_chars"], only_partitions=True)
+    return io.read_table(r.spark, path, docs.schema).filter("n_chars BETWEEN 500 AND 1500").select("lang", "doc_id", "source", "n_chars")

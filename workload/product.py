@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fitlens.constants import BOOKS
+from fitlens.constants import BOOKS, DOMINANT_VECTORS
 from fitlens.functions import text as ft
 from fitlens.operators import distributions as ds
 from fitlens.operators import keywords as kw
 from fitlens.operators import ranking as rk
+from fitlens.operators import vectors as vc
 from fitlens.plans import alignment as al
 from fitlens.plans import companies as co
 from fitlens.plans import profiles as pf
 from fitlens.session import stored
 from workload.basics import stored_scores, tests, text_of
 from workload.roles import UNIVERSITIES, Roles, query, sql
+from workload.texts import three_rounds
 
 SEED = 11
 
@@ -234,15 +236,33 @@ def profile_emotions(r: Roles) -> DataFrame:
     return means.select("id", F.col("company_emotion").alias("emotion"))
 
 
+# Pixels of the companies' logos: the first three numbers of each vector as colours, by label.
+THEME_SQL = f"""logos AS (SELECT n_name AS label, vec_id, list_transform(embedding[1:3], lambda x: (x::DOUBLE + 1) * 127.5) AS v
+  FROM embeddings JOIN nation ON label % 25 = n_nationkey),
+{three_rounds("logos")},
+themes AS (SELECT label AS company_name, c AS cluster, '[' || string_agg(round(centre)::INT::VARCHAR, ', ' ORDER BY pos) || ']' AS colour FROM c3 GROUP BY 1, 2)"""
+
+
+def themes(r: Roles) -> DataFrame:
+    """``(company_name, cluster, colour)``: the two dominant colours of each logo, after three rounds, which SQL can follow."""
+    pixel = F.transform(F.slice("embedding", 1, 3), lambda x: (x.cast("double") + 1) * 127.5)
+    owner = r.table("nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("company_name"))
+    logos = r.table("embeddings").select((F.col("label") % 25).alias("key"), pixel.alias("pixel")).join(owner, "key")
+    centres = vc.dominant_vectors(logos, "company_name", "pixel", k=DOMINANT_VECTORS, rounds=3)
+    return centres.select("company_name", "cluster", vc.colour_text(F.col("centre")).alias("colour"))
+
+
 @query(
     "c10_company_summary",
     sql("""SELECT company_name, 'feature' AS section, rank::INTEGER AS rank, feature AS item, round(p_value, 5) AS p_value FROM ranked
     UNION ALL SELECT company_name, CASE WHEN source = 'slogan' THEN 'value_slogan' ELSE 'value_text' END, NULL, value, NULL
-    FROM company_values"""),
+    FROM company_values UNION ALL SELECT company_name, 'theme', (cluster + 1)::INTEGER, colour, NULL FROM themes
+    UNION ALL SELECT company_name, 'picture', NULL, company_emotion, NULL FROM company_emotions WHERE company_emotion IS NOT NULL""",
+        f"{EMOTION_SQL},\n{THEME_SQL}"),
 )
 def c10(r: Roles) -> DataFrame:
     r = r.staged()
-    out = co.company_summary(ranked(r), company_values(r))
+    out = co.company_summary(ranked(r), company_values(r), themes(r), co.company_emotion(scores(r)))
     return out.withColumn("p_value", F.round("p_value", 5))
 
 
@@ -329,10 +349,10 @@ BOOKS_SQL = (
 def advice_sql(matches: str) -> str:
     """Ranked and capped sentences for ``matches`` given as SQL."""
     body = f"""SELECT id, company_name, section, rank::INTEGER AS rank, item, book,
-    replace(replace(replace(replace(replace(replace(replace(template, '{{company name}}', company_name), '{{core value}}', item),
+    replace(replace(replace(replace(replace(replace(replace(replace(template, '{{company name}}', company_name), '{{core value}}', item),
       '{{company source}}', coalesce(company_source, '')), '{{profile source}}', coalesce(profile_source, '')),
       '{{university name}}', coalesce(detail, '')), '{{dominant profile emotion}}', coalesce(emotion, '')),
-      '{{dominant company emotion}}', coalesce(company_emotion, '')) AS sentence
+      '{{dominant company emotion}}', coalesce(company_emotion, '')), '{{colors}}', item) AS sentence
     FROM (SELECT *, row_number() OVER (PARTITION BY id, company_name, section ORDER BY seq, item) AS rank FROM ({matches}))
     JOIN (SELECT *, count(*) OVER (PARTITION BY book) AS size FROM books) USING (book)
     WHERE rank <= CASE section WHEN 'values' THEN 3 WHEN 'patterns' THEN 3 ELSE 1 END
@@ -349,17 +369,19 @@ PICTURE_ENTRIES = """SELECT b.id, b.company_name, 'picture', CASE WHEN emotion =
       0.0, emotion, NULL, NULL, NULL, emotion, company_emotion FROM bridge b
       JOIN profile_emotions p ON p.id = b.id JOIN company_emotions c ON c.company_name = b.company_name
       WHERE emotion IS NOT NULL AND company_emotion IS NOT NULL"""
+THEME_ENTRIES = """SELECT b.id, b.company_name, 'theme', 'theme', 0.0, colors, NULL, NULL, NULL, NULL, NULL FROM bridge b
+      JOIN (SELECT company_name, string_agg(colour, ' and ' ORDER BY cluster) AS colors FROM themes GROUP BY 1) USING (company_name)"""
 
 
-@query("c15_advice", sql(advice_sql(VALUE_ENTRIES + " UNION ALL " + PATTERN_ENTRIES), BOOKS_SQL))
+@query("c15_advice", sql(advice_sql(" UNION ALL ".join([VALUE_ENTRIES, PATTERN_ENTRIES, THEME_ENTRIES])), f"{BOOKS_SQL},\n{THEME_SQL}"))
 def c15(r: Roles) -> DataFrame:
     r = r.staged()
-    return al.advice(value_matches(r), pattern_matches(r), SEED)
+    return al.advice(value_matches(r), pattern_matches(r), SEED, themes=al.pair_colours(r.bridge, themes(r)))
 
 
 @query(
     "c16_align",
-    sql(advice_sql(" UNION ALL ".join([VALUE_ENTRIES, PATTERN_ENTRIES, PICTURE_ENTRIES])), f"{BOOKS_SQL},\n{EMOTION_SQL}"),
+    sql(advice_sql(" UNION ALL ".join([VALUE_ENTRIES, PATTERN_ENTRIES, PICTURE_ENTRIES, THEME_ENTRIES])), f"{BOOKS_SQL},\n{EMOTION_SQL},\n{THEME_SQL}"),
 )
 def c16(r: Roles) -> DataFrame:
     r = r.staged()
@@ -372,6 +394,7 @@ def c16(r: Roles) -> DataFrame:
         SEED,
         profile_emotions(r),
         co.company_emotion(scores(r)),
+        themes(r),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fitlens.constants import CORE_VALUES, STOPWORDS
+from fitlens.constants import COMPANY_LABEL_THRESHOLD, CORE_VALUES, PROFILE_LABEL_THRESHOLD, STOPWORDS
 from fitlens.operators import groups as g
 from fitlens.operators import keywords as kw
 from fitlens.operators import pages as pg
@@ -203,7 +203,7 @@ def k8(r: Roles) -> DataFrame:
         F.concat("event_type", F.lit(": detail")).alias("label"),
         (F.col("value") / 50).alias("score"),
     )
-    return kw.labels_above(scores, 0.6).withColumn("score", F.round("score", 6))
+    return kw.labels_above(scores, PROFILE_LABEL_THRESHOLD).withColumn("score", F.round("score", 6))
 
 
 @query(
@@ -215,7 +215,7 @@ def k8_listed(r: Roles) -> DataFrame:
     scores = r.table("events").select(
         F.col("user_id").alias("id"), F.concat("event_type", F.lit(":x")).alias("label"), (F.col("value") / 50).alias("score")
     )
-    lists = g.ids_by(kw.labels_above(scores, 0.3), "id", "label", "labels")
+    lists = g.ids_by(kw.labels_above(scores, COMPANY_LABEL_THRESHOLD), "id", "label", "labels")
     return lists.select("id", "part", F.array_join("labels", ",").alias("labels"))
 
 
@@ -280,8 +280,8 @@ def m8(r: Roles) -> DataFrame:
     return centres.select("label", "cluster", F.posexplode("centre").alias("pos", "x")).withColumn("x", F.round("x", 4))
 
 
-def _three_rounds() -> str:
-    """Three steps of k-means, written out."""
+def three_rounds(vectors: str) -> str:
+    """SQL for three steps of k-means, written out: ``c3(label, c, pos, centre)`` from the expression ``vectors(label, vec_id, v)``."""
     step = """d{i} AS (
       SELECT long.label, vec_id, c, sum((x - centre) * (x - centre)) AS gap FROM long JOIN c{j} ON long.label = c{j}.label AND long.pos = c{j}.pos
       GROUP BY ALL),
@@ -291,18 +291,20 @@ def _three_rounds() -> str:
       SELECT c{j}.label, c{j}.c, c{j}.pos, coalesce(n{i}.centre, c{j}.centre) AS centre
       FROM c{j} LEFT JOIN n{i} ON n{i}.label = c{j}.label AND n{i}.c = c{j}.c AND n{i}.pos = c{j}.pos)"""
     steps = ",\n".join(step.format(i=i, j=i - 1) for i in (1, 2, 3))
-    return f"""WITH long AS (
-      SELECT label, vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings),
+    return f"""long AS (SELECT label, vec_id, unnest(v)::DOUBLE AS x, generate_subscripts(v, 1) - 1 AS pos FROM {vectors}),
     stats AS (SELECT label, pos, avg(x) AS m, var_samp(x) AS v FROM long GROUP BY ALL),
     wide AS (SELECT label, arg_min(pos, -v) AS wide, max(v) AS most FROM stats GROUP BY ALL),
     c0 AS (
       SELECT label, c, pos, CASE WHEN pos = wide THEN m + (2 * c - 1) * sqrt(most) ELSE m END AS centre
       FROM stats JOIN wide USING (label), (SELECT unnest([0, 1]) AS c)),
-    {steps}
-    SELECT label, c::INT AS cluster, pos::INT AS pos, round(centre, 4) AS x FROM c3"""
+    {steps}"""
 
 
-@query("m8_three_rounds", _three_rounds())
+@query(
+    "m8_three_rounds",
+    f"""WITH {three_rounds("(SELECT label, vec_id, embedding AS v FROM embeddings)")}
+    SELECT label, c::INT AS cluster, pos::INT AS pos, round(centre, 4) AS x FROM c3""",
+)
 def m8_three(r: Roles) -> DataFrame:
     """The first three rounds of k-means, which SQL can follow."""
     centres = vc.dominant_vectors(r.table("embeddings"), "label", "embedding", rounds=3)
