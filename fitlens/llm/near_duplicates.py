@@ -7,18 +7,21 @@ many documents share it, shallow elsewhere. Nothing is paired within a group, so
 Documents with equal sets are one class from the start. Class representatives that are neighbours in some order and whose
 signatures agree enough become candidates; their full sets decide. Links make components by label propagation on tables.
 
-The orders are gone through twice. At first only the likeliest neighbours of a row become candidates, which connects most of a
-group of near copies. The second time all neighbours that agree enough and are in another component by then become candidates.
+The orders are gone through three times. At first only the likeliest neighbours of a row become candidates, which connects most of
+a group of near copies. The second time it is the likeliest neighbours in other components. Rows that have more of those than they
+may propose go through the orders once more and bring their full sets along, so that all such pairs are decided where they meet:
+only links that join components leave a task, not pairs. Each time a row gives rise to a bounded number of rows.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,16 +31,17 @@ from fitlens.session import stored
 HASHES = 128
 ORDERS = 16
 # Neighbours in an order that a row is compared with: so many everywhere, and up to so many where a quarter of them are alike.
-# Before there are components the likeliest of them, from either side, become candidates; then all that lead across components.
-NEAR, REACH, BEST = 8, 64, 2
+NEAR, REACH = 8, 64
+# How many of them, the likeliest from either side, become candidates before there are components, and across components after.
+BEST, SECOND = 1, 1
+# Rows from the ends of ranges that are compared in one task.
+EDGES = 4096
 # Rows that are copied to all tasks at most, of 8 or 16 bytes each. More of them meet the others in a shuffle.
 COPIED = 1_000_000
 # Standard errors below the threshold that an estimated similarity may lie.
 MARGIN = 4.5
 # Rounds in which each component tries one pair.
 ROUNDS = 2
-# Of the pairs that lead across components each row tries one in the first round, then so many times more in every round.
-MORE = 4
 # Words whose hashes a worker keeps, and shingles hashed at once.
 WORDS = 1 << 19
 CHUNK = 1 << 14
@@ -77,6 +81,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _digest(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def signature(shingles: np.ndarray) -> bytes:
     """One byte of the smallest value of each hash function."""
     low = shingles.astype(np.uint32)
@@ -97,7 +105,7 @@ def sign_documents(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
             rows = []
             for body in batch["text"]:
                 s = shingles.of(body)
-                rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), signature(s)) if len(s) else (0, None, None))
+                rows.append((len(s), _digest(s), signature(s)) if len(s) else (0, None, None))
             out = pd.DataFrame(rows, columns=["n", "digest", "signature"])
             out.insert(0, "id", batch["id"].to_numpy())
             yield out
@@ -109,22 +117,25 @@ def sign_documents(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
     return signed.withColumn("id", F.col("id").cast("long"))
 
 
-def _best(key: np.ndarray, same: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Which entries are among the ``BEST`` of their key by agreement."""
+def _best(key: np.ndarray, same: np.ndarray, other: np.ndarray, best: int) -> np.ndarray:
+    """Which entries are among the ``best`` of their key by agreement."""
     order = np.lexsort((other, -same, key))
     keys, places = key[order], np.arange(len(key))
     heads = np.concatenate([[True], keys[1:] != keys[:-1]])[: len(key)]
     rank = places - np.maximum.accumulate(np.where(heads, places, 0))
     out = np.zeros(len(key), bool)
-    out[order[rank < BEST]] = True
+    out[order[rank < best]] = True
     return out
 
 
-def _neighbours(
-    order: np.ndarray, sigs: np.ndarray, sizes: np.ndarray, ids: np.ndarray, labels: np.ndarray | None, first: int, least: int, percent: int
-) -> pd.DataFrame:
-    """Pairs of a row from ``first`` on and one of the rows before it that may be similar enough: the likeliest, or with labels
-    all that have different ones."""
+def _alike(rows: pd.DataFrame, first: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (a, b) of rows from ``first`` on and of those before them that may be similar enough, and how many bytes agree.
+    Rows with the same label are no pair."""
+    share = percent / 100
+    least = int(HASHES * (share - MARGIN * (share * (1 - share) / HASHES) ** 0.5))
+    sigs = np.frombuffer(b"".join(rows["path"]), np.uint8).reshape(len(rows), HASHES)
+    order, sizes, ids = rows["order"].to_numpy(), rows["n"].to_numpy(np.int64), rows["rep"].to_numpy(np.int64)
+    groups = rows["label"].to_numpy(np.int64) if "label" in rows else ids
     hits = np.zeros(len(ids), np.int64)
     found = [np.zeros((0, 3), np.int64)]
     for j in range(1, REACH + 1):
@@ -138,22 +149,75 @@ def _neighbours(
         same = (sigs[a] == sigs[b]).sum(1)
         a, b, same = a[same >= least], b[same >= least], same[same >= least]
         hits[b] += 1
-        if labels is not None:
-            across = labels[a] != labels[b]
-            a, b, same = a[across], b[across], same[across]
-        found.append(np.stack([a, b, same], 1))
-    a, b, same = np.concatenate(found).T
-    if labels is None:
-        chosen = _best(a, same, b) | _best(b, same, a)
-        a, b, same = a[chosen], b[chosen], same[chosen]
-    return pd.DataFrame({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b]), "same": same})
-
-
-def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """``(a, b, same)``: pairs of neighbours in the sorted orders with signatures that agree in ``same`` bytes. classes:
-    ``(rep, n, signature)``, and ``label`` if all pairs of different labels are wanted in place of the likeliest."""
-    share = percent / 100
-    least = int(HASHES * (share - MARGIN * (share * (1 - share) / HASHES) ** 0.5))
+        across = groups[a] != groups[b]
+        found.append(np.stack([a[across], b[across], same[across]], 1))
+    return tuple(np.concatenate(found).T)
+
+
+def _proposals(percent: int, best: int) -> Callable[[pd.DataFrame, int], pd.DataFrame]:
+    """Pairs ``(a, b, same)`` among the ``best`` of either end, and the ids ``more`` of both ends of every other pair."""
+
+    def work(rows: pd.DataFrame, first: int) -> pd.DataFrame:
+        a, b, same = _alike(rows, first, percent)
+        ids = rows["rep"].to_numpy(np.int64)
+        chosen = _best(a, same, b, best) | _best(b, same, a, best)
+        more = np.unique(ids[np.concatenate([a[~chosen], b[~chosen]])])
+        a, b = ids[a[chosen]], ids[b[chosen]]
+        pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "same": same[chosen]}).drop_duplicates()
+        return pd.concat([pairs, pd.DataFrame({"more": more})])
+
+    return work
+
+
+def _links(percent: int) -> Callable[[pd.DataFrame, int], pd.DataFrame]:
+    """Links ``(a, b)`` by the full sets of the rows, as many as join their labels. Pairs whose labels are joined already are
+    not tried again; all others are."""
+    parent: dict[int, int] = {}
+
+    def root(label: int) -> int:
+        while (up := parent.get(label, label)) != label:
+            parent[label] = parent.get(up, up)
+            label = up
+        return label
+
+    def work(rows: pd.DataFrame, first: int) -> pd.DataFrame:
+        a, b, _ = _alike(rows, first, percent)
+        order = np.argsort(b, kind="stable")
+        a, b = a[order], b[order]
+        sets = rows["shingles"].to_list()
+        sizes = np.array([len(s) for s in sets], np.int64)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        _, number = np.unique(np.concatenate(sets), return_inverse=True)
+        marked = np.zeros(int(number.max()) + 1, bool)
+        ids, labels = rows["rep"].to_numpy(np.int64), rows["label"].to_numpy(np.int64)
+        out = []
+        heads = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])[: len(b)])
+        for i, j in zip(heads.tolist(), [*heads[1:].tolist(), len(b)]):
+            own = int(b[i])
+            others = np.array([x for x in a[i:j].tolist() if root(int(labels[x])) != root(int(labels[own]))], np.int64)
+            if not len(others):
+                continue
+            mine = number[starts[own] : starts[own + 1]]
+            marked[mine] = True
+            ends = np.cumsum(sizes[others])
+            theirs = np.arange(ends[-1]) + np.repeat(starts[others] - ends + sizes[others], sizes[others])
+            both = np.add.reduceat(marked[number[theirs]].astype(np.int64), ends - sizes[others])
+            marked[mine] = False
+            for x in others[100 * both >= percent * (sizes[others] + sizes[own] - both)].tolist():
+                if (up := root(int(labels[x]))) != (down := root(int(labels[own]))):
+                    parent[max(up, down)] = min(up, down)
+                    out.append((min(ids[x], ids[own]), max(ids[x], ids[own])))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return work
+
+
+def sweep(classes: DataFrame, work_of: Callable[[], Callable[[pd.DataFrame, int], pd.DataFrame]], out: dict[str, str]) -> DataFrame:
+    """The distinct results ``out`` of a fresh ``work_of()`` for each task, over all stretches of the sorted orders.
+
+    classes: ``(rep, n, signature)`` and whatever else the work reads. It gets rows in order and the place of the first one that is
+    new to it; ``REACH`` rows before that one stand there again. Where two ranges meet, the rows at their ends come together in blocks.
+    """
     turn = HASHES // ORDERS
     turned = F.transform(
         F.sequence(F.lit(0), F.lit(ORDERS - 1)),
@@ -162,41 +226,59 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
             F.concat(F.substring("signature", t * turn + 1, F.lit(HASHES)), F.substring("signature", F.lit(1), t * turn)).alias("path"),
         ),
     )
-    labelled = "label" in classes.columns
-    own = ["rep", "n", "order", "path"] + ["label"] * labelled
-    columns = ["a", "b", "same", *own]
-    rows = classes.select("rep", F.col("n").cast("int").alias("n"), *["label"] * labelled, F.inline(turned))
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head, last = [], None
+    own = [c for c in classes.columns if c != "signature"]
+    rows = classes.select(*own, F.inline(turned))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    columns = out | {"part": "long", "place": "long"} | kinds
+
+    def shaped(found: pd.DataFrame) -> pd.DataFrame:
+        """With all columns; those that are missing are null."""
+        number = ("long", "bigint", "int", "tinyint")
+        missing = {c: np.full(len(found), np.nan) if k in number else np.full(len(found), None) for c, k in columns.items() if c not in found}
+        return found.assign(**missing)[list(columns)]
+
+    def within(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        work, head, last, n = work_of(), [], None, 0
         for batch in batches:
             if not len(batch):
                 continue
+            if n < REACH:
+                head.append(batch[: REACH - n])
+            n += len(batch)
             first = 0 if last is None else len(last)
-            if sum(map(len, head)) < NEAR:
-                head.append(batch[:NEAR])
-            rows = batch if last is None else pd.concat([last, batch], ignore_index=True)
-            sigs = np.frombuffer(b"".join(rows["path"]), np.uint8).reshape(len(rows), HASHES)
-            labels = rows["label"].to_numpy(np.int64) if labelled else None
-            pairs = _neighbours(rows["order"].to_numpy(), sigs, rows["n"].to_numpy(np.int64), rows["rep"].to_numpy(np.int64), labels, first, least, percent)
-            # Copies of a pair from one stretch of an order go here, the others after the shuffle.
-            yield pairs.drop_duplicates().reindex(columns=columns)
-            last = rows[-REACH:]
+            some = batch if last is None else pd.concat([last, batch], ignore_index=True)
+            yield shaped(work(some, first))
+            last = some[-REACH:]
         if last is not None:
-            edge = pd.concat([*head, last[-NEAR:]])
-            yield edge.drop_duplicates(["order", "rep"]).reindex(columns=columns)
+            edge = pd.concat([*head, last]).drop_duplicates(["order", "rep"])
+            yield edge.assign(part=TaskContext.get().partitionId(), place=np.arange(len(edge))).pipe(shaped)
 
-    def compare_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for out in compare(batches):
-            yield out[out["a"].notna()][["a", "b", "same"]]
+    def at_edges(key: tuple, some: pd.DataFrame) -> pd.DataFrame:
+        some = some.sort_values("at", ignore_index=True)
+        return work_of()(some, int((some["at"] < key[0] * EDGES).sum())).reindex(columns=list(out))
 
-    out = "a long, b long, same long, rep long, n int, order byte, path binary" + ", label long" * labelled
+    schema = ", ".join(f"`{c}` {k}" for c, k in columns.items())
     ranged = rows.repartitionByRange("order", "path", "rep").sortWithinPartitions("order", "path", "rep")
-    compared = stored(ranged.select(*own).mapInPandas(compare, out))
-    # First and last rows of every partition, a few for each: neighbours across its borders.
-    edges = compared.filter("a IS NULL").select(*own).repartition(1).sortWithinPartitions("order", "path", "rep")
-    pairs = compared.filter("a IS NOT NULL").select("a", "b", "same").union(edges.mapInPandas(compare_edges, "a long, b long, same long"))
-    return pairs.groupBy("a", "b").agg(F.max("same").alias("same"))
+    swept = stored(ranged.mapInPandas(within, schema))
+    edges = swept.filter("part IS NOT NULL").select("part", "place", *kinds)
+    # One row for each range.
+    starts = edges.groupBy("part").agg(F.count("*").alias("rows"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    at = edges.join(starts, "part").withColumn("at", F.col("start") + F.col("place")).select("at", *kinds)
+    block = F.floor(F.col("at") / EDGES)
+    blocks = at.select("*", F.explode(F.array(block, F.when(F.col("at") % EDGES >= EDGES - REACH, block + 1))).alias("block")).filter("block IS NOT NULL")
+    met = blocks.groupBy("block").applyInPandas(at_edges, ", ".join(f"`{c}` {k}" for c, k in out.items()))
+    return swept.filter("part IS NULL").select(*out).union(met).distinct()
+
+
+def candidates(classes: DataFrame, percent: int, best: int = BEST) -> tuple[DataFrame, DataFrame]:
+    """Stored ``(a, b, same)``: pairs of neighbours in the sorted orders with signatures that agree in ``same`` bytes, the likeliest
+    ones of either end; and the stored ids ``rep`` of both ends of all others. classes: ``(rep, n, signature)``, and ``label`` if only
+    pairs of different labels count."""
+    found = stored(sweep(classes, lambda: _proposals(percent, best), {"a": "long", "b": "long", "same": "long", "more": "long"}))
+    more = found.filter("more IS NOT NULL").select(F.col("more").alias("rep")).distinct()
+    return found.filter("a IS NOT NULL").select("a", "b", "same"), stored(more)
 
 
 def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
@@ -204,16 +286,17 @@ def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
 
 
 def full_sets(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """``(id, shingles)`` of the documents in the pairs."""
+    """``(id, digest, shingles)`` of the documents in the pairs."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(k)
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "shingles": [shingles.of(t).view(np.int64) for t in batch["text"]]})
+            found = [shingles.of(t) for t in batch["text"]]
+            yield pd.DataFrame({"id": batch["id"], "digest": list(map(_digest, found)), "shingles": [x.view(np.int64) for x in found]})
 
     needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(_copied(needed), "id", "left_semi")
-    return texts.mapInPandas(sets, "id long, shingles array<long>")
+    return texts.mapInPandas(sets, "id long, digest binary, shingles array<long>")
 
 
 def _copied(rows: DataFrame) -> DataFrame:
@@ -262,27 +345,16 @@ def connected(pairs: DataFrame, full: DataFrame, bridges: DataFrame, percent: in
     return links, labels
 
 
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs ``(a, b, same)`` whose ends have different labels."""
+def joined_labels(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The stored classes with the labels that they have when links ``(a, b)`` between their ids join labels."""
+    ends = links
     for end in ("a", "b"):
-        pairs = pairs.join(labels.select(F.col("id").alias(end), F.col("label").alias(f"l{end}")), end, "left")
-    return pairs.filter("coalesce(la, a) <> coalesce(lb, b)").select("a", "b", "same")
-
-
-def completed(pairs: DataFrame, full: DataFrame, links: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """The labels after all pairs that lead from one component to another are tried: in every round each row tries its likeliest
-    ones, until none is left."""
-    left, width = pairs, 1
-    while not left.isEmpty():
-        ends = left.select(F.col("a").alias("own"), "a", "b", "same").union(left.select("b", "a", "b", "same"))
-        place = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("same"), "a", "b"))
-        tried = stored(ends.select("a", "b", place.alias("place")).filter(F.col("place") <= width).select("a", "b").distinct())
-        found = confirmed(tried, full, percent)
-        links = stored(links.union(found))
-        labels = components(links)
-        left = stored(_across(_untried(left, tried), labels))
-        width *= MORE
-    return labels
+        ends = ends.join(classes.select(F.col("rep").alias(end), F.col("label").alias(f"l{end}")).distinct(), end)
+    ends = stored(ends.filter("la <> lb").select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct())
+    if ends.isEmpty():
+        return classes
+    joined = components(ends).select(F.col("id").alias("label"), F.col("label").alias("joined"))
+    return stored(classes.join(joined, "label", "left").withColumn("label", F.coalesce("joined", "label")).select(*classes.columns))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -323,12 +395,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     several = whole.groupBy("id").agg(F.min("digest").alias("first"), F.max("digest").alias("last")).filter("first <> last").select("id")
     bridges = whole.select("id", "digest").join(several, "id", "left_semi").join(classes.select("digest", "rep"), "digest")
     bridges = bridges.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    pairs = stored(candidates(classes, percent))
+    pairs, _ = candidates(classes.drop("digest"), percent)
     links, labels = connected(pairs, stored(full_sets(pairs, docs, key, text, k)), bridges, percent)
-    reached = classes.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select("rep", "n", "signature", F.coalesce("label", "rep").alias("label"))
-    more = stored(_untried(candidates(reached, percent), pairs))
-    if not more.isEmpty():
-        labels = completed(more, stored(full_sets(more, docs, key, text, k)), links, labels, percent)
+    reached = classes.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select("digest", "rep", "n", "signature", F.coalesce("label", "rep").alias("label"))
+    reached = stored(reached)
+    # The second time, pairs between components: the likeliest ones of each row,
+    proposed, rest = candidates(reached.drop("digest"), percent, SECOND)
+    proposed = stored(_untried(proposed, pairs))
+    if not proposed.isEmpty():
+        reached = joined_labels(reached, stored(confirmed(proposed, stored(full_sets(proposed, docs, key, text, k)), percent)))
+    # and where there are more, all of them, by full sets that the rows bring along.
+    if not rest.isEmpty():
+        ends = rest.select(F.col("rep").alias("a"), F.col("rep").alias("b"))
+        sets = full_sets(ends, docs, key, text, k).select("digest", "shingles").dropDuplicates(["digest"])
+        crowded = stored(reached.join(rest, "rep").join(sets, "digest").drop("digest"))
+        reached = joined_labels(reached, sweep(crowded, lambda: _links(percent), {"a": "long", "b": "long"}))
+    labels = reached.select(F.col("rep").alias("id"), "label").distinct()
     named = classes.select("digest", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("digest", F.coalesce("label", "rep").alias("label"))
     out = signed.select("id", "n", "digest").join(named, "digest", "left")
@@ -343,14 +425,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
 
 def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """The kept documents with their own columns; of rows that repeat an id the one with the smallest text."""
-    found = stored(near_duplicates(docs, key, text, k, percent).select(F.col(key).alias("_id"), "kept"))
-    out = docs.join(found.filter(~F.col("kept")).select("_id").distinct(), F.col(key) == F.col("_id"), "left_anti")
-    repeated = found.filter("kept AND _id IS NOT NULL").groupBy("_id").count().filter("count > 1").select("_id")
+    found = stored(near_duplicates(docs, key, text, k, percent).select(F.col(key).alias("id"), "kept"))
+    # The documents' own columns are one struct, so that none of them can clash with the others.
+    whole = docs.select(F.struct("*").alias("row"), F.col(key).alias("own_id"), F.col(text).alias("body"))
+    gone = found.filter(~F.col("kept")).select("id").distinct()
+    out = whole.join(gone, F.col("own_id") == F.col("id"), "left_anti")
+    repeated = found.filter("kept AND id IS NOT NULL").groupBy("id").count().filter("count > 1").select("id")
     if repeated.isEmpty():
-        return out
-    place = F.row_number().over(Window.partitionBy(key).orderBy(text))
-    again = out.join(repeated, F.col(key) == F.col("_id"), "left_semi").select("*", place.alias("_place")).filter("_place = 1").drop("_place")
-    return out.join(repeated, F.col(key) == F.col("_id"), "left_anti").union(again)
+        return out.select("row.*")
+    place = F.row_number().over(Window.partitionBy("own_id").orderBy("body"))
+    again = out.join(repeated, F.col("own_id") == F.col("id"), "left_semi").select("row", place.alias("place")).filter("place = 1").select("row.*")
+    return out.join(repeated, F.col("own_id") == F.col("id"), "left_anti").select("row.*").union(again)
 
 
 @query("op9_lsh_forest")
