@@ -115,8 +115,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     # Stored, so that the filter does not go into the expressions that it filters by.
     found = stored(_hits(docs, benchmark, key, text, **options).select("_key", "_hash", "n_hit"))
     hit = found.filter("n_hit > 0").select("_key", "_hash").distinct()
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_hash"))
-    return docs.join(hit, same, "left_anti")
+    # The documents' own columns are one struct, so that none of them can clash with the others.
+    whole = docs.select(F.struct("*").alias("row"), F.col(key).alias("own_id"), F.xxhash64(text).alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("_key")) & (F.col("own_hash") == F.col("_hash"))
+    return whole.join(hit, same, "left_anti").select("row.*")
 
 
 def _hits(

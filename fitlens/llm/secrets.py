@@ -186,28 +186,35 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", key: str = "doc_id", text: s
     """The documents with their own columns, every secret in the text replaced by ``mark``, and the column ``chars`` counted anew
     where a text changed."""
     secrets = find_secrets(docs, key=key, text=text, path=path).filter("secret")
-    spans = secrets.groupBy(F.col(key).alias("_id"), F.col("text_hash").alias("_hash")).agg(
-        F.array_sort(F.collect_set(F.struct(F.col("start").cast("int").alias("start"), F.col("finish").cast("int").alias("finish")))).alias("_spans")
+    spans = secrets.groupBy(F.col(key).alias("id"), F.col("text_hash").alias("hash")).agg(
+        F.array_sort(F.collect_set(F.struct(F.col("start").cast("int").alias("start"), F.col("finish").cast("int").alias("finish")))).alias("spans")
     )
-    same = F.col(key).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
-    joined = docs.join(spans, same, "left")
+    # The documents' own columns are one struct, so that none of them can clash with the others.
+    whole = docs.select(F.struct("*").alias("row"), F.col(key).alias("own_id"), F.col(text).alias("body"))
+    joined = whole.join(spans, F.col("own_id").eqNullSafe(F.col("id")) & (F.xxhash64("body") == F.col("hash")), "left")
+    upto = lambda i: F.get(F.col("spans"), i - 1)["finish"]
     kept = F.concat(
         F.transform(
-            "_spans",
+            "spans",
             lambda s, i: F.concat(
-                F.substring(F.col(text), F.when(i == 0, 1).otherwise(F.get(F.col("_spans"), i - 1)["finish"] + 1), s["start"] - F.when(i == 0, 0).otherwise(F.get(F.col("_spans"), i - 1)["finish"])),
+                F.substring(F.col("body"), F.when(i == 0, 1).otherwise(upto(i) + 1), s["start"] - F.when(i == 0, 0).otherwise(upto(i))),
                 F.lit(mark),
             ),
         ),
-        F.array(F.substr(F.col(text), F.element_at("_spans", -1)["finish"] + 1)),
+        F.array(F.substr(F.col("body"), F.element_at("spans", -1)["finish"] + 1)),
     )
-    changed = F.col("_spans").isNotNull()
-    out = joined.withColumn("_new", F.when(changed, F.array_join(kept, "")).otherwise(F.col(text)))
-    columns = [
-        F.col("_new").alias(c) if c == text else F.when(changed, F.char_length("_new").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == chars else F.col(c)
-        for c in docs.columns
-    ]
-    return out.select(*columns)
+    changed = F.col("spans").isNotNull()
+    out = joined.select("row", "spans", F.when(changed, F.array_join(kept, "")).otherwise(F.col("body")).alias("new"))
+
+    def column(name: str) -> Column:
+        own = F.col("row").getField(name)
+        if name == text:
+            return F.col("new").alias(name)
+        if name == chars:
+            return F.when(changed, F.char_length("new").cast(docs.schema[name].dataType)).otherwise(own).alias(name)
+        return own.alias(name)
+
+    return out.select(*map(column, docs.columns))
 
 
 @query("op1_secret_forest")

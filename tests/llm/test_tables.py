@@ -110,6 +110,28 @@ def test_few_links_to_a_group_of_closer_copies(frame):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == want
 
 
+@pytest.mark.parametrize("size", [500])
+def test_a_large_group_around_the_threshold(frame, monkeypatch, size):
+    """Copies of one text with few to many changed words: some have links to a part of the group, some to none of it."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(120)]
+    docs = []
+    for _ in range(size):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice((1, 3, 5, 8, 10, 12))):
+            words[at] = word()
+        docs.append(" ".join(words))
+    docs = list(enumerate(docs))
+    want = brute_components(docs, 2)
+    assert len({c for _, c in want.values()}) > 30
+    seen = []
+    monkeypatch.setattr(near_duplicates, "sweep", lambda *a, real=near_duplicates.sweep: (seen.append(sorted(a[2])), real(*a))[1])
+    out = near_duplicates.near_duplicates(frame(docs, "doc_id long, text string").repartition(5), k=2).collect()
+    assert seen[-1] == ["a", "b"]  # the pass with full sets was needed
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == want
+
+
 def test_near_duplicates_of_odd_rows(frame):
     text = "the quick brown fox jumps over the lazy dog again"
     other = "an entirely different text with words of its own"
@@ -356,3 +378,20 @@ def test_secrets_behind_longer_names_and_in_urls(frame):
     ]
     new = {r.doc_id: r.text for r in secrets.redact(df, chars=None).collect()}
     assert all(new[i] == f"{before}[SECRET]{after}" for i, (before, _, after, _) in enumerate(planted))
+
+
+def test_columns_of_any_name(frame):
+    """Operators that give back whole rows, over rows whose columns have the names that they use themselves."""
+    names = ["_id", "_key", "_hash", "_place", "_spans", "_new", "_text", "_words", "id", "row", "body", "own_id", "own_hash", "spans", "new", "kept", "place", "label", "hash"]
+    schema = "doc_id long, text string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    key = "password=e3b3ed3cc8548923d6 stays out of sight here"
+    texts = [(1, key), (2, key), (2, "other words entirely in this one"), (3, "one two three four five six seven eight nine ten eleven"), (None, None)]
+    df = frame([(i, t, "web", len(t or ""), *names) for i, t in texts], schema)
+    bench = frame([(1, "one two three four five six seven eight nine ten", "x")], "item_id long, text string, _key string")
+    clean = decontaminate.decontaminate(df, bench)
+    assert clean.columns == df.columns and sorted((r.doc_id or 0) for r in clean.collect()) == [0, 1, 2, 2]
+    hidden = secrets.redact(df)
+    assert hidden.columns == df.columns and {r.text for r in hidden.collect() if r.doc_id == 1} == {key.replace("e3b3ed3cc8548923d6", "[SECRET]")}
+    distinct = near_duplicates.distinct_documents(df)
+    assert distinct.columns == df.columns and sorted((r.doc_id or 0) for r in distinct.collect()) == [0, 1, 3]
+    assert all([getattr(r, n) for n in names] == names for out in (clean, hidden, distinct) for r in out.collect())
