@@ -18,7 +18,7 @@ def con():
 
 def test_contract(spark):
     assert set(ORACLES) <= set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
-    assert set(QUERIES) - set(ORACLES) == {"m5_forest", "m6_forest_by_company", "m8_dominant_vectors", "t7_rank_importances"}
+    assert set(QUERIES) - set(ORACLES) == {"m5_forest", "m8_dominant_vectors"}
     assert entry.entry(spark).count() > 0
 
 

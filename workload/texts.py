@@ -402,14 +402,16 @@ def h4(r: Roles) -> DataFrame:
 
 
 SITES = f"""{PAGE_TEXT},
-    sites AS (SELECT 'S' || page_id % 40 AS name, url AS website, page_id FROM pages),
+    sites AS (SELECT 'S' || page_id % 40 AS name, regexp_replace(url, '^(https?://[^/?#]*)', '\\1/p' || page_id) AS website, page_id FROM pages),
     said AS (SELECT name, website, nullif(coalesce(t.text, ''), '') AS text FROM sites s LEFT JOIN pages p ON p.page_id = s.page_id + 1 AND s.page_id % 3 <> 0
       LEFT JOIN page_texts t ON t.page_id = p.page_id)"""
 
 
 def linked_sites(r: Roles) -> tuple[DataFrame, DataFrame]:
-    """Each page as the home of a site; two in three have a link, spelled in another way, to the page with the next number."""
-    pages = r.table("pages").select("page_id", "url", "html")
+    """Each page as the home of a site, its number in its URL; two in three have a link, spelled in another way, to the page with
+    the next number."""
+    own = F.regexp_replace("url", "^(https?://[^/?#]*)", F.concat(F.lit("$1/p"), F.col("page_id").cast("string")))
+    pages = r.table("pages").select("page_id", own.alias("url"), "html")
     after = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next"))
     rest = F.regexp_replace(F.regexp_replace("next", "^https?://[^/?#]*", ""), "#.*$", "")
     host = F.upper(F.regexp_extract("next", "^https?://([^/?#]*)", 1))
