@@ -71,15 +71,16 @@ def blocks_of(page: str) -> list[Block]:
     linked = links = 0
     stack: list[tuple[str, bool, bool]] = []  # name, barred, main: of the element and all around it
     open_names: Counter[str] = Counter()
-    barred = main = False
+    barred = main = found_main = False
 
     def flush() -> None:
-        nonlocal pieces, linked
+        nonlocal pieces, linked, found_main
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
                 heading = stack[-1][0] if stack and stack[-1][0] in HEADINGS else ""
                 out.append(Block(text, linked, barred, main, heading))
+                found_main = found_main or (main and not barred)
             pieces, linked = [], 0
 
     def close(n: int) -> None:
@@ -147,7 +148,7 @@ def blocks_of(page: str) -> list[Block]:
                 bad = bad or bool(names & NAMES)
                 # A header of the page; within the article it belongs to it.
                 bad = bad or (not main and (name == "header" or bool(names & HEADER_NAMES)))
-            if is_main and not bad and name in ("main", "article") and barred and not any(b.main and not b.barred for b in out):
+            if is_main and not bad and name in ("main", "article") and barred and not found_main:
                 close(0)  # what should have ended before the article
             barred, main = barred or bad, main or is_main
             stack.append((name, barred, main))

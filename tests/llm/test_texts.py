@@ -235,3 +235,17 @@ def test_quality_draws_one_text_of_an_id(frame, monkeypatch):
         random.Random(seed).shuffle(docs)
         quality.fit(frame(docs, "doc_id long, text string").repartition(3), frame(labels, "doc_id long, quality int"))
     assert [len(y) for _, y in seen] == [len(ids)] * 2 and seen[0] == seen[1]
+
+
+# --- time of pages
+
+
+@pytest.mark.parametrize("piece", ["<nav>x<article></article>", "<nav>x<article>y</article>", "<div><p>x", "</div><article>"])
+def test_time_of_a_page_grows_with_its_elements(piece):
+    def seconds(n):
+        start = time.process_time()
+        html_text.blocks_of(piece * n)
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(64_000) < 32 * seconds(4000) + 0.5
