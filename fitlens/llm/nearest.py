@@ -137,8 +137,9 @@ def nearest_neighbours(
     rows = rows.filter(F.size("vec") == width["width"])
     # Classes of equal vectors with the ids that can be among the nearest: k, and the query's own. Spark keeps that many rows
     # of a class in every task before the shuffle.
+    # Rows that repeat are one before that, so that none of them fills a class or a task.
     by_vec = Window.partitionBy("vec").orderBy("id")
-    few = rows.withColumn("place", F.dense_rank().over(by_vec)).filter(F.col("place") <= k + 1)
+    few = rows.distinct().withColumn("place", F.row_number().over(by_vec)).filter(F.col("place") <= k + 1)
     classes = stored(few.groupBy("vec").agg(F.array_sort(F.collect_set("id")).alias("ids")).select(F.get("ids", F.lit(0)).alias("rep"), "vec", "ids").withColumn("class", F.xxhash64("vec")))
     facts = classes.agg(F.count("*").alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)).alias("square")).first()
     lists = int(min(MOST_LISTS, max(LEAST_LISTS, facts["n"] ** 0.5 / 8)))
