@@ -17,17 +17,18 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fitlens.llm.registry import query, table
 
 # Code points per scan, texts of a batch together; a longer text is a scan of its own.
-SCAN = 1 << 20
+SCAN = 1 << 18
 BLOCK = 64
 # Pieces kept per worker; beyond that the cache starts anew.
-CACHE = 1 << 19
+CACHE = 1 << 17
 # Bytes of pieces that are merged together; longer pieces are merged one by one.
 WIDTHS = (8, 16, 32)
 NEVER = np.int32(2**31 - 1)
@@ -354,26 +355,38 @@ def bpe_round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str =
 
     ids_sha256: of the decimal ids joined by commas; decoded_sha256: of the bytes decoded from these ids. Null counts as empty;
     an empty text has no ids. Repeated rows are encoded one by one; a null key stays; extra columns are left out. Every executor
-    has the vocabulary file at ``path``. Batches are cut into scans of about a million code points, so memory follows the
-    longest text, not the batch.
+    has the vocabulary file at ``path``. Batches are cut into scans of about a quarter of a million code points, each given out
+    before the next, so memory follows the longest text, not the batch.
     """
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
-            rows = []
-            for ids, numbers in encode_texts([t or "" for t in batch["text"]], vocab):
-                digests = hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(vocab.decode(numbers)).hexdigest()
-                rows.append((len(numbers), *digests, *([numbers] if with_ids else [])))
-            out = pd.DataFrame(rows, columns=names[1:])
-            out.insert(0, key, batch["_key"].to_numpy())
-            yield out
-
-    source = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
+            keys, texts = batch.column(0), batch.column(1)
+            ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            i = 0
+            while i < len(texts):
+                # Rows of one scan, one at least: only their texts and ids are in memory.
+                done = ends[i - 1] if i else 0
+                j = max(i + 1, int(np.searchsorted(ends, done + SCAN, "right")))
+                counts, digests, flat = [], [], []
+                for ids, numbers in encode_texts([t or "" for t in texts.slice(i, j - i).to_pylist()], vocab):
+                    digests.append((hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(vocab.decode(numbers)).hexdigest()))
+                    counts.append(len(numbers))
+                    if with_ids:
+                        flat.append(numbers)
+                columns = [keys.slice(i, j - i), pa.array(counts, pa.int64()), *[pa.array(d, pa.string()) for d in zip(*digests)]]
+                if with_ids:
+                    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(offsets, np.concatenate(flat).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(columns, names)
+                i = j
+
+    source = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("text"))
     kind = source.schema["_key"].dataType.simpleString()
     names = [key, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
     schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return source.mapInPandas(encode, schema)
+    return source.mapInArrow(encode, schema)
 
 
 @query("op3_bpe_round_trip")
