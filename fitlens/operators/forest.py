@@ -5,12 +5,14 @@ from __future__ import annotations
 import hashlib
 import math
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from fitlens.constants import FOREST_TREES
 from fitlens.functions.text import md5_number
@@ -24,8 +26,9 @@ MAX_BINS = 32
 MAX_DEPTH = 5
 # Draws are numbers below this prime.
 FIELD = 2**31 - 1
-# Equal rows that are numbered in one task.
+# Rows that are numbered, or counted, in one go.
 BLOCK = 10_000
+TASK_BLOCKS = 4
 # Gains that differ by less are equal.
 DIGITS = 12
 
@@ -109,33 +112,70 @@ def _numbered(df: DataFrame, key: str, names: Sequence[str], label: str, id_col:
     return rows.select(key, *names, label, number.alias("_r"))
 
 
-def _numbers(some: Sequence[int], kind: str) -> Column:
-    """Constant array; as one string it takes one node of the plan, not one for each number."""
-    return F.split(F.lit(",".join(map(str, some))), ",").cast(f"array<{kind}>")
+def _blocks(binned: DataFrame, key: str) -> DataFrame:
+    """``(key, _part, _label, _r, _m, _bins)``: the rows of a key in blocks of about ``BLOCK``, dealt by hash; _m counts equal rows.
 
-
-def _grown(rows: DataFrame, forest: DataFrame, key: str, level: int, features: int, factors: Sequence[tuple[int, int]], seed: int, bagging: bool) -> DataFrame:
+    Columns are arrays with an element for each row, _bins with one for each row and feature.
+    """
+    same = binned.groupBy(key, "_label", "_r", "_bins").agg(F.count("*").alias("_m"))
+    sizes = same.groupBy(key).agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("_parts"))
+    dealt = null_safe_join(same, sizes, [key]).withColumn("_part", F.pmod(F.xxhash64("_label", "_r", "_bins"), F.col("_parts")))
+    packed = dealt.groupBy(key, "_part").agg(F.collect_list(F.struct("_label", "_r", "_m", "_bins")).alias("_rows"))
+    return packed.select(key, "_part", *[F.col(f"_rows.{c}").alias(c) for c in ("_label", "_r", "_m")], F.flatten("_rows._bins").alias("_bins"))
+
+
+def _counts(
+    bins: np.ndarray, label: np.ndarray, draw: np.ndarray, times: np.ndarray, above: Sequence[np.ndarray], tried: np.ndarray, factors: Sequence[tuple[int, int]], bagging: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted numbers of rows, and of those with label 1, by node of a level (of all trees), feature and bin, for one block."""
+    nodes, features = tried.shape
+    width, steps = nodes // len(factors), np.array(poisson_steps())
+    n, pos = np.zeros((2, nodes, features, MAX_BINS))
+    for tree, (a, b) in enumerate(factors):
+        weight = np.searchsorted(steps, (draw * a + b) % FIELD, side="right") * times if bagging else times
+        at = np.flatnonzero(weight)
+        code = np.full(len(at), tree)
+        for splits in above:
+            split = splits[code]
+            at, code, split = (x[split >= 0] for x in (at, code, split))
+            code = code * 2 + (bins[at, split // 64] > split % 64)
+        place, own = slice(tree * width, (tree + 1) * width), code - tree * width
+        for f in range(features):
+            some = tried[code, f]
+            row = at[some]
+            cell = own[some] * MAX_BINS + bins[row, f]
+            n[place, f] = np.bincount(cell, weight[row], width * MAX_BINS).reshape(width, MAX_BINS)
+            pos[place, f] = np.bincount(cell, weight[row] * label[row], width * MAX_BINS).reshape(width, MAX_BINS)
+    return n, pos
+
+
+def _grown(blocks: DataFrame, forest: DataFrame, key: str, level: int, features: int, factors: Sequence[tuple[int, int]], seed: int, bagging: bool) -> DataFrame:
     """``(key, code, f, bin, n, pos)``: weighted counts of the rows in the open nodes of a level, by the bins of features that they try.
 
     code numbers the nodes of all trees: tree * 2 ** level + place in the level. forest: for each key and level before, by code the
-    split ``feature * 64 + bin`` or -1.
+    split ``feature * 64 + bin`` or -1. Splits meet whole blocks and each block is counted in one go, so what is shuffled grows with
+    the blocks and not with rows times trees.
     """
-    a, b = (_numbers(some, "bigint") for some in zip(*factors))
-    each = null_safe_join(rows, forest, [key]).select("*", F.posexplode(F.arrays_zip(a.alias("a"), b.alias("b"))).alias("_code", "_tree"))
-    if bagging:
-        each = each.withColumn("_draw", (F.col("_r") * F.col("_tree.a") + F.col("_tree.b")) % FIELD)
-        each = each.withColumn("_w", sum(F.when(F.col("_draw") >= s, 1).otherwise(0) for s in poisson_steps())).filter("_w > 0")
-    else:
-        each = each.withColumn("_w", F.lit(1))
-    for above in range(level):
-        each = each.withColumn("_split", F.get(f"_s{above}", F.col("_code"))).filter("_split >= 0")
-        right = F.get(F.col("_bins"), F.floor(F.col("_split") / 64).cast("int")) > F.col("_split") % 64
-        each = each.withColumn("_code", F.col("_code") * 2 + right.cast("int"))
-    tried = tried_features(features, len(factors), level, seed) if bagging else [list(range(features))] * (len(factors) << level)
-    choice = F.get(_numbers([sum(1 << f for f in some) for some in tried], "int"), F.col("_code"))
-    each = each.withColumn("_tried", choice).select(key, "_code", "_w", "_label", "_tried", F.posexplode("_bins").alias("f", "bin"))
-    each = each.filter(F.expr("shiftright(_tried, f) & 1 = 1"))
-    return each.groupBy(key, F.col("_code").alias("code"), "f", "bin").agg(F.sum("_w").alias("n"), F.sum(F.col("_w") * F.col("_label")).alias("pos"))
+    tried = tried_features(features, len(factors), level, seed) if bagging else [range(features)] * (len(factors) << level)
+    tries = np.array([[f in some for f in range(features)] for some in tried])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                numbers = {c: batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in batch.schema.names[2:]}
+                bins = numbers["_bins"].reshape(-1, features)
+                above = [numbers[f"_s{j}"] for j in range(level)]
+                n, pos = _counts(bins, numbers["_label"], numbers["_r"], numbers["_m"], above, tries, factors, bagging)
+                at = np.nonzero(n)
+                cells = [pa.array(x, pa.int32()) for x in at] + [pa.array(x[at], pa.int64()) for x in (n, pos)]
+                same_key = batch.column(key).take(pa.array(np.full(len(at[0]), i)))
+                yield pa.RecordBatch.from_arrays([same_key, *cells], [key, "code", "f", "bin", "n", "pos"])
+
+    # A few blocks for each task, whatever their keys: there is more to count in them than their size tells.
+    met = null_safe_join(blocks, forest, [key]).repartition(math.ceil(blocks.count() / TASK_BLOCKS) or 1, key, "_part")
+    kinds = [blocks.schema[key], *[StructField(c, IntegerType()) for c in ("code", "f", "bin")], *[StructField(c, LongType()) for c in ("n", "pos")]]
+    found = met.select(key, "_part", "_label", "_r", "_m", "_bins", *[f"_s{j}" for j in range(level)]).mapInArrow(count, StructType(kinds))
+    return found.groupBy(key, "code", "f", "bin").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
 
 
 def best_splits(counts: DataFrame, key: str) -> DataFrame:
@@ -182,9 +222,9 @@ def rf_importance_by_group(
 ) -> DataFrame:
     """``(key, feature, importance, rank)`` of one forest per key on all its rows, all keys and trees level by level.
 
-    Each level counts the rows of all open nodes by bins of the features that they try, and takes the best split of each node.
-    Counts combine on the map side, so a key of any size is spread over all tasks; only splits, a bounded number for each key, are
-    kept between levels. A row counts in a tree as often as a Poisson variable of mean 1 says, drawn from its id (unique within
+    Rows are put in blocks once. Each level counts the rows of all open nodes by bins of the features that they try, block by block
+    with numpy, sums up the counts and takes the best split of each node. So a key of any size is spread over all tasks; only
+    splits, a bounded number for each key, are kept between levels. A row counts in a tree as often as a Poisson variable of mean 1 says, drawn from its id (unique within
     the key) or else from its values and its number among equal rows; so results do not depend on how rows are dealt out. Without
     ``bagging`` every tree takes all rows and features.
 
@@ -202,12 +242,13 @@ def rf_importance_by_group(
 
     place = [bin_of(i, n) for i, n in enumerate(names)]
     binned = null_safe_join(rows, borders, ["_key"]).select("_key", *place, "_label", *(["_id"] if ids else []))
-    binned = stored(_numbered(binned, "_key", names, "_label", id_col, seed).select("_key", "_label", "_r", F.array(*names).alias("_bins")))
+    binned = _numbered(binned, "_key", names, "_label", id_col, seed).select("_key", "_label", "_r", F.array(*names).alias("_bins"))
+    blocks = stored(_blocks(binned, "_key"))
     factors = tree_factors(trees, seed)
-    keys = forest = stored(binned.select("_key").distinct())
+    keys = forest = stored(blocks.select("_key").distinct())
     gains = []
     for level in range(depth):
-        splits = stored(best_splits(_grown(binned, forest, "_key", level, len(names), factors, seed, bagging), "_key"))
+        splits = stored(best_splits(_grown(blocks, forest, "_key", level, len(names), factors, seed, bagging), "_key"))
         gains.append(splits.select("_key", F.floor(F.col("code") / 2**level).alias("tree"), "f", (F.col("gain") * F.col("total")).alias("gain")))
         if level == depth - 1:
             break

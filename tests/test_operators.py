@@ -495,6 +495,21 @@ def test_forest_over_many_equal_rows(frame, seed):
     assert got["good"] > 0.95
 
 
+def test_rows_are_counted_in_blocks(frame, monkeypatch):
+    """A level counts whole blocks: rows are not repeated for each tree, and blocks of any size give the same forest."""
+    data = [(None if i % 3 else "a", i, float(i * 7 % 50), float(i % 4), int(i * 7 % 50 > 20 + i % 4)) for i in range(300)]
+    df = frame(data * 2, "k string, i int, f double, g double, y int")
+    grow = lambda: fr.rf_importance_by_group(df, "k", ["f", "g"], "y", 8, 3, 3, id_col="i")
+    plans = []
+    real = fr.best_splits
+    monkeypatch.setattr(fr, "best_splits", lambda counts, key: (plans.append(counts._jdf.queryExecution().optimizedPlan().toString()), real(counts, key))[1])
+    whole = rows(grow())
+    assert len(plans) == 3 and not any("Generate" in p for p in plans)
+    monkeypatch.setattr(fr, "BLOCK", 20)
+    monkeypatch.setattr(fr, "TASK_BLOCKS", 1)
+    assert rows(grow()) == whole
+
+
 def test_draws_are_poisson():
     steps, draws = fr.poisson_steps(), [(a * r + b) % fr.FIELD for a, b in fr.tree_factors(40, 5) for r in range(1, 2_000_000_000, 4_000_037)]
     counts = Counter(sum(d >= s for s in steps) for d in draws)
