@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from fitlens.constants import COSINE_THRESHOLD, DOMINANT_VECTORS
 from fitlens.session import drop_stored, stored
 
-# Vectors that cut space into cells, rows of a block of a cell, and scores in memory at once.
-PIVOTS, BLOCK_ROWS, MAX_BLOCK_SCORES = 64, 8192, 4_000_000
+# Vectors that cut space into cells, rows of a block of a cell, and scores and components of scored pairs in memory at once.
+PIVOTS, BLOCK_ROWS, MAX_BLOCK_SCORES, MAX_COMPONENTS = 64, 2048, 1_000_000, 4_000_000
 
 
 def mean_vector(df: DataFrame, key: str, vec: str, out: str = "mean") -> DataFrame:
@@ -38,6 +38,18 @@ def _angles(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(unit @ pivots.T, -1.0, 1.0))
 
 
+def _near_pairs(ours: np.ndarray, theirs: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places and cosines of the pairs of unit vectors above the threshold, scored a bounded number at a time."""
+    step, pairs = max(1, MAX_BLOCK_SCORES // len(theirs)), max(1, MAX_COMPONENTS // ours.shape[1])
+    for start in range(0, len(ours), step):
+        near = np.nonzero(ours[start : start + step] @ theirs.T > threshold - 1e-9)
+        for at in range(0, len(near[0]), pairs):
+            a, b = near[0][at : at + pairs] + start, near[1][at : at + pairs]
+            cosine = (ours[a] * theirs[b]).sum(1)
+            above = cosine > threshold
+            yield a[above], b[above], cosine[above]
+
+
 def cosine_join(
     vecs: DataFrame,
     anchors: DataFrame,
@@ -56,7 +68,8 @@ def cosine_join(
     farther from it than the cell's radius and the threshold's angle together, nor than its own nearest pivot and twice that angle.
     So no match is lost, and clustered vectors meet few anchors. Cells with many vectors or anchors are cut by hash into pairs of
     blocks of about ``block`` rows, each of which is one matrix product; pairs near the threshold or above it are scored one by
-    one. Only the pivots and two numbers for each cell pass through the driver.
+    one, a bounded number at a time, so a task holds the ``block`` times ``block`` pairs of its blocks at most. Only the pivots and
+    two numbers for each cell pass through the driver.
 
     Null and zero vectors, vectors with null or non-finite components and those of another length than the pivots match nothing.
     """
@@ -89,10 +102,13 @@ def cosine_join(
         for batch in batches:
             unit, at = _unit(batch["w"], dim)
             angles = _angles(unit, centres)
-            row, cell = np.nonzero((angles <= radius + reach) & (angles <= angles.min(1, initial=np.inf)[:, None] + 2 * reach))
-            yield pd.DataFrame({"anchor": batch["anchor"].to_numpy()[at[row]], "w": pd.Series(list(unit[row]), dtype=object), "cell": cell})
+            near = (angles <= radius + reach) & (angles <= angles.min(1, initial=np.inf)[:, None] + 2 * reach)
+            own, cells = pd.Series(list(unit), dtype=object), pd.Series([np.flatnonzero(some) for some in near], dtype=object)
+            yield pd.DataFrame({"anchor": batch["anchor"].to_numpy()[at], "w": own, "cells": cells})
 
-    copied = stored(targets.mapInPandas(copy, f"anchor {kinds['anchor']}, w array<double>, cell int"))
+    # Vectors are copied for their cells as rows of Spark, not in Python.
+    reached = targets.mapInPandas(copy, f"anchor {kinds['anchor']}, w array<double>, cells array<int>")
+    copied = stored(reached.select("anchor", "w", F.explode("cells").alias("cell")))
     counts = copied.groupBy("cell").agg(F.count("*").alias("n")).toPandas()
     parts = lambda rows: F.array(*[F.lit(int(-(-n // block)) or 1) for n in rows.set_index("cell")["n"].reindex(range(len(centres)), fill_value=1)])
     n_left, n_right = F.get(parts(cells), F.col("cell")), F.get(parts(counts), F.col("cell"))
@@ -103,15 +119,8 @@ def cosine_join(
     def match(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         found = [pd.DataFrame({id_col: ours["id"][:0], anchor_id: theirs["anchor"][:0], "cosine": np.zeros(0)})]
         if len(ours) and len(theirs):
-            anchors_unit = np.stack(theirs["w"].to_list())
-            step = max(1, MAX_BLOCK_SCORES // len(theirs))
-            for start in range(0, len(ours), step):
-                part = ours.iloc[start : start + step]
-                unit = np.stack(part["v"].to_list())
-                a, b = np.nonzero(unit @ anchors_unit.T > threshold - 1e-9)
-                cosine = (unit[a] * anchors_unit[b]).sum(1)
-                above = cosine > threshold
-                found.append(pd.DataFrame({id_col: part["id"].to_numpy()[a[above]], anchor_id: theirs["anchor"].to_numpy()[b[above]], "cosine": cosine[above]}))
+            for a, b, cosine in _near_pairs(np.stack(ours["v"].to_list()), np.stack(theirs["w"].to_list()), threshold):
+                found.append(pd.DataFrame({id_col: ours["id"].to_numpy()[a], anchor_id: theirs["anchor"].to_numpy()[b], "cosine": cosine}))
         return pd.concat(found)
 
     return left.groupBy("cell", "i", "j").cogroup(right.groupBy("cell", "i", "j")).applyInPandas(match, out)

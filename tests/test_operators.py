@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -328,6 +329,18 @@ def test_cosine_join_in_blocks(frame, monkeypatch):
     assert rows(vc.cosine_join(*args, pivots=3, block=4).drop("cosine")) == whole
 
 
+def test_near_pairs_are_scored_in_bounded_memory():
+    """A million pairs of 64 components, all near: their products would be half a gigabyte."""
+    rng = np.random.default_rng(6)
+    unit = rng.normal(size=(1000, 64)) * 0.01 + 1
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    tracemalloc.start()
+    found = sum(len(a) for a, _, _ in vc._near_pairs(unit, unit, 0.5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 1_000_000 and peak < 150e6
+
+
 def test_cosine_join_of_odd_vectors(frame):
     left = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0]), (5, [float("nan"), 1.0]), (None, [2.0, 0.1]), (6, [1.0, None]), (1, [1.0, 0.0])]
     right = [("a", [3.0, 0.0]), ("b", None), ("c", [0.0, 1.0]), (None, [1.0, 0.0]), ("d", [1.0])]
