@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from fitlens.constants import BOOKS, SECTION_LIMITS
 from fitlens.functions.text import fill_template, md5_number
-from fitlens.operators.ranking import top_per_group, top_per_section
-from fitlens.sources.io import books_df
+from fitlens.operators.ranking import top_per_section
+from fitlens.session import stored
+from fitlens.sources.io import books_df, dealt
 
 PAIR = ["id", "company_name"]
 
@@ -100,36 +101,38 @@ def profile_summary(
 def match_values_pair(pairs: DataFrame, of_profiles: DataFrame, of_companies: DataFrame) -> DataFrame:
     """``(id, company_name, value, profile_source, company_source)``: shared values of each pair.
 
-    Per value the match with the most known sources stays; on a tie slogan before other text,
-    and an unsourced profile value before a sourced one.
+    Per value the match with the most known sources stays. All sources of a value on one side meet all on the other, so that is the
+    known source of each side, if it has one: sides are cut to one row per value before they meet, and no match has to be ranked.
     """
-    mine = of_profiles.select("id", "value", F.col("source").alias("profile_source"))
-    theirs = of_companies.select("company_name", "value", F.col("source").alias("company_source"))
-    both = pairs.select(*PAIR).join(mine, "id").join(theirs, ["company_name", "value"])
-    known = F.col("profile_source").isNotNull().cast("int") + F.col("company_source").isNotNull().cast("int")
-    order = [F.desc("_known"), F.col("company_source").isNull(), F.col("profile_source").isNotNull()]
-    best = top_per_group(both.withColumn("_known", known), [*PAIR, "value"], order, 1)
-    return best.select(*PAIR, "value", "profile_source", "company_source")
+    mine = of_profiles.groupBy("id", "value").agg(F.max("source").alias("profile_source"))
+    # Stored, so that its size is known: companies are few, and then pairs stay where they are.
+    theirs = stored(of_companies.groupBy("company_name", "value").agg(F.max("source").alias("company_source")))
+    both = pairs.select(*PAIR).distinct().join(mine, "id").join(theirs, ["company_name", "value"])
+    return both.select(*PAIR, "value", "profile_source", "company_source")
 
 
 def match_patterns(pairs: DataFrame, traits: DataFrame, ranked: DataFrame) -> DataFrame:
     """``(id, company_name, feature, detail, p_value)``: significant features the profile has, with ``log_p`` where ranked has it.
 
-    A matched doctorate hides a matched master's degree.
+    A matched doctorate hides a matched master's degree. It is matched if both the profile and the company have it, which each side
+    knows before they meet.
     """
     tests = [c for c in ("p_value", "log_p") if c in ranked.columns]
-    theirs = ranked.filter("feature <> 'average_tenure'").select("company_name", "feature", *tests)
-    both = pairs.select(*PAIR).join(traits, "id").join(theirs, ["company_name", "feature"])
-    doctors = both.filter("feature = 'doctorate'").select(*PAIR, F.lit("master").alias("feature"))
-    return both.join(doctors, [*PAIR, "feature"], "left_anti").select(*PAIR, "feature", "detail", *tests)
+    is_doctor = (F.col("feature") == "doctorate").alias("d")
+    theirs = stored(ranked.filter("feature <> 'average_tenure'").select("company_name", "feature", *tests))
+    wanted = theirs.select("company_name", is_doctor).groupBy("company_name").agg(F.bool_or("d").alias("_wanted"))
+    has = traits.groupBy("id").agg(F.bool_or(is_doctor).alias("_doctor"), F.collect_list(F.struct("feature", "detail")).alias("_traits"))
+    both = pairs.select(*PAIR).join(has, "id").join(wanted, "company_name")
+    both = both.select(*PAIR, (F.col("_doctor") & F.col("_wanted")).alias("_hides"), F.explode("_traits").alias("t")).select(*PAIR, "_hides", "t.*")
+    kept = both.join(theirs, ["company_name", "feature"]).filter("not (_hides and feature = 'master')")
+    return kept.select(*PAIR, "feature", "detail", *tests)
 
 
 def match_label(pairs: DataFrame, of_profiles: DataFrame, of_companies: DataFrame) -> DataFrame:
     """``(id, company_name, emotion, company_emotion, agree)`` where both labels are known."""
-    both = pairs.select(*PAIR).join(of_profiles.select("id", "emotion"), "id").join(
-        of_companies.select("company_name", "company_emotion"), "company_name"
-    )
-    known = both.filter("emotion is not null and company_emotion is not null")
+    theirs = stored(of_companies.select("company_name", "company_emotion"))
+    known = pairs.select(*PAIR).join(of_profiles.select("id", "emotion"), "id").join(theirs, "company_name")
+    known = known.filter("emotion is not null and company_emotion is not null")
     agree = F.when(F.col("emotion") == F.col("company_emotion"), 1).otherwise(0)
     return known.select(*PAIR, "emotion", "company_emotion", agree.alias("agree"))
 
@@ -155,7 +158,8 @@ def advice(
 ) -> DataFrame:
     """``(id, company_name, section, rank, item, book, sentence)`` for all pairs.
 
-    Matches are ranked and capped first, so sentences are written only for those that stay.
+    Matches are ranked and capped first, so sentences are written only for those that stay. Each kind of match is a section and
+    ranked by itself, so matches that lie together by person, as pairs dealt by ``id`` give them, are not shuffled again.
     The sentence is picked by a seeded hash of the pair and the item. ``labels`` is the result
     of ``match_label``; ``themes`` holds ``(id, company_name, colors)``.
     """
@@ -203,10 +207,10 @@ def advice(
                 themes, section=F.lit("theme"), book=F.lit("theme"), seq=F.lit(0.0), item=F.col("colors"), colors=F.col("colors")
             )
         )
-    matches = parts[0]
-    for part in parts[1:]:
-        matches = matches.unionByName(part)
-    kept = top_per_section(matches, PAIR, "section", ["seq", "item"], limits)
+    capped = [top_per_section(part, PAIR, "section", ["seq", "item"], limits) for part in parts]
+    kept = capped[0]
+    for part in capped[1:]:
+        kept = kept.unionByName(part)
     size = F.lit(1)
     for book, texts in books.items():
         size = F.when(F.col("book") == book, len(texts)).otherwise(size)
@@ -233,7 +237,7 @@ def pair_colours(pairs: DataFrame, themes: DataFrame) -> DataFrame:
     """``(id, company_name, colors)``: the dominant colours of each pair's company; a company has a few ``(cluster, colour)``."""
     names = F.array_sort(F.collect_list(F.struct("cluster", "colour")))
     per = themes.groupBy("company_name").agg(F.array_join(F.transform(names, lambda c: c["colour"]), " and ").alias("colors"))
-    return pairs.select(*PAIR).join(per, "company_name").select(*PAIR, "colors")
+    return pairs.select(*PAIR).join(stored(per), "company_name").select(*PAIR, "colors")
 
 
 def align(
@@ -247,7 +251,8 @@ def align(
     company_emotions: DataFrame | None = None,
     themes: DataFrame | None = None,
 ) -> DataFrame:
-    """Advice for many (profile, company) pairs in one job."""
+    """Advice for many (profile, company) pairs, a stored table, in one job."""
+    pairs = dealt(pairs, "id")
     labels = None
     if profile_emotions is not None and company_emotions is not None:
         labels = match_label(pairs, profile_emotions, company_emotions)

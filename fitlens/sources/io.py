@@ -13,6 +13,8 @@ from fitlens.operators.positions import global_positions
 
 SCRAPED = "company_name string, scraped_data string"
 SCRAPE_OUT = "name string, website string, scraped_text string"
+# Narrow rows that a task takes where each of them grows by joins.
+TASK_ROWS = 100_000
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -101,6 +103,16 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
+def dealt(df: DataFrame, key: str, rows: int = TASK_ROWS) -> DataFrame:
+    """Rows dealt by a key to a task for each ``rows`` of them, at least one for each core.
+
+    For narrow rows that grow by joins: the size of what is shuffled does not tell how much work they bring. ``df`` is counted, so
+    it should be stored.
+    """
+    tasks = -(-df.count() // rows)
+    return df.repartition(max(tasks, df.sparkSession.sparkContext.defaultParallelism), key)
+
+
 def _border(placed: DataFrame, place: int) -> Column:
     """Sort key of the row at a 1-based place, or the last one, as a scalar subquery."""
     return placed.filter(F.col("_at") < place).agg(F.max("k")).scalar()

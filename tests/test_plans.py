@@ -14,6 +14,7 @@ from fitlens.plans import alignment as al
 from fitlens.plans import companies as co
 from fitlens.plans import profiles as pf
 from fitlens.plans.training import training_rows
+from fitlens.sources.io import dealt
 
 PROFILES = """id string, name string, educations_details string, education array<struct<degree:string>>,
 experience array<struct<subtitle:string,duration_short:string>>, volunteer_experience array<struct<cause:string>>,
@@ -134,7 +135,7 @@ def test_welch(frame):
 
 
 def test_company_values_and_summary(frame, spark):
-    from fitlens.sources.io import lexicon_df
+    from fitlens.sources.io import dealt, lexicon_df
 
     texts = frame([("X", "hot stuff", None, "cold"), ("Y", None, "hot hot", None)], "company_name string, scraped_data string, about string, slogan string")
     lexicon = lexicon_df(spark, {"Heat": ["hot"], "Chill": ["cold"]})
@@ -192,6 +193,27 @@ def test_match_patterns(frame, people):
     assert rows(al.match_patterns(pairs, traits, only_master).select("id", "feature")) == [("1", "master")]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_matches_need_no_ranking_and_pairs_are_dealt(frame):
+    """Values and traits are matched without sorting the pairs, and pairs get a task for each so many rows."""
+    pairs = frame([(str(i), c) for i in range(30) for c in "AB"] + [("0", "A")], "id string, company_name string")
+    mine = frame([(str(i), v, s) for i in range(30) for v in "xy" for s in (None, "volunteering") if i % 3 or s is None], "id string, value string, source string")
+    theirs = frame([("A", "x", None), ("A", "x", "slogan"), ("B", "x", None), ("B", "z", "slogan")], "company_name string, value string, source string")
+    got = al.match_values_pair(pairs, mine, theirs)
+    assert "Window" not in plan_of(got)
+    source = lambda i: "volunteering" if i % 3 else None
+    assert rows(got) == sorted(((str(i), c, "x", source(i), {"A": "slogan", "B": None}[c]) for i in range(30) for c in "AB"), key=repr)
+    traits = frame([("1", "master", None), ("1", "doctorate", None), ("2", "master", "m")], "id string, feature string, detail string")
+    tests = frame([("A", "master", 0.1), ("A", "doctorate", 0.2), ("B", "master", 0.3)], "company_name string, feature string, p_value double")
+    found = al.match_patterns(pairs, traits, tests)
+    assert "LeftAnti" not in plan_of(found)
+    assert rows(found.drop("p_value")) == [("1", "A", "doctorate", None), ("1", "B", "master", None), ("2", "A", "master", "m"), ("2", "B", "master", "m")]
+    assert dealt(pairs, "id", 5).rdd.getNumPartitions() == 13 and rows(dealt(pairs, "id", 5)) == rows(pairs)
+
+
 def test_match_label(frame):
     pairs = frame([("1", "A"), ("1", "B"), ("2", "A")], "id string, company_name string")
     mine = frame([("1", "happy"), ("2", None)], "id string, emotion string")

@@ -286,7 +286,7 @@ def c11(r: Roles) -> DataFrame:
 
 
 def value_matches(r: Roles) -> DataFrame:
-    return al.match_values_pair(r.bridge, profile_values(r), company_values(r))
+    return al.match_values_pair(r.pairs, profile_values(r), company_values(r))
 
 
 @query(
@@ -313,7 +313,7 @@ def c12_text(r: Roles) -> DataFrame:
 
 
 def pattern_matches(r: Roles) -> DataFrame:
-    return al.match_patterns(r.bridge, al.profile_traits(r.engineered), ranked(r))
+    return al.match_patterns(r.pairs, al.profile_traits(r.engineered), ranked(r))
 
 
 @query(
@@ -376,7 +376,7 @@ THEME_ENTRIES = """SELECT b.id, b.company_name, 'theme', 'theme', 0.0, colors, N
 @query("c15_advice", sql(advice_sql(" UNION ALL ".join([VALUE_ENTRIES, PATTERN_ENTRIES, THEME_ENTRIES])), f"{BOOKS_SQL},\n{THEME_SQL}"))
 def c15(r: Roles) -> DataFrame:
     r = r.staged()
-    return al.advice(value_matches(r), pattern_matches(r), SEED, themes=al.pair_colours(r.bridge, themes(r)))
+    return al.advice(value_matches(r), pattern_matches(r), SEED, themes=al.pair_colours(r.pairs, themes(r)))
 
 
 @query(

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from fitlens.plans import profiles as pf
 from fitlens.session import stored
-from fitlens.sources.io import lexicon_df, read_table, spread
+from fitlens.sources.io import dealt, lexicon_df, read_table, spread
 
 UNIVERSITIES = ["furniture", "machinery"]
 
@@ -154,7 +154,7 @@ class Roles:
     def company_texts(self) -> DataFrame:
         """A row for each text of a company: every part is the slogan, the about text or a scraped text of one."""
         nation = self.table("nation")
-        part = self.table("part").select("p_partkey", "p_name")
+        part = self.texts("part", "p_partkey").select("p_partkey", "p_name")
         place = F.floor(F.col("p_partkey") / 25) % 3
         texts = part.join(nation, F.col("p_partkey") % 25 == F.col("n_nationkey"))
         return texts.select(
@@ -172,6 +172,11 @@ class Roles:
     def bridge(self) -> DataFrame:
         return pf.employment(self.people)
 
+    @cached_property
+    def pairs(self) -> DataFrame:
+        """The bridge of staged roles, dealt by person, for matches that each pair brings several of."""
+        return dealt(self.bridge, "id")
+
     @cached_property
     def engineered(self) -> DataFrame:
         return pf.engineer(self.people, UNIVERSITIES)
