@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from fitlens.constants import STOPWORDS
 from fitlens.functions.arrays import merged, or_empty
 from fitlens.functions.text import before_colon
+from fitlens.session import stored
 
 # A token, and the tokens that may be keywords (letters and hyphens only).
 TOKEN = r"[\p{L}\p{N}_'’-]+"
@@ -111,7 +112,8 @@ def match_phrases(df: DataFrame, id_col: str, text: str, lexicon: DataFrame, lon
     tokens = rows.select("_id", "_text", F.posexplode(ahead).alias("place", "_ahead"))
     tokens = tokens.withColumn("_first", F.get("_ahead", 0))
     said = tokens.join(entries, "_first").filter(F.slice("_ahead", F.lit(1), F.size("entry")) == F.col("entry"))
-    said = said.select("_id", "_text", "place", F.size("entry").alias("words"), F.array_join("entry", " ").alias("phrase"), "value")
+    # Stored, so that texts are cut into tokens once: occurrences are read twice and few.
+    said = stored(said.select("_id", "_text", "place", F.size("entry").alias("words"), F.array_join("entry", " ").alias("phrase"), "value"))
     # The stretches inside each longer occurrence: few, as an entry has few words.
     start = F.explode(F.sequence(F.col("place"), F.col("place") + F.col("words") - 1)).alias("place")
     inside = said.filter("words > 1").select("_id", "_text", start, (F.col("place") + F.col("words")).alias("_end"), F.col("words").alias("_whole"))

@@ -283,6 +283,12 @@ def test_phrases(frame, spark):
     assert rows(core.select("value")) == [("Autonomy",), ("Environment",)]
 
 
+def test_texts_are_cut_into_tokens_once(frame, spark):
+    found = kw.match_phrases(frame([(1, "self driven people")], "id int, text string"), "id", "text", io.lexicon_df(spark, {"A": ["self driven", "driven"]}))
+    assert "regexp_extract_all" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found.select("phrase", "place")) == [("self driven", 0)]
+
+
 def test_ids_by_of_a_large_key(frame):
     df = frame([("k", i) for i in range(20_001)] + [("few", 1)], "k string, v int")
     lists = g.ids_by(df, "k", "v", "ids").collect()

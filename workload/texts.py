@@ -162,7 +162,7 @@ def said(r: Roles) -> DataFrame:
     """Documents that say two entries of the lexicon at their end, by their id."""
     entry = lambda i: F.get(F.array(*map(F.lit, ENTRIES)), (i % len(ENTRIES)).cast("int"))
     text = F.concat(F.coalesce("text", F.lit("")), F.lit(" "), entry(F.col("doc_id")), F.lit(". "), entry(F.col("doc_id") * 7))
-    return r.table("documents").select("doc_id", text.alias("text"))
+    return r.texts("documents", "doc_id").select("doc_id", text.alias("text"))
 
 
 @query(
