@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fitlens.constants import ABOUT_PATTERNS, UNREADABLE_TAGS
 from fitlens.functions.text import md5_number
 from fitlens.operators.joins import null_safe_join
+from fitlens.session import stored
 
 # An absolute URL in running text or in an attribute.
 URL = r"https?://[^\s\\>\"')]+"
@@ -130,22 +131,26 @@ def links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: st
     body = _without(F.col(html), ["script", "style"])
     base = F.col(url)
 
-    def anchor(piece: Column) -> Column:
-        href = _attribute(piece, "href")
+    def parts(piece: Column) -> Column:
         inside = F.regexp_extract(piece, r"(?is)^[^>]*>(.*?)(?:</a|$)", 1)
         spans = F.transform(_pieces(inside, "span"), lambda s: F.regexp_extract(s, r"(?is)^[^>]*>(.*?)(?:</span|$)", 1))
         label = F.regexp_replace(F.array_join(spans, " "), r"<[^>]*>", "")
+        return F.struct(_attribute(piece, "href").alias("href"), label.alias("label"))
+
+    def anchor(found: Column) -> Column:
+        href = found["href"]
         absolute = href.rlike(f"^{URL}")
         return F.struct(
             F.when(absolute, href).otherwise(joined_url(base, href)).alias("url"),
             F.when(absolute, F.lit("absolute")).when(href.rlike(SCHEME), F.lit("other")).otherwise(F.lit("relative")).alias("kind"),
-            label.alias("label"),
+            found["label"].alias("label"),
         )
 
     def plain(value: Column, kind: str) -> Column:
         return F.struct(value.alias("url"), F.lit(kind).alias("kind"), F.lit("").alias("label"))
 
-    hrefs = F.transform(_pieces(body, "a"), anchor)
+    # In two steps, so that an attribute is looked for once and not wherever it is used.
+    hrefs = F.transform(F.transform(_pieces(body, "a"), parts), anchor)
     images = F.transform(_pieces(body, "img"), lambda p: plain(_attribute(p, "src"), "image"))
     images = F.filter(images, lambda i: i["url"].rlike(f"^{URL}"))
     text = _decoded(F.regexp_replace(body, r"<[^>]*>", " "))
@@ -249,10 +254,11 @@ def about_texts(
     kept = pages.select(url_key(F.col("url")).alias("_key"), "html").filter("_key IS NOT NULL")
     homes = kept.join(wanted.select("_key").distinct(), "_key", "left_semi").groupBy("_key").agg(F.max("html").alias("html"))
     found = about_links(links(homes, "_key", "_key", "html"), patterns)
-    targets = found.select("_key", url_key(F.col("url")).alias("_target")).filter("_target IS NOT NULL").distinct()
+    # Stored, so that each home page is read for links once.
+    targets = stored(found.select("_key", url_key(F.col("url")).alias("_target")).filter("_target IS NOT NULL").distinct())
     read = kept.join(targets.select(F.col("_target").alias("_key")).distinct(), "_key", "left_semi").groupBy("_key").agg(F.max("html").alias("html"))
     texts = read.select(F.col("_key").alias("_target"), F.array_join(readable_paragraphs(F.col("html")), "\n\n").alias("_text"))
-    about = wanted.join(targets, "_key").join(texts, "_target").select(F.struct("_site", "_website").alias("_pair"), "_target", "_text")
+    about = wanted.join(targets, "_key").join(stored(texts), "_target").select(F.struct("_site", "_website").alias("_pair"), "_target", "_text")
     every = wanted.select(F.struct("_site", "_website").alias("_pair"))
     out = site_text(about, "_pair", "_target", "_text", chars, every)
     return out.select(F.col("_pair._site").alias(site), F.col("_pair._website").alias(website), "part", F.col("text"))

@@ -137,3 +137,11 @@ def test_about_texts(frame):
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(
         [("A", "http://A.com/", 0, text), ("B", "http://b.com", 0, None), ("C", "http://c.com", 0, None), ("D", "http://d.com", 0, None), ("E", None, 0, None), (None, "http://a.com", 0, text)], key=repr
     )
+
+
+def test_pages_are_read_once(frame):
+    sites = [("s", "http://h/")]
+    pages = [("http://h/", '<a href="/about"><span>About us</span></a>'), ("http://h/about", "<p>one two three four five six</p>")]
+    out = pg.about_texts(frame(sites, "name string, website string"), frame(pages, "url string, html string"))
+    assert "html" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["text"] for r in out.collect()] == ["one two three four five six"]
