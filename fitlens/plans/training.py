@@ -26,4 +26,5 @@ def training_rows(population: DataFrame, org_types: DataFrame, seed: int) -> Dat
     features = features.join(text, "id", "left").fillna("", subset=["organization_types"])
     own = population.select("company_name", "id").withColumn("label", F.lit(1))
     drawn = negatives(own, "company_name", "id", seed).withColumn("label", F.lit(0))
-    return encode(own.unionByName(drawn).join(features, "id"))
+    # Stored, so that negatives are drawn once: the encoding reads the rows for its strings and again for their numbers.
+    return encode(stored(own.unionByName(drawn).join(features, "id")))

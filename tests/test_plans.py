@@ -214,6 +214,12 @@ def test_matches_need_no_ranking_and_pairs_are_dealt(frame):
     assert dealt(pairs, "id", 5).rdd.getNumPartitions() == 13 and rows(dealt(pairs, "id", 5)) == rows(pairs)
 
 
+def test_negatives_are_drawn_once(people, companies):
+    engineered, bridge = pf.engineer(people), pf.employment(people)
+    out = training_rows(co.population(bridge, co.eligible_companies(bridge, companies, 1), engineered), pf.org_types_per_profile(bridge, companies), 3)
+    assert "md5" not in plan_of(out)
+
+
 def test_match_label(frame):
     pairs = frame([("1", "A"), ("1", "B"), ("2", "A")], "id string, company_name string")
     mine = frame([("1", "happy"), ("2", None)], "id string, emotion string")
