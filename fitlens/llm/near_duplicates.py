@@ -42,9 +42,10 @@ COPIED = 1_000_000
 MARGIN = 4.5
 # Rounds in which each component tries one pair.
 ROUNDS = 2
-# Words whose hashes a worker keeps, and shingles hashed at once.
-WORDS = 1 << 19
-CHUNK = 1 << 14
+# Words whose hashes a worker keeps, shingles hashed at once, and hashes of full sets that are compared or given out at once.
+WORDS = 1 << 17
+CHUNK = 1 << 12
+SETS = 1 << 20
 
 _RNG = np.random.default_rng(20240607)
 _FACTORS = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -169,6 +170,15 @@ def _proposals(percent: int, best: int) -> Callable[[pd.DataFrame, int], pd.Data
     return work
 
 
+def _pieces(sizes: np.ndarray) -> list[int]:
+    """Where to cut rows with sets of these sizes, first and last place included, so that a piece has ``SETS`` hashes or ``REACH`` rows."""
+    ends, cuts = np.cumsum(sizes), [0]
+    while cuts[-1] < len(sizes):
+        done = ends[cuts[-1] - 1] if cuts[-1] else 0
+        cuts.append(min(len(sizes), max(cuts[-1] + REACH, int(np.searchsorted(ends, done + SETS, "right")))))
+    return cuts
+
+
 def _links(percent: int) -> Callable[[pd.DataFrame, int], pd.DataFrame]:
     """Links ``(a, b)`` by the full sets of the rows, as many as join their labels. Pairs whose labels are joined already are
     not tried again; all others are."""
@@ -181,6 +191,14 @@ def _links(percent: int) -> Callable[[pd.DataFrame, int], pd.DataFrame]:
         return label
 
     def work(rows: pd.DataFrame, first: int) -> pd.DataFrame:
+        cuts = _pieces(np.array([len(x) for x in rows["shingles"][first:]], np.int64))
+        found = []
+        for start, end in zip(cuts, cuts[1:]):
+            before = max(0, first + start - REACH)
+            found += piece(rows[before : first + end], first + start - before)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    def piece(rows: pd.DataFrame, first: int) -> list[tuple[int, int]]:
         a, b, _ = _alike(rows, first, percent)
         order = np.argsort(b, kind="stable")
         a, b = a[order], b[order]
@@ -207,7 +225,7 @@ def _links(percent: int) -> Callable[[pd.DataFrame, int], pd.DataFrame]:
                 if (up := root(int(labels[x]))) != (down := root(int(labels[own]))):
                     parent[max(up, down)] = min(up, down)
                     out.append((min(ids[x], ids[own]), max(ids[x], ids[own])))
-        return pd.DataFrame(out, columns=["a", "b"])
+        return out
 
     return work
 
@@ -237,18 +255,22 @@ def sweep(classes: DataFrame, work_of: Callable[[], Callable[[pd.DataFrame, int]
         missing = {c: np.full(len(found), np.nan) if k in number else np.full(len(found), None) for c, k in columns.items() if c not in found}
         return found.assign(**missing)[list(columns)]
 
+    def alone(few: pd.DataFrame) -> pd.DataFrame:
+        """Rows that do not hold on to the memory of their batch, of which arrays are views."""
+        return few.assign(**{c: few[c].map(np.copy) for c, k in kinds.items() if k.startswith("array")})
+
     def within(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         work, head, last, n = work_of(), [], None, 0
         for batch in batches:
             if not len(batch):
                 continue
             if n < REACH:
-                head.append(batch[: REACH - n])
+                head.append(alone(batch[: REACH - n]))
             n += len(batch)
             first = 0 if last is None else len(last)
             some = batch if last is None else pd.concat([last, batch], ignore_index=True)
             yield shaped(work(some, first))
-            last = some[-REACH:]
+            last = alone(some[-REACH:])
         if last is not None:
             edge = pd.concat([*head, last]).drop_duplicates(["order", "rep"])
             yield edge.assign(part=TaskContext.get().partitionId(), place=np.arange(len(edge))).pipe(shaped)
@@ -274,11 +296,11 @@ def sweep(classes: DataFrame, work_of: Callable[[], Callable[[pd.DataFrame, int]
 
 def candidates(classes: DataFrame, percent: int, best: int = BEST) -> tuple[DataFrame, DataFrame]:
     """Stored ``(a, b, same)``: pairs of neighbours in the sorted orders with signatures that agree in ``same`` bytes, the likeliest
-    ones of either end; and the stored ids ``rep`` of both ends of all others. classes: ``(rep, n, signature)``, and ``label`` if only
+ones of either end; and the ids ``rep`` of both ends of all others. classes: ``(rep, n, signature)``, and ``label`` if only
     pairs of different labels count."""
     found = stored(sweep(classes, lambda: _proposals(percent, best), {"a": "long", "b": "long", "same": "long", "more": "long"}))
     more = found.filter("more IS NOT NULL").select(F.col("more").alias("rep")).distinct()
-    return found.filter("a IS NOT NULL").select("a", "b", "same"), stored(more)
+    return found.filter("a IS NOT NULL").select("a", "b", "same"), more
 
 
 def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
@@ -288,11 +310,22 @@ def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
 def full_sets(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
     """``(id, digest, shingles)`` of the documents in the pairs."""
 
+    def rows(ids: list[int], found: list[np.ndarray]) -> pd.DataFrame:
+        return pd.DataFrame({"id": np.array(ids, np.int64), "digest": list(map(_digest, found)), "shingles": [x.view(np.int64) for x in found]})
+
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(k)
         for batch in batches:
-            found = [shingles.of(t) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "digest": list(map(_digest, found)), "shingles": [x.view(np.int64) for x in found]})
+            ids, found, size = [], [], 0
+            for own, text in zip(batch["id"], batch["text"]):
+                ids.append(own)
+                found.append(shingles.of(text))
+                size += len(found[-1])
+                if size >= SETS:
+                    yield rows(ids, found)
+                    ids, found, size = [], [], 0
+            if ids:
+                yield rows(ids, found)
 
     needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(_copied(needed), "id", "left_semi")
@@ -401,7 +434,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     reached = stored(reached)
     # The second time, pairs between components: the likeliest ones of each row,
     proposed, rest = candidates(reached.drop("digest"), percent, SECOND)
-    proposed = stored(_untried(proposed, pairs))
+    proposed, rest = stored(_untried(proposed, pairs)), stored(rest)
     if not proposed.isEmpty():
         reached = joined_labels(reached, stored(confirmed(proposed, stored(full_sets(proposed, docs, key, text, k)), percent)))
     # and where there are more, all of them, by full sets that the rows bring along.

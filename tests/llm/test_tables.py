@@ -5,8 +5,10 @@ from __future__ import annotations
 import collections
 import pathlib
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from fitlens.llm import decontaminate, licenses, near_duplicates, nearest, secrets, url_rules
@@ -132,6 +134,37 @@ def test_a_large_group_around_the_threshold(frame, monkeypatch, size):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == want
 
 
+def test_full_sets_are_compared_piece_by_piece(monkeypatch):
+    """Links are the same however rows are cut, and the work holds a piece, not several copies of a whole batch of sets."""
+    rng, n, size = np.random.default_rng(3), 2000, 1000
+    sets = [np.unique(rng.integers(-(1 << 62), 1 << 62, size)) for _ in range(n)]
+    paths = [rng.bytes(near_duplicates.HASHES) for _ in range(n)]
+    expected = []
+    for i in range(0, n - near_duplicates.REACH, 50):  # copies from one place to the farthest behind their row, across cuts
+        j = i + 1 + i // 50 % near_duplicates.NEAR
+        sets[j], paths[j] = sets[i].copy(), paths[i]
+        expected.append((i, j))
+    rows = pd.DataFrame({"order": 0, "path": paths, "n": size, "rep": np.arange(n), "label": np.arange(n), "shingles": sets})
+    for at_once in (1 << 30, 10 * size, 1):
+        monkeypatch.setattr(near_duplicates, "SETS", at_once, raising=False)
+        tracemalloc.start()
+        found = near_duplicates._links(80)(rows, 0)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sorted(zip(found["a"], found["b"])) == expected
+    assert peak < 8 * n * size
+
+
+def test_full_sets_come_in_bounded_pieces(frame, monkeypatch):
+    """Every document's set comes once, also where a batch holds more hashes than are given out at once."""
+    monkeypatch.setattr(near_duplicates, "SETS", 7, raising=False)
+    docs = [(i, " ".join(f"w{i}x{j}" for j in range(i % 9))) for i in range(40)]
+    pairs = frame([(i, i + 1) for i in range(0, 40, 2)], "a long, b long")
+    found = near_duplicates.full_sets(pairs, frame(docs, "doc_id long, text string").coalesce(1), "doc_id", "text", 2).collect()
+    shingles = near_duplicates.Shingles(2)
+    assert sorted((r.id, r.shingles) for r in found) == [(i, shingles.of(t).view(np.int64).tolist()) for i, t in docs]
+
+
 def test_near_duplicates_of_odd_rows(frame):
     text = "the quick brown fox jumps over the lazy dog again"
     other = "an entirely different text with words of its own"
