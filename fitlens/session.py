@@ -43,8 +43,17 @@ def stored(df: DataFrame) -> DataFrame:
     computing it again, its size is known to the planner, its lineage ends here, and a lost
     executor costs no recomputation.
     """
+    return _stored(df, {})
+
+
+def stored_in_files(df: DataFrame, rows: int) -> DataFrame:
+    """Like ``stored``, with at most ``rows`` rows in a file: for large rows, as a reader holds a file's rows in batches of thousands."""
+    return _stored(df, {"maxRecordsPerFile": rows})
+
+
+def _stored(df: DataFrame, options: dict[str, int]) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

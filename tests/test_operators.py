@@ -7,6 +7,7 @@ import itertools
 import random
 import tracemalloc
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -25,6 +26,7 @@ from fitlens.operators import ranking as rk
 from fitlens.operators import rows as rw
 from fitlens.operators import sampling as sa
 from fitlens.operators import vectors as vc
+from fitlens.session import shared_folder
 from fitlens.sources import io
 
 
@@ -374,6 +376,38 @@ def test_clustered_vectors_meet_few_anchors(frame, monkeypatch):
     assert compared < 0.1 * 900 * 300
 
 
+def test_cosine_join_copies_vectors_for_parts_only(frame, spark):
+    """All pairs of 100 or of 25 blocks are in reach: vectors are not copied for each block or cell, but four times a side and stored."""
+
+    def on_disk():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        shuffled = [Path(files.apply(i).getPath()) for i in range(files.size())]
+        found = [f for f in shuffled if f.name.startswith("shuffle_")] + list(Path(shared_folder(spark).removeprefix("file:")).rglob("*.parquet"))
+        return {f: f.stat().st_size for f in found if f.exists()}
+
+    def run(n):
+        x = np.random.default_rng(n).normal(size=(n, 64)).astype(np.float32)
+        left = frame([(i, v.tolist()) for i, v in enumerate(x)], "id int, v array<float>")
+        right = left.select(F.col("id").alias("a"), F.col("v").alias("w"))
+        before = on_disk()
+        got = vc.cosine_join(left, right, "id", "v", "a", "w", 0.3, block=16)
+        found = {(r["id"], r["a"]): r["cosine"] for r in got.collect()}
+        unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+        expected = np.argwhere(unit @ unit.T > 0.3)
+        assert found.keys() == {tuple(p) for p in expected.tolist()}
+        assert all(abs(c - unit[i] @ unit[a]) < 1e-12 for (i, a), c in found.items())
+        return sum(size for f, size in on_disk().items() if f not in before) / x.nbytes
+
+    few, many = run(400), run(1600)
+    assert many < 12 and many < 1.5 * few
+
+
+def test_cosine_join_keeps_large_ids_beside_null_ones(frame):
+    left = [(2**60 + 1, [1.0, 0.0]), (None, [1.0, 0.1])]
+    got = vc.cosine_join(frame(left, "id long, v array<double>"), frame([(2**60 + 3, [1.0, 0.0])], "a long, w array<double>"), "id", "v", "a", "w", 0.5)
+    assert sorted(((r["id"], r["a"]) for r in got.collect()), key=repr) == [(2**60 + 1, 2**60 + 3), (None, 2**60 + 3)]
+
+
 def test_cosine_join_without_anchors(frame):
     empty = frame([], "a int, w array<double>")
     assert vc.cosine_join(frame(vectors(1, 5), "id int, v array<double>"), empty, "id", "v", "a", "w", 0.5).count() == 0
